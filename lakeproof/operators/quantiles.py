@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from fractions import Fraction
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -24,9 +24,13 @@ from lakeproof.functions.naming import field
 
 DEFAULT_BINS = 512
 
+_PLACES = pa.schema([
+    ("slot", pa.int32()), ("place", pa.int32()), ("bracket_low", pa.float64()), ("bracket_high", pa.float64()),
+    ("scale", pa.float64()),
+])
 _WANTED = pa.schema([
-    ("slot", pa.string()), ("column_name", pa.string()), ("bracket", pa.int32()),
-    ("probability", pa.string()), ("wanted_rank", pa.int64()), ("offset", pa.int64()),
+    ("place", pa.int32()), ("column_name", pa.string()), ("probability", pa.string()),
+    ("wanted_rank", pa.int64()), ("offset", pa.int64()),
 ])
 
 
@@ -107,56 +111,57 @@ def exact_quantiles(
 
 def _split_brackets(df: DataFrame, pending: Mapping[str, Mapping[Bracket, Mapping[str, int]]], bins: int) -> DataFrame:
     """One pass: the bin of every wanted rank, with its value range."""
-    spark = df.sparkSession
     names = list(pending)
-    values = df.select([field(name).cast("double").alias(f"v{i}") for i, name in enumerate(names)])
-    long = values.unpivot([], [F.col(f"v{i}") for i in range(len(names))], "slot", "value")
-
-    code = F.lit(None).cast("int")
-    wanted_rows = []
-    for i, name in enumerate(names):
-        inside = F.lit(None).cast("int")
-        for j, (bracket, wanted) in enumerate(pending[name].items()):
-            inside = F.when(
-                F.col("value").between(bracket.low, bracket.high),
-                F.lit(j * bins) + _bin(F.col("value"), bracket, bins),
-            ).otherwise(inside)
+    places, wanted_rows = [], []
+    for slot, name in enumerate(names):
+        for bracket, wanted in pending[name].items():
             wanted_rows += [
-                {"slot": f"v{i}", "column_name": name, "bracket": j, "probability": p,
-                 "wanted_rank": rank, "offset": bracket.below}
+                {"place": len(places), "column_name": name, "probability": p, "wanted_rank": rank,
+                 "offset": bracket.below}
                 for p, rank in wanted.items()
             ]
-        code = F.when(F.col("slot") == f"v{i}", inside).otherwise(code)
+            places.append({
+                "slot": slot, "place": len(places), "bracket_low": bracket.low, "bracket_high": bracket.high,
+                "scale": _scale(bracket, bins),
+            })
+    spark = df.sparkSession
+    brackets = spark.createDataFrame(pa.Table.from_pylist(places, _PLACES))
+    wanted = spark.createDataFrame(pa.Table.from_pylist(wanted_rows, _WANTED))
 
+    value, low, high = F.col("value"), F.col("bracket_low"), F.col("bracket_high")
+    position = (value / 2 - low / 2) * F.col("scale")
+    bin_of = (
+        F.when(value == low, 0)
+        .when(value == high, bins - 1)
+        .when(F.isnan(position), 1)
+        .otherwise(F.least(F.greatest(F.floor(position), F.lit(0)), F.lit(bins - 1)).cast("int"))
+    )
+    long = df.select(F.posexplode(F.array(*[field(n).cast("double") for n in names])).alias("slot", "value"))
     counted = (
-        long.withColumn("code", code)
-        .where(F.col("code").isNotNull())
-        .groupBy("slot", "code")
+        # at most one bracket per column and probability, so the broadcast is small for any table;
+        # NaN lies above every bracket
+        long.join(F.broadcast(brackets), "slot")
+        .where((value >= low) & (value <= high))
+        .groupBy((F.col("place") * bins + bin_of).alias("code"))
         .agg(F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
-        .withColumn("bracket", F.floor(F.col("code") / bins).cast("int"))
+        .withColumn("place", F.floor(F.col("code") / bins).cast("int"))
     )
     # at most `bins` rows per window partition, whatever the size of the table
-    upto = W.partitionBy("slot", "bracket").orderBy("code").rowsBetween(W.unboundedPreceding, W.currentRow)
-    cumulative = counted.withColumn("reached", F.sum("n").over(upto))
-    # an Arrow table becomes a local relation, whose exact size the optimizer knows
-    wanted = spark.createDataFrame(pa.Table.from_pylist(wanted_rows, _WANTED))
+    upto = W.partitionBy("place").orderBy("code").rowsBetween(W.unboundedPreceding, W.currentRow)
     reached = F.col("offset") + F.col("reached")
     return (
-        cumulative.join(wanted, ["slot", "bracket"])
+        counted.withColumn("reached", F.sum("n").over(upto))
+        .join(wanted, "place")
         .where((F.col("wanted_rank") <= reached) & (F.col("wanted_rank") > reached - F.col("n")))
         .select("column_name", "probability", "wanted_rank", "low", "high", (reached - F.col("n")).alias("below"))
     )
 
 
-def _bin(value: Column, bracket: Bracket, bins: int) -> Column:
-    """Equal-width bin of a value. The two ends always fall into different bins,
-    so every pass makes progress; halving keeps the width finite."""
+def _scale(bracket: Bracket, bins: int) -> float:
+    """Bins per unit of half the value. Halving keeps the width of finite values finite.
+
+    The two ends of a bracket always fall into different bins, so every pass
+    makes progress.
+    """
     width = bracket.high / 2 - bracket.low / 2
-    position = (value / 2 - bracket.low / 2) / F.lit(width) * bins
-    clipped = F.least(F.greatest(F.floor(position), F.lit(0)), F.lit(bins - 1)).cast("int")
-    return (
-        F.when(value == bracket.low, 0)
-        .when(value == bracket.high, bins - 1)
-        .when(F.isnan(position), 1)
-        .otherwise(clipped)
-    )
+    return bins / width if width else float("inf")

@@ -12,6 +12,7 @@ def local_session(cores: int | str = "*", app: str = "lakeproof", **conf: str) -
     """A session for tests and benches. Clusters bring their own."""
     settings = {
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.shuffle.partitions": "8",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",

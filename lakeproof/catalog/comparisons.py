@@ -116,11 +116,11 @@ def compare_categorical(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(joined_sql(
     categorical_sql("events", ["event_type", "props"], "hive", "events"),
     categorical_sql(f"({BLANKED_EVENTS})", ["event_type", "props"], "lake", "events"),
-    compare.CATEGORICAL_KEYS, ["freq"], differences_sql("freq"),
+    compare.CATEGORICAL_KEYS, ["schema_name", "freq"], differences_sql("freq"),
 ))
 def reconcile_categorical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare.reconcile_categorical(
-        table(spark, sf_dir, "events"), blanked_events(spark, sf_dir), "event_id", "events"
+        table(spark, sf_dir, "events"), blanked_events(spark, sf_dir), "event_id", "hive", "events", "lake"
     )
 
 

@@ -132,14 +132,12 @@ def blank_to_null(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-  SELECT CAST(ordinal AS INTEGER) AS ordinal, column_name, '[' || ordinal || ']' || column_name AS column_id
-  FROM (SELECT ordinal_position AS ordinal, column_name FROM (
-    SELECT unnest(range(1, 12)) AS ordinal_position,
-           unnest(['l_orderkey', 'l_partkey', 'l_suppkey', 'l_linenumber', 'l_quantity', 'l_extendedprice',
-                   'l_discount', 'l_tax', 'l_returnflag', 'l_linestatus', 'l_shipdate']) AS column_name))
+  SELECT o_orderkey AS "[1]o_orderkey", o_custkey AS "[2]o_custkey", o_orderstatus AS "[3]o_orderstatus",
+         o_totalprice AS "[4]o_totalprice", o_orderdate AS "[5]o_orderdate", o_orderpriority AS "[6]o_orderpriority"
+  FROM orders
 """)
 def schema_ordinals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mapping.schema_ordinals(table(spark, sf_dir, "lineitem"))
+    return mapping.with_column_ids(table(spark, sf_dir, "orders"))
 
 
 @query("""

@@ -9,12 +9,13 @@ from lakeproof.catalog.registry import query
 from lakeproof.catalog.staging import write_json_arrays, zip_partition
 from lakeproof.catalog.tables import ACID_EVENTS, acid_events, table
 from lakeproof.operators.acid import flatten_rows, read_events
+from lakeproof.operators.inventory import file_inventory, file_name, folder_of
 from lakeproof.operators.mapping import map_ordinals
 from lakeproof.session import scratch_path
 from lakeproof.sinks.files import write_csv
 from lakeproof.sources import archives, checksums, files
 from lakeproof.sources.files import CsvDialect, FileSelection
-from lakeproof.sources.listing import file_addresses, list_files
+from lakeproof.sources.listing import relative_to, walk_files
 from lakeproof.sources.tables import read_query
 
 
@@ -122,30 +123,27 @@ def src_zip_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
     events.repartition(4, "event_id").mapInPandas(zip_partition(path), "archive string").count()
     schema = "event_id bigint, user_id bigint, event_type string, value double"
-    parsed = archives.read_zipped_csv(spark, path, schema, member_suffix="event.tsv")
+    parsed = archives.read_zipped_csv(walk_files(spark, path, "*.zip"), schema, member_suffix="event.tsv")
     return parsed.select("event_id", "user_id", "event_type", "value")
 
 
 @query()
 def file_checksum(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Checksums of the given files themselves, in pieces."""
-    pieces = checksums.file_pieces(spark, sf_dir, FileSelection(name_glob="*.parquet"), piece_bytes=1 << 20)
-    return pieces.select(F.substring_index("path", "/", -1).alias("file"), "piece", "piece_bytes", "sha256")
+    pieces = checksums.file_pieces(walk_files(spark, sf_dir, "*.parquet"), piece_bytes=1 << 20)
+    return pieces.select(file_name(F.col("path")).alias("file"), "piece", "piece_bytes", "sha256")
 
 
 @query()
 def binary_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copy the given files byte for byte and compare all pieces of both sides."""
-    target, parquet = scratch_path(spark, "copy"), FileSelection(name_glob="*.parquet")
-    name = F.substring_index("path", "/", -1)
-    originals = file_addresses(spark, sf_dir, parquet)
-    plan = originals.select(
+    target, name = scratch_path(spark, "copy"), file_name(F.col("path"))
+    plan = walk_files(spark, sf_dir, "*.parquet").select(
         F.col("path").alias("source"), F.concat(F.lit(f"{target}/2024/01/02/"), name).alias("target")
     )
     checksums.copy_files(plan).agg(F.sum("bytes")).first()
     sides = [
-        checksums.file_pieces(spark, path, FileSelection(recursive=True, name_glob="*.parquet"), 1 << 20)
-        .withColumn("file", name)
+        checksums.file_pieces(walk_files(spark, path, "*.parquet"), 1 << 20).withColumn("file", name)
         for path in (sf_dir, target)
     ]
     return checksums.compare_pieces(*sides)
@@ -183,10 +181,15 @@ def src_skip_corrupt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_parquet(spark, path, FileSelection(recursive=True, skip_corrupt=True), part.schema)
 
 
-@query("SELECT CAST(count(*) > 0 AS BOOLEAN) AS found, CAST(0 AS BIGINT) AS empty_files FROM supplier")
+@query("""
+  SELECT DISTINCT '/o_orderstatus=' || o_orderstatus || '/' AS folder, 'parquet' AS "FileType", TRUE AS has_bytes FROM orders
+""")
 def file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A listing of real files, from the index alone."""
+    """Inventory of real files: the data files of a partitioned table, folder by folder."""
     path = scratch_path(spark, "listing")
-    table(spark, sf_dir, "supplier").write.parquet(path)
-    found = list_files(spark, path, FileSelection(recursive=True, name_glob="*.parquet"))
-    return found.agg((F.count("*") > 0).alias("found"), F.count_if(F.col("size") == 0).alias("empty_files"))
+    table(spark, sf_dir, "orders").write.partitionBy("o_orderstatus").parquet(path)
+    found = file_inventory(relative_to(walk_files(spark, path, spread_levels=1), path))
+    data = found.where(F.startswith("FilePath", F.lit("/o_")) & F.startswith("FileName", F.lit("part-")))
+    return data.groupBy(folder_of(F.col("FilePath")).alias("folder"), "FileType").agg(
+        (F.min("SizeBytes") > 0).alias("has_bytes")
+    )

@@ -31,13 +31,14 @@ def flatten_rows(df: DataFrame) -> DataFrame:
 def read_events(spark: SparkSession, path: str) -> DataFrame:
     """All events below a table folder.
 
-    The ORC library knows transactional files by their six column names and
-    unwraps the rows itself once a reader asks for fewer of them. The filter
-    on the event columns, which no valid event leaves empty, keeps column
-    pruning from doing that.
+    The ORC library knows transactional files by their six column names, and
+    reads them wrongly when a reader asks for fewer. The filter says what holds
+    for every valid event, and so keeps all six from being pruned.
     """
     events = read_files(spark, path, "orc-acid")
-    return events.where(reduce(Column.__and__, [F.col(c).isNotNull() for c in EVENT_COLUMNS]))
+    payload = field(events.schema[-1].name)
+    identified = reduce(Column.__and__, [F.col(c).isNotNull() for c in EVENT_COLUMNS])
+    return events.where(identified & (payload.isNotNull() | (F.col("operation") == DELETE_OPERATION)))
 
 
 def resolve_rows(df: DataFrame) -> DataFrame:

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeproof.functions.naming import field
-from lakeproof.operators.profile import melt
+from lakeproof.operators.profile import CATEGORICAL_SCHEMA, melt
 from lakeproof.operators.typeclass import TEXT, columns_of_class, key_list
 
 # The join keys of each metric table.
@@ -101,7 +102,8 @@ def null_slice(compared: DataFrame) -> DataFrame:
 
 
 def reconcile_categorical(
-    source: DataFrame, target: DataFrame, keys: str | Sequence[str], table_name: str
+    source: DataFrame, target: DataFrame, keys: str | Sequence[str], schema_name: str, table_name: str,
+    target_schema_name: str | None = None,
 ) -> DataFrame:
     """``compare_categorical`` straight from the two tables, with one shuffle.
 
@@ -115,19 +117,18 @@ def reconcile_categorical(
         if columns:
             sides.append(melt(df, columns, "string").withColumn("is_source", F.lit(is_source)))
     if not sides:
-        raise ValueError("neither table has a text column outside its key")
-    both = sides[0] if len(sides) == 1 else sides[0].unionByName(sides[1])
-    counted = both.groupBy("column_name", F.col("value").alias("column_value")).agg(
+        empty = source.sparkSession.createDataFrame([], CATEGORICAL_SCHEMA)
+        return compare_categorical(empty, empty)
+    counted = reduce(DataFrame.unionByName, sides).groupBy("column_name", F.col("value").alias("column_value")).agg(
         F.count_if("is_source").alias("n_source"), F.count_if(~F.col("is_source")).alias("n_target")
     )
-    presence = (
-        F.when(F.col("n_target") == 0, "left_only").when(F.col("n_source") == 0, "right_only").otherwise("both")
-    )
+    in_source, in_target = F.col("n_source") > 0, F.col("n_target") > 0
     matched = counted.select(
         F.lit(table_name).alias("table_name"), "column_name", "column_value",
-        F.nullif(F.col("n_source"), F.lit(0)).alias("freq"),
-        F.nullif(F.col("n_target"), F.lit(0)).alias("freq_tgt"),
-        presence.alias("_merge"),
+        F.when(in_source, schema_name).alias("schema_name"), F.when(in_source, F.col("n_source")).alias("freq"),
+        F.when(in_target, target_schema_name or schema_name).alias("schema_name_tgt"),
+        F.when(in_target, F.col("n_target")).alias("freq_tgt"),
+        F.when(~in_target, "left_only").when(~in_source, "right_only").otherwise("both").alias("_merge"),
     )
     return with_differences(matched, "freq")
 

@@ -28,8 +28,8 @@ NULL_RANK = 9
 # Texts read as booleans.
 BOOLEAN_TEXTS = ("true", "false", "t", "f", "yes", "no", "y", "n")
 
-_ISO_STAMP = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}$"
-_STAMP = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
+_TYPED_START = r"^[-+.0-9]"
+_STAMP = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}$"
 _DATE = r"^\d{4}-\d{2}-\d{2}$"
 _DOTTED = r"^[+-]?(\d+\.\d*|\.\d+)$"
 _WHOLE = r"^[+-]?\d+$"
@@ -37,18 +37,26 @@ _FLOATING = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 
 def value_rank(value: Column) -> Column:
-    """Rank of one text value; the first test that holds decides."""
-    return (
-        F.when(value.isNull(), NULL_RANK)
-        .when(value.rlike(_ISO_STAMP) & value.try_cast("timestamp_ntz").isNotNull(), 3)
-        .when(value.rlike(_STAMP) & value.try_cast("timestamp_ntz").isNotNull(), 3)
+    """Rank of one text value; the first test that holds decides.
+
+    Dates and numbers start with a digit, sign or point, so other texts skip
+    their patterns, and only short texts are compared with the boolean words.
+    """
+    text = F.when(F.length(value) <= 255, 2).otherwise(1)
+    longest = max(map(len, BOOLEAN_TEXTS))
+    typed = (
+        F.when(value.rlike(_STAMP) & value.try_cast("timestamp_ntz").isNotNull(), 3)
         .when(value.rlike(_DATE) & value.try_cast("date").isNotNull(), 4)
         .when(value.rlike(_DOTTED), 5)
         .when(value.rlike(_WHOLE) & value.try_cast("int").isNotNull(), 7)
         .when(value.rlike(_FLOATING), 6)
-        .when(F.lower(value).isin(*BOOLEAN_TEXTS), 8)
-        .when(F.length(value) <= 255, 2)
-        .otherwise(1)
+        .otherwise(text)
+    )
+    return (
+        F.when(value.isNull(), NULL_RANK)
+        .when(value.rlike(_TYPED_START), typed)
+        .when((F.length(value) <= longest) & F.lower(value).isin(*BOOLEAN_TEXTS), 8)
+        .otherwise(text)
     )
 
 

@@ -24,6 +24,11 @@ def file_type(path: Column) -> Column:
     return F.when(F.contains(name, F.lit(".")), F.substring_index(name, ".", -1)).otherwise("orc")
 
 
+def folder_of(path: Column) -> Column:
+    """Everything up to and including the last slash."""
+    return F.substring(path, F.lit(1), F.length(path) - F.length(file_name(path)))
+
+
 def exclude_results(listing: DataFrame, prefixes: Sequence[str] = RESULT_FOLDERS) -> DataFrame:
     """Leave out paths below the given top-level folders, with or without a leading slash."""
     relative = F.ltrim(F.col("path"), F.lit("/"))
@@ -70,7 +75,7 @@ def folder_inventory(listing: DataFrame) -> DataFrame:
     distinct before the count per parent, and both steps combine before they
     shuffle, so a folder with a third of all files stays cheap.
     """
-    leaf = F.element_at(ancestors(F.col("path")), -1)
+    leaf = folder_of(F.col("path"))
     files = (
         listing.select("path").distinct()
         .groupBy(leaf.alias("Path")).agg(F.count("*").alias("files"))
@@ -99,7 +104,7 @@ def dir_size(listing: DataFrame) -> DataFrame:
     Sizes are summed per direct folder first, and only those sums climb the tree.
     """
     direct = (
-        listing.select(F.element_at(ancestors(F.col("path")), -1).alias("folder"), "size")
+        listing.select(folder_of(F.col("path")).alias("folder"), "size")
         .groupBy("folder").agg(F.sum("size").alias("bytes"), F.count("*").alias("files"))
     )
     climbed = direct.select(F.explode(ancestors(F.col("folder"))).alias("Path"), "bytes", "files")
@@ -113,26 +118,35 @@ def table_count(listing: DataFrame, master_path: str) -> DataFrame:
     return tables.agg(F.count_distinct(F.substring_index(below, "/", 1)).alias("table_count"))
 
 
-_DATED = r"^(.*)/(\d{4})/(\d{2})/(\d{2})/(\d{2})/[^/]*(\d{4}_\d{2}_\d{2}_\d{2}_\d{2})\.parquet$"
+# a folder per hour, and a file name that ends in the stamp of its load
+_DATED = r"/\d{4}/\d{2}/\d{2}/\d{2}/[^/]*\d{4}_\d{2}_\d{2}_\d{2}_\d{2}\.parquet$"
+_HOUR_FOLDER = len("/yyyy/MM/dd/HH/")
+_STAMP, _STAMPED_END = len("yyyy_MM_dd_HH_mm"), len("yyyy_MM_dd_HH_mm.parquet")
 
 
 def latest_partition(listing: DataFrame) -> DataFrame:
     """Newest year, month, day, hour and file stamp per object folder.
 
     One maximum over the date parts taken together, so the parts always belong
-    to one folder. Paths that are not dated are left out.
+    to one folder. Paths that are not dated are left out; the others have the
+    parts at fixed places from the end.
     """
-    part = lambda group: F.regexp_extract("path", _DATED, group)
-    dated = listing.where(F.col("path").rlike(_DATED)).select(
-        part(1).alias("object_dir"),
-        F.struct(
-            *[part(i).alias(n) for i, n in enumerate(("yyyy", "mm", "dd", "hh", "stamp"), start=2)]
-        ).alias("newest"),
+    folder, path = F.col("folder"), F.col("path")
+    object_length = F.length(folder) - _HOUR_FOLDER
+    dated = (
+        listing.where(path.rlike(_DATED))
+        .select("path", folder_of(path).alias("folder"))
+        .select(
+            F.substring(folder, F.lit(1), object_length).alias("object_dir"),
+            F.struct(
+                F.substring(folder, object_length + 2, F.lit(_HOUR_FOLDER - 2)).alias("hour"),
+                F.substring(path, F.length(path) - _STAMPED_END + 1, F.lit(_STAMP)).alias("stamp"),
+            ).alias("newest"),
+        )
     )
     newest = dated.groupBy("object_dir").agg(F.max("newest").alias("newest"))
-    folder = F.concat_ws("/", "object_dir", "newest.yyyy", "newest.mm", "newest.dd", "newest.hh")
     return newest.select(
-        "object_dir", folder.alias("latest_dir"),
+        "object_dir", F.concat_ws("/", "object_dir", "newest.hour").alias("latest_dir"),
         F.concat(F.lit("*"), F.col("newest.stamp"), F.lit(".parquet")).alias("file_wildcard"),
     )
 

@@ -134,15 +134,9 @@ def add_load_date(df: DataFrame, run_date: date | None = None) -> DataFrame:
     return df.withColumn("LoadDate", F.current_date() if run_date is None else F.lit(run_date))
 
 
-def schema_ordinals(df: DataFrame) -> DataFrame:
-    """(ordinal, column_name, column_id) with ids such as ``[1]name``."""
-    names = F.array(*[F.lit(c) for c in df.columns])
-    listed = df.sparkSession.range(1).select(F.posexplode(names).alias("position", "column_name"))
-    ordinal = (F.col("position") + 1).cast("int")
-    return listed.select(
-        ordinal.alias("ordinal"), "column_name",
-        F.concat(F.lit("["), ordinal.cast("string"), F.lit("]"), F.col("column_name")).alias("column_id"),
-    )
+def with_column_ids(df: DataFrame) -> DataFrame:
+    """Columns renamed to their position and name, such as ``[1]name``."""
+    return df.toDF(*[f"[{i}]{c}" for i, c in enumerate(df.columns, start=1)])
 
 
 def select_renamed(df: DataFrame, names: Iterable[str]) -> DataFrame:

@@ -8,9 +8,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from lakeproof.operators.cleaning import blank_to_null_text
-from lakeproof.operators.compare import compare_categorical, compare_date, compare_metadata, compare_numeric
+from lakeproof.operators.compare import compare_date, compare_metadata, compare_numeric, reconcile_categorical
 from lakeproof.operators.counts import check_primary_key
-from lakeproof.operators.profile import profile
+from lakeproof.operators.profile import profile_date, profile_numeric
 from lakeproof.sinks.files import write_metrics
 
 
@@ -34,12 +34,11 @@ def reconcile(
     """Compare all metrics of two tables. Columns that only one side has show up as one-sided rows."""
     if clean_blanks:
         source, target = blank_to_null_text(source), blank_to_null_text(target)
-    names = ((source, schema_name), (target, target_schema_name or schema_name))
-    keyed = [check_primary_key(df, keys, schema, table_name) for df, schema in names]
-    profiles = [profile(df, keys, schema, table_name) for df, schema in names]
+    target_schema = target_schema_name or schema_name
+    sides = ((source, schema_name), (target, target_schema))
     return Reconciliation(
-        compare_metadata(*keyed),
-        compare_categorical(*(p.categorical for p in profiles)),
-        compare_numeric(*(p.numeric for p in profiles)),
-        compare_date(*(p.date for p in profiles)),
+        compare_metadata(*(check_primary_key(df, keys, schema, table_name) for df, schema in sides)),
+        reconcile_categorical(source, target, keys, schema_name, table_name, target_schema),
+        compare_numeric(*(profile_numeric(df, keys, schema, table_name) for df, schema in sides)),
+        compare_date(*(profile_date(df, keys, schema, table_name) for df, schema in sides)),
     )

@@ -71,5 +71,5 @@ def advance(
     spark.range(1).select(
         F.lit(config_id).cast("bigint").alias("config_id"), F.lit(src_object).alias("src_object"),
         F.lit(new).alias("mark"), moved_at.alias("moved_at"),
-    ).write.mode("append").parquet(marks_path)
+    ).write.mode("append").partitionBy("config_id").parquet(marks_path)
     return new

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lakeproof.operators.cleaning import void_to_string
 from lakeproof.sources.files import ALL_FILES, CSV, PIPE, CsvDialect, FileSelection, read_csv, read_files, read_orc
-from lakeproof.sources.listing import list_files
+from lakeproof.sources.listing import walk_files
 
 # Results up to this many bytes may be written by one task.
 SINGLE_FILE_BYTES = 256 * 1024 * 1024
@@ -73,10 +73,7 @@ def merge_text_files(
     many files as keep each near that size, all with the header, so that no
     task writes everything.
     """
-    total = sum(
-        list_files(spark, path).agg(F.coalesce(F.sum("size"), F.lit(0)).alias("bytes")).first()["bytes"]
-        for path in sources
-    )
+    total = sum(walk_files(spark, path).agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0] for path in sources)
     files = max(1, -(-total // max_file_bytes))
     merged = read_csv(spark, sources, dialect)
     merged = merged.coalesce(1) if files == 1 else merged.repartition(files)

@@ -7,13 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeproof.operators.mapping import ColumnMap, conversion_errors, fill_type_defaults, map_columns, split_incompatible
+from lakeproof.operators.mapping import ColumnMap, fill_type_defaults, split_incompatible
 from lakeproof.sinks.files import write_parquet
 from lakeproof.sinks.fingerprint import copy_consistency
 
 
 class LoadRejected(RuntimeError):
-    """More rows failed to convert than the load allows. Nothing was written."""
+    """More rows failed to convert than the load allows. No row was loaded."""
 
 
 class CopyMismatch(RuntimeError):
@@ -39,17 +39,19 @@ def load_with_threshold(
 ) -> int:
     """Load the rows that convert and return how many did not.
 
-    Rejects are counted before anything is written, reading only the mapped
-    columns. More than ``max_rejects`` stops the load; None allows any number.
+    Rejects are found before any row is loaded. More than ``max_rejects`` stops
+    the load; None allows any number. The rows that failed are kept at
+    ``reject_path``, also when the load is stopped.
     """
-    failed = df.select(F.size(conversion_errors(df, mapping)).alias("errors")).where("errors > 0")
-    rejected = failed.count()
+    good, rejects = split_incompatible(df, mapping)
+    if reject_path is None:
+        rejected = rejects.count()
+    else:
+        write_parquet(rejects, reject_path)
+        rejected = df.sparkSession.read.parquet(reject_path).count()
     if max_rejects is not None and rejected > max_rejects:
         raise LoadRejected(f"{rejected} rows do not fit, {max_rejects} allowed")
-    good, rejects = split_incompatible(df, mapping)
     write_parquet(fill_type_defaults(good) if use_type_default else good, path)
-    if reject_path is not None:
-        write_parquet(rejects, reject_path)
     return rejected
 
 
@@ -77,8 +79,3 @@ def merge_versions(first: DataFrame, second: DataFrame) -> tuple[DataFrame, Data
     ]
     return merged, counts[0].unionByName(counts[1]).unionByName(counts[2])
 
-
-__all__ = [
-    "CopyMismatch", "LoadRejected", "autocreate_append", "load_with_threshold", "map_columns",
-    "merge_versions", "publish", "skip_incompatible", "truncate_load",
-]

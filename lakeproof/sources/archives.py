@@ -12,11 +12,9 @@ import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeproof.sources.files import FileSelection
-from lakeproof.sources.listing import file_addresses
 from lakeproof.sources.remote import resolve
 
 MEMBER_SCHEMA = "archive string, member string, member_size bigint"
@@ -24,9 +22,8 @@ LINE_SCHEMA = "archive string, member string, line_no bigint, line string"
 LINES_PER_BATCH = 10_000
 
 
-def list_members(spark: SparkSession, path: str, name_glob: str = "*.zip") -> DataFrame:
-    """(archive, member, member_size) of all archives below a path."""
-    archives = file_addresses(spark, path, FileSelection(recursive=True, name_glob=name_glob))
+def list_members(archives: DataFrame) -> DataFrame:
+    """(archive, member, member_size) of the archives in a listing."""
     return archives.select("path").mapInPandas(_members, MEMBER_SCHEMA)
 
 
@@ -42,23 +39,19 @@ def _members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def member_lines(
-    spark: SparkSession, path: str, name_glob: str = "*.zip", member_suffix: str | None = None,
-    encoding: str = "utf-8", row_delimiter: str = "\n", tasks: int | None = None,
+    archives: DataFrame, member_suffix: str | None = None, encoding: str = "utf-8", row_delimiter: str = "\n",
 ) -> DataFrame:
     """(archive, member, line_no, line) of all members, in parallel by member."""
-    members = list_members(spark, path, name_glob)
+    members = list_members(archives)
     if member_suffix is not None:
         members = members.where(F.endswith("member", F.lit(member_suffix)))
-    spread = members.repartition("archive", "member") if tasks is None else members.repartition(
-        tasks, "archive", "member"
-    )
 
     def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples(index=False):
                 yield from _stream_member(row.archive, row.member, encoding, row_delimiter)
 
-    return spread.mapInPandas(lines, LINE_SCHEMA)
+    return members.repartition("archive", "member").mapInPandas(lines, LINE_SCHEMA)
 
 
 def _stream_member(address: str, member: str, encoding: str, row_delimiter: str) -> Iterator[pd.DataFrame]:
@@ -89,10 +82,9 @@ def _line_batch(address: str, member: str, numbers: list[int], lines: list[str])
 
 
 def read_zipped_csv(
-    spark: SparkSession, path: str, schema: str, sep: str = "\t", name_glob: str = "*.zip",
-    member_suffix: str | None = None,
+    archives: DataFrame, schema: str, sep: str = "\t", member_suffix: str | None = None
 ) -> DataFrame:
     """Headerless delimited members, parsed with a schema; ``archive`` and ``member`` come first."""
-    lines = member_lines(spark, path, name_glob, member_suffix)
+    lines = member_lines(archives, member_suffix)
     parsed = F.from_csv("line", schema, {"sep": sep})
     return lines.select("archive", "member", parsed.alias("parsed")).select("archive", "member", "parsed.*")

@@ -11,11 +11,9 @@ import uuid
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeproof.sources.files import FileSelection
-from lakeproof.sources.listing import file_addresses
 from lakeproof.sources.remote import resolve
 
 PIECE_BYTES = 256 * 1024 * 1024
@@ -23,10 +21,8 @@ READ_BYTES = 4 * 1024 * 1024
 PIECE_SCHEMA = "path string, piece bigint, piece_bytes bigint, sha256 string"
 
 
-def file_pieces(spark: SparkSession, path: str, selection: FileSelection | None = None,
-                piece_bytes: int = PIECE_BYTES) -> DataFrame:
-    """(path, piece, piece_bytes, sha256) of all files below a path. An empty file has one empty piece."""
-    files = file_addresses(spark, path, selection or FileSelection(recursive=True))
+def file_pieces(files: DataFrame, piece_bytes: int = PIECE_BYTES) -> DataFrame:
+    """(path, piece, piece_bytes, sha256) of the files in a listing. An empty file has one empty piece."""
     last = F.greatest(F.ceil(F.col("size") / piece_bytes), F.lit(1)) - 1
     pieces = files.select("path", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("piece"))
     spread = pieces.repartition("path", "piece")

@@ -5,8 +5,13 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeproof.functions import naming
+
+_MALFORMED = "_malformed_row"
+
 
 @dataclass(frozen=True)
 class CsvDialect:
@@ -75,14 +80,22 @@ def read_csv(
     """Delimited text; all columns are text unless a schema is given.
 
     ``multiline`` allows line breaks inside quotes but makes every file one
-    task, so leave it off for large files.
+    task, so leave it off for large files. ``drop_malformed`` leaves out rows
+    with a wrong number of fields or a value that does not fit.
     """
-    reader = _reader(spark, selection, schema).options(**dialect.options())
-    if multiline:
-        reader = reader.option("multiLine", True)
+    if drop_malformed and schema is None:
+        raise ValueError("only a schema tells which rows are malformed")
+    declared = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     if drop_malformed:
-        reader = reader.option("mode", "DROPMALFORMED")
-    return reader.csv(path)
+        declared = T.StructType([*declared, T.StructField(_MALFORMED, T.StringType())])
+    reader = _reader(spark, selection, declared).options(**dialect.options()).option("multiLine", multiline)
+    if not drop_malformed:
+        return reader.csv(path)
+    rows = reader.option("columnNameOfCorruptRecord", _MALFORMED).csv(path)
+    # Spark judges a row by the columns a query reads, so this reads all of them in every query
+    names = [f.name for f in declared if f.name != _MALFORMED]
+    all_read = F.size(F.array(*[naming.field(n).isNull() for n in names])) == len(names)
+    return rows.where(F.col(_MALFORMED).isNull() & all_read).drop(_MALFORMED)
 
 
 def read_parquet(

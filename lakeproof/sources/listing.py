@@ -1,25 +1,82 @@
-"""File listings from Spark's own file index; contents are never read."""
+"""File listings. Contents are never read."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from fnmatch import fnmatch
+
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeproof.sources.files import ALL_FILES, FileSelection
+from lakeproof.session import scratch_path
+from lakeproof.sources.remote import resolve
+
+LISTING_SCHEMA = "path string, size bigint, modified timestamp"
+_LISTING = pa.schema([("path", pa.string()), ("size", pa.int64()), ("modified", pa.timestamp("us", "UTC"))])
+_FOLDER = pa.schema([("folder", pa.string())])
+
+
+def walk_files(spark: SparkSession, root: str, name_glob: str = "*", spread_levels: int = 2) -> DataFrame:
+    """(path, size, modified) of every file below a folder, listed by tasks.
+
+    Spark's own file index lives on the driver and leaves out empty files and
+    names that start with ``_`` or ``.``, which an inventory must show. Here the
+    first folder levels are expanded one after the other, and each folder found
+    becomes one task's work; the driver sees none of them.
+    """
+    levels = [spark.range(1).select(F.lit(root.rstrip("/") or "/").alias("folder"))]
+    for _ in range(spread_levels):
+        path = scratch_path(spark, "folders")
+        levels[-1].mapInArrow(_sub_folders, "folder string").repartition("folder").write.parquet(path)
+        levels.append(spark.read.parquet(path))
+    # folders that were expanded list their own files, the last level lists whole trees
+    work = levels[-1].withColumn("deep", F.lit(True))
+    for level in levels[:-1]:
+        work = work.unionByName(level.withColumn("deep", F.lit(False)))
+    return work.repartition("folder").mapInArrow(_files_below(name_glob), LISTING_SCHEMA)
+
+
+def _children(folder: str) -> tuple[Callable[[str], str], list[pafs.FileInfo]]:
+    """What a folder holds, and how to make an address of a child's path."""
+    filesystem, path = resolve(folder)
+    prefix = folder[: len(folder.rstrip("/")) - len(path.rstrip("/"))]
+    return (lambda child: prefix + child), filesystem.get_file_info(pafs.FileSelector(path))
+
+
+def _sub_folders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for folder in batch["folder"].to_pylist():
+            address, infos = _children(folder)
+            found = [address(i.path) for i in infos if i.type == pafs.FileType.Directory]
+            yield pa.RecordBatch.from_pydict({"folder": found}, _FOLDER)
+
+
+def _files_below(name_glob: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                waiting = [row["folder"]]
+                while waiting:
+                    address, infos = _children(waiting.pop())
+                    if row["deep"]:
+                        waiting += [address(i.path) for i in infos if i.type == pafs.FileType.Directory]
+                    files = [i for i in infos if i.type == pafs.FileType.File and fnmatch(i.base_name, name_glob)]
+                    yield pa.RecordBatch.from_pydict({
+                        "path": [address(i.path) for i in files],
+                        "size": [i.size for i in files],
+                        "modified": [i.mtime for i in files],
+                    }, _LISTING)
+
+    return walk
 
 
-def list_files(spark: SparkSession, path: str, selection: FileSelection | None = None, root: str = "") -> DataFrame:
-    """(path, size, modified) of all files below a path; ``root`` is cut off the front."""
-    chosen = selection or FileSelection(recursive=True)
-    files = spark.read.format("binaryFile").options(**chosen.options()).load(path)
-    # the index writes file:/x, an address may be file:///x or /x
-    plain = F.regexp_replace("path", r"^[a-z0-9]+:/+", "/") if not root else F.replace(
-        F.regexp_replace("path", r"^[a-z0-9]+:/+", "/"), F.lit(root.rstrip("/"))
-    )
-    return files.select(plain.alias("path"), F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
+def modified_between(listing: DataFrame, start: str, end: str) -> DataFrame:
+    """Files that changed in [start, end)."""
+    return listing.where((F.col("modified") >= F.lit(start).cast("timestamp")) & (F.col("modified") < F.lit(end).cast("timestamp")))
 
 
-def file_addresses(spark: SparkSession, path: str, selection: FileSelection = ALL_FILES) -> DataFrame:
-    """(path, size) with full addresses, for tasks that open the files themselves."""
-    files = spark.read.format("binaryFile").options(**selection.options()).load(path)
-    return files.select("path", F.col("length").alias("size"))
+def relative_to(listing: DataFrame, root: str) -> DataFrame:
+    """Cut the root off the paths, so that listings of two places can be compared."""
+    return listing.withColumn("path", F.substring("path", F.lit(len(root.rstrip("/")) + 1), F.length("path")))

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeproof.catalog.aggregates import FOLDERS_SQL, VERDICT
+from lakeproof.catalog.aggregates import FOLDERS_SQL, VERDICT, rounded_sql
 from lakeproof.catalog.registry import query
 from lakeproof.catalog.sqltext import (
-    categorical_sql, date_sql, differences_sql, joined_sql, numeric_sql, primary_key_sql,
+    categorical_sql, date_sql, differences_sql, joined_sql, numeric_sql, primary_key_sql, union_all,
 )
 from lakeproof.catalog.tables import (
     BLANKED_EVENTS, LINEITEM_COPY, LISTING, ORDERS_COPY, blanked_events, lineitem_copy, listing, orders_copy, table,
@@ -18,6 +18,8 @@ from lakeproof.operators.cleaning import blank_to_null_text
 from lakeproof.operators.counts import check_primary_key, compare_counts, row_column_count
 from lakeproof.operators.inventory import file_inventory, folder_inventory
 from lakeproof.operators.profile import profile_categorical, profile_date, profile_numeric
+from lakeproof.plans.reconcile import reconcile_stored, store_metrics, table_metrics
+from lakeproof.session import scratch_path
 
 COUNTS_SIDE = """
   WITH t AS (SELECT 'orders' AS tblnm, '8' AS columncount, count(*) AS rowcount FROM ({copy})
@@ -76,10 +78,7 @@ LINE_KEY = ["l_orderkey", "l_linenumber"]
 
 
 def _rounded_numeric(relation: str, schema: str) -> str:
-    return (
-        "SELECT schema_name, table_name, column_name, variable, round(value, 4) AS value "
-        f"FROM ({numeric_sql(relation, NUMBERS, schema, 'lineitem')})"
-    )
+    return rounded_sql(numeric_sql(relation, NUMBERS, schema, "lineitem"))
 
 
 @query(joined_sql(
@@ -124,6 +123,36 @@ def reconcile_categorical(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+CLEANED_EVENTS = f"""
+  (SELECT * REPLACE (CASE WHEN event_type = '' THEN 'null' ELSE event_type END AS event_type) FROM ({BLANKED_EVENTS}))
+"""
+
+
+@query(union_all([
+    "SELECT 'categorical' AS kind, column_name, column_value AS item, _merge, value_diff, percent_diff FROM (" + joined_sql(
+        categorical_sql("events", ["event_type", "props"], "hive", "events"),
+        categorical_sql(CLEANED_EVENTS, ["event_type", "props"], "lake", "events"),
+        compare.CATEGORICAL_KEYS, ["freq"], differences_sql("freq"),
+    ) + ")",
+    "SELECT 'numeric', column_name, variable, _merge, value_diff, percent_diff FROM (" + joined_sql(
+        rounded_sql(numeric_sql("events", ["user_id", "value"], "hive", "events")),
+        rounded_sql(numeric_sql(CLEANED_EVENTS, ["user_id", "value"], "lake", "events")),
+        compare.NUMERIC_KEYS, ["value"], differences_sql("value"),
+    ) + ")",
+]))
+def compare_stored_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The source side delivers metric files, the target side compares its table with them."""
+    path = scratch_path(spark, "delivered")
+    store_metrics(table_metrics(table(spark, sf_dir, "events"), "event_id", "hive", "events"), path, "Hive", "events")
+    found = reconcile_stored(spark, path, "Hive", blanked_events(spark, sf_dir), "event_id", "lake", "events")
+    shown = ["_merge", "value_diff", "percent_diff"]
+    return found.categorical.select(
+        F.lit("categorical").alias("kind"), "column_name", F.col("column_value").alias("item"), *shown
+    ).unionByName(found.numeric.select(
+        F.lit("numeric").alias("kind"), "column_name", F.col("variable").alias("item"), *shown
+    ))
+
+
 @query(joined_sql(
     date_sql("orders", ["o_orderdate"], "hive", "orders"),
     date_sql(f"({ORDERS_COPY})", ["o_orderdate"], "lake", "orders"),

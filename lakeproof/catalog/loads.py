@@ -70,10 +70,11 @@ def convert_orc_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted[0].unionByName(counted[1])
 
 
-@query(categorical_sql("orders", ["o_orderstatus", "o_orderpriority"], "sales", "orders"))
+@query(categorical_sql("documents", ["text", "lang", "source"], "corpus", "documents"))
 def metrics_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values of any length, with separators, quotes and line breaks, survive the metric files."""
     path = scratch_path(spark, "metrics")
-    files.write_metrics(profile_categorical(table(spark, sf_dir, "orders"), "o_orderkey", "sales", "orders"), path)
+    files.write_metrics(profile_categorical(table(spark, sf_dir, "documents"), "doc_id", "corpus", "documents"), path)
     return files.read_metrics(spark, path, CATEGORICAL_SCHEMA)
 
 

@@ -26,6 +26,14 @@ def src_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_csv(spark, path, schema=customer.schema)
 
 
+@query("SELECT * FROM documents")
+def src_csv_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts with quotes, separators and line breaks."""
+    documents, path = table(spark, sf_dir, "documents"), scratch_path(spark, "csv-text")
+    write_csv(documents, path, rows_per_file=100_000)
+    return files.read_csv(spark, path, schema=documents.schema, multiline=True)
+
+
 @query("SELECT * FROM orders")
 def src_tsv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, path = table(spark, sf_dir, "orders"), scratch_path(spark, "tsv")
@@ -123,14 +131,14 @@ def src_zip_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
     events.repartition(4, "event_id").mapInPandas(zip_partition(path), "archive string").count()
     schema = "event_id bigint, user_id bigint, event_type string, value double"
-    parsed = archives.read_zipped_csv(walk_files(spark, path, "*.zip"), schema, member_suffix="event.tsv")
+    parsed = archives.read_zipped_csv(walk_files(spark, path, "*.zip", spread_levels=0), schema, member_suffix="event.tsv")
     return parsed.select("event_id", "user_id", "event_type", "value")
 
 
 @query()
 def file_checksum(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Checksums of the given files themselves, in pieces."""
-    pieces = checksums.file_pieces(walk_files(spark, sf_dir, "*.parquet"), piece_bytes=1 << 20)
+    pieces = checksums.file_pieces(walk_files(spark, sf_dir, "*.parquet", spread_levels=0), piece_bytes=1 << 20)
     return pieces.select(file_name(F.col("path")).alias("file"), "piece", "piece_bytes", "sha256")
 
 
@@ -138,12 +146,12 @@ def file_checksum(spark: SparkSession, sf_dir: str) -> DataFrame:
 def binary_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copy the given files byte for byte and compare all pieces of both sides."""
     target, name = scratch_path(spark, "copy"), file_name(F.col("path"))
-    plan = walk_files(spark, sf_dir, "*.parquet").select(
+    plan = walk_files(spark, sf_dir, "*.parquet", spread_levels=0).select(
         F.col("path").alias("source"), F.concat(F.lit(f"{target}/2024/01/02/"), name).alias("target")
     )
     checksums.copy_files(plan).agg(F.sum("bytes")).first()
     sides = [
-        checksums.file_pieces(walk_files(spark, path, "*.parquet"), 1 << 20).withColumn("file", name)
+        checksums.file_pieces(walk_files(spark, path, "*.parquet", spread_levels=0), 1 << 20).withColumn("file", name)
         for path in (sf_dir, target)
     ]
     return checksums.compare_pieces(*sides)

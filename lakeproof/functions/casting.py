@@ -38,6 +38,10 @@ def spark_type(physical: str, precision: int | None = None, scale: int | None =
     return f"decimal({precision or 18},{scale or 0})" if name == "decimal" else name
 
 
+# The integer types narrower than a bigint, and their largest value.
+NARROW_INTEGERS = {"tinyint": 2**7 - 1, "smallint": 2**15 - 1, "int": 2**31 - 1}
+
+
 def safe_cast(value: Column, source: T.DataType, target: str, width: int | None = None) -> Column:
     """Cast to ``target``; null where the value does not fit.
 
@@ -47,6 +51,10 @@ def safe_cast(value: Column, source: T.DataType, target: str, width: int | None
     numeric_target = target.split("(")[0] in {"smallint", "int", "bigint", "float", "double", "decimal"}
     if isinstance(source, T.BooleanType) and numeric_target:
         return F.lit(None).cast(target)
+    if target in NARROW_INTEGERS and isinstance(source, T.StringType):
+        # a bigint and a range test cost far less than a cast that fails on overflow
+        wide, largest = value.try_cast("bigint"), NARROW_INTEGERS[target]
+        return F.when(wide.between(-largest - 1, largest), wide.cast(target))
     cast = value.try_cast(target)
     if target == "string" and width is not None:
         cast = F.substring(cast, 1, width)

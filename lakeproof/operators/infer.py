@@ -24,6 +24,7 @@ LABEL_BY_RANK = {
 }
 WIDEST_LABEL = "Varchar(MAX)"
 NULL_RANK = 9
+INT_RANGE = (-(2**31), 2**31 - 1)
 
 # Texts read as booleans.
 BOOLEAN_TEXTS = ("true", "false", "t", "f", "yes", "no", "y", "n")
@@ -32,7 +33,7 @@ _TYPED_START = r"^[-+.0-9]"
 _STAMP = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}$"
 _DATE = r"^\d{4}-\d{2}-\d{2}$"
 _DOTTED = r"^[+-]?(\d+\.\d*|\.\d+)$"
-_WHOLE = r"^[+-]?\d+$"
+_UP_TO_TEN_DIGITS = r"^[+-]?0*\d{1,10}$"
 _FLOATING = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 
@@ -48,7 +49,8 @@ def value_rank(value: Column) -> Column:
         F.when(value.rlike(_STAMP) & value.try_cast("timestamp_ntz").isNotNull(), 3)
         .when(value.rlike(_DATE) & value.try_cast("date").isNotNull(), 4)
         .when(value.rlike(_DOTTED), 5)
-        .when(value.rlike(_WHOLE) & value.try_cast("int").isNotNull(), 7)
+        # ten digits always fit a bigint, so no value pays for a failed cast
+        .when(value.rlike(_UP_TO_TEN_DIGITS) & value.try_cast("bigint").between(*INT_RANGE), 7)
         .when(value.rlike(_FLOATING), 6)
         .otherwise(text)
     )
@@ -80,7 +82,7 @@ def _column_rank(column: T.StructField) -> Column:
             .otherwise(5)
         )
     elif isinstance(column.dataType, T.LongType):
-        return F.when(value.isNull(), NULL_RANK).when(value.between(-(2**31), 2**31 - 1), 7).otherwise(6)
+        return F.when(value.isNull(), NULL_RANK).when(value.between(*INT_RANGE), 7).otherwise(6)
     else:
         return value_rank(value.cast("string"))
     return F.when(value.isNull(), NULL_RANK).otherwise(known)

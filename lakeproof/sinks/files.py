@@ -13,6 +13,7 @@ from lakeproof.sources.listing import walk_files
 
 # Results up to this many bytes may be written by one task.
 SINGLE_FILE_BYTES = 256 * 1024 * 1024
+METRIC_ROWS_PER_FILE = 1_000_000
 
 
 def write_parquet(
@@ -27,20 +28,31 @@ def write_parquet(
     writer.parquet(path)
 
 
-def write_csv(df: DataFrame, path: str, dialect: CsvDialect = CSV, mode: str = "overwrite") -> None:
-    df.write.mode(mode).options(**dialect.options()).option("quoteAll", dialect.quote_all).csv(path)
+def write_csv(
+    df: DataFrame, path: str, dialect: CsvDialect = CSV, mode: str = "overwrite", rows_per_file: int | None = None
+) -> None:
+    """Text as it is: blanks at the ends of values stay, and empty text is told from missing."""
+    writer = df.write.mode(mode).options(**dialect.options()).option("quoteAll", dialect.quote_all)
+    writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    if rows_per_file is not None:
+        writer = writer.option("maxRecordsPerFile", rows_per_file)
+    writer.csv(path)
 
 
 def write_metrics(df: DataFrame, path: str) -> None:
     """Pipe-separated with a header. The number of files follows the size of the
     metrics: adaptive execution merges small partitions, and a frequency table
-    with billions of values stays in many files."""
-    write_csv(df, path, PIPE)
+    with billions of values is spread over many files."""
+    write_csv(df, path, PIPE, rows_per_file=METRIC_ROWS_PER_FILE)
 
 
 def read_metrics(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Read metric files back with a fixed schema. Unquoted empty text means missing."""
-    return spark.read.options(**PIPE.options()).schema(schema).csv(path)
+    """Read metric files back with a fixed schema.
+
+    Unquoted empty text means missing. Values may hold line breaks, so a file
+    is read by one task; ``write_metrics`` keeps files small for that.
+    """
+    return read_csv(spark, path, PIPE, schema, multiline=True, keep_empty=True)
 
 
 def write_single_csv(df: DataFrame, path: str, dialect: CsvDialect = CSV, max_rows: int = 1_000_000) -> None:
@@ -65,7 +77,7 @@ def convert_orc_tables(spark: SparkSession, tables: Mapping[str, str]) -> None:
 
 def merge_text_files(
     spark: SparkSession, sources: list[str], target: str, dialect: CsvDialect = CSV,
-    out_dialect: CsvDialect | None = None, max_file_bytes: int = SINGLE_FILE_BYTES,
+    out_dialect: CsvDialect | None = None, max_file_bytes: int = SINGLE_FILE_BYTES, multiline: bool = False,
 ) -> int:
     """Merge delimited files of one shape and return the number of files written.
 
@@ -75,7 +87,7 @@ def merge_text_files(
     """
     total = sum(walk_files(spark, path).agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0] for path in sources)
     files = max(1, -(-total // max_file_bytes))
-    merged = read_csv(spark, sources, dialect)
+    merged = read_csv(spark, sources, dialect, multiline=multiline)
     merged = merged.coalesce(1) if files == 1 else merged.repartition(files)
     write_csv(merged, target, out_dialect or CsvDialect(dialect.sep, dialect.quote, dialect.escape, quote_all=True))
     return files

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lakeproof.sources.remote import resolve
 
-_DATED_FOLDER = r"^(.*/(\d{4})/(\d{2})/(\d{2}))/"
+_DATED_FOLDER = r"^(.*/\d{4}/\d{2}/\d{2})/"
 
 
 def retention_candidates(
@@ -21,10 +21,10 @@ def retention_candidates(
     ``exact_day`` takes only the folder that is exactly that old, which is what
     a daily clean-up job deletes.
     """
-    part = lambda i: F.regexp_extract("path", _DATED_FOLDER, i)
-    day = F.concat_ws("-", part(2), part(3), part(4)).try_cast("date")
-    dated = listing.where(F.col("path").rlike(_DATED_FOLDER)).select(
-        part(1).alias("folder"), day.alias("folder_date"), "size"
+    folder, day = F.regexp_extract("path", _DATED_FOLDER, 1), F.substring("folder", -len("yyyy/MM/dd"), len("yyyy/MM/dd"))
+    # a path that is not dated has no folder date, and so is never due
+    dated = listing.select(folder.alias("folder"), "size").withColumn(
+        "folder_date", F.replace(day, F.lit("/"), F.lit("-")).try_cast("date")
     )
     limit = F.date_sub(F.to_date(today), days)
     due = dated.where(F.col("folder_date") == limit if exact_day else F.col("folder_date") <= limit)

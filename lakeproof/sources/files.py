@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from lakeproof.functions import naming
 
 _MALFORMED = "_malformed_row"
+_NEVER_TEXT = "\0"
 
 
 @dataclass(frozen=True)
@@ -75,13 +76,15 @@ def _reader(spark: SparkSession, selection: FileSelection, schema: T.StructType
 def read_csv(
     spark: SparkSession, path: str | list[str], dialect: CsvDialect = CSV,
     schema: T.StructType | str | None = None, selection: FileSelection = ALL_FILES,
-    multiline: bool = False, drop_malformed: bool = False,
+    multiline: bool = False, drop_malformed: bool = False, keep_empty: bool = False,
 ) -> DataFrame:
     """Delimited text; all columns are text unless a schema is given.
 
     ``multiline`` allows line breaks inside quotes but makes every file one
     task, so leave it off for large files. ``drop_malformed`` leaves out rows
-    with a wrong number of fields or a value that does not fit.
+    with a wrong number of fields or a value that does not fit. ``keep_empty``
+    reads quoted empty text as empty; otherwise it is missing, like a field
+    with nothing in it.
     """
     if drop_malformed and schema is None:
         raise ValueError("only a schema tells which rows are malformed")
@@ -89,6 +92,8 @@ def read_csv(
     if drop_malformed:
         declared = T.StructType([*declared, T.StructField(_MALFORMED, T.StringType())])
     reader = _reader(spark, selection, declared).options(**dialect.options()).option("multiLine", multiline)
+    if keep_empty:
+        reader = reader.option("nullValue", _NEVER_TEXT)
     if not drop_malformed:
         return reader.csv(path)
     rows = reader.option("columnNameOfCorruptRecord", _MALFORMED).csv(path)

@@ -128,6 +128,14 @@ def test_merge_writes_one_small_or_many_files(spark, new):
     sinks.write_single_csv(df, one + "-s", max_rows=1000)
 
 
+def test_text_survives_metric_files(spark, new):
+    values = [None, "", " padded ", 'a"b', "a|b", "line\nbreak", "tab\t", "back\\", "\\", '\\"', "cr\r\nlf", "ខ្មែរ", "null"]
+    df = spark.createDataFrame([(v, i) for i, v in enumerate(values)], "v string, n bigint")
+    path = new("text")
+    sinks.write_metrics(df, path)
+    assert [r.v for r in sinks.read_metrics(spark, path, "v string, n bigint").orderBy("n").collect()] == values
+
+
 def test_void_columns_are_stored(spark, new):
     path = new("void")
     sinks.write_parquet(spark.range(2).withColumn("nothing", F.lit(None)), path)

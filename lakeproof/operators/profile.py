@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeproof.functions.naming import field, quoted
-from lakeproof.operators.quantiles import ColumnRange, exact_quantiles
+from lakeproof.operators.quantiles import ColumnRange, exact_quantiles, long_form
 from lakeproof.operators.typeclass import DATE, NUMBER, TEXT, columns_of_class, key_list
 
 CATEGORICAL_SCHEMA = "schema_name string, table_name string, column_name string, column_value string, freq bigint"
@@ -85,7 +85,7 @@ def profile_numeric(
     The result has one row per column and statistic. ``percentiles="exact"``
     finds true deciles in a few scans that shuffle only bin counts;
     ``"approx"`` takes one scan with ``percentile_approx`` and suits tables of a
-    few thousand partitions, since all sketches meet in one reducer.
+    few thousand partitions, since all sketches of a column meet in one reducer.
     """
     columns = columns_of_class(df, NUMBER, key_list(keys))
     if not columns:
@@ -93,38 +93,37 @@ def profile_numeric(
     if percentiles not in {"exact", "approx"}:
         raise ValueError(f"percentiles must be exact or approx, not {percentiles!r}")
 
-    aggregates = []
-    for i, name in enumerate(columns):
-        raw, value = field(name), field(name).cast("double")
-        real = F.when(~F.isnan(value), value)
-        aggregates += [
-            F.min(raw).cast("double").alias(f"min_value{i}"),
-            F.max(raw).cast("double").alias(f"max_value{i}"),
-            F.avg(raw).cast("double").alias(f"avg_value{i}"),
-            F.stddev_samp(raw).alias(f"stddev_value{i}"),
-            F.count_if(raw.isNull()).cast("double").alias(f"null_values{i}"),
-            F.count(raw).alias(f"n{i}"),
-            F.count_if(F.isnan(value)).alias(f"nan{i}"),
-            F.min(real).alias(f"lo{i}"),
-            F.max(real).alias(f"hi{i}"),
-        ]
-        if percentiles == "approx":
-            tenths = F.array(*[F.lit(float(p)) for p in DECILES.values()])
-            aggregates.append(F.percentile_approx(value, tenths, accuracy).alias(f"deciles{i}"))
-    row = df.agg(*aggregates).first()
+    # all columns share nine aggregates, so a table with hundreds of columns needs no more code than one with two
+    value = F.col("value")
+    real = F.when(~F.isnan(value), value)
+    aggregates = [
+        F.min(value).alias("min_value"), F.max(value).alias("max_value"), F.avg(value).alias("avg_value"),
+        F.stddev_samp(value).alias("stddev_value"), F.count_if(value.isNull()).alias("null_values"),
+        F.count(value).alias("n"), F.count_if(F.isnan(value)).alias("nan"), F.min(real).alias("low"),
+        F.max(real).alias("high"),
+    ]
+    if percentiles == "approx":
+        tenths = F.array(*[F.lit(float(p)) for p in DECILES.values()])
+        aggregates.append(F.percentile_approx(value, tenths, accuracy).alias("deciles"))
+    summary = long_form(df, columns).groupBy("slot").agg(*aggregates)
+    found = {columns[row["slot"]]: row.asDict() for row in summary.collect()}
+    nothing = {"null_values": 0, "n": 0, "nan": 0}  # a table without rows
+    stats = {c: found.get(c, nothing) for c in columns}
 
     if percentiles == "exact":
-        ranges = {c: ColumnRange(*(row[f"{k}{i}"] for k in ("n", "nan", "lo", "hi"))) for i, c in enumerate(columns)}
+        ranges = {c: ColumnRange(s["n"], s["nan"], s.get("low"), s.get("high")) for c, s in stats.items()}
         deciles = exact_quantiles(df, columns, list(DECILES.values()), ranges)
     else:
-        found = [row[f"deciles{i}"] or [None] * len(DECILES) for i in range(len(columns))]
-        deciles = {(c, p): v for c, values in zip(columns, found) for p, v in zip(DECILES.values(), values)}
+        deciles = {
+            (c, p): v for c, s in stats.items()
+            for p, v in zip(DECILES.values(), s.get("deciles") or [None] * len(DECILES))
+        }
 
     # one row per column and statistic, whatever the size of the table
     rows = [
         {"schema_name": schema_name, "table_name": table_name, "column_name": name, "variable": variable,
-         "value": deciles[name, DECILES[variable]] if variable in DECILES else row[f"{variable}{i}"]}
-        for i, name in enumerate(columns)
+         "value": deciles[name, DECILES[variable]] if variable in DECILES else stats[name].get(variable)}
+        for name in columns
         for variable in NUMERIC_VARIABLES
     ]
     text = ("schema_name", "table_name", "column_name", "variable")

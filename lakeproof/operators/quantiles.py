@@ -10,6 +10,7 @@ are equal is the answer. Two or three passes are usual.
 
 from __future__ import annotations
 
+import math
 from collections import defaultdict
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
@@ -26,7 +27,7 @@ DEFAULT_BINS = 512
 
 _PLACES = pa.schema([
     ("slot", pa.int32()), ("place", pa.int32()), ("bracket_low", pa.float64()), ("bracket_high", pa.float64()),
-    ("scale", pa.float64()),
+    ("unit", pa.float64()), ("start", pa.float64()), ("scale", pa.float64()),
 ])
 _WANTED = pa.schema([
     ("place", pa.int32()), ("column_name", pa.string()), ("probability", pa.string()),
@@ -36,11 +37,34 @@ _WANTED = pa.schema([
 
 @dataclass(frozen=True)
 class Bracket:
-    """Values of one column in [low, high]; ``below`` values are smaller than low."""
+    """``count`` values of one column in [low, high]; ``below`` values are smaller than low.
+
+    ``unit`` asks for bins of equal width in the logarithm of value / unit,
+    which splits heavy tails that bins of equal width would not.
+    """
 
     low: float
     high: float
     below: int
+    count: int
+    unit: float | None = None
+
+    def stretched(self, value: float) -> float:
+        """A value on the scale that is cut into equal bins. Halving keeps the width of finite values finite."""
+        if self.unit is None:
+            return value / 2
+        return math.copysign(math.log1p(abs(value) / self.unit), value)
+
+    def scale(self, bins: int) -> float:
+        width = self.stretched(self.high) - self.stretched(self.low)
+        return bins / width if width else math.inf
+
+    def inner(self, low: float, high: float, below: int, count: int) -> Bracket:
+        """The bin to split next; the other kind of bins is tried where this one kept most values together."""
+        unit = None
+        if count > self.count / 2 and self.unit is None:
+            unit = max(abs(low), abs(high)) * 2.0**-60
+        return Bracket(low, high, below, count, unit if unit and math.isfinite(unit) else None)
 
 
 @dataclass(frozen=True)
@@ -54,18 +78,18 @@ class ColumnRange:
 
 
 def column_ranges(df: DataFrame, columns: Sequence[str]) -> dict[str, ColumnRange]:
-    if not columns:
-        return {}
-    aggregates = []
-    for i, name in enumerate(columns):
-        value = field(name).cast("double")
-        real = F.when(~F.isnan(value), value)
-        aggregates += [
-            F.count(value).alias(f"n{i}"), F.count_if(F.isnan(value)).alias(f"nan{i}"),
-            F.min(real).alias(f"lo{i}"), F.max(real).alias(f"hi{i}"),
-        ]
-    row = df.agg(*aggregates).first()
-    return {c: ColumnRange(row[f"n{i}"], row[f"nan{i}"], row[f"lo{i}"], row[f"hi{i}"]) for i, c in enumerate(columns)}
+    real = F.when(~F.isnan("value"), F.col("value"))
+    rows = long_form(df, columns).groupBy("slot").agg(
+        F.count("value").alias("n"), F.count_if(F.isnan("value")).alias("nan"), F.min(real).alias("low"),
+        F.max(real).alias("high"),
+    ).collect()
+    found = {columns[r["slot"]]: ColumnRange(r["n"], r["nan"], r["low"], r["high"]) for r in rows}
+    return {c: found.get(c, ColumnRange(0, 0, None, None)) for c in columns}
+
+
+def long_form(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(slot, value): the value of every column as a double, by position."""
+    return df.select(F.posexplode(F.array(*[field(c).cast("double") for c in columns])).alias("slot", "value"))
 
 
 def exact_quantiles(
@@ -95,15 +119,17 @@ def exact_quantiles(
             else:
                 wanted[p] = int(rank)
         if wanted:
-            pending[column] = {Bracket(known.low, known.high, 0): wanted}
+            pending[column] = {Bracket(known.low, known.high, 0, known.count - known.nan_count): wanted}
 
     while pending:
+        brackets_of = {(c, p): b for c, brackets in pending.items() for b, wanted in brackets.items() for p in wanted}
         following: dict[str, dict[Bracket, dict[str, int]]] = defaultdict(lambda: defaultdict(dict))
         for hit in _split_brackets(df, pending, bins).collect():
             if hit["low"] == hit["high"]:
                 answers[hit["column_name"], hit["probability"]] = hit["low"]
             else:
-                inner = Bracket(hit["low"], hit["high"], hit["below"])
+                outer = brackets_of[hit["column_name"], hit["probability"]]
+                inner = outer.inner(hit["low"], hit["high"], hit["below"], hit["n"])
                 following[hit["column_name"]][inner][hit["probability"]] = hit["wanted_rank"]
         pending = following
     return answers
@@ -122,25 +148,27 @@ def _split_brackets(df: DataFrame, pending: Mapping[str, Mapping[Bracket, Mappin
             ]
             places.append({
                 "slot": slot, "place": len(places), "bracket_low": bracket.low, "bracket_high": bracket.high,
-                "scale": _scale(bracket, bins),
+                "unit": bracket.unit, "start": bracket.stretched(bracket.low), "scale": bracket.scale(bins),
             })
     spark = df.sparkSession
     brackets = spark.createDataFrame(pa.Table.from_pylist(places, _PLACES))
     wanted = spark.createDataFrame(pa.Table.from_pylist(wanted_rows, _WANTED))
 
     value, low, high = F.col("value"), F.col("bracket_low"), F.col("bracket_high")
-    position = (value / 2 - low / 2) * F.col("scale")
+    logarithm = F.signum("value") * F.log1p(F.abs("value") / F.col("unit"))
+    stretched = F.when(F.col("unit").isNull(), value / 2).otherwise(logarithm)
+    position = (stretched - F.col("start")) * F.col("scale")
+    # the two ends always fall into different bins, so every pass makes progress
     bin_of = (
         F.when(value == low, 0)
         .when(value == high, bins - 1)
         .when(F.isnan(position), 1)
         .otherwise(F.least(F.greatest(F.floor(position), F.lit(0)), F.lit(bins - 1)).cast("int"))
     )
-    long = df.select(F.posexplode(F.array(*[field(n).cast("double") for n in names])).alias("slot", "value"))
     counted = (
         # at most one bracket per column and probability, so the broadcast is small for any table;
         # NaN lies above every bracket
-        long.join(F.broadcast(brackets), "slot")
+        long_form(df, names).join(F.broadcast(brackets), "slot")
         .where((value >= low) & (value <= high))
         .groupBy((F.col("place") * bins + bin_of).alias("code"))
         .agg(F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
@@ -153,15 +181,6 @@ def _split_brackets(df: DataFrame, pending: Mapping[str, Mapping[Bracket, Mappin
         counted.withColumn("reached", F.sum("n").over(upto))
         .join(wanted, "place")
         .where((F.col("wanted_rank") <= reached) & (F.col("wanted_rank") > reached - F.col("n")))
-        .select("column_name", "probability", "wanted_rank", "low", "high", (reached - F.col("n")).alias("below"))
+        .select("column_name", "probability", "wanted_rank", "low", "high", "n", (reached - F.col("n")).alias("below"))
     )
 
-
-def _scale(bracket: Bracket, bins: int) -> float:
-    """Bins per unit of half the value. Halving keeps the width of finite values finite.
-
-    The two ends of a bracket always fall into different bins, so every pass
-    makes progress.
-    """
-    width = bracket.high / 2 - bracket.low / 2
-    return bins / width if width else float("inf")

@@ -38,7 +38,7 @@ def test_dates_missing_on_both_sides_are_equal(spark):
 texts = st.lists(st.tuples(st.integers(0, 3), st.sampled_from(["a", "b", "", None])), max_size=12)
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(texts, texts)
 def test_one_shuffle_form_equals_join_of_profiles(spark, left, right):
     source, target = (spark.createDataFrame(rows, "k int, v string") for rows in (left, right))

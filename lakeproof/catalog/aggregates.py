@@ -253,10 +253,10 @@ def dir_size(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""
   SELECT count(DISTINCT string_split(path, '/')[6]) AS table_count
-  FROM ({LISTING}) WHERE path LIKE '/Published/KH/Full/CAS/%'
+  FROM ({LISTING}) WHERE path LIKE '/Published/NZ/Full/ERP/%'
 """)
 def table_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return count_tables(exclude_results(listing(spark, sf_dir)), "/Published/KH/Full/CAS/")
+    return count_tables(exclude_results(listing(spark, sf_dir)), "/Published/NZ/Full/ERP/")
 
 
 @query("""

@@ -65,6 +65,28 @@ def expected_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inventory.expected_outputs(expected, present)
 
 
+@query("""
+  WITH named AS (
+    SELECT event_type, ts, unnest(string_split('KPI_' || event_type || ';AGG_' || CAST(user_id AS VARCHAR), ';')) AS name,
+           CASE event_type WHEN 'click' THEN strftime(ts, '%Y') WHEN 'view' THEN strftime(ts, '%Y/%m')
+                WHEN 'error' THEN strftime(ts, '%Y/%m/%d') ELSE strftime(ts, '%Y/%m/%d/%H') END AS dir
+    FROM events)
+  SELECT event_type AS "FunctionName", name,
+         concat_ws('/', event_type, name, dir, name || '_' || strftime(ts, '%Y%m%d%H%M') || '.csv') AS path
+  FROM named
+""")
+def transformation_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind = F.col("event_type")
+    runs = table(spark, sf_dir, "events").select(
+        kind.alias("FunctionName"),
+        F.concat(F.lit("KPI_"), kind, F.lit(";AGG_"), F.col("user_id").cast("string")).alias("FileTransformationName"),
+        F.when(kind == "click", "YY").when(kind == "view", "MM").when(kind == "error", "DD").otherwise("HH")
+        .alias("TransformationPathGranularity"),
+        F.col("ts").alias("OutputUpdateDate"),
+    )
+    return inventory.transformation_outputs(runs)
+
+
 @query(f"""
   SELECT count(*) AS missing, count(*) = 0 AS complete FROM ({LISTING}) WHERE path LIKE '%.zip'
 """)

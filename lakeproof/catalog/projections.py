@@ -154,10 +154,10 @@ def config_schema_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-  SELECT event_id, concat_ws('/', 'Raw', 'KH', 'Full', 'Web', upper(event_type),
+  SELECT event_id, concat_ws('/', 'Raw', 'NZ', 'Full', 'Web', upper(event_type),
            CASE event_type WHEN 'click' THEN strftime(ts, '%Y') WHEN 'view' THEN strftime(ts, '%Y/%m')
                 WHEN 'error' THEN strftime(ts, '%Y/%m/%d') WHEN 'signup' THEN strftime(ts, '%Y/%m/%d/%H') END,
-           'CAS_' || upper(event_type) || '_' || strftime(ts, '%Y_%m_%d_%H_%M') || '.parquet') AS path
+           'ERP_' || upper(event_type) || '_' || strftime(ts, '%Y_%m_%d_%H_%M') || '.parquet') AS path
   FROM events
 """)
 def dated_path(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -166,7 +166,7 @@ def dated_path(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(kind == "click", "YY").when(kind == "view", "MM").when(kind == "error", "DD").when(kind == "signup", "HH")
     )
     path = dated_path_column(
-        F.lit("Raw"), F.lit("KH"), F.lit("Web"), F.lit("cas"), kind, F.col("ts"), granularity
+        F.lit("Raw"), F.lit("NZ"), F.lit("Web"), F.lit("erp"), kind, F.col("ts"), granularity
     )
     return table(spark, sf_dir, "events").select("event_id", path.alias("path"))
 

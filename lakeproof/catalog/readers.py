@@ -129,7 +129,7 @@ def src_table_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def src_zip_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "zip")
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
-    events.repartition(4, "event_id").mapInPandas(zip_partition(path), "archive string").count()
+    events.repartition("event_id").mapInPandas(zip_partition(path), "archive string").count()
     schema = "event_id bigint, user_id bigint, event_type string, value double"
     parsed = archives.read_zipped_csv(walk_files(spark, path, "*.zip", spread_levels=0), schema, member_suffix="event.tsv")
     return parsed.select("event_id", "user_id", "event_type", "value")

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import io
-import uuid
 import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,18 +34,25 @@ def _bracketed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def zip_partition(folder: str):
-    """Write each partition as an archive with one tab-separated member per batch."""
+    """Write each partition as an archive with one tab-separated member per batch.
+
+    The name follows the partition and the archive is renamed into place, so a
+    task that runs again replaces what it wrote before.
+    """
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         filesystem, root = resolve(folder)
         filesystem.create_dir(root, recursive=True)
-        name = f"{root}/{uuid.uuid4().hex}.zip"
-        with filesystem.open_output_stream(name) as raw, zipfile.ZipFile(raw, "w", zipfile.ZIP_DEFLATED) as archive:
+        context = TaskContext.get()
+        name = f"{root}/part-{context.partitionId():05d}.zip"
+        partial = f"{name}.{context.taskAttemptId()}"
+        with filesystem.open_output_stream(partial) as raw, zipfile.ZipFile(raw, "w", zipfile.ZIP_DEFLATED) as archive:
             for number, batch in enumerate(batches):
                 text = io.StringIO()
                 batch.to_csv(text, sep="\t", header=False, index=False)
                 archive.writestr(f"member_{number}/event.tsv", text.getvalue())
                 archive.writestr(f"member_{number}/column_headers.tsv", "\t".join(batch.columns) + "\n")
+        filesystem.move(partial, name)
         yield pd.DataFrame({"archive": [name]})
 
     return write

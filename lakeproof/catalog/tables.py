@@ -97,9 +97,9 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LISTING = """
   SELECT CASE o_orderpriority WHEN '1-URGENT' THEN '/Test_Validation' WHEN '2-HIGH' THEN '/Raw' ELSE '/Published' END
-         || '/KH/Full/CAS/' || o_orderstatus || '/' || strftime(o_orderdate, '%Y/%m/%d')
+         || '/NZ/Full/ERP/' || o_orderstatus || '/' || strftime(o_orderdate, '%Y/%m/%d')
          || '/' || lpad(CAST(hour(o_orderdate) AS VARCHAR), 2, '0')
-         || '/CAS_' || o_orderkey || '_' || strftime(o_orderdate, '%Y_%m_%d_%H_%M')
+         || '/ERP_' || o_orderkey || '_' || strftime(o_orderdate, '%Y_%m_%d_%H_%M')
          || CASE o_orderpriority WHEN '3-MEDIUM' THEN '' WHEN '2-HIGH' THEN '.zip' ELSE '.parquet' END AS path,
          CAST(round(o_totalprice * 100) AS BIGINT) AS size,
          o_orderdate AS modified
@@ -114,8 +114,8 @@ def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     extension = F.when(priority == "3-MEDIUM", "").when(priority == "2-HIGH", ".zip").otherwise(".parquet")
     return orders.select(
         F.concat(
-            zone, F.lit("/KH/Full/CAS/"), "o_orderstatus", F.lit("/"), F.date_format("o_orderdate", "yyyy/MM/dd/HH"),
-            F.lit("/CAS_"), F.col("o_orderkey").cast("string"), F.lit("_"),
+            zone, F.lit("/NZ/Full/ERP/"), "o_orderstatus", F.lit("/"), F.date_format("o_orderdate", "yyyy/MM/dd/HH"),
+            F.lit("/ERP_"), F.col("o_orderkey").cast("string"), F.lit("_"),
             F.date_format("o_orderdate", "yyyy_MM_dd_HH_mm"), extension,
         ).alias("path"),
         F.round(F.col("o_totalprice") * 100).cast("bigint").alias("size"),

@@ -16,6 +16,7 @@ GRANULARITY_FOLDERS = {
     "HH": "yyyy/MM/dd/HH",
 }
 FILE_STAMP = "yyyy_MM_dd_HH_mm"
+OUTPUT_STAMP = "yyyyMMddHHmm"
 
 _STRFTIME = {"yyyy": "%Y", "MM": "%m", "dd": "%d", "HH": "%H", "mm": "%M"}
 
@@ -62,6 +63,12 @@ def dated_path_column(
     )
 
 
+def output_path_column(function: Column, name: Column, when: Column, granularity: Column) -> Column:
+    """``function/name/yyyy[/MM[/dd[/HH]]]/name_yyyyMMddHHmm.csv``: where a transformation leaves its result."""
+    file = F.concat(name, F.lit("_"), F.date_format(when, OUTPUT_STAMP), F.lit(".csv"))
+    return F.concat_ws("/", function, name, dated_folder(when, granularity), file)
+
+
 def daily_file_name(prefix: str, run_date: datetime, suffix: str = ".zip", days_back: int = 1) -> str:
     """The name of the file delivered for an earlier day, yesterday by default."""
     return f"{prefix}{(run_date - timedelta(days=days_back)).strftime('%Y-%m-%d')}{suffix}"

@@ -10,6 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeproof.functions.lake_paths import output_path_column
+
 # Folders that hold the results of validation and conversion runs.
 RESULT_FOLDERS = ("Test_Validation", "ORC_ACID_to_Parquet_Conversion")
 
@@ -151,6 +153,18 @@ def latest_partition(listing: DataFrame) -> DataFrame:
     )
 
 
+def transformation_outputs(runs: DataFrame) -> DataFrame:
+    """One expected path per name in the semicolon list of each transformation run.
+
+    ``runs`` has FunctionName, FileTransformationName, TransformationPathGranularity and OutputUpdateDate.
+    """
+    named = runs.withColumn("name", F.explode(F.split("FileTransformationName", ";")))
+    path = output_path_column(
+        F.col("FunctionName"), F.col("name"), F.col("OutputUpdateDate"), F.col("TransformationPathGranularity")
+    )
+    return named.select("FunctionName", "name", path.alias("path"))
+
+
 def expected_outputs(expected: DataFrame, listing: DataFrame) -> DataFrame:
     """Label every expected path ``FileFound`` or ``FileNotFound``."""
     present = listing.select("path").distinct().withColumn("present", F.lit(True))
@@ -165,7 +179,12 @@ def all_outputs_present(labelled: DataFrame) -> DataFrame:
 
 
 def members_of(df: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
-    return df.join(wanted.select(key).distinct(), key, "left_semi")
+    """Rows whose key is in a list.
+
+    The list is joined as it is: both sides then come straight from a shuffle,
+    which is what lets adaptive execution split a hot key of ``df``.
+    """
+    return df.join(wanted.select(key), key, "left_semi")
 
 
 def list_difference(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

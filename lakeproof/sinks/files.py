@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,10 +70,15 @@ def convert_to_parquet(
     write_parquet(read_files(spark, source, file_format, selection, schema, **options), target)
 
 
-def convert_orc_tables(spark: SparkSession, tables: Mapping[str, str]) -> None:
-    """ORC folder to Parquet folder, for every (source, target) pair; old output is replaced."""
-    for source, target in tables.items():
-        write_parquet(read_orc(spark, source), target)
+def convert_orc_tables(spark: SparkSession, tables: Mapping[str, str], at_once: int = 4) -> None:
+    """ORC folder to Parquet folder, for every (source, target) pair; old output is replaced.
+
+    A few tables are converted at the same time, so that small ones do not leave the cluster idle.
+    """
+    with ThreadPoolExecutor(at_once) as pool:
+        jobs = [pool.submit(lambda s, t: write_parquet(read_orc(spark, s), t), *pair) for pair in tables.items()]
+        for job in jobs:
+            job.result()
 
 
 def merge_text_files(

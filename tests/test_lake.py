@@ -21,15 +21,15 @@ WHEN = datetime(2021, 12, 31, 23, 5)
 
 def test_dated_paths_agree(spark):
     expected = {
-        "YY": "Raw/KH/Full/CAS/ORDERS/2021/S_ORDERS_2021_12_31_23_05.parquet",
-        "MM": "Raw/KH/Full/CAS/ORDERS/2021/12/S_ORDERS_2021_12_31_23_05.parquet",
-        "DD": "Raw/KH/Full/CAS/ORDERS/2021/12/31/S_ORDERS_2021_12_31_23_05.parquet",
-        "HH": "Raw/KH/Full/CAS/ORDERS/2021/12/31/23/S_ORDERS_2021_12_31_23_05.parquet",
-        "other": "Raw/KH/Full/CAS/ORDERS/S_ORDERS_2021_12_31_23_05.parquet",
+        "YY": "Raw/NZ/Full/ERP/ORDERS/2021/S_ORDERS_2021_12_31_23_05.parquet",
+        "MM": "Raw/NZ/Full/ERP/ORDERS/2021/12/S_ORDERS_2021_12_31_23_05.parquet",
+        "DD": "Raw/NZ/Full/ERP/ORDERS/2021/12/31/S_ORDERS_2021_12_31_23_05.parquet",
+        "HH": "Raw/NZ/Full/ERP/ORDERS/2021/12/31/23/S_ORDERS_2021_12_31_23_05.parquet",
+        "other": "Raw/NZ/Full/ERP/ORDERS/S_ORDERS_2021_12_31_23_05.parquet",
     }
-    lits = [F.lit(x) for x in ("Raw", "KH", "CAS", "s", "orders")]
+    lits = [F.lit(x) for x in ("Raw", "NZ", "ERP", "s", "orders")]
     for granularity, path in expected.items():
-        assert lake_paths.dated_path("Raw", "KH", "CAS", "s", "orders", WHEN, granularity) == path
+        assert lake_paths.dated_path("Raw", "NZ", "ERP", "s", "orders", WHEN, granularity) == path
         column = lake_paths.dated_path_column(*lits, F.lit(WHEN).cast("timestamp_ntz"), F.lit(granularity))
         assert spark.range(1).select(column).first()[0] == path
     assert lake_paths.daily_file_name("feed_", datetime(2022, 1, 1)) == "feed_2021-12-31.zip"

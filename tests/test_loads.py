@@ -179,13 +179,13 @@ def test_run_log(spark, new):
 
 def test_load_table_lands_publishes_and_logs(spark, new):
     lake, log = new("lake"), new("log")
-    load = ingest.TableLoad("CAS", "s", "orders", "KH", "MM", [ColumnMap("id", "ID", "bigint")])
+    load = ingest.TableLoad("ERP", "s", "orders", "NZ", "MM", [ColumnMap("id", "ID", "bigint")])
     run = ingest.RunContext("r9", datetime(2024, 2, 3, 4, 5))
     path, rows = ingest.load_table(spark, spark.range(5), load, run, lake, log)
-    assert path == f"{lake}/Published/KH/Full/CAS/ORDERS/2024/02/S_ORDERS_2024_02_03_04_05.parquet" and rows == 5
+    assert path == f"{lake}/Published/NZ/Full/ERP/ORDERS/2024/02/S_ORDERS_2024_02_03_04_05.parquet" and rows == 5
     assert spark.read.parquet(path).columns == ["ID", "LastUpdate", "CreatedBy"]
     assert runlog.latest_status(spark.read.parquet(log)).first().PipelineStatus == "Success"
-    missing = ingest.TableLoad("CAS", "s", "orders", "KH", "MM", [ColumnMap("nope", "ID", "bigint")])
+    missing = ingest.TableLoad("ERP", "s", "orders", "NZ", "MM", [ColumnMap("nope", "ID", "bigint")])
     with pytest.raises(Exception):
         ingest.load_table(spark, spark.range(5), missing, run, lake, log)
 

@@ -1,9 +1,10 @@
 """Physical plans that must not get worse: scans, shuffles, columns read, join kinds."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__
-from lakeproof.operators import compare
+from lakeproof.operators import compare, inventory
 from lakeproof.operators.profile import profile_categorical, profile_date
 
 DATA = "/root/testdata/sf0.001"
@@ -46,5 +47,27 @@ def test_no_nested_loops_and_no_python(spark, name):
         assert slow not in text
 
 
+def test_a_hot_key_is_split_in_a_membership_join(spark):
+    """A third of the rows share one key; neither side is small enough to broadcast."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        rows = spark.range(0, 400_000, 1, 8).selectExpr("if(id % 3 = 0, 1, id) AS key", "xxhash64(id) AS payload")
+        wanted = spark.range(200_000).selectExpr("id AS key")
+        result = inventory.members_of(rows, wanted, "key").agg(F.count("*").alias("n"), F.bit_xor("payload"))
+        assert result.collect()[0].n == 133_334 + 133_333
+        assert "skew=true" in plan(result)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def test_resolution_combines_before_the_shuffle(spark):
     assert "partial_max_by" in plan(__spark_entry__.queries()["acid_resolve"](spark, DATA))

@@ -91,7 +91,8 @@ def merge_text_files(
     many files as keep each near that size, all with the header, so that no
     task writes everything.
     """
-    total = sum(walk_files(spark, path, spread_levels=0).agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0] for path in sources)
+    sizes = [walk_files(spark, path, spread_levels=0).agg(F.sum("size")).first()[0] for path in sources]
+    total = sum(size or 0 for size in sizes)
     files = max(1, -(-total // max_file_bytes))
     merged = read_csv(spark, sources, dialect, multiline=multiline)
     merged = merged.coalesce(1) if files == 1 else merged.repartition(files)

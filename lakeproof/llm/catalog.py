@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lakeproof.llm.secrets import scan_secrets
 from lakeproof.llm.support import table
 from lakeproof.llm.toxicity import toxicity_report
 
@@ -24,3 +25,9 @@ def query(function: Query) -> Query:
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document."""
     return toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    return scan_secrets(table(spark, sf_dir, "documents"))

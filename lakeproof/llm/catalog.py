@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lakeproof.llm.packing import pack
 from lakeproof.llm.secrets import scan_secrets
 from lakeproof.llm.support import table
+from lakeproof.llm.tokenfiles import token_file_round_trip
 from lakeproof.llm.toxicity import toxicity_report
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,3 +33,15 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document."""
     return scan_secrets(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces and their places in sequences of 1024 tokens."""
+    return pack(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the token files of all documents hold."""
+    return token_file_round_trip(spark, table(spark, sf_dir, "documents"))

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeproof.llm.packing import pack
+from lakeproof.llm.pii import find_personal_data
 from lakeproof.llm.secrets import scan_secrets
 from lakeproof.llm.support import table
 from lakeproof.llm.tokenfiles import token_file_round_trip
@@ -45,3 +46,9 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the token files of all documents hold."""
     return token_file_round_trip(spark, table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    return find_personal_data(table(spark, sf_dir, "documents"))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lakeproof.llm.packing import pack
 from lakeproof.llm.pii import find_personal_data
+from lakeproof.llm.quality import quality_report
 from lakeproof.llm.secrets import scan_secrets
 from lakeproof.llm.support import table
 from lakeproof.llm.tokenfiles import token_file_round_trip
@@ -52,3 +53,9 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document."""
     return find_personal_data(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document."""
+    return quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

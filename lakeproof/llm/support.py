@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,3 +62,15 @@ def training_sample(documents: DataFrame, labels: DataFrame, label: str, kept_ou
     return documents.select("doc_id", text_of()).join(
         F.broadcast(chosen[0].unionByName(chosen[1]).select("doc_id", "label")), "doc_id"
     )
+
+
+def fit_logistic(values: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
+    """Logistic regression on one value by Newton steps, with a small ridge."""
+    design = np.stack([values, np.ones_like(values)], axis=1)
+    beta = np.zeros(2)
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-np.clip(design @ beta, -30, 30)))
+        gradient = design.T @ (labels - p) - beta
+        hessian = (design * (p * (1 - p))[:, None]).T @ design + np.eye(2)
+        beta = beta + np.linalg.solve(hessian, gradient)
+    return float(beta[0]), float(beta[1])

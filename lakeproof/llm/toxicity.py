@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeproof.llm.support import held_out, in_slices, text_of, training_sample
+from lakeproof.llm.support import fit_logistic, held_out, in_slices, text_of, training_sample
 
 # Insults that count in any corpus, whole words after folding.
 INSULTS = (
@@ -169,22 +169,10 @@ def learn_lexicon(
     stems = {s: w for s, w in stems.items() if not any(s[:n] in stems for n in STEM_LENGTHS if n < len(s))}
     lexicon = Lexicon(words, stems)
     loads = sample.mapInArrow(_loads(lexicon), FEATURE_SCHEMA).select("label", "load").toPandas()
-    slope, intercept = _fit(np.log1p(loads["load"].to_numpy()), loads["label"].to_numpy(dtype=float))
+    slope, intercept = fit_logistic(np.log1p(loads["load"].to_numpy()), loads["label"].to_numpy(dtype=float))
     return Lexicon(words, stems, slope=slope, intercept=intercept)
 
 
-def _fit(values: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
-    """Logistic regression on one value by Newton steps, with a small ridge."""
-    design = np.stack([values, np.ones_like(values)], axis=1)
-    beta = np.zeros(2)
-    for _ in range(30):
-        p = 1 / (1 + np.exp(-np.clip(design @ beta, -30, 30)))
-        gradient = design.T @ (labels - p) - beta
-        hessian = (design * (p * (1 - p))[:, None]).T @ design + np.eye(2)
-        beta = beta + np.linalg.solve(hessian, gradient)
-    return float(beta[0]), float(beta[1])
-
-
 def _loads(lexicon: Lexicon):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_slices(batches):

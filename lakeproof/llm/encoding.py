@@ -1,4 +1,4 @@
-"""Token ids by the tokenizers library, with every distinct piece of text encoded once per worker.
+"""Token ids by the tokenizers library, with every distinct piece of text encoded once per task.
 
 Byte-pair merges act within the pieces into which a tokenizer's pattern splits a text, so
 the ids of a text are those of its pieces, one after the other. Pieces repeat far more
@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import json
 import unicodedata
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -17,7 +16,7 @@ import public_tokenizers
 import regex
 from tokenizers import Tokenizer
 
-#: Pieces that a worker remembers; beyond that it begins anew.
+#: Pieces that an encoder remembers; beyond that it begins anew.
 REMEMBERED = 400_000
 #: Pieces are encoded so many at a time.
 GROUP = 256
@@ -76,9 +75,3 @@ class PieceEncoder:
 
 def _packed(ids: list[int]) -> bytes:
     return np.asarray(ids, dtype="<u4").tobytes()
-
-
-@lru_cache(maxsize=2)
-def piece_encoder(path: str) -> PieceEncoder:
-    """One encoder for each file and worker."""
-    return PieceEncoder(path)

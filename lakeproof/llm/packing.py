@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeproof.llm.encoding import piece_encoder
+from lakeproof.llm.encoding import PieceEncoder
 from lakeproof.llm.support import in_slices, staged, text_of
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -55,9 +55,10 @@ def token_pieces(documents: DataFrame, vocabulary: str | None = None, end_id: in
         from pyspark import TaskContext
 
         task, seen, end = TaskContext.get().partitionId(), Counter(), np.array([end_id], "<u4").tobytes()
+        encoder = PieceEncoder(path)
         for batch in in_slices(batches):
             rows = []
-            for doc_id, ids in zip(batch["doc_id"].to_pylist(), piece_encoder(path).encode(batch["text"].to_pylist())):
+            for doc_id, ids in zip(batch["doc_id"].to_pylist(), encoder.encode(batch["text"].to_pylist())):
                 ids += end
                 for number, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
                     crc = zlib.crc32(memoryview(ids)[4 * start:4 * (start + length)])

@@ -12,7 +12,6 @@ import math
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +30,6 @@ CHARS_AT_ONCE = 2_000_000
 _MULTIPLIERS = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 
 
-@lru_cache(maxsize=1)
 def _classes() -> np.ndarray:
     """The class of every code point of the basic plane, from its Unicode category."""
     def of(point: int) -> int:
@@ -56,6 +54,9 @@ def _classes() -> np.ndarray:
     return table
 
 
+_CLASS = _classes()
+
+
 def lines_of(text: str) -> list[str]:
     """The lines that hold more than white space."""
     return [line for line in text.split("\n") if line.strip()]
@@ -68,7 +69,7 @@ def line_features(documents: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
     if not count:
         return np.zeros((0, FEATURES), np.float32), np.zeros(0)
     points = np.frombuffer(("\n".join(lines) + "\n").encode("utf-32-le", "surrogatepass"), "<u4")
-    kind = np.where(points < 1 << 16, _classes()[np.minimum(points, (1 << 16) - 1)], LETTER).astype(np.int64)
+    kind = np.where(points < 1 << 16, _CLASS[np.minimum(points, (1 << 16) - 1)], LETTER).astype(np.int64)
     line = np.cumsum(kind == BREAK) - (kind == BREAK)
     counts = np.bincount(line * CLASSES + kind, minlength=count * CLASSES).reshape(count, CLASSES).astype(float)
     length = counts.sum(axis=1) - 1

@@ -11,7 +11,8 @@ from __future__ import annotations
 import base64
 import re
 from collections.abc import Iterator
-from functools import lru_cache
+from dataclasses import dataclass, field
+from functools import cached_property
 
 import public_tokenizers
 import pyarrow as pa
@@ -45,11 +46,21 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 CHARS_PER_TOKEN = 2.2
 
 
-@lru_cache(maxsize=2)
-def encoder(path: str) -> tiktoken.Encoding:
-    with open(path, "rb") as lines:
-        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding("public", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+@dataclass(frozen=True)
+class Efficiency:
+    """Tells random strings by their characters per token of a vocabulary of ranks."""
+
+    vocabulary: str = field(default_factory=lambda: public_tokenizers.path(VOCABULARY))
+    chars_per_token: float = CHARS_PER_TOKEN
+
+    @cached_property
+    def encoding(self) -> tiktoken.Encoding:
+        with open(self.vocabulary, "rb") as lines:
+            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+        return tiktoken.Encoding("public", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def is_random(self, run: str) -> bool:
+        return len(run) < self.chars_per_token * len(self.encoding.encode_ordinary(run))
 
 
 def base_spans(text: str) -> list[Span]:
@@ -69,43 +80,38 @@ def is_known(run: str, before: str) -> bool:
     return bool(_UUID.fullmatch(run) or _WORDY.fullmatch(run) or _DATED.fullmatch(run) or named)
 
 
-def random_spans(text: str, vocabulary: str, chars_per_token: float) -> list[Span]:
+def random_spans(text: str, efficiency: Efficiency) -> list[Span]:
     """Runs of key characters with few characters per token, without digests and identifiers."""
     found = []
     for m in RUN.finditer(text):
         run = m[0]
         if not _RANDOM_LOOK.search(run) or is_known(run, text[max(0, m.start() - 12):m.start()]):
             continue
-        if len(run) < chars_per_token * len(encoder(vocabulary).encode_ordinary(run)):
+        if efficiency.is_random(run):
             found.append(("random", *m.span()))
     return found
 
 
-def secret_spans(text: str, vocabulary: str, chars_per_token: float = CHARS_PER_TOKEN) -> list[Span]:
+def secret_spans(text: str, efficiency: Efficiency) -> list[Span]:
     """All spans by start, then kind. A random run that a stated pattern covers in whole is not named again."""
     stated = base_spans(text)
     more = [
-        s for s in random_spans(text, vocabulary, chars_per_token)
+        s for s in random_spans(text, efficiency)
         if not any(start <= s[1] and s[2] <= end for _, start, end in stated)
     ]
     return in_text_order(stated + more, KINDS)
 
 
-def vocabulary_path() -> str:
-    return public_tokenizers.path(VOCABULARY)
-
-
-def scan_secrets(documents: DataFrame, vocabulary: str | None = None, chars_per_token: float = CHARS_PER_TOKEN) -> DataFrame:
+def scan_secrets(documents: DataFrame, efficiency: Efficiency = Efficiency()) -> DataFrame:
     """(doc_id, n_assign, n_access, n_hex, base_sha256, spans) of every row.
 
     Null text counts as empty: no spans, and the digest of the empty string. Repeated rows
     are scanned each, other columns are not read.
     """
-    path = vocabulary or vocabulary_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_slices(batches):
-            found = [secret_spans(t, path, chars_per_token) for t in batch["text"].to_pylist()]
+            found = [secret_spans(t, efficiency) for t in batch["text"].to_pylist()]
             count = {k: [sum(s[0] == k for s in spans) for spans in found] for k in KINDS}
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch["doc_id"],
@@ -119,19 +125,17 @@ def scan_secrets(documents: DataFrame, vocabulary: str | None = None, chars_per_
     )
 
 
-def redact_secrets(
-    documents: DataFrame, mark: str = "[secret]", vocabulary: str | None = None, chars_per_token: float = CHARS_PER_TOKEN,
-) -> DataFrame:
+def redact_secrets(documents: DataFrame, mark: str = "[secret]", efficiency: Efficiency = Efficiency()) -> DataFrame:
     """The documents with every secret in ``text`` replaced by the mark, and ``n_chars`` brought up to date.
 
     All rows and columns stay; a null text stays null. Repeated rows are handled each.
     """
-    path, at = vocabulary or vocabulary_path(), documents.columns.index("text")
+    at = documents.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_slices(batches):
             texts = [
-                t and redacted(t, secret_spans(t, path, chars_per_token), mark) for t in batch["text"].to_pylist()
+                t and redacted(t, secret_spans(t, efficiency), mark) for t in batch["text"].to_pylist()
             ]
             columns = batch.columns
             columns[at] = pa.array(texts, pa.string())

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from lakeproof.llm.encoding import piece_encoder
+from lakeproof.llm.encoding import PieceEncoder
 from lakeproof.llm.support import in_slices, staged, text_of
 from lakeproof.session import scratch_path
 from lakeproof.sources.remote import resolve
@@ -157,7 +157,7 @@ def write_token_files(
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        end, writer, count = np.array([end_id], "<u4"), None, 0
+        end, writer, count, encoder = np.array([end_id], "<u4"), None, 0, PieceEncoder(path)
         for batch in in_slices(batches):
             if writer is None:
                 address = f"{folder}/{uuid.uuid4().hex}.tokens"
@@ -165,7 +165,7 @@ def write_token_files(
                 filesystem.create_dir(place.rsplit("/", 1)[0], recursive=True)
                 stream = filesystem.open_output_stream(place)
                 writer = TokenFileWriter(stream)
-            for doc_id, ids in zip(batch["doc_id"].to_pylist(), piece_encoder(path).encode(batch["text"].to_pylist())):
+            for doc_id, ids in zip(batch["doc_id"].to_pylist(), encoder.encode(batch["text"].to_pylist())):
                 writer.add(doc_id, np.concatenate([np.frombuffer(ids, "<u4"), end]))
                 count += 1
         if writer is not None:

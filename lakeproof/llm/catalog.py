@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lakeproof.llm.decontamination import CONTAMINATION_SQL, find_contamination
 from lakeproof.llm.packing import pack
+from lakeproof.llm.pages import extract_pages
 from lakeproof.llm.pii import find_personal_data
 from lakeproof.llm.quality import quality_report
 from lakeproof.llm.secrets import scan_secrets
@@ -20,8 +22,10 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(function: Query) -> Query:
+def query(function: Query, sql: str | None = None) -> Query:
     QUERIES[function.__name__] = function
+    if sql is not None:
+        ORACLES[function.__name__] = sql
     return function
 
 
@@ -59,3 +63,17 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document."""
     return quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark passages in every document."""
+    return find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+query(op8_decontamination, CONTAMINATION_SQL)

@@ -12,6 +12,7 @@ from lakeproof.llm.pages import extract_pages
 from lakeproof.llm.pii import find_personal_data
 from lakeproof.llm.quality import quality_report
 from lakeproof.llm.secrets import scan_secrets
+from lakeproof.llm.similarity import SIMILARITY_SQL, similarity_components
 from lakeproof.llm.support import table
 from lakeproof.llm.tokenfiles import token_file_round_trip
 from lakeproof.llm.toxicity import toxicity_report
@@ -77,3 +78,11 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 query(op8_decontamination, CONTAMINATION_SQL)
+
+
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group of near copies of every document."""
+    return similarity_components(table(spark, sf_dir, "documents"))
+
+
+query(op2_jaccard_join, SIMILARITY_SQL)

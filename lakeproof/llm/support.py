@@ -29,6 +29,16 @@ def staged(frame: DataFrame, label: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+#: Rows of one or two numbers up to which a table is broadcast, a few dozen MB.
+BROADCAST_ROWS = 500_000
+
+
+def sized_join(large: DataFrame, small: DataFrame, key: str, most: int = BROADCAST_ROWS) -> DataFrame:
+    """Inner join that broadcasts the short rows of ``small`` if they are counted to be few, and shuffles else."""
+    small = staged(small, "sized")
+    return large.join(F.broadcast(small) if small.count() <= most else small, key)
+
+
 def in_slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for start in range(0, batch.num_rows, rows):

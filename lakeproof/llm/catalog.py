@@ -16,6 +16,7 @@ from lakeproof.llm.similarity import SIMILARITY_SQL, similarity_components
 from lakeproof.llm.support import table
 from lakeproof.llm.tokenfiles import token_file_round_trip
 from lakeproof.llm.toxicity import toxicity_report
+from lakeproof.llm.vectors import LINK_SQL, link_vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -86,3 +87,11 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 query(op2_jaccard_join, SIMILARITY_SQL)
+
+
+def op7_vector_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near duplicates of every vector."""
+    return link_vectors(table(spark, sf_dir, "embeddings"))
+
+
+query(op7_vector_links, LINK_SQL)

@@ -17,7 +17,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeproof.llm.support import staged
+from lakeproof.llm.support import sized_join, staged
 
 # Fixed value: a word is letters a-z, digits and everything beyond ASCII.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -109,8 +109,8 @@ def _covered(matches: str) -> Column:
     return F.aggregate(F.array_sort(matches), zero, step, lambda done: done["covered"]).cast("bigint")
 
 
-def find_contamination(documents: DataFrame, benchmark: DataFrame, length: int = WINDOW_WORDS) -> DataFrame:
-    """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated) of every row of the documents.
+def contamination_by_version(documents: DataFrame, benchmark: DataFrame, length: int = WINDOW_WORDS) -> DataFrame:
+    """(doc_id, version, n_words, n_hit, n_items, items_sha256, contaminated) of every row of the documents.
 
     Null text has no words. Repeated rows have a result each; rows with the same id and
     different texts are apart. Without test items nothing is hit. Other columns are not read.
@@ -127,11 +127,26 @@ def find_contamination(documents: DataFrame, benchmark: DataFrame, length: int =
     same = ends["doc_id"].eqNullSafe(hits["hit_id"]) & (ends["version"] == hits["hit_version"])
     n_hit, items = F.coalesce("n_hit", F.lit(0).cast("bigint")), F.coalesce("items", F.array().cast("array<string>"))
     return ends.join(hits, same, "left").select(
-        "doc_id", "n_words", n_hit.alias("n_hit"), F.size(items).cast("bigint").alias("n_items"),
+        "doc_id", "version", "n_words", n_hit.alias("n_hit"), F.size(items).cast("bigint").alias("n_items"),
         F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"),
     )
 
 
+def find_contamination(documents: DataFrame, benchmark: DataFrame, length: int = WINDOW_WORDS) -> DataFrame:
+    """``contamination_by_version`` without the version."""
+    return contamination_by_version(documents, benchmark, length).drop("version")
+
+
+def without_contaminated(documents: DataFrame, benchmark: DataFrame, length: int = WINDOW_WORDS) -> DataFrame:
+    """The rows without a passage of the benchmark, with all their columns. Null texts and null ids are judged like others."""
+    id_key, text_key = F.coalesce("doc_id", F.lit(-(1 << 63))), F.xxhash64("text")
+    hit = contamination_by_version(documents, benchmark, length).where("contaminated").select(
+        id_key.alias("_hit_id"), F.col("version").alias("_hit_version")
+    ).distinct()
+    keyed = documents.withColumns({"_hit_id": id_key, "_hit_version": text_key})
+    return sized_join(keyed, hit, ["_hit_id", "_hit_version"], "left_anti").select(*documents.columns)
+
+
 CONTAMINATION_SQL = f"""
 WITH texts AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}'), '{WORD}') AS words

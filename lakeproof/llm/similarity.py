@@ -224,6 +224,24 @@ def similarity_components(documents: DataFrame) -> DataFrame:
     ).select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
+def one_of_each_group(documents: DataFrame) -> DataFrame:
+    """One row of each group of near copies, that of the smallest id, with all its columns.
+
+    Of rows that share an id the one with the first text stays. Rows without an id are linked
+    with nothing and stay; empty texts stay too.
+    """
+    copies = similarity_components(documents).where("doc_id <> component_id").select("doc_id").distinct()
+    originals = sized_join(documents, copies, "doc_id", "left_anti")
+    repeated = documents.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1").select("doc_id")
+    repeated = staged(repeated, "repeated-ids")
+    if not repeated.take(1):
+        return originals.select(*documents.columns)
+    first = originals.join(repeated, "doc_id").select(*documents.columns).groupBy("doc_id").agg(
+        F.min_by(F.struct(*[F.col(f"`{c}`") for c in documents.columns]), F.coalesce("text", F.lit(""))).alias("row")
+    ).select("row.*")
+    return originals.join(repeated, "doc_id", "left_anti").select(*documents.columns).unionByName(first)
+
+
 SIMILARITY_SQL = r"""
 WITH RECURSIVE texts AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words

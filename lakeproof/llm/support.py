@@ -33,10 +33,10 @@ def staged(frame: DataFrame, label: str) -> DataFrame:
 BROADCAST_ROWS = 500_000
 
 
-def sized_join(large: DataFrame, small: DataFrame, key: str, most: int = BROADCAST_ROWS) -> DataFrame:
-    """Inner join that broadcasts the short rows of ``small`` if they are counted to be few, and shuffles else."""
+def sized_join(large: DataFrame, small: DataFrame, keys: str | list[str], how: str = "inner", most: int = BROADCAST_ROWS) -> DataFrame:
+    """A join that broadcasts the short rows of ``small`` if they are counted to be few, and shuffles else."""
     small = staged(small, "sized")
-    return large.join(F.broadcast(small) if small.count() <= most else small, key)
+    return large.join(F.broadcast(small) if small.count() <= most else small, keys, how)
 
 
 def in_slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:

@@ -209,6 +209,16 @@ def score_toxicity(documents: DataFrame, lexicon: Lexicon, threshold: float = 0.
     return kept.mapInArrow(run, wide)
 
 
+def without_toxic(documents: DataFrame, lexicon: Lexicon, threshold: float = 0.7) -> DataFrame:
+    """The rows that score below the threshold, with all their columns, of any names. A null text stays."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_slices(batches):
+            clean = [lexicon.score(lexicon.load(t or "")[0]) < threshold for t in batch["text"].to_pylist()]
+            yield batch.filter(pa.array(clean, pa.bool_()))
+
+    return documents.mapInArrow(run, documents.schema)
+
+
 def toxicity_report(documents: DataFrame, labels: DataFrame, **options: float) -> DataFrame:
     """(doc_id, held_out, score, predicted, matches) of every row of the documents."""
     scored = score_toxicity(documents.select("doc_id", text_of()), learn_lexicon(documents, labels, **options))

@@ -90,15 +90,24 @@ def zone_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
   SELECT 'whole' AS copy, count(*) AS source_rows, count(*) AS target_rows, TRUE AS consistent FROM lineitem
   UNION ALL SELECT 'drifted', (SELECT count(*) FROM orders),
     (SELECT count(*) FROM orders WHERE NOT (o_orderstatus = 'P' AND o_orderpriority = '5-LOW')), FALSE
+  UNION ALL SELECT 'moved', count(*), count(*), FALSE FROM orders
 """)
 def copy_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem, path = table(spark, sf_dir, "lineitem"), scratch_path(spark, "consistent")
     files.write_parquet(lineitem, path)
     whole = fingerprint.copy_consistency(lineitem, spark.read.parquet(path))
     drifted = fingerprint.copy_consistency(table(spark, sf_dir, "orders"), orders_copy(spark, sf_dir))
-    return whole.select(F.lit("whole").alias("copy"), "*").unionByName(
-        drifted.select(F.lit("drifted").alias("copy"), "*")
+    # every row has one of two texts; the copy has it in the other column
+    first = F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderpriority"))
+    second = F.when(F.col("o_orderkey") % 2 != 0, F.col("o_orderpriority"))
+    orders = table(spark, sf_dir, "orders")
+    moved = fingerprint.copy_consistency(
+        orders.select("o_orderkey", first.alias("first"), second.alias("second")),
+        orders.select("o_orderkey", second.alias("first"), first.alias("second")),
     )
+    results = {"whole": whole, "drifted": drifted, "moved": moved}
+    named = [df.select(F.lit(name).alias("copy"), "*") for name, df in results.items()]
+    return named[0].unionByName(named[1]).unionByName(named[2])
 
 
 @query("SELECT * FROM part")
@@ -161,20 +170,29 @@ def skip_incompatible_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-  SELECT CAST(event_id AS VARCHAR) AS event_id, event_type, CAST(value AS VARCHAR) AS value FROM events
+  SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS user_id, event_type,
+         CAST(value AS VARCHAR) AS value, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, props
+  FROM events
 """)
 def merge_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One delivery per event type, merged into delimited files with all text quoted."""
+    """Two deliveries with their columns in different order, merged into two delimited files with all text quoted."""
     path, merged = scratch_path(spark, "parts"), scratch_path(spark, "merged")
-    events = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
-    errors = F.col("event_type") == "error"
-    files.write_csv(events.where(errors), f"{path}/errors", files.CsvDialect(sep="\t"))
-    files.write_csv(events.where(~errors), f"{path}/others", files.CsvDialect(sep="\t"))
-    tabbed = files.CsvDialect(sep="\t")
-    files.merge_text_files(spark, [f"{path}/errors", f"{path}/others"], merged, tabbed)
+    events = table(spark, sf_dir, "events").withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    errors, tabbed = F.col("event_type") == "error", files.CsvDialect(sep="\t")
+    files.write_csv(events.where(errors), f"{path}/errors", tabbed)
+    files.write_csv(events.where(~errors).select(*reversed(events.columns)), f"{path}/others", tabbed)
+    files.merge_text_files(spark, [f"{path}/errors", f"{path}/others"], merged, tabbed, files=2)
     return files.read_csv(spark, merged, tabbed)
 
 
+@query("SELECT CAST(r_regionkey AS VARCHAR) AS r_regionkey, r_name, 1 AS files FROM region")
+def write_single_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "single")
+    files.write_single_csv(table(spark, sf_dir, "region").repartition(5), path)
+    written = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path).count()
+    return files.read_csv(spark, path).select("r_regionkey", "r_name", F.lit(written).alias("files"))
+
+
 @query("""
   WITH first AS (SELECT * FROM events WHERE event_type <> 'error'), second AS (SELECT * FROM events WHERE event_type <> 'click')
   SELECT 'first' AS version, count(*) AS row_count FROM first UNION ALL SELECT 'second', count(*) FROM second

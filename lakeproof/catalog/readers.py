@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeproof.catalog.registry import query
@@ -42,6 +42,15 @@ def src_tsv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_csv(spark, path, dialect, orders.schema)
 
 
+@query("SELECT * FROM supplier")
+def src_row_delimiter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that end in a sign of their own."""
+    supplier, path = table(spark, sf_dir, "supplier"), scratch_path(spark, "row-delimiter")
+    dialect = CsvDialect(sep="\t", line_sep="~")
+    write_csv(supplier, path, dialect)
+    return files.read_csv(spark, path, dialect, supplier.schema)
+
+
 QUOTED_SQL = """ AS dialect, p_partkey, p_name || ' "' || p_brand || '", or/and ' || p_type AS label FROM part"""
 
 
@@ -98,14 +107,14 @@ def src_orc_acid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten_rows(read_events(spark, path))
 
 
-@query("SELECT event_id, user_id, event_type, value, CAST(props ->> '$.k' AS BIGINT) AS k FROM events")
+@query("SELECT event_id, ts, user_id, event_type, value, CAST(props ->> '$.k' AS BIGINT) AS k FROM events")
 def src_json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "json")
     parsed = F.from_json("props", "k bigint").alias("props")
-    documents = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value", parsed)
+    documents = table(spark, sf_dir, "events").withColumn("props", parsed)
     write_json_arrays(documents, path)
     read_back = files.read_json(spark, path, documents.schema)
-    return read_back.select("event_id", "user_id", "event_type", "value", "props.k")
+    return read_back.select("event_id", "ts", "user_id", "event_type", "value", "props.k")
 
 
 @query("SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
@@ -125,36 +134,66 @@ def src_table_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("SELECT event_id, user_id, event_type, value FROM events")
+@query("""
+  SELECT event_id, ts, user_id, event_type, value, props, event_type || chr(10) || '"' || props || '"' AS note FROM events
+""")
 def src_zip_members(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark, "zip")
-    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
-    events.repartition("event_id").mapInPandas(zip_partition(path), "archive string").count()
-    schema = "event_id bigint, user_id bigint, event_type string, value double"
-    parsed = archives.read_zipped_csv(walk_files(spark, path, "*.zip", spread_levels=0), schema, member_suffix="event.tsv")
-    return parsed.select("event_id", "user_id", "event_type", "value")
+    """All columns, with a header, quoted quotes, separators and line breaks."""
+    path, events = scratch_path(spark, "zip"), table(spark, sf_dir, "events")
+    note = F.concat("event_type", F.lit('\n"'), "props", F.lit('"'))
+    noted = events.withColumn("note", note).withColumn("ts", F.col("ts").cast("string"))
+    noted.repartition(8, "event_id").mapInPandas(zip_partition(path), "archive string").count()
+    schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string, note string"
+    dialect = CsvDialect(sep="\t", escape='"')
+    parsed = archives.read_zipped_csv(walk_files(spark, path, "*.zip"), schema, dialect, member_suffix="event.tsv")
+    return parsed.drop("archive", "member")
+
+
+def _files_of_nations(spark: SparkSession, sf_dir: str) -> str:
+    """One text file for each nation, holding its name."""
+    path = scratch_path(spark, "nations")
+    table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("value")).repartition(
+        "n_nationkey"
+    ).write.partitionBy("n_nationkey").text(path)
+    return path
+
+
+def _nation_of(path: str = "path") -> Column:
+    return F.regexp_extract(path, r"n_nationkey=(\d+)/part-[^/]*$", 1)
 
 
-@query()
+@query("""
+  SELECT CAST(n_nationkey AS INTEGER) AS nation, CAST(piece AS BIGINT) AS piece,
+         CAST(length(substr(n_name || chr(10), 4 * piece + 1, 4)) AS BIGINT) AS piece_bytes,
+         sha256(substr(n_name || chr(10), 4 * piece + 1, 4)) AS sha256
+  FROM nation, unnest(range(0, (length(n_name) + 4) // 4)) AS pieces(piece)
+""")
 def file_checksum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Checksums of the given files themselves, in pieces."""
-    pieces = checksums.file_pieces(walk_files(spark, sf_dir, "*.parquet", spread_levels=0), piece_bytes=1 << 20)
-    return pieces.select(file_name(F.col("path")).alias("file"), "piece", "piece_bytes", "sha256")
+    """Checksums of files in pieces of four bytes."""
+    files_found = walk_files(spark, _files_of_nations(spark, sf_dir), "part-*")
+    pieces = checksums.file_pieces(files_found, piece_bytes=4)
+    return pieces.select(_nation_of().cast("int").alias("nation"), "piece", "piece_bytes", "sha256")
 
 
-@query()
+@query("""
+  SELECT CAST(n_nationkey AS INTEGER) AS nation, CAST((length(n_name) + 4) // 4 AS BIGINT) AS pieces, TRUE AS identical FROM nation
+""")
 def binary_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Copy the given files byte for byte and compare all pieces of both sides."""
-    target, name = scratch_path(spark, "copy"), file_name(F.col("path"))
-    plan = walk_files(spark, sf_dir, "*.parquet", spread_levels=0).select(
-        F.col("path").alias("source"), F.concat(F.lit(f"{target}/2024/01/02/"), name).alias("target")
+    """Files copied byte for byte into a dated folder, all pieces of both sides compared."""
+    source, target = _files_of_nations(spark, sf_dir), scratch_path(spark, "copy")
+    plan = walk_files(spark, source, "part-*").select(
+        F.col("path").alias("source"),
+        F.concat(F.lit(f"{target}/2024/01/02/n_nationkey="), _nation_of(), F.lit("/"), file_name(F.col("path"))).alias("target"),
     )
     checksums.copy_files(plan).agg(F.sum("bytes")).first()
     sides = [
-        checksums.file_pieces(walk_files(spark, path, "*.parquet", spread_levels=0), 1 << 20).withColumn("file", name)
-        for path in (sf_dir, target)
+        checksums.file_pieces(walk_files(spark, path, "part-*"), 4).withColumn("nation", _nation_of().cast("int"))
+        for path in (source, target)
     ]
-    return checksums.compare_pieces(*sides)
+    same = (F.col("source_pieces") == F.col("equal_pieces")) & (F.col("target_pieces") == F.col("equal_pieces"))
+    return checksums.compare_pieces(*sides, key="nation").select(
+        "nation", F.col("equal_pieces").alias("pieces"), same.alias("identical")
+    )
 
 
 @query("SELECT * FROM orders")
@@ -162,6 +201,15 @@ def src_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_parquet(spark, sf_dir, FileSelection(name_glob="order*.parquet"))
 
 
+@query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus IN ('O', 'P') AND o_orderkey % 2 = 1")
+def src_folder_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Folders chosen by a wildcard at two levels."""
+    path = scratch_path(spark, "folder-glob")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus", (F.col("o_orderkey") % 2).alias("odd"))
+    orders.write.partitionBy("o_orderstatus", "odd").parquet(path)
+    return files.read_parquet(spark, f"{path}/o_orderstatus=[OP]/odd=1*").select("o_orderkey", "o_totalprice")
+
+
 @query("""
   SELECT 'inside' AS landed, event_type, count(*) AS n FROM events GROUP BY event_type
 """)

@@ -16,7 +16,8 @@ from lakeproof.sources.remote import resolve
 
 def write_json_arrays(df: DataFrame, path: str) -> None:
     """One file per partition, holding one JSON array of its rows."""
-    texts = df.select(F.to_json(F.struct("*")).alias("value"))
+    whole = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    texts = df.select(F.to_json(F.struct("*"), {"timestampNTZFormat": whole}).alias("value"))
     texts.mapInPandas(_bracketed, "value string").write.text(path)
 
 
@@ -34,7 +35,7 @@ def _bracketed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def zip_partition(folder: str):
-    """Write each partition as an archive with one tab-separated member per batch.
+    """Write each partition as an archive with one tab-separated member per batch, headed by its column names.
 
     The name follows the partition and the archive is renamed into place, so a
     task that runs again replaces what it wrote before.
@@ -49,9 +50,9 @@ def zip_partition(folder: str):
         with filesystem.open_output_stream(partial) as raw, zipfile.ZipFile(raw, "w", zipfile.ZIP_DEFLATED) as archive:
             for number, batch in enumerate(batches):
                 text = io.StringIO()
-                batch.to_csv(text, sep="\t", header=False, index=False)
+                batch.to_csv(text, sep="\t", index=False)
                 archive.writestr(f"member_{number}/event.tsv", text.getvalue())
-                archive.writestr(f"member_{number}/column_headers.tsv", "\t".join(batch.columns) + "\n")
+                archive.writestr(f"member_{number}/readme.txt", "not a table\n")
         filesystem.move(partial, name)
         yield pd.DataFrame({"archive": [name]})
 

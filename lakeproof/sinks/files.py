@@ -4,16 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from lakeproof.operators.cleaning import void_to_string
 from lakeproof.sources.files import ALL_FILES, CSV, PIPE, CsvDialect, FileSelection, read_csv, read_files, read_orc
-from lakeproof.sources.listing import walk_files
 
-# Results up to this many bytes may be written by one task.
-SINGLE_FILE_BYTES = 256 * 1024 * 1024
 METRIC_ROWS_PER_FILE = 1_000_000
 
 
@@ -56,11 +53,9 @@ def read_metrics(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return read_csv(spark, path, PIPE, schema, multiline=True, keep_empty=True)
 
 
-def write_single_csv(df: DataFrame, path: str, dialect: CsvDialect = CSV, max_rows: int = 1_000_000) -> None:
-    """One CSV file for a small result; refuses a result that is not small."""
-    if df.limit(max_rows + 1).count() > max_rows:
-        raise ValueError(f"more than {max_rows} rows: use write_csv, which writes in parallel")
-    write_csv(df.coalesce(1), path, dialect)
+def write_single_csv(df: DataFrame, path: str, dialect: CsvDialect = CSV) -> None:
+    """One CSV file, as its reader wants it. The rows are computed in parallel, and one task streams them out."""
+    write_csv(df.repartition(1), path, dialect)
 
 
 def convert_to_parquet(
@@ -83,18 +78,19 @@ def convert_orc_tables(spark: SparkSession, tables: Mapping[str, str], at_once:
 
 def merge_text_files(
     spark: SparkSession, sources: list[str], target: str, dialect: CsvDialect = CSV,
-    out_dialect: CsvDialect | None = None, max_file_bytes: int = SINGLE_FILE_BYTES, multiline: bool = False,
-) -> int:
-    """Merge delimited files of one shape and return the number of files written.
+    out_dialect: CsvDialect | None = None, files: int = 1, multiline: bool = False,
+) -> None:
+    """Merge deliveries of one shape into ``files`` files, all with the header.
 
-    Inputs up to ``max_file_bytes`` become one file. Larger inputs become as
-    many files as keep each near that size, all with the header, so that no
-    task writes everything.
+    The number of files is what the caller says: one, as a receiver of a merged
+    file expects, is written by one task however large the input is; give more
+    for a large input. Each source is read by its own header and columns are
+    matched by name. Sources with other columns than the first are an error.
+    Without a header columns are matched by place.
     """
-    sizes = [walk_files(spark, path, spread_levels=0).agg(F.sum("size")).first()[0] for path in sources]
-    total = sum(size or 0 for size in sizes)
-    files = max(1, -(-total // max_file_bytes))
-    merged = read_csv(spark, sources, dialect, multiline=multiline)
-    merged = merged.coalesce(1) if files == 1 else merged.repartition(files)
+    read = [read_csv(spark, path, dialect, multiline=multiline) for path in sources]
+    for path, df in zip(sources, read):
+        if sorted(df.columns) != sorted(read[0].columns):
+            raise ValueError(f"{path} has the columns {df.columns}, not {read[0].columns}")
+    merged = reduce(DataFrame.unionByName, read).repartition(files)
     write_csv(merged, target, out_dialect or CsvDialect(dialect.sep, dialect.quote, dialect.escape, quote_all=True))
-    return files

@@ -14,11 +14,13 @@ FINGERPRINT = ("row_count", "hash_xor", "high_sum", "low_sum")
 def fingerprint(df: DataFrame) -> DataFrame:
     """Count, xor and sums of the row hashes over all columns, in one scan.
 
-    None depends on the order of rows, and all combine before the shuffle. The
+    A hash leaves out nulls, so it takes in whether each value is null beside the
+    value: a value that has moved to another column shows. None of the four
+    depends on the order of rows, and all combine before the shuffle. The
     sums catch rows that occur an even number of times, which xor cannot see.
     They take 24 bits each, so that a trillion rows stay within a bigint.
     """
-    row_hash = F.xxhash64(*[field(c) for c in sorted(df.columns)])
+    row_hash = F.xxhash64(*[part for c in sorted(df.columns) for part in (field(c).isNull(), field(c))])
     none = F.lit(0).cast("bigint")
     return df.select(row_hash.alias("h")).agg(
         F.count("*").alias("row_count"),

@@ -1,7 +1,8 @@
 """Checksums and byte copies of files, in fixed-size pieces.
 
-A file of any size is hashed by as many tasks as it has pieces, so one huge
-file does not hold up the job, and each task reads a few megabytes at a time.
+The pieces of a file are shared among tasks, so one huge file does not hold up
+the job, and each task reads a few megabytes at a time. The number of tasks
+follows from the bytes to read.
 """
 
 from __future__ import annotations
@@ -14,10 +15,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeproof.sources.dealing import dealt_out
 from lakeproof.sources.remote import resolve
 
 PIECE_BYTES = 256 * 1024 * 1024
 READ_BYTES = 4 * 1024 * 1024
+# Rows of a listing that a task works off; a piece is a quarter of a gigabyte at most.
+PIECES_PER_TASK = 4
 PIECE_SCHEMA = "path string, piece bigint, piece_bytes bigint, sha256 string"
 
 
@@ -25,7 +29,7 @@ def file_pieces(files: DataFrame, piece_bytes: int = PIECE_BYTES) -> DataFrame:
     """(path, piece, piece_bytes, sha256) of the files in a listing. An empty file has one empty piece."""
     last = F.greatest(F.ceil(F.col("size") / piece_bytes), F.lit(1)) - 1
     pieces = files.select("path", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("piece"))
-    spread = pieces.repartition("path", "piece")
+    spread = dealt_out(pieces, ["path", "piece"], F.lit(1), PIECES_PER_TASK)
 
     def digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -71,10 +75,11 @@ COPY_SCHEMA = "source string, target string, bytes bigint"
 
 
 def copy_files(files: DataFrame) -> DataFrame:
-    """Copy ``source`` to ``target`` addresses, one task per group of files; lazy until used.
+    """Copy ``source`` to ``target`` addresses, a few files per task; lazy until used.
 
     Each copy is written under a temporary name and then renamed, so a task
-    that is run again after a lost executor leaves no half file.
+    that is run again after a lost executor leaves no half file. Object stores
+    have no write at an offset, so one file is one task's stream.
     """
 
     def copy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -84,7 +89,8 @@ def copy_files(files: DataFrame) -> DataFrame:
                 columns=["source", "target", "bytes"],
             )
 
-    return files.select("source", "target").repartition("source").mapInPandas(copy, COPY_SCHEMA)
+    dealt = dealt_out(files.select("source", "target"), ["source"], F.lit(1), PIECES_PER_TASK)
+    return dealt.mapInPandas(copy, COPY_SCHEMA)
 
 
 def _copy(source: str, target: str) -> int:

@@ -1,4 +1,4 @@
-"""File listings. Contents are never read."""
+"""File and folder listings. Contents are never read."""
 
 from __future__ import annotations
 
@@ -11,31 +11,48 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeproof.session import scratch_path
+from lakeproof.sources.dealing import dealt_out
 from lakeproof.sources.remote import resolve
 
 LISTING_SCHEMA = "path string, size bigint, modified timestamp"
 _LISTING = pa.schema([("path", pa.string()), ("size", pa.int64()), ("modified", pa.timestamp("us", "UTC"))])
 _FOLDER = pa.schema([("folder", pa.string())])
 
+FOLDERS_PER_TASK = 4
+ROWS_PER_BATCH = 10_000
+
 
 def walk_files(spark: SparkSession, root: str, name_glob: str = "*", spread_levels: int = 2) -> DataFrame:
     """(path, size, modified) of every file below a folder, listed by tasks.
 
     Spark's own file index lives on the driver and leaves out empty files and
     names that start with ``_`` or ``.``, which an inventory must show. Here the
-    first folder levels are expanded one after the other, and each folder found
-    becomes one task's work; the driver sees none of them.
+    first folder levels are expanded one after the other, and the folders found
+    are dealt out to tasks; the driver sees none of them.
     """
+    return _work(spark, root, spread_levels).mapInArrow(_files_below(name_glob), LISTING_SCHEMA)
+
+
+def walk_folders(spark: SparkSession, root: str, spread_levels: int = 2) -> DataFrame:
+    """(path) of a folder and of every folder below it, empty ones too, each ending in a slash."""
+    return _work(spark, root, spread_levels).mapInArrow(_folders_below, "path string")
+
+
+def _work(spark: SparkSession, root: str, spread_levels: int) -> DataFrame:
+    """(folder, deep) on many tasks: folders to list alone, and folders whose whole tree one task lists."""
+    if spread_levels < 1:
+        raise ValueError("a tree is listed by more than one task")
     levels = [spark.range(1).select(F.lit(root.rstrip("/") or "/").alias("folder"))]
     for _ in range(spread_levels):
         path = scratch_path(spark, "folders")
-        levels[-1].mapInArrow(_sub_folders, "folder string").repartition("folder").write.parquet(path)
-        levels.append(spark.read.parquet(path))
+        dealt = levels[-1] if len(levels) == 1 else dealt_out(levels[-1], ["folder"], F.lit(1), FOLDERS_PER_TASK)
+        dealt.mapInArrow(_sub_folders, "folder string").write.parquet(path)
+        levels.append(spark.read.schema("folder string").parquet(path))
     # folders that were expanded list their own files, the last level lists whole trees
     work = levels[-1].withColumn("deep", F.lit(True))
     for level in levels[:-1]:
         work = work.unionByName(level.withColumn("deep", F.lit(False)))
-    return work.repartition("folder").mapInArrow(_files_below(name_glob), LISTING_SCHEMA)
+    return dealt_out(work, ["folder"], F.lit(1), FOLDERS_PER_TASK)
 
 
 def _children(folder: str) -> tuple[Callable[[str], str], list[pafs.FileInfo]]:
@@ -50,7 +67,8 @@ def _sub_folders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for folder in batch["folder"].to_pylist():
             address, infos = _children(folder)
             found = [address(i.path) for i in infos if i.type == pafs.FileType.Directory]
-            yield pa.RecordBatch.from_pydict({"folder": found}, _FOLDER)
+            for start in range(0, len(found), ROWS_PER_BATCH):
+                yield pa.RecordBatch.from_pydict({"folder": found[start:start + ROWS_PER_BATCH]}, _FOLDER)
 
 
 def _files_below(name_glob: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -63,15 +81,35 @@ def _files_below(name_glob: str) -> Callable[[Iterator[pa.RecordBatch]], Iterato
                     if row["deep"]:
                         waiting += [address(i.path) for i in infos if i.type == pafs.FileType.Directory]
                     files = [i for i in infos if i.type == pafs.FileType.File and fnmatch(i.base_name, name_glob)]
-                    yield pa.RecordBatch.from_pydict({
-                        "path": [address(i.path) for i in files],
-                        "size": [i.size for i in files],
-                        "modified": [i.mtime for i in files],
-                    }, _LISTING)
+                    for start in range(0, len(files), ROWS_PER_BATCH):
+                        some = files[start:start + ROWS_PER_BATCH]
+                        yield pa.RecordBatch.from_pydict({
+                            "path": [address(i.path) for i in some],
+                            "size": [i.size for i in some],
+                            "modified": [i.mtime for i in some],
+                        }, _LISTING)
 
     return walk
 
 
+def _folders_below(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    found: list[str] = []
+    for batch in batches:
+        for row in batch.to_pylist():
+            waiting = [row["folder"]]
+            while waiting:
+                folder = waiting.pop()
+                found.append(folder.rstrip("/") + "/")
+                if row["deep"]:
+                    address, infos = _children(folder)
+                    waiting += [address(i.path) for i in infos if i.type == pafs.FileType.Directory]
+                if len(found) >= ROWS_PER_BATCH:
+                    yield pa.RecordBatch.from_pydict({"path": found})
+                    found = []
+    if found:
+        yield pa.RecordBatch.from_pydict({"path": found})
+
+
 def modified_between(listing: DataFrame, start: str, end: str) -> DataFrame:
     """Files that changed in [start, end)."""
     return listing.where((F.col("modified") >= F.lit(start).cast("timestamp")) & (F.col("modified") < F.lit(end).cast("timestamp")))

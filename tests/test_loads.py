@@ -111,21 +111,30 @@ def test_consistency_sees_repeated_and_changed_rows(spark):
     assert copy_consistency(empty, empty).first() == (0, 0, True)
 
 
-def test_merge_writes_one_small_or_many_files(spark, new):
+def test_merge_writes_as_many_files_as_asked(spark, new):
     df = spark.range(1000).selectExpr("id", "concat('\"', id, ' text') as t")
     sources = [new("m"), new("m")]
-    for path in sources:
-        sinks.write_csv(df, path)
+    sinks.write_csv(df, sources[0])
+    sinks.write_csv(df.select("t", "id"), sources[1])
     one, many = new("one"), new("many")
-    assert sinks.merge_text_files(spark, sources, one) == 1
-    assert sinks.merge_text_files(spark, sources, many, max_file_bytes=4096) > 1
-    for path in (one, many):
+    sinks.merge_text_files(spark, sources, one)
+    sinks.merge_text_files(spark, sources, many, files=3)
+    for path, count in ((one, 1), (many, 3)):
         merged = files.read_csv(spark, path)
-        assert merged.count() == 2000 and merged.where("t = '\"7 text'").count() == 2
-    assert len(spark.read.text(one).inputFiles()) == 1
+        assert merged.count() == 2000 and merged.where("id = '7' AND t = '\"7 text'").count() == 2
+        assert len(spark.read.text(path).inputFiles()) == count
+    other = new("other")
+    sinks.write_csv(df.withColumnRenamed("t", "u"), other)
     with pytest.raises(ValueError):
-        sinks.write_single_csv(df, new("s"), max_rows=10)
-    sinks.write_single_csv(df, one + "-s", max_rows=1000)
+        sinks.merge_text_files(spark, [*sources, other], new("never"))
+    sinks.write_single_csv(df, one + "-s")
+    assert len(spark.read.text(one + "-s").inputFiles()) == 1
+
+
+def test_consistency_sees_values_in_another_column(spark):
+    source = spark.createDataFrame([("x", None), (None, "y")], "a string, b string")
+    target = spark.createDataFrame([(None, "x"), ("y", None)], "a string, b string")
+    assert not copy_consistency(source, target).first().consistent
 
 
 def test_text_survives_metric_files(spark, new):

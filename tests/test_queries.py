@@ -30,9 +30,3 @@ def test_every_oracle_has_a_query():
 
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() == 6 * 14
-
-
-def test_binary_copy_is_equal(spark):
-    copied = QUERIES["binary_copy"](spark, SF_DIR)
-    assert copied.count() == 14
-    assert copied.where("source_pieces <> equal_pieces OR target_pieces <> equal_pieces").count() == 0

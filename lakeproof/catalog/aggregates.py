@@ -25,6 +25,9 @@ from lakeproof.operators.profile import profile, profile_categorical as categori
 from lakeproof.operators.profile import profile_numeric as numeric
 from lakeproof.operators.profile import sort_metrics
 from lakeproof.plans.watermark import max_watermark as highest
+from lakeproof.session import scratch_path
+from lakeproof.catalog.staging import make_folders
+from lakeproof.sources.listing import relative_to, walk_files, walk_folders
 from lakeproof.sources.control import batch_groups, mapping_tables as distinct_tables, parse_config
 
 
@@ -229,8 +232,8 @@ FOLDERS_SQL = """
            CASE WHEN n > 1 THEN array_to_string(p[1:n - 1], '/') || '/' END AS parent
     FROM (SELECT p, unnest(range(1, len(p))) AS n FROM chain))
   SELECT f.folder AS "Path",
-         CAST((SELECT count(*) FROM folders c WHERE c.parent = f.folder) AS INTEGER) AS FolderCount,
-         CAST((SELECT count(*) FROM files x WHERE x.dir = f.folder) AS INTEGER) AS FileCount
+         (SELECT count(*) FROM folders c WHERE c.parent = f.folder) AS FolderCount,
+         (SELECT count(*) FROM files x WHERE x.dir = f.folder) AS FileCount
   FROM folders f
 """
 
@@ -240,6 +243,47 @@ def folder_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return folders_of(listing(spark, sf_dir))
 
 
+@query("""
+  SELECT '/' AS "Path", (SELECT count(DISTINCT n_regionkey) FROM nation) + 1 AS FolderCount, CAST(0 AS BIGINT) AS FileCount
+  UNION ALL SELECT DISTINCT '/n_regionkey=' || n_regionkey || '/', CAST(0 AS BIGINT), CAST(1 AS BIGINT) FROM nation
+  UNION ALL SELECT '/empty/', (SELECT count(*) FROM region), CAST(0 AS BIGINT)
+  UNION ALL SELECT '/empty/' || r_name || '/', CAST(0 AS BIGINT), CAST(0 AS BIGINT) FROM region
+""")
+def folder_inventory_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A real tree: a partitioned table, and an empty folder for each region."""
+    path = scratch_path(spark, "tree")
+    table(spark, sf_dir, "nation").coalesce(1).write.partitionBy("n_regionkey").parquet(path)
+    make_folders(table(spark, sf_dir, "region").select(F.concat(F.lit(f"{path}/empty/"), "r_name").alias("folder")))
+    files = relative_to(walk_files(spark, path, "part-*"), path)
+    return folders_of(files, relative_to(walk_folders(spark, path), path))
+
+
+MIXED_PATHS = """
+  SELECT '/Raw/T' || o_custkey % 7 AS object_dir,
+         CASE o_orderkey % 5 WHEN 0 THEN strftime(o_orderdate, '/%Y') WHEN 1 THEN strftime(o_orderdate, '/%Y/%m')
+           WHEN 2 THEN strftime(o_orderdate, '/%Y/%m/%d') WHEN 3 THEN strftime(o_orderdate, '/%Y/%m/%d/%H') ELSE '' END AS dated,
+         strftime(o_orderdate, '%Y_%m_%d_%H_%M') AS stamp, o_orderkey % 3 = 0 AS csv
+  FROM orders
+"""
+
+
+@query(f"""
+  SELECT object_dir, object_dir || max_by(dated, stamp || dated) AS latest_dir, '*' || max(stamp) || '.csv' AS file_wildcard
+  FROM ({MIXED_PATHS}) WHERE csv GROUP BY object_dir
+""")
+def latest_partition_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Objects whose files lie in folders of all granularities, in two formats."""
+    day, patterns = F.col("o_orderdate"), ("/yyyy", "/yyyy/MM", "/yyyy/MM/dd", "/yyyy/MM/dd/HH")
+    dated = F.lit("")
+    for place, pattern in enumerate(patterns):
+        dated = F.when(F.col("o_orderkey") % 5 == place, F.date_format(day, pattern)).otherwise(dated)
+    paths = table(spark, sf_dir, "orders").select(F.concat(
+        F.lit("/Raw/T"), (F.col("o_custkey") % 7).cast("string"), dated, F.lit("/S_T_"), F.date_format(day, "yyyy_MM_dd_HH_mm"),
+        F.when(F.col("o_orderkey") % 3 == 0, ".csv").otherwise(".parquet"),
+    ).alias("path"))
+    return newest(paths, "csv")
+
+
 @query(f"""
   WITH f AS (SELECT string_split(path, '/') AS p, size FROM ({LISTING}))
   SELECT "Path", CAST(sum(size) AS BIGINT) AS TotalBytes, count(*) AS FileCount

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeproof.catalog.registry import query
 from lakeproof.catalog.tables import table
-from lakeproof.plans import runlog, watermark
+from lakeproof.operators.mapping import ColumnMap
+from lakeproof.plans import ingest, runlog, watermark
 from lakeproof.session import scratch_path
 from lakeproof.sources.files import FileSelection
 from lakeproof.streaming.ingest import file_stream, ingest_available
@@ -47,6 +49,40 @@ def watermark_advance(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("""
+  SELECT 'rows' AS kind, CASE WHEN ts <= TIMESTAMP '2024-01-11 00:00:00' THEN 'run-1' ELSE 'run-2' END AS name,
+         CAST(count(*) AS VARCHAR) AS value FROM events GROUP BY ALL
+  UNION ALL SELECT 'mark', 'events', CAST(max(ts) AS VARCHAR) FROM events
+  UNION ALL SELECT * FROM (VALUES ('status', 'run-1', 'Success'), ('status', 'run-2', 'Success'), ('status', 'run-3', 'Failed'),
+    ('status', 'run-4', 'Success'), ('error', 'run-3/Map', 'KEY_NOT_EXISTS'))
+""")
+def load_table_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A first load, a delta, a run that fails, and its retry: rows by run, the mark, statuses and errors."""
+    events = table(spark, sf_dir, "events")
+    lake, log, errors, marks = (scratch_path(spark, n) for n in ("lake", "load-log", "load-errors", "load-marks"))
+    mapping = [ColumnMap("event_id", "EVENT_ID", "bigint"), ColumnMap("ts", "TS", "datetime"), ColumnMap("value", "VALUE", "float")]
+    broken = [*mapping, ColumnMap("no_such_column", "NOTHING", "string")]
+    known = events.where(F.col("ts") <= F.lit(OLD_MARK).cast("timestamp_ntz"))
+    for number, (source, columns) in enumerate(((known, mapping), (events, mapping), (events, broken), (events, mapping)), 1):
+        load = ingest.TableLoad("WEB", "raw", "events", "NZ", "HH", columns, 0, "TS", 6)
+        run = ingest.RunContext(f"run-{number}", datetime(2024, 2, 1, number))
+        try:
+            published, _ = ingest.load_table(spark, source, load, run, lake, log, errors, marks)
+        except PySparkException:
+            if columns is mapping:
+                raise
+    loaded = spark.read.parquet(published).groupBy(F.col("CreatedBy").alias("name")).agg(F.count("*").cast("string").alias("value"))
+    mark = watermark.read_mark(spark, marks, 6, "events")
+    parts = {
+        "rows": loaded,
+        "mark": spark.range(1).select(F.lit("events").alias("name"), F.lit(mark).alias("value")),
+        "status": runlog.latest_status(spark.read.parquet(log)).select(F.col("ModuleRunId").alias("name"), F.col("PipelineStatus").alias("value")),
+        "error": spark.read.parquet(errors).select(F.col("ActivityRunId").alias("name"), F.col("ErrorCode").alias("value")),
+    }
+    named = [df.select(F.lit(kind).alias("kind"), "name", "value") for kind, df in parts.items()]
+    return named[0].unionByName(named[1]).unionByName(named[2]).unionByName(named[3])
+
+
 @query("""
   SELECT 'run-' || o_orderkey AS "ModuleRunId", o_orderdate AS "StartDate",
          o_orderdate + CASE WHEN o_orderstatus = 'P' THEN INTERVAL 0 HOUR ELSE INTERVAL 1 HOUR END AS "LastEvent",

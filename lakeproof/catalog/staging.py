@@ -57,3 +57,16 @@ def zip_partition(folder: str):
         yield pd.DataFrame({"archive": [name]})
 
     return write
+
+
+def make_folders(folders: DataFrame) -> None:
+    """Make the (folder) addresses."""
+
+    def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for folder in batch["folder"]:
+                filesystem, path = resolve(folder)
+                filesystem.create_dir(path, recursive=True)
+            yield batch
+
+    folders.mapInPandas(make, "folder string").count()

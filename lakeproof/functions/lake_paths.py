@@ -39,6 +39,11 @@ def dated_path(
     return "/".join([*folder, name])
 
 
+def object_path(zone: str, country: str, system: str, obj: str, load_kind: str = "Delta") -> str:
+    """The folder of an object that grows by increments."""
+    return "/".join([zone, country, load_kind, system, obj.upper()])
+
+
 def dated_folder(when: Column, granularity: Column) -> Column:
     """Folder levels per row; an unknown granularity has none."""
     expression = F.lit(None).cast("string")

@@ -70,10 +70,11 @@ def ancestors(path: Column) -> Column:
     )
 
 
-def folder_inventory(listing: DataFrame) -> DataFrame:
+def folder_inventory(listing: DataFrame, folders: DataFrame | None = None) -> DataFrame:
     """(Path, FolderCount, FileCount): direct children of every folder.
 
-    Each file names its folder, and each folder its parent. Links are made
+    A listing of files alone doesn't know of empty folders; ``folders`` has the
+    (path) of all, as ``walk_folders`` lists them. Each file names its folder, and each folder its parent. Links are made
     distinct before the count per parent, and both steps combine before they
     shuffle, so a folder with a third of all files stays cheap.
     """
@@ -87,16 +88,22 @@ def folder_inventory(listing: DataFrame) -> DataFrame:
         F.sequence(F.lit(1), F.size("chain")),
         lambda n: F.struct(F.when(n > 1, F.get("chain", n - 2)).alias("Path"), F.get("chain", n - 1).alias("child")),
     )
-    folders = (
-        listing.select(leaf.alias("leaf")).distinct()
+    leaves = listing.select(leaf.alias("leaf"))
+    if folders is not None:
+        leaves = leaves.unionByName(folders.select(F.col("path").alias("leaf")))
+    named = (
+        leaves.distinct()
         .select(ancestors(F.col("leaf")).alias("chain"))
         .select(F.inline(links)).distinct()
-        .where(F.col("Path").isNotNull())
-        .groupBy("Path").agg(F.count("*").alias("folders"))
-        .withColumn("files", F.lit(0).cast("bigint"))
     )
-    return files.unionByName(folders).groupBy("Path").agg(
-        F.sum("folders").cast("int").alias("FolderCount"), F.sum("files").cast("int").alias("FileCount")
+    # a folder counts for its parent, and has a row of its own even if nothing is in it
+    counted = named.select(F.inline(F.array(
+        F.struct("Path", F.lit(1).alias("folders")), F.struct(F.col("child").alias("Path"), F.lit(0).alias("folders")),
+    ))).where(F.col("Path").isNotNull()).groupBy("Path").agg(F.sum("folders").alias("folders")).withColumn(
+        "files", F.lit(0).cast("bigint")
+    )
+    return files.unionByName(counted).groupBy("Path").agg(
+        F.sum("folders").alias("FolderCount"), F.sum("files").alias("FileCount")
     )
 
 
@@ -120,36 +127,31 @@ def table_count(listing: DataFrame, master_path: str) -> DataFrame:
     return tables.agg(F.count_distinct(F.substring_index(below, "/", 1)).alias("table_count"))
 
 
-# a folder per hour, and a file name that ends in the stamp of its load
-_DATED = r"/\d{4}/\d{2}/\d{2}/\d{2}/[^/]*\d{4}_\d{2}_\d{2}_\d{2}_\d{2}\.parquet$"
-_HOUR_FOLDER = len("/yyyy/MM/dd/HH/")
-_STAMP, _STAMPED_END = len("yyyy_MM_dd_HH_mm"), len("yyyy_MM_dd_HH_mm.parquet")
+# a folder per year, month, day or hour, or none, and a file name that ends in the stamp of its load
+_DATED = r"^(.*?)((?:/\d{4}(?:/\d{2}){0,3})?)/[^/]*?(\d{4}_\d{2}_\d{2}_\d{2}_\d{2})\."
 
 
-def latest_partition(listing: DataFrame) -> DataFrame:
-    """Newest year, month, day, hour and file stamp per object folder.
+def latest_partition(listing: DataFrame, extension: str = "parquet") -> DataFrame:
+    """Newest folder and file stamp per object folder, for all granularities of dated paths.
 
     One maximum over the date parts taken together, so the parts always belong
-    to one folder. Paths that are not dated are left out; the others have the
-    parts at fixed places from the end.
+    to one folder. What a folder coarser than an hour leaves open comes from
+    the stamp, so that layouts of several granularities in one object compare.
+    Files of another extension and names without a stamp are not dated.
     """
-    folder, path = F.col("folder"), F.col("path")
-    object_length = F.length(folder) - _HOUR_FOLDER
-    dated = (
-        listing.where(path.rlike(_DATED))
-        .select("path", folder_of(path).alias("folder"))
-        .select(
-            F.substring(folder, F.lit(1), object_length).alias("object_dir"),
-            F.struct(
-                F.substring(folder, object_length + 2, F.lit(_HOUR_FOLDER - 2)).alias("hour"),
-                F.substring(path, F.length(path) - _STAMPED_END + 1, F.lit(_STAMP)).alias("stamp"),
-            ).alias("newest"),
-        )
+    path, pattern = F.col("path"), _DATED + extension.replace(".", r"\.") + "$"
+    object_dir, dated, stamp = (F.regexp_extract(path, pattern, n) for n in (1, 2, 3))
+    hour = F.concat(F.lit("/"), F.replace(F.substring("stamp", 1, 13), F.lit("_"), F.lit("/")))
+    parts = F.concat("dated", F.substring(hour, F.length("dated") + 1, F.lit(14)))
+    found = (
+        listing.where(path.rlike(pattern))
+        .select(object_dir.alias("object_dir"), dated.alias("dated"), stamp.alias("stamp"))
+        .select("object_dir", F.struct(parts.alias("parts"), "stamp", "dated").alias("newest"))
     )
-    newest = dated.groupBy("object_dir").agg(F.max("newest").alias("newest"))
+    newest = found.groupBy("object_dir").agg(F.max("newest").alias("newest"))
     return newest.select(
-        "object_dir", F.concat_ws("/", "object_dir", "newest.hour").alias("latest_dir"),
-        F.concat(F.lit("*"), F.col("newest.stamp"), F.lit(".parquet")).alias("file_wildcard"),
+        "object_dir", F.concat("object_dir", "newest.dated").alias("latest_dir"),
+        F.concat(F.lit("*"), F.col("newest.stamp"), F.lit(f".{extension}")).alias("file_wildcard"),
     )
 
 

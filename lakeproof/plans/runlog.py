@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,24 +18,41 @@ ERROR_EVENT = (
 )
 
 
-def append_events(spark: SparkSession, path: str, rows: list[dict], schema: str) -> None:
-    """Append a few log rows made on the driver."""
-    spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+def append_events(spark: SparkSession, path: str, rows: list[dict], schema: str, clock: str) -> None:
+    """Append a few log rows made on the driver. Rows without a time in ``clock`` get Spark's own."""
+    timed = spark.createDataFrame(rows, schema).withColumn(clock, F.coalesce(clock, F.current_timestamp()))
+    timed.coalesce(1).write.mode("append").parquet(path)
 
 
-def start_run(spark: SparkSession, path: str, run: dict, at: datetime) -> None:
+def start_run(spark: SparkSession, path: str, run: dict, at: datetime | None = None) -> None:
     """A new run has no status yet."""
-    append_events(spark, path, [{**run, "PipelineStatus": None, "event_time": at}], RUN_EVENT)
+    append_events(spark, path, [{**run, "PipelineStatus": None, "event_time": at}], RUN_EVENT, "event_time")
 
 
-def finish_run(spark: SparkSession, path: str, run: dict, succeeded: bool, at: datetime) -> None:
+def finish_run(spark: SparkSession, path: str, run: dict, succeeded: bool, at: datetime | None = None) -> None:
     status = "Success" if succeeded else "Failed"
-    append_events(spark, path, [{**run, "PipelineStatus": status, "event_time": at}], RUN_EVENT)
+    append_events(spark, path, [{**run, "PipelineStatus": status, "event_time": at}], RUN_EVENT, "event_time")
+
+
+def log_error(
+    spark: SparkSession, path: str, error: BaseException, pipeline: str, run_id: str, activity: str, at: datetime | None = None
+) -> None:
+    """Append what went wrong in an activity of a run."""
+    condition = error.getCondition() if isinstance(error, PySparkException) else None
+    append_events(spark, path, [{
+        "Activity_Name": activity, "ActivityRunId": f"{run_id}/{activity}", "ActivityType": type(error).__name__,
+        "ErrorCode": condition or type(error).__name__, "ErrorLoggedTime": at, "ErrorMessage": str(error),
+        "PipelineName": pipeline, "PipelineRunId": run_id,
+    }], ERROR_EVENT, "ErrorLoggedTime")
 
 
 def latest_status(events: DataFrame) -> DataFrame:
-    """The newest status of every run; null while it is running."""
-    newest = F.max_by(F.struct("PipelineStatus"), "event_time").alias("newest")
+    """The newest status of every run; null while it is running.
+
+    A run that has ended keeps its status whatever the clocks of the machines
+    that logged its start and its end say.
+    """
+    newest = F.max_by(F.struct("PipelineStatus"), F.struct(F.col("PipelineStatus").isNotNull(), "event_time")).alias("newest")
     return events.groupBy("ModuleRunId").agg(
         F.min("StartDate").alias("StartDate"), F.max("event_time").alias("LastEvent"), newest
     ).select("ModuleRunId", "StartDate", "LastEvent", "newest.PipelineStatus")

@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 FULL_LOAD = 1
 
-MARK_SCHEMA = "config_id bigint, src_object string, mark string, moved_at timestamp"
+MARK_SCHEMA = "config_id bigint, src_object string, mark string, moved_at timestamp, state string"
 FIRST_LOAD = "first"
+# A full reload announces itself before it replaces anything, and every load commits its mark.
+RELOADING, COMMITTED = "reloading", "committed"
 
 
 def max_watermark(df: DataFrame, column: str) -> DataFrame:
@@ -31,17 +33,28 @@ def delta(df: DataFrame, column: str, type_load: int, old_mark: object | None) -
 
 
 def read_mark(spark: SparkSession, marks_path: str, config_id: int, src_object: str) -> str | None:
-    """The newest mark of an object, as text; None before its first load."""
+    """The newest mark of an object, as text; None before its first load and after a full reload that did not end."""
     try:
         marks = spark.read.schema(MARK_SCHEMA).parquet(marks_path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
-    return (
-        marks.where((F.col("config_id") == config_id) & (F.col("src_object") == src_object))
-        .agg(F.max_by("mark", "moved_at")).first()[0]
-    )
+    committed = F.coalesce(F.col("state"), F.lit(COMMITTED)) == COMMITTED
+    newest = marks.where((F.col("config_id") == config_id) & (F.col("src_object") == src_object)).agg(
+        F.max_by(F.struct("mark", committed.alias("committed")), F.struct("moved_at", committed)).alias("newest")
+    ).first()["newest"]
+    return newest["mark"] if newest is not None and newest["committed"] else None
+
+
+def _record(
+    spark: SparkSession, marks_path: str, config_id: int, src_object: str, mark: str | None, state: str, now: datetime | None
+) -> None:
+    spark.range(1).select(
+        F.lit(config_id).cast("bigint").alias("config_id"), F.lit(src_object).alias("src_object"),
+        F.lit(mark).cast("string").alias("mark"),
+        (F.lit(now).cast("timestamp") if now else F.current_timestamp()).alias("moved_at"), F.lit(state).alias("state"),
+    ).write.mode("append").partitionBy("config_id").parquet(marks_path)
 
 
 def advance(
@@ -54,22 +67,22 @@ def advance(
     is there. If a run fails between writing the rows and moving the mark, the
     next run starts from the same old mark and overwrites the same folder, so
     nothing is loaded twice. The new mark is read from what was written. A full
-    load replaces all increments.
+    load replaces all increments; it announces itself first, and one that died
+    is done again in full by the next run, whatever that run was to load.
     """
     old = read_mark(spark, marks_path, config_id, src_object)
     batch = delta(source, column, type_load, old)
-    if old is None or type_load == FULL_LOAD:
+    full = old is None or type_load == FULL_LOAD
+    if full:
+        if old is not None:
+            _record(spark, marks_path, config_id, src_object, old, RELOADING, now)
         part = f"{target_path}/since={FIRST_LOAD}"
         batch.withColumn("since", F.lit(FIRST_LOAD)).write.mode("overwrite").partitionBy("since").parquet(target_path)
     else:
         part = f"{target_path}/since={re.sub(r'[^0-9A-Za-z]+', '_', old)}"
         batch.write.mode("overwrite").parquet(part)
     new = spark.read.schema(source.schema).parquet(part).agg(F.max(column).cast("string")).first()[0]
-    if new is None or new == old:
+    if not full and (new is None or new == old):
         return old
-    moved_at = F.lit(now).cast("timestamp") if now else F.current_timestamp()
-    spark.range(1).select(
-        F.lit(config_id).cast("bigint").alias("config_id"), F.lit(src_object).alias("src_object"),
-        F.lit(new).alias("mark"), moved_at.alias("moved_at"),
-    ).write.mode("append").partitionBy("config_id").parquet(marks_path)
+    _record(spark, marks_path, config_id, src_object, new, COMMITTED, now)
     return new

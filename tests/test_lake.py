@@ -15,7 +15,7 @@ from lakeproof.operators.acid import read_events, resolve_rows, flatten_rows, ta
 from lakeproof.sinks.retention import delete_folders, retention_candidates
 from lakeproof.sources import archives, checksums
 from lakeproof.sources.files import CsvDialect
-from lakeproof.sources.listing import modified_between, relative_to, walk_files
+from lakeproof.sources.listing import modified_between, relative_to, walk_files, walk_folders
 
 WHEN = datetime(2021, 12, 31, 23, 5)
 
@@ -75,6 +75,9 @@ def test_inventories(spark, lake):
     listed = relative_to(walk_files(spark, f"file://{lake}"), f"file://{lake}")
     folders = {r.Path: (r.FolderCount, r.FileCount) for r in inventory.folder_inventory(listed).collect()}
     assert folders == {"/": (1, 1), "/a/": (1, 1), "/a/b/": (1, 2), "/a/b/c/": (0, 1)}
+    tree = relative_to(walk_folders(spark, f"file://{lake}"), f"file://{lake}")
+    folders = {r.Path: (r.FolderCount, r.FileCount) for r in inventory.folder_inventory(listed, tree).collect()}
+    assert folders == {"/": (1, 1), "/a/": (2, 1), "/a/b/": (1, 2), "/a/b/c/": (0, 1), "/a/empty/": (0, 0)}
     sizes = {r.Path: r.TotalBytes for r in inventory.dir_size(listed).collect()}
     assert sizes == {"/": 43, "/a/": 36, "/a/b/": 31, "/a/b/c/": 1}
     types = {r.FileName: r.FileType for r in inventory.file_inventory(listed).collect()}
@@ -98,6 +101,35 @@ def test_latest_partition_takes_parts_together(spark):
     assert row == ("/Raw/T", "/Raw/T/2022/01/01/00", "*2022_01_01_00_30.parquet")
 
 
+@pytest.mark.parametrize("folder", ["", "/2022", "/2022/01", "/2022/01/01", "/2022/01/01/09"])
+def test_latest_partition_of_every_granularity(spark, folder):
+    listing = spark.createDataFrame([(p,) for p in (
+        "/Raw/T/2021/12/31/23/S_T_2021_12_31_23_59.csv", f"/Raw/T{folder}/S_T_2022_01_01_09_30.csv", "/Raw/T/2022/02/x_2022_02_01_00_00.parquet",
+    )], "path string")
+    assert inventory.latest_partition(listing, "csv").first() == ("/Raw/T", f"/Raw/T{folder}", "*2022_01_01_09_30.csv")
+
+
+def test_files_are_dealt_out_to_many_tasks(spark, tmp_path):
+    """Adaptive execution is on; a shuffle of addresses by key alone would end in one partition."""
+    for n in range(40):
+        (tmp_path / f"d{n}").mkdir()
+        (tmp_path / f"d{n}" / "f").write_bytes(b"x" * 30)
+    with zipfile.ZipFile(tmp_path / "m.zip", "w") as archive:
+        for n in range(30):
+            archive.writestr(f"m{n}.tsv", "a\tb\n")
+
+    def tasks(df):
+        return len([n for n in df.rdd.glom().map(len).collect() if n])
+
+    listed = walk_files(spark, str(tmp_path))
+    assert tasks(listed) > 4
+    small = listed.where(F.endswith("path", F.lit("/f")))
+    assert tasks(checksums.file_pieces(small, 20)) > 8
+    assert tasks(archives.member_lines(listed.where(F.endswith("path", F.lit(".zip"))))) > 3
+    plan = small.select(F.col("path").alias("source"), F.concat("path", F.lit(".copy")).alias("target"))
+    assert tasks(checksums.copy_files(plan)) > 4
+
+
 def test_list_difference_and_completeness(spark):
     left = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "t string")
     right = spark.createDataFrame([("a",), ("c",)], "t string")

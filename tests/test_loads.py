@@ -3,6 +3,7 @@
 from datetime import datetime
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from lakeproof.operators.mapping import ColumnMap
@@ -155,7 +156,7 @@ def events(spark, rows):
     return spark.createDataFrame(rows, "id int, at string").withColumn("at", F.col("at").cast("timestamp_ntz"))
 
 
-def test_watermark_survives_a_failed_run(spark, new):
+def test_watermark_survives_a_failed_run(spark, new, monkeypatch):
     target, marks = new("w"), new("marks")
     first = events(spark, [(1, "2024-01-01 00:00:00"), (2, "2024-01-02 00:00:00.5")])
     more = first.union(events(spark, [(3, "2024-01-03 00:00:00")]))
@@ -170,6 +171,22 @@ def test_watermark_survives_a_failed_run(spark, new):
     # a full load replaces the increments
     watermark.advance(spark, more, "at", target, marks, 1, "t", watermark.FULL_LOAD)
     assert sorted(r.id for r in spark.read.parquet(target).collect()) == [1, 2, 3]
+    # a full reload that replaced everything but died before it moved the mark
+    last = more.union(events(spark, [(4, "2024-01-04 00:00:00")]))
+    record = watermark._record
+
+    def die(*args):
+        if args[5] == watermark.COMMITTED:
+            raise RuntimeError("lost")
+        record(*args)
+
+    monkeypatch.setattr(watermark, "_record", die)
+    with pytest.raises(RuntimeError):
+        watermark.advance(spark, last, "at", target, marks, 1, "t", watermark.FULL_LOAD)
+    monkeypatch.setattr(watermark, "_record", record)
+    assert watermark.advance(spark, last, "at", target, marks, 1, "t") == "2024-01-04 00:00:00"
+    assert watermark.advance(spark, last, "at", target, marks, 1, "t") == "2024-01-04 00:00:00"
+    assert sorted(r.id for r in spark.read.parquet(target).collect()) == [1, 2, 3, 4]
 
 
 def test_delta_is_pushed_into_the_scan(spark):
@@ -184,6 +201,12 @@ def test_run_log(spark, new):
     assert runlog.latest_status(spark.read.parquet(path)).first().PipelineStatus is None
     runlog.finish_run(spark, path, run, False, datetime(2024, 1, 1, 1))
     assert runlog.latest_status(spark.read.parquet(path)).first().PipelineStatus == "Failed"
+    # the machine that ends the run is hours behind the one that began it
+    run = ingest.RunContext("r2", datetime(2024, 1, 1)).record()
+    runlog.start_run(spark, path, run, datetime(2024, 1, 2, 7))
+    runlog.finish_run(spark, path, run, True, datetime(2024, 1, 2))
+    status = {r.ModuleRunId: r.PipelineStatus for r in runlog.latest_status(spark.read.parquet(path)).collect()}
+    assert status == {"r1": "Failed", "r2": "Success"}
 
 
 def test_load_table_lands_publishes_and_logs(spark, new):
@@ -195,8 +218,12 @@ def test_load_table_lands_publishes_and_logs(spark, new):
     assert spark.read.parquet(path).columns == ["ID", "LastUpdate", "CreatedBy"]
     assert runlog.latest_status(spark.read.parquet(log)).first().PipelineStatus == "Success"
     missing = ingest.TableLoad("ERP", "s", "orders", "NZ", "MM", [ColumnMap("nope", "ID", "bigint")])
-    with pytest.raises(Exception):
-        ingest.load_table(spark, spark.range(5), missing, run, lake, log)
+    errors = new("errors")
+    with pytest.raises(PySparkException):
+        ingest.load_table(spark, spark.range(5), missing, run, lake, log, errors)
+    logged = spark.read.parquet(errors).first()
+    assert (logged.PipelineName, logged.PipelineRunId, logged.Activity_Name) == ("ERP.s.orders", "r9", "Map")
+    assert "nope" in logged.ErrorMessage and logged.ErrorLoggedTime is not None
 
 
 def test_stream_equals_batch_after_restart(spark, new):

@@ -32,7 +32,7 @@ from lakeproof.sources.control import batch_groups, mapping_tables as distinct_t
 
 
 def rounded(metrics: DataFrame) -> DataFrame:
-    return metrics.withColumn("value", F.round("value", 4))
+    return metrics.withColumn("value", F.round("value", 4)).drop("exact")
 
 
 def rounded_sql(sql: str) -> str:

@@ -89,6 +89,32 @@ def compare_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare.compare_numeric(
         profile_numeric(table(spark, sf_dir, "lineitem"), LINE_KEY, "hive", "lineitem"),
         profile_numeric(lineitem_copy(spark, sf_dir), LINE_KEY, "lake", "lineitem"),
+    ).drop("exact", "exact_tgt")
+
+
+def _last_digit_sql(column: str, ends: str, expression: str, drift: str) -> str:
+    return union_all([
+        f"SELECT '{column}' AS column_name, '{end}_value' AS variable, CAST({end}({expression}) AS VARCHAR) AS exact, "
+        f"CAST({end}({expression} + {drift}) AS VARCHAR) AS exact_tgt, CAST(-{drift} AS DOUBLE) AS value_diff FROM orders"
+        for end in ends.split()
+    ])
+
+
+@query(union_all([
+    _last_digit_sql("big", "min max", "CAST(o_custkey AS BIGINT) + 9007199254740992", "1"),
+    _last_digit_sql("amount", "min max", "CAST(o_custkey AS DECIMAL(38,18))", "CAST(0.000000000000000001 AS DECIMAL(38,18))"),
+]))
+def compare_numeric_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Integers above 2^53 and long decimals that differ in their last digit only."""
+    orders = table(spark, sf_dir, "orders")
+    big, amount = F.col("o_custkey").cast("bigint") + 9007199254740992, F.col("o_custkey").cast("decimal(38,18)")
+    sides = [
+        orders.select("o_orderkey", (big + drift).alias("big"), (amount.cast("decimal(28,18)") + F.lit(f"{drift}E-18").cast("decimal(18,18)")).cast("decimal(38,18)").alias("amount"))
+        for drift in (0, 1)
+    ]
+    compared = compare.compare_numeric(*(profile_numeric(df, "o_orderkey", "sales", "orders") for df in sides))
+    return compared.where(F.col("variable").isin("min_value", "max_value")).select(
+        "column_name", "variable", "exact", "exact_tgt", "value_diff"
     )
 
 
@@ -139,6 +165,15 @@ CLEANED_EVENTS = f"""
         rounded_sql(numeric_sql(CLEANED_EVENTS, ["user_id", "value"], "lake", "events")),
         compare.NUMERIC_KEYS, ["value"], differences_sql("value"),
     ) + ")",
+    "SELECT 'metadata', '', measure, _merge, value_diff, percent_diff FROM (" + joined_sql(
+        primary_key_sql("events", ["event_id"], 6, "hive", "events"),
+        primary_key_sql(CLEANED_EVENTS, ["event_id"], 6, "lake", "events"),
+        compare.METADATA_KEYS, ["freq"], differences_sql("freq"),
+    ) + ")",
+    "SELECT 'date', column_name, date_type || ' ' || column_value, _merge, CASE WHEN same THEN 0.0 ELSE 1.0 END, CAST(NULL AS DOUBLE) FROM (" + joined_sql(
+        date_sql("events", ["ts"], "hive", "events"), date_sql(CLEANED_EVENTS, ["ts"], "lake", "events"),
+        compare.DATE_KEYS, ["freq"], "s.freq IS NOT DISTINCT FROM t.freq AS same",
+    ) + ")",
 ]))
 def compare_stored_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The source side delivers metric files, the target side compares its table with them."""
@@ -150,6 +185,11 @@ def compare_stored_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("categorical").alias("kind"), "column_name", F.col("column_value").alias("item"), *shown
     ).unionByName(found.numeric.select(
         F.lit("numeric").alias("kind"), "column_name", F.col("variable").alias("item"), *shown
+    )).unionByName(found.metadata.select(
+        F.lit("metadata").alias("kind"), F.lit("").alias("column_name"), F.col("measure").alias("item"), *shown
+    )).unionByName(found.date.select(
+        F.lit("date").alias("kind"), "column_name", F.concat_ws(" ", "date_type", "column_value").alias("item"), "_merge",
+        F.when(F.col("value_diff"), 0.0).otherwise(1.0).alias("value_diff"), F.lit(None).cast("double").alias("percent_diff"),
     ))
 
 

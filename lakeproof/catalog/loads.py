@@ -24,50 +24,50 @@ RAW_MAPPING = [
 ]
 
 
-@query("""
-  SELECT 'csv' AS origin, CAST(c_custkey AS VARCHAR) AS c_custkey, c_name FROM customer
-  UNION ALL SELECT 'json', CAST(c_custkey AS VARCHAR), c_name FROM customer
-  UNION ALL SELECT 'parquet', CAST(c_custkey AS VARCHAR), c_name FROM customer
-  UNION ALL SELECT 'xml', CAST(c_custkey AS VARCHAR), c_name FROM customer
-""")
+@query(union_all([f"SELECT '{origin}' AS origin, * FROM orders" for origin in ("csv", "json", "parquet", "xml")]))
 def convert_to_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same table from four formats, each converted to Parquet. XML and JSON need no types here."""
-    customer = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string"), "c_name")
-    schema = "c_custkey string, c_name string"
+    """The same table with all its types from four formats, each converted to Parquet."""
+    orders = table(spark, sf_dir, "orders")
     converted = []
     for origin in ("csv", "json", "parquet", "xml"):
         source, target = scratch_path(spark, origin), scratch_path(spark, f"{origin}-parquet")
-        writer = customer.write
-        options = {"row_tag": "customer"} if origin == "xml" else {}
+        options = {"row_tag": "order"} if origin == "xml" else {}
         if origin == "csv":
-            files.write_csv(customer, source)
+            files.write_csv(orders, source)
         elif origin == "xml":
-            writer.format("xml").option("rowTag", "customer").save(source)
+            orders.write.format("xml").option("rowTag", "order").save(source)
         elif origin == "json":
-            write_json_arrays(customer, source)
+            write_json_arrays(orders, source)
         else:
-            writer.parquet(source)
-        files.convert_to_parquet(spark, source, origin, target, schema=schema, **options)
-        converted.append(spark.read.parquet(target).select(F.lit(origin).alias("origin"), "c_custkey", "c_name"))
+            orders.write.parquet(source)
+        files.convert_to_parquet(spark, source, origin, target, schema=orders.schema, **options)
+        converted.append(spark.read.parquet(target).select(F.lit(origin).alias("origin"), *orders.columns))
     result = converted[0]
     for other in converted[1:]:
         result = result.unionByName(other)
     return result
 
 
-@query("SELECT 'orders' AS origin, count(*) AS n FROM orders UNION ALL SELECT 'part', count(*) FROM part")
+@query("""
+  SELECT CAST(o_orderkey AS BIGINT) AS id, o_orderpriority AS label, o_totalprice AS amount, o_orderdate AS day FROM orders
+  UNION ALL SELECT p_partkey, p_name, p_retailprice, NULL FROM part
+""")
 def convert_orc_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values of two tables after their conversion."""
     pairs = {}
     for name in ("orders", "part"):
         source = scratch_path(spark, f"orc-{name}")
         table(spark, sf_dir, name).write.orc(source)
         pairs[source] = scratch_path(spark, f"parquet-{name}")
     files.convert_orc_tables(spark, pairs)
-    counted = [
-        spark.read.parquet(path).agg(F.count("*").alias("n")).select(F.lit(name).alias("origin"), "n")
-        for name, path in zip(("orders", "part"), pairs.values())
-    ]
-    return counted[0].unionByName(counted[1])
+    orders, part = (spark.read.parquet(path) for path in pairs.values())
+    return orders.select(
+        F.col("o_orderkey").cast("bigint").alias("id"), F.col("o_orderpriority").alias("label"),
+        F.col("o_totalprice").alias("amount"), F.col("o_orderdate").alias("day"),
+    ).unionByName(part.select(
+        F.col("p_partkey").cast("bigint").alias("id"), F.col("p_name").alias("label"), F.col("p_retailprice").alias("amount"),
+        F.lit(None).cast("timestamp_ntz").alias("day"),
+    ))
 
 
 @query(categorical_sql("documents", ["text", "lang", "source"], "corpus", "documents"))

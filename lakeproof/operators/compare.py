@@ -23,6 +23,23 @@ def value_diff(source: Column, target: Column) -> Column:
     return source.cast("double") - target.cast("double")
 
 
+def exact_diff(source: Column, target: Column) -> Column:
+    """The difference of two numbers given as text, to the last digit; null where one is missing.
+
+    The digits before and after the point are subtracted apart, since their
+    difference as a whole would not fit a decimal.
+    """
+
+    def whole(text: Column) -> Column:
+        return F.substring_index(text, ".", 1).try_cast("decimal(38,0)")
+
+    def part(text: Column) -> Column:
+        digits = F.when(F.contains(text, F.lit(".")), F.substring_index(text, ".", -1)).otherwise("0")
+        return F.concat(F.when(F.startswith(text, F.lit("-")), "-0.").otherwise("0."), digits).try_cast("decimal(18,18)")
+
+    return (whole(source) - whole(target)).cast("double") + (part(source) - part(target)).cast("double")
+
+
 def percent_diff(source: Column, target: Column) -> Column:
     """(source - target) / source x 100; null for a zero source."""
     return F.try_divide(value_diff(source, target), source.cast("double")) * 100
@@ -82,10 +99,13 @@ def compare_categorical(
 def compare_numeric(
     source: DataFrame, target: DataFrame, keys: Sequence[str] = NUMERIC_KEYS, how: str = "outer", digits: int = 4
 ) -> DataFrame:
-    """Both sides are rounded before they are compared."""
+    """Doubles are rounded before they are compared; where both sides have the exact number, that is."""
     joined = join_sides(source, target, keys, how)
     rounded = joined.withColumns({c: F.round(c, digits) for c in ("value", "value_tgt")})
-    return with_differences(rounded, "value")
+    difference = F.coalesce(exact_diff(F.col("exact"), F.col("exact_tgt")), value_diff(F.col("value"), F.col("value_tgt")))
+    return rounded.withColumns({
+        "value_diff": difference, "percent_diff": F.try_divide(difference, F.col("value")) * 100,
+    })
 
 
 def compare_date(

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeproof.functions.naming import field
+from lakeproof.functions.naming import quoted
 
 # Rank of a value and the type label of a column whose smallest
 # rank it is. Rank 1 is long text; an all-null column (rank 9) has no label of
@@ -62,49 +63,51 @@ def value_rank(value: Column) -> Column:
     )
 
 
-def _column_rank(column: T.StructField) -> Column:
-    """Typed columns whose text form can only have one rank skip the text tests."""
-    value = field(column.name)
-    if isinstance(column.dataType, (T.ByteType, T.ShortType, T.IntegerType)):
-        known = 7
-    elif isinstance(column.dataType, T.DateType):
-        known = 4
-    elif isinstance(column.dataType, T.BooleanType):
-        known = 8
-    elif isinstance(column.dataType, (T.TimestampType, T.TimestampNTZType)):
-        known = 3
-    elif isinstance(column.dataType, (T.FloatType, T.DoubleType)):
-        size = F.abs(value)
+def _known_rank(column: T.StructField) -> str | None:
+    """The rank of a typed value, from its type and size, as SQL; none for text, which has to be looked at."""
+    value, dtype = quoted(column.name), column.dataType
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        # from 1e7 and below 1e-3 numbers are shown with an exponent
         return (
-            F.when(value.isNull(), NULL_RANK)
-            .when(F.isnan(value) | (size == float("inf")), 2)
-            .when((size >= 1e7) | ((size < 1e-3) & (size > 0)), 6)  # shown with an exponent
-            .otherwise(5)
+            f"CASE WHEN {value} IS NULL THEN {NULL_RANK} WHEN isnan({value}) OR abs({value}) = double('infinity') THEN 2 "
+            f"WHEN abs({value}) >= 1e7 OR abs({value}) < 1e-3 AND abs({value}) > 0 THEN 6 ELSE 5 END"
         )
-    elif isinstance(column.dataType, T.LongType):
-        return F.when(value.isNull(), NULL_RANK).when(value.between(*INT_RANGE), 7).otherwise(6)
-    else:
-        return value_rank(value.cast("string"))
-    return F.when(value.isNull(), NULL_RANK).otherwise(known)
+    if isinstance(dtype, T.LongType):
+        return f"CASE WHEN {value} IS NULL THEN {NULL_RANK} WHEN {value} BETWEEN {INT_RANGE[0]} AND {INT_RANGE[1]} THEN 7 ELSE 6 END"
+    ranks = {
+        7: (T.ByteType, T.ShortType, T.IntegerType), 4: T.DateType, 8: T.BooleanType, 3: (T.TimestampType, T.TimestampNTZType),
+    }
+    known = next((rank for rank, kinds in ranks.items() if isinstance(dtype, kinds)), None)
+    return None if known is None else f"IF({value} IS NULL, {NULL_RANK}, {known})"
 
 
 def infer_sql_types(df: DataFrame, sample_rows: int | None = None) -> DataFrame:
     """(ordinal, column_name, type_rank, sql_type): one row per column.
 
-    All columns are ranked in one scan and one global minimum. ``sample_rows``
-    reads only so many rows, as a quick look at a large table.
+    All columns share one scan and one minimum per column, taken before the
+    shuffle. The tests of a text are one expression over the values of all text
+    columns, so a table with hundreds of columns needs no more code than one
+    with two. ``sample_rows`` reads only so many rows, as a quick look at a
+    large table.
     """
     source = df if sample_rows is None else df.limit(sample_rows)
-    ranks = source.agg(*[F.min(_column_rank(c)).alias(f"rank{i}") for i, c in enumerate(df.schema)])
-    listed = F.array(*[
-        F.struct(
-            F.lit(i + 1).alias("ordinal"), F.lit(name).alias("column_name"),
-            F.coalesce(F.col(f"rank{i}"), F.lit(NULL_RANK)).alias("type_rank"),
-        )
-        for i, name in enumerate(df.columns)
-    ])
+    values = []
+    for column in df.schema:
+        known = _known_rank(column)
+        text = f"CAST({quoted(column.name)} AS STRING)" if known is None else "CAST(NULL AS STRING)"
+        values.append(f"named_struct('text', {text}, 'known', CAST({known or 'NULL'} AS INT))")
+    long = source.select(F.posexplode(F.expr(f"array({', '.join(values)})")).alias("slot", "value")).select("slot", "value.*")
+    ranks = long.select("slot", F.coalesce("known", value_rank(F.col("text"))).alias("rank")).groupBy("slot").agg(
+        F.min("rank").alias("rank")
+    )
+    names = pa.table({
+        "slot": pa.array(range(len(df.columns)), pa.int32()), "column_name": pa.array(df.columns, pa.string()),
+    })
     label = reduce(
         lambda rest, item: F.when(F.col("type_rank") == item[0], item[1]).otherwise(rest),
         LABEL_BY_RANK.items(), F.lit(WIDEST_LABEL),
     )
-    return ranks.select(F.inline(listed)).withColumn("sql_type", label)
+    # one row per column on both sides
+    return df.sparkSession.createDataFrame(names).join(ranks, "slot", "left").select(
+        (F.col("slot") + 1).alias("ordinal"), "column_name", F.coalesce("rank", F.lit(NULL_RANK)).alias("type_rank")
+    ).withColumn("sql_type", label)

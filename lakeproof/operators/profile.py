@@ -1,13 +1,15 @@
 """Column profiles of a table: value frequencies, numeric distribution, dates.
 
-Each profile is one scan that reads only its own class of columns, so the three
-together read every column once; nothing needs to be cached.
+Each profile reads only its own class of columns, and nothing is cached. Text and
+dates take one scan each. Numbers take one scan for everything but the deciles,
+and exact deciles two to four more, which run when the function is called.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -19,7 +21,9 @@ from lakeproof.operators.quantiles import ColumnRange, exact_quantiles, long_for
 from lakeproof.operators.typeclass import DATE, NUMBER, TEXT, columns_of_class, key_list
 
 CATEGORICAL_SCHEMA = "schema_name string, table_name string, column_name string, column_value string, freq bigint"
-NUMERIC_SCHEMA = "schema_name string, table_name string, column_name string, variable string, value double"
+NUMERIC_SCHEMA = (
+    "schema_name string, table_name string, column_name string, variable string, value double, exact string"
+)
 DATE_SCHEMA = (
     "schema_name string, table_name string, column_name string, date_type string, column_value string, freq string"
 )
@@ -82,7 +86,10 @@ def profile_numeric(
 ) -> DataFrame:
     """Range, mean, sample deviation, deciles and nulls of every numeric column.
 
-    The result has one row per column and statistic. ``percentiles="exact"``
+    The result has one row per column and statistic. Statistics are doubles; the
+    ends of integer and decimal columns are kept as ``exact`` text too, in the
+    column's own type (up to 20 digits before and 18 after the point).
+    ``percentiles="exact"``
     finds true deciles in a few scans that shuffle only bin counts;
     ``"approx"`` takes one scan with ``percentile_approx`` and suits tables of a
     few thousand partitions, since all sketches of a column meet in one reducer.
@@ -105,7 +112,11 @@ def profile_numeric(
     if percentiles == "approx":
         tenths = F.array(*[F.lit(float(p)) for p in DECILES.values()])
         aggregates.append(F.percentile_approx(value, tenths, accuracy).alias("deciles"))
-    summary = long_form(df, columns).groupBy("slot").agg(*aggregates)
+    aggregates += [F.min("exact").alias("least"), F.max("exact").alias("most")]
+    whole = [c for c in columns if isinstance(df.schema[c].dataType, (T.IntegralType, T.DecimalType))]
+    exact = [(field(c) if c in whole else F.lit(None)).try_cast("decimal(38,18)") for c in columns]
+    pairs = [F.struct(field(c).cast("double").alias("value"), e.alias("exact")) for c, e in zip(columns, exact)]
+    summary = df.select(F.posexplode(F.array(*pairs)).alias("slot", "pair")).select("slot", "pair.*").groupBy("slot").agg(*aggregates)
     found = {columns[row["slot"]]: row.asDict() for row in summary.collect()}
     nothing = {"null_values": 0, "n": 0, "nan": 0}  # a table without rows
     stats = {c: found.get(c, nothing) for c in columns}
@@ -122,20 +133,29 @@ def profile_numeric(
     # one row per column and statistic, whatever the size of the table
     rows = [
         {"schema_name": schema_name, "table_name": table_name, "column_name": name, "variable": variable,
-         "value": deciles[name, DECILES[variable]] if variable in DECILES else stats[name].get(variable)}
+         "value": deciles[name, DECILES[variable]] if variable in DECILES else stats[name].get(variable),
+         "exact": _plain(stats[name].get({"min_value": "least", "max_value": "most"}.get(variable, "")), df.schema[name].dataType)}
         for name in columns
         for variable in NUMERIC_VARIABLES
     ]
     text = ("schema_name", "table_name", "column_name", "variable")
-    arrow_schema = pa.schema([*((c, pa.string()) for c in text), ("value", pa.float64())])
+    arrow_schema = pa.schema([*((c, pa.string()) for c in text), ("value", pa.float64()), ("exact", pa.string())])
     return df.sparkSession.createDataFrame(pa.Table.from_pylist(rows, arrow_schema))
 
 
+def _plain(value: Decimal | None, dtype: T.DataType) -> str | None:
+    """A number with as many digits after the point as its type has."""
+    if value is None:
+        return None
+    scale = min(dtype.scale, 18) if isinstance(dtype, T.DecimalType) else 0
+    return f"{value:.{scale}f}"
+
+
 def profile_date(df: DataFrame, keys: str | Sequence[str], schema_name: str, table_name: str) -> DataFrame:
     """Rows per year, month and day of month, and the first and last value.
 
-    The rows are first reduced to one record per column and calendar day, and
-    the components and boundaries are taken from those.
+    One scan: the rows are first reduced to one record per column and calendar
+    day, and the components and boundaries are taken from those together.
     """
     columns = columns_of_class(df, DATE, key_list(keys))
     if not columns:
@@ -147,32 +167,26 @@ def profile_date(df: DataFrame, keys: str | Sequence[str], schema_name: str, tab
         .groupBy("column_name", F.to_date("value").alias("day"))
         .agg(F.count("*").alias("n"), F.min("value").alias("first"), F.max("value").alias("last"))
     )
-    parts = F.array(*[
-        F.struct(F.lit(name).alias("date_type"), part("day").cast("string").alias("column_value"))
-        for name, part in (("year", F.year), ("month", F.month), ("day", F.dayofmonth))
-    ])
-    components = (
-        days.select("column_name", "n", F.inline(parts))
-        .groupBy("column_name", "date_type", "column_value")
-        .agg(F.sum("n").cast("string").alias("freq"))
-    )
-    text_of = lambda c: (
-        F.when(F.col("column_name").isin(plain_dates), F.to_date(c).cast("string")).otherwise(F.col(c).cast("string"))
-        if plain_dates else F.col(c).cast("string")
-    )
-    ends = days.groupBy("column_name").agg(F.min("first").alias("first"), F.max("last").alias("last"))
-    boundaries = ends.select(
-        "column_name",
-        F.lit("boundary").alias("date_type"),
-        F.inline(F.array(
-            F.struct(F.lit("maximum").alias("column_value"), text_of("last").alias("freq")),
-            F.struct(F.lit("minimum").alias("column_value"), text_of("first").alias("freq")),
-        )),
-    )
-    return components.unionByName(boundaries).select(
-        *_named(schema_name, table_name), "column_name", "date_type", "column_value", "freq"
+    # components and ends leave as rows of one kind, and one aggregation sums the former and joins the latter
+    parts = [(F.lit(name), part("day").cast("string"), F.col("n")) for name, part in (
+        ("year", F.year), ("month", F.month), ("day", F.dayofmonth),
+    )] + [(F.lit("boundary"), F.lit(end), F.lit(0).cast("bigint")) for end in ("maximum", "minimum")]
+    spread = days.select("column_name", "first", "last", F.inline(F.array(*[
+        F.struct(kind.alias("date_type"), value.alias("column_value"), n.alias("n")) for kind, value, n in parts
+    ])))
+    found = spread.groupBy("column_name", "date_type", "column_value").agg(
+        F.sum("n").alias("n"), F.min("first").alias("first"), F.max("last").alias("last")
     )
 
+    def text_of(end: str) -> Column:
+        whole = F.col(end).cast("string")
+        return F.when(F.col("column_name").isin(plain_dates), F.to_date(end).cast("string")).otherwise(whole) if plain_dates else whole
+
+    freq = F.when(F.col("date_type") != "boundary", F.col("n").cast("string")).when(
+        F.col("column_value") == "maximum", text_of("last")
+    ).otherwise(text_of("first"))
+    return found.select(*_named(schema_name, table_name), "column_name", "date_type", "column_value", freq.alias("freq"))
+
 
 def sort_metrics(metrics: DataFrame) -> DataFrame:
     """Order a metric table by schema, table and its remaining text columns."""

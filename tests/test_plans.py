@@ -1,11 +1,14 @@
 """Physical plans that must not get worse: scans, shuffles, columns read, join kinds."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__
-from lakeproof.operators import compare, inventory
-from lakeproof.operators.profile import profile_categorical, profile_date
+from lakeproof.operators import compare, inventory, quantiles
+from lakeproof.operators.infer import infer_sql_types
+from lakeproof.operators.profile import profile_categorical, profile_date, profile_numeric
 
 DATA = "/root/testdata/sf0.001"
 
@@ -27,7 +30,25 @@ def test_all_text_columns_share_one_scan_and_one_shuffle(orders):
 
 def test_date_profile_reads_only_dates(orders):
     text = plan(profile_date(orders, "o_orderkey", "s", "t"))
-    assert text.count("ReadSchema: struct<o_orderdate:timestamp_ntz>") == text.count("FileScan")
+    assert text.count("ReadSchema: struct<o_orderdate:timestamp_ntz>") == text.count("FileScan") == 1
+    assert text.count("Exchange hashpartitioning") == 2
+
+
+def test_type_inference_takes_one_scan_on_wide_tables(spark):
+    wide = spark.read.parquet(f"{DATA}/orders.parquet").select(*[F.col("o_orderpriority").alias(f"c{n}") for n in range(160)])
+    started = time.perf_counter()
+    inferred = infer_sql_types(wide)
+    assert time.perf_counter() - started < 2
+    assert plan(inferred).count("FileScan") == 1
+    assert {r.sql_type for r in inferred.collect()} == {"Varchar(255)"}
+
+
+def test_numeric_profile_has_few_scans(orders, monkeypatch):
+    passes = []
+    split = quantiles._split_brackets
+    monkeypatch.setattr(quantiles, "_split_brackets", lambda *a: passes.append(1) or split(*a))
+    profile_numeric(orders, "o_orderkey", "s", "t").collect()
+    assert len(passes) <= 4
 
 
 def test_comparing_two_tables_takes_one_shuffle(orders):

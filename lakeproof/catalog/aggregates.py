@@ -196,6 +196,13 @@ def infer_sql_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return results[0].unionByName(results[1]).unionByName(results[2])
 
 
+@query(infer_sql([("r_regionkey", "7"), ("r_name", _text_rank("r_name"))], "region", "region"))
+def infer_from_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sample as large as the table gives the same types as the whole."""
+    region = table(spark, sf_dir, "region")
+    return infer(region, sample_rows=region.count()).withColumn("table_name", F.lit("region"))
+
+
 @query("SELECT max(ts) AS max_watermark FROM events")
 def max_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return highest(table(spark, sf_dir, "events"), "ts")

@@ -83,19 +83,24 @@ def convert_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query('SELECT p_partkey AS "P_PARTKEY", p_name AS "P_NAME", p_size AS "P_SIZE" FROM part')
+@query("""
+  SELECT p_partkey AS "P_PARTKEY", p_name AS "P_NAME", p_brand AS "P_BRAND", p_type AS "P_TYPE", p_size AS "P_SIZE",
+         p_retailprice AS "P_RETAILPRICE"
+  FROM part
+""")
 def strip_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dotted = _dotted(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size"), "sales.part")
+    dotted = _dotted(table(spark, sf_dir, "part"), "sales.part")
     return mapping.strip_table_prefix(dotted)
 
 
 @query("""
-  SELECT p_partkey AS "Part_Key", p_name AS "AM_Bank_Location", p_brand AS "AM_Bank_Location_2", p_type AS "Type"
+  SELECT p_partkey AS "Part_Key", p_name AS "Shelf_Bay_Number", p_brand AS "Shelf_Bay_Number_2", p_type AS "Type",
+         p_size AS "Size_cm", p_retailprice AS "Retail_Price"
   FROM part
 """)
 def normalize_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
-    return mapping.normalize_headers(part.toDF("Part Key", "AM/Bank Location", "AM Bank/Location", " Type "))
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
+    return mapping.normalize_headers(part.toDF("Part Key", "Shelf/Bay Number", "Shelf Bay/Number", " Type ", "Size/cm", "Retail Price"))
 
 
 @query("""

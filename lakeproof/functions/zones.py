@@ -10,6 +10,7 @@ IANA_BY_WINDOWS = {
     "china standard time": "Asia/Shanghai",
     "india standard time": "Asia/Kolkata",
     "se asia standard time": "Asia/Bangkok",
+    "se standard time": "Asia/Bangkok",
     "singapore standard time": "Asia/Singapore",
     "utc": "UTC",
 }

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
 
@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeproof.functions.casting import safe_cast, spark_type, type_default
-from lakeproof.functions.naming import bare_upper, clean_header, field, quoted, unique_names
+from lakeproof.functions.naming import bare_upper, clean_header, field, unique_names
 
 MAPPING_SCHEMA = (
     "mappings array<struct<source: struct<name: string, type: string, physicalType: string>, "
@@ -68,12 +68,15 @@ def mapping_from_table(mappings: DataFrame, schema_name: str, table_name: str) -
     return parse_mapping(row["mapping"])
 
 
+def map_columns_of(df: DataFrame, mapping: Sequence[ColumnMap]) -> list[Column]:
+    return [
+        safe_cast(field(m.source), df.schema[m.source].dataType, m.target_type, m.width).alias(m.sink) for m in mapping
+    ]
+
+
 def map_columns(df: DataFrame, mapping: Sequence[ColumnMap]) -> DataFrame:
     """One projection: rename, cast, cut text to width, drop what is not mapped."""
-    return df.select([
-        safe_cast(field(m.source), df.schema[m.source].dataType, m.target_type, m.width).alias(m.sink)
-        for m in mapping
-    ])
+    return df.select(map_columns_of(df, mapping))
 
 
 def map_ordinals(df: DataFrame, names: Sequence[str] | Mapping[int, str]) -> DataFrame:
@@ -137,9 +140,3 @@ def add_load_date(df: DataFrame, run_date: date | None = None) -> DataFrame:
 def with_column_ids(df: DataFrame) -> DataFrame:
     """Columns renamed to their position and name, such as ``[1]name``."""
     return df.toDF(*[f"[{i}]{c}" for i, c in enumerate(df.columns, start=1)])
-
-
-def select_renamed(df: DataFrame, names: Iterable[str]) -> DataFrame:
-    """Keep the named columns under unique names."""
-    wanted = list(names)
-    return df.select([F.col(quoted(c)).alias(u) for c, u in zip(wanted, unique_names(wanted))])

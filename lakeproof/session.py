@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -27,6 +29,10 @@ def local_session(cores: int | str = "*", app: str = "lakeproof", **conf: str) -
     return spark
 
 
+# Folders made for local masters, by application; they go when Python ends.
+_FALLBACKS: dict[str, str] = {}
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
@@ -38,11 +44,23 @@ def shared_root(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    fallback = tempfile.mkdtemp(prefix="lakeproof-")
-    spark.sparkContext.setCheckpointDir(fallback)
-    return fallback
+    if spark.sparkContext.applicationId not in _FALLBACKS:
+        made = _FALLBACKS[spark.sparkContext.applicationId] = tempfile.mkdtemp(prefix="lakeproof-")
+        atexit.register(shutil.rmtree, made, ignore_errors=True)
+    return _FALLBACKS[spark.sparkContext.applicationId]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_root(spark)}/lakeproof/{label}-{uuid.uuid4().hex[:12]}"
+    """A new, unused path below the application's own part of the shared folder."""
+    return f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{shared_root(spark)}/lakeproof/{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application staged, once no result that reads it is needed any more."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)

@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeproof.operators.mapping import ColumnMap, fill_type_defaults, split_incompatible
+from lakeproof.functions.naming import field
+from lakeproof.operators.mapping import ColumnMap, conversion_errors, fill_type_defaults, map_columns_of
+from lakeproof.session import scratch_path
 from lakeproof.sinks.files import write_parquet
 from lakeproof.sinks.fingerprint import copy_consistency
 
@@ -39,27 +41,33 @@ def load_with_threshold(
 ) -> int:
     """Load the rows that convert and return how many did not.
 
-    Rejects are found before any row is loaded. More than ``max_rejects`` stops
-    the load; None allows any number. The rows that failed are kept at
-    ``reject_path``, also when the load is stopped.
+    The source is read and converted once, into a staged table of good and bad
+    rows; what follows reads that. More than ``max_rejects`` stops the load
+    before any row is loaded; None allows any number. The rows that failed are
+    kept at ``reject_path``, also when the load is stopped.
     """
-    good, rejects = split_incompatible(df, mapping)
-    if reject_path is None:
-        rejected = rejects.count()
-    else:
+    spark, staging = df.sparkSession, scratch_path(df.sparkSession, "load")
+    checked = df.select(F.struct(*[field(c) for c in df.columns]).alias("source"), conversion_errors(df, mapping).alias("bad"))
+    raw = checked.select("source.*", "bad")
+    converted = F.struct(*map_columns_of(raw, mapping))
+    is_bad = F.size("bad") > 0
+    split = raw.select(
+        is_bad.cast("string").alias("is_bad"), F.when(~is_bad, converted).alias("good"),
+        F.when(is_bad, F.struct(*[field(c) for c in df.columns], F.concat_ws(",", "bad").alias("bad_columns"))).alias("reject"),
+    )
+    split.write.partitionBy("is_bad").parquet(staging)
+    staged = spark.read.schema(split.schema).parquet(staging)
+    rejects = staged.where("is_bad = 'true'").select("reject.*")
+    rejected = rejects.count()
+    if reject_path is not None:
         write_parquet(rejects, reject_path)
-        rejected = df.sparkSession.read.parquet(reject_path).count()
     if max_rejects is not None and rejected > max_rejects:
         raise LoadRejected(f"{rejected} rows do not fit, {max_rejects} allowed")
+    good = staged.where("is_bad = 'false'").select("good.*")
     write_parquet(fill_type_defaults(good) if use_type_default else good, path)
     return rejected
 
 
-def skip_incompatible(df: DataFrame, mapping: Sequence[ColumnMap]) -> DataFrame:
-    """The rows that convert; the others are left out."""
-    return split_incompatible(df, mapping)[0]
-
-
 def publish(spark: SparkSession, raw_path: str, published_path: str, check: bool = True) -> int:
     """Copy a landed Parquet folder to its published place and return the row count."""
     raw = spark.read.parquet(raw_path)

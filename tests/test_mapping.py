@@ -63,7 +63,7 @@ def test_type_names():
 
 
 def test_headers():
-    assert clean_header(" AM/Bank  Location ") == "AM_Bank_Location"
+    assert clean_header(" Shelf/Bay  Number ") == "Shelf_Bay_Number"
     assert unique_names(["a", "A", "a", "b"]) == ["a", "A_2", "a_3", "b"]
     assert unique_names(["a", "a", "a_2"]) == ["a", "a_2", "a_2_2"]
 

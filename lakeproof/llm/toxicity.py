@@ -102,7 +102,7 @@ class Lexicon:
             if start and folded[start - 1].isalnum() or end < size and folded[end].isalnum():
                 continue
             (excepted if entry in self.exceptions else found).append((start, end, entry))
-        return [m for m in found if not any(a <= m[0] and m[1] <= b for a, b in excepted)]
+        return [m for m in found if not any(a <= m[0] and m[1] <= b for a, b, _ in excepted)]
 
     def stem_matches(self, lowered: str) -> list[tuple[int, int, str]]:
         """(start, end, stem) of the words that begin with a stem; a word counts once."""

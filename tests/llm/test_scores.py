@@ -24,7 +24,7 @@ def area_under_curve(positive, negative):
     return (positive > negative).mean() + 0.5 * (positive == negative).mean()
 
 
-@pytest.mark.parametrize("disguised", ["1d10t", "ＩＤＩＯＴ", "ідіот", "ïdíöt", "id​iot", "id!ot", "idi0t"])
+@pytest.mark.parametrize("disguised", ["1d10t", "ＩＤＩＯＴ", "іdіоt", "ïdíöt", "id​iot", "id!ot", "idi0t"])
 def test_disguises_fold_away(disguised):
     assert fold(disguised).strip("!") == "idiot" and FIXED.load(f"you {disguised} there")[1] == 1
 

@@ -29,6 +29,8 @@ LEAST_SHARE = 0.5
 #: Inside an article only elements of these kinds and of so few words may be template: prose that recurs is text.
 FURNITURE = frozenset("div section ul ol dl figure table".split())
 FURNITURE_WORDS = 40
+#: Tags below this depth open no element of their own, as in browsers; their text counts for the element above.
+DEEPEST = 512
 
 # Elements that never hold a main text, that have no end tag, and that begin a new block.
 DROPPED = frozenset(
@@ -175,6 +177,11 @@ def parse(source: str) -> Page:
                     break
                 if elements[stack[depth]].tag not in INLINE:
                     break
+        if len(stack) > DEEPEST:
+            if tag in RAW:
+                end = _RAW_END[tag].search(source, at)
+                at = end.start() if end else len(source)
+            continue
         above = elements[stack[-1]]
         named, role = _said(found[3])
         article = above.article or tag in ("article", "main") or role in ("main", "article")

@@ -3,11 +3,10 @@
 import pytest
 
 import __spark_entry__
+from lakeproof.catalog import ORACLES, QUERIES
 from tests.oracle import connect, differences
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = __spark_entry__.queries()
-ORACLES = __spark_entry__.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -26,6 +25,7 @@ def test_query(spark, duck, name):
 
 def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
+    assert set(QUERIES) <= set(__spark_entry__.queries()) and set(ORACLES) <= set(__spark_entry__.oracle_sql())
 
 
 def test_entry(spark):

@@ -8,29 +8,45 @@ sets are close when 9 * overlap >= 4 * (size + size), that is at a Jaccard simil
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 
-GROUPS = 128
+#: Groups of a point. Boxes are kept over so many sums of them, which bound the overlap less tightly but cost less.
+GROUPS, BOX_GROUPS = 1024, 128
 LEAF = 24
+#: Pairs of points that are compared at a time.
+PAIRS_AT_ONCE = 1024
 
 
-def count_vector(tokens: np.ndarray, groups: int = GROUPS) -> np.ndarray:
-    return np.bincount((tokens % np.uint64(groups)).astype(np.int64), minlength=groups).astype("<u4")
+def count_vector(tokens: np.ndarray) -> np.ndarray:
+    return np.bincount((tokens % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS)
+
+
+def packed_counts(tokens: np.ndarray) -> bytes:
+    """A count vector in few bytes."""
+    counts = count_vector(tokens)
+    return zlib.compress(counts.astype("u1" if counts.max(initial=0) < 256 else "<u4").tobytes(), 6)
+
+
+def unpacked_counts(packed: bytes) -> np.ndarray:
+    raw = zlib.decompress(packed)
+    return np.frombuffer(raw, "u1" if len(raw) == GROUPS else "<u4")
 
 
 class CountTree:
     """Points packed into leaves, leaves into boxes of boxes up to one root."""
 
     def __init__(self, points: np.ndarray, sizes: np.ndarray) -> None:
-        self.points, self.sizes = points.astype(np.int64), sizes.astype(np.int64)
+        self.points, self.sizes = points, sizes.astype(np.int64)
+        self.sums = points.reshape(len(points), -1, BOX_GROUPS).sum(axis=1, dtype=np.int64)
         # by size, then along one direction: near sets get into the same leaf
-        direction = np.random.default_rng(3).standard_normal(points.shape[1])
+        direction = np.random.default_rng(3).standard_normal(BOX_GROUPS)
         slab = np.floor(np.log(np.maximum(self.sizes, 1)) / 0.1)
-        self.order = np.lexsort((np.arange(len(sizes)), np.round(self.points @ direction, 6), slab))
+        self.order = np.lexsort((np.arange(len(sizes)), np.round(self.sums @ direction, 6), slab))
         self.leaves = [self.order[k:k + LEAF] for k in range(0, len(self.order), LEAF)]
-        self.high = [np.stack([self.points[leaf].max(axis=0) for leaf in self.leaves])]
+        self.high = [np.stack([self.sums[leaf].max(axis=0) for leaf in self.leaves])]
         self.least = [np.array([self.sizes[leaf].min() for leaf in self.leaves])]
         self.most = [np.array([self.sizes[leaf].max() for leaf in self.leaves])]
         while len(self.high[-1]) > 1:
@@ -55,10 +71,18 @@ class CountTree:
                 nodes = nodes[nodes < len(self.high[level - 1])]
         return [int(n) for n in nodes if n >= leaf]
 
-    def close(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """Which of the points ``left`` may be close to which of ``right``."""
-        bound = np.minimum(self.points[left][:, None, :], self.points[right][None, :, :]).sum(axis=2)
-        return 9 * bound >= 4 * (self.sizes[left][:, None] + self.sizes[right][None, :])
+    def close(self, left: np.ndarray, right: np.ndarray, wanted: np.ndarray) -> list[tuple[int, int]]:
+        """Places of the ``wanted`` pairs of points ``left`` and ``right`` that may be close."""
+        needed = 4 * (self.sizes[left][:, None] + self.sizes[right][None, :])
+        bound = np.minimum(self.sums[left][:, None, :], self.sums[right][None, :, :]).sum(axis=2)
+        rows, columns = np.nonzero(wanted & (9 * bound >= needed))
+        found = []
+        for start in range(0, len(rows), PAIRS_AT_ONCE):
+            i, j = rows[start:start + PAIRS_AT_ONCE], columns[start:start + PAIRS_AT_ONCE]
+            tight = np.minimum(self.points[left[i]], self.points[right[j]]).sum(axis=1, dtype=np.int64)
+            near = 9 * tight >= needed[i, j]
+            found += zip(i[near].tolist(), j[near].tolist())
+        return found
 
     def forest(self) -> Iterator[tuple[int, int]]:
         """Pairs that may be close, as few as connect what such pairs connect."""
@@ -76,9 +100,10 @@ class CountTree:
                 tops = {find(int(x)) for x in leaf} | {find(int(x)) for x in members}
                 if len(tops) < 2:
                     continue
-                for i, j in np.argwhere(self.close(leaf, members)).tolist():
+                every = np.ones((len(leaf), len(members)), bool)
+                for i, j in self.close(leaf, members, np.triu(every, 1) if number == other else every):
                     a, b = int(leaf[i]), int(members[j])
-                    if (number != other or i < j) and (x := find(a)) != (y := find(b)):
+                    if (x := find(a)) != (y := find(b)):
                         root[max(x, y)] = min(x, y)
                         yield a, b
 
@@ -92,8 +117,8 @@ class CountTree:
                 apart = own[:, None] != theirs[None, :]
                 if side is not None:
                     apart &= side[leaf][:, None] != side[members][None, :]
-                if not apart.any():
-                    continue
-                for i, j in np.argwhere(apart & self.close(leaf, members)).tolist():
-                    if number != other or i < j:
+                if number == other:
+                    apart = np.triu(apart, 1)
+                if apart.any():
+                    for i, j in self.close(leaf, members, apart):
                         yield int(leaf[i]), int(members[j])

@@ -23,7 +23,6 @@ A cell with more points than ``BLOCK`` is worked on in blocks (step 2) and pairs
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -33,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeproof.llm.components import connected_components
-from lakeproof.llm.counttree import GROUPS, CountTree, count_vector
+from lakeproof.llm.counttree import CountTree, packed_counts, unpacked_counts
 from lakeproof.llm.shingles import shingle_set
 from lakeproof.llm.support import in_slices, sized_join, staged, text_of
 
@@ -71,7 +70,7 @@ def sketch(documents: DataFrame) -> DataFrame:
                 "doc_id": batch["doc_id"],
                 "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
                 "class": pa.array([set_class(s) if len(s) else None for s in sets], pa.int64()),
-                "counts": pa.array([zlib.compress(count_vector(s).tobytes(), 1) if len(s) else None for s in sets], pa.binary()),
+                "counts": pa.array([packed_counts(s) if len(s) else None for s in sets], pa.binary()),
                 "cells": pa.array([cells_of(s) if len(s) else [] for s in sets], pa.list_(pa.int64())),
             })
 
@@ -116,8 +115,7 @@ def _block_pairs(emit: Callable[[CountTree, dict[str, np.ndarray]], Iterator[tup
     def _of_block(rows: pa.Table) -> Iterator[tuple[int, int]]:
         if rows.num_rows < 2:
             return
-        counts = b"".join(map(zlib.decompress, rows["counts"].to_pylist()))
-        points = np.frombuffer(counts, "<u4").reshape(rows.num_rows, GROUPS)
+        points = np.stack([unpacked_counts(c) for c in rows["counts"].to_pylist()])
         tree = CountTree(points, rows["n_shingles"].to_numpy())
         classes = rows["class"].to_numpy()
         for i, j in emit(tree, {c: rows[c].to_numpy() for c in ("component", "side")}):

@@ -1,31 +1,60 @@
-"""Token ids by the tokenizers library, with every distinct piece of text encoded once per task.
+"""Token ids of texts, faster than by encoding whole texts one after the other.
 
-Byte-pair merges act within the pieces into which a tokenizer's pattern splits a text, so
-the ids of a text are those of its pieces, one after the other. Pieces repeat far more
-than texts do; merging each new piece once is several times faster than encoding whole texts.
+Byte-level vocabularies of ranks have an encoder of their own. For the others: byte-pair merges act within the pieces into which a tokenizer's pattern splits a text, and
+a piece lies within a word (with the space before it), so the ids of a text are those of its
+words, one after the other. Words repeat far more than texts do.
 """
 
 from __future__ import annotations
 
+import base64
 import json
+import re
 import unicodedata
-from itertools import chain
+from collections.abc import Callable
 
 import numpy as np
 import public_tokenizers
 import regex
+import tiktoken
 from tokenizers import Tokenizer
 
-#: Pieces that an encoder remembers; beyond that it begins anew.
-REMEMBERED = 400_000
-#: Pieces are encoded so many at a time.
-GROUP = 256
-# Characters that Python counts as white space and the tokenizers' pattern doesn't.
-_ODD_SPACE = regex.compile("[\x1c-\x1f]")
+#: Words, and pieces, that an encoder remembers: those of the last so many new ones, and twice as many at most.
+REMEMBERED = 100_000
+# Characters that Python counts as white space and the tokenizers' pattern doesn't, and the mark that splits at spaces.
+_ODD = re.compile("[\x00\x1c-\x1f]")
+# Where a space is no word's beginning: inside or at the end of a run of white space.
+_RUN = re.compile(r"\s (?:\s|\Z)")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that byte-level vocabularies use for each byte: itself if it can be seen, else one from 256 on."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in set(seen)]
+    return {b: chr(b) for b in seen} | {b: chr(256 + n) for n, b in enumerate(hidden)}
+
+
+class Remembered(dict):
+    """A dictionary that fills itself. When it is full it becomes the old one, which lends what is still in use."""
+
+    def __init__(self, make: Callable[[str], bytes]) -> None:
+        super().__init__()
+        self.make = make
+        self.old: dict[str, bytes] = {}
+
+    def __missing__(self, key: str) -> bytes:
+        if len(self) >= REMEMBERED:
+            self.old = dict(self)
+            self.clear()
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        self[key] = value
+        return value
 
 
 class PieceEncoder:
-    """Encodes texts with one tokenizer file; ids come as little-endian unsigned 32-bit integers."""
+    """Encodes texts with one byte-level tokenizer file; ids come as little-endian unsigned 32-bit integers."""
 
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
@@ -36,42 +65,63 @@ class PieceEncoder:
         steps = layout["pre_tokenizer"].get("pretokenizers", [layout["pre_tokenizer"]])
         stated = [s["pattern"]["Regex"] for s in steps if s["type"] == "Split"]
         self.pattern = regex.compile(stated[0] if stated else public_tokenizers.PATTERN)
-        self.known: dict[str, bytes] = {}
+        self.letters = _byte_letters()
+        merge = self.tokenizer.model.tokenize
+        self.pieces = Remembered(lambda piece: _packed([
+            t.id for t in merge(piece.encode().decode("latin-1").translate(self.letters))
+        ]))
+        self.words = Remembered(lambda word: b"".join(map(self.pieces.__getitem__, self.pieces_of(word))))
+
+    def pieces_of(self, word: str) -> list[str]:
+        """What the pattern makes of a word. A run of letters is one piece, and a sign after it another."""
+        if self.normalizes and word.isalpha():
+            return [word]
+        if self.normalizes and word[:-1].isalpha() and word[-1] in ".,;:!?":
+            return [word[:-1], word[-1]]
+        return self.pattern.findall(word)
 
-    def pieces(self, text: str) -> list[str]:
+    def split(self, text: str) -> list[str] | None:
+        """The words of a text, each with what precedes it; none where words can't be told apart simply."""
+        if _ODD.search(text):
+            return None
         if self.normalizes:
             # the final sigma is lower-cased by its place, which the tokenizer doesn't do
             if "Σ" in text or "İ" in text:
                 text = self.tokenizer.normalizer.normalize_str(text)
             else:
                 text = unicodedata.normalize("NFC", text).lower()
-        return self.pattern.findall(text)
+            return text.split()
+        return self.pattern.findall(text) if _RUN.search(text) else text.replace(" ", "\x00 ").split("\x00")
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, without special tokens."""
-        split = [None if _ODD_SPACE.search(t) else self.pieces(t) for t in texts]
-        if len(self.known) > REMEMBERED:
-            self.known = {}
-        self._learn(list(set(chain.from_iterable(s for s in split if s is not None)).difference(self.known)))
-        known = self.known.__getitem__
-        return [self._whole(t) if s is None else b"".join(map(known, s)) for t, s in zip(texts, split)]
-
-    def _whole(self, text: str) -> bytes:
-        return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
-
-    def _learn(self, pieces: list[str]) -> None:
-        for start in range(0, len(pieces), GROUP):
-            group = pieces[start:start + GROUP]
-            encoded = self.tokenizer.encode(group, is_pretokenized=True, add_special_tokens=False)
-            ids, of = _packed(encoded.ids), encoded.word_ids
-            at = 0
-            for number, piece in enumerate(group):
-                end = at
-                while end < len(of) and of[end] == number:
-                    end += 1
-                self.known[piece] = ids[4 * at:4 * end]
-                at = end
+        found = []
+        for text in texts:
+            words = self.split(text)
+            if words is None:
+                found.append(_packed(self.tokenizer.encode(text, add_special_tokens=False).ids))
+            else:
+                found.append(b"".join(map(self.words.__getitem__, words)))
+        return found
+
+
+class RankEncoder:
+    """Encodes texts with a vocabulary of ranks, which gives the ids of the tokenizer file it comes from."""
+
+    def __init__(self, path: str) -> None:
+        with open(path, "rb") as lines:
+            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+        self.encoding = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, without special tokens."""
+        return [_packed(self.encoding.encode_ordinary(text)) for text in texts]
+
+
+def encoder_of(path: str) -> PieceEncoder | RankEncoder:
+    """The encoder of a vocabulary file, by its kind."""
+    return RankEncoder(path) if path.endswith(".tiktoken") else PieceEncoder(path)
 
 
 def _packed(ids: list[int]) -> bytes:
-    return np.asarray(ids, dtype="<u4").tobytes()
+    return np.array(ids, "<u4").tobytes()

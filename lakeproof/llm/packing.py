@@ -27,10 +27,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeproof.llm.encoding import PieceEncoder
-from lakeproof.llm.support import in_slices, staged, text_of
+from lakeproof.llm.encoding import encoder_of
+from lakeproof.llm.support import in_slices, sized_join, staged, text_of
 
-VOCABULARY = "byte_bpe_50k.json"
+#: The ranks of byte_bpe_50k.json: the same ids, several times faster.
+VOCABULARY = "byte_bpe_50k.tiktoken"
 END_ID = 2
 SEQUENCE_TOKENS = 1024
 GROUPS = 64
@@ -55,7 +56,7 @@ def token_pieces(documents: DataFrame, vocabulary: str | None = None, end_id: in
         from pyspark import TaskContext
 
         task, seen, end = TaskContext.get().partitionId(), Counter(), np.array([end_id], "<u4").tobytes()
-        encoder = PieceEncoder(path)
+        encoder = encoder_of(path)
         for batch in in_slices(batches):
             rows = []
             for doc_id, ids in zip(batch["doc_id"].to_pylist(), encoder.encode(batch["text"].to_pylist())):
@@ -262,7 +263,7 @@ def pack(documents: DataFrame, vocabulary: str | None = None, end_id: int = END_
     )), "piece-counts")
     lengths = {r["length"]: r["n"] for r in counted.groupBy("length").agg(F.sum("count").alias("n")).collect()}
     plan = plan_table(plan_runs(lengths, capacity, groups))
-    ranked = pieces.join(counted.select("length", "task", "before"), ["length", "task"]).select(
+    ranked = sized_join(pieces, counted.select("length", "task", "before"), ["length", "task"]).select(
         "doc_id", "piece", "start", "length", "ids_crc32", (F.col("before") + F.col("nth")).alias("rank")
     )
 

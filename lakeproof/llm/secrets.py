@@ -8,7 +8,6 @@ unless it is a known digest or an identifier.
 
 from __future__ import annotations
 
-import base64
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -20,6 +19,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeproof.llm.encoding import RankEncoder
 from lakeproof.llm.spans import Span, digest, in_text_order, redacted, written
 from lakeproof.llm.support import in_slices, text_of
 
@@ -55,9 +55,7 @@ class Efficiency:
 
     @cached_property
     def encoding(self) -> tiktoken.Encoding:
-        with open(self.vocabulary, "rb") as lines:
-            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        return tiktoken.Encoding("public", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        return RankEncoder(self.vocabulary).encoding
 
     def is_random(self, run: str) -> bool:
         return len(run) < self.chars_per_token * len(self.encoding.encode_ordinary(run))

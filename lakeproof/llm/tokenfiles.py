@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from lakeproof.llm.encoding import PieceEncoder
+from lakeproof.llm.encoding import encoder_of
 from lakeproof.llm.support import in_slices, staged, text_of
 from lakeproof.session import scratch_path
 from lakeproof.sources.remote import resolve
@@ -157,7 +157,7 @@ def write_token_files(
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        end, writer, count, encoder = np.array([end_id], "<u4"), None, 0, PieceEncoder(path)
+        end, writer, count, encoder = np.array([end_id], "<u4"), None, 0, encoder_of(path)
         for batch in in_slices(batches):
             if writer is None:
                 address = f"{folder}/{uuid.uuid4().hex}.tokens"

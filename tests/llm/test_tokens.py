@@ -7,23 +7,27 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 from tokenizers import Tokenizer
 
-from lakeproof.llm.encoding import PieceEncoder
+from lakeproof.llm.encoding import encoder_of
 from lakeproof.llm.packing import cut, pack, plan_runs, plan_table
 from lakeproof.llm.tokenfiles import CHUNK_IDS, TokenFileReader, TokenFileWriter, token_file_round_trip
-from tests.llm.fixtures import awkward, documents, prose
+from tests.llm.fixtures import SF_DIR, awkward, documents, prose
 
 PARTS = ["a", "Be", " ", "  ", "\n", "\n\n", "\t", "'s", "'LL", "é", "É", "é", "12", "3", "!", "?!", "\xa0", "中文", "Σ", "İ", "<|endoftext|>", "😀", "\x1c", "\x00", "_", "\r\n", " ", "ß"]
 
 
-@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
-def test_ids_equal_the_library(name):
+@pytest.mark.parametrize("name, kind", [
+    ("word_bpe_49k.json", "word_bpe_49k.json"), ("byte_bpe_50k.json", "byte_bpe_50k.json"), ("byte_bpe_50k.json", "byte_bpe_50k.tiktoken"),
+])
+def test_ids_equal_the_library(name, kind):
     draw, path = random.Random(1), public_tokenizers.path(name)
-    library, ours = Tokenizer.from_file(path), PieceEncoder(path)
+    library, ours = Tokenizer.from_file(path), encoder_of(public_tokenizers.path(kind))
     library.encode_special_tokens = True
     texts = ["".join(draw.choice(PARTS) for _ in range(draw.randint(0, 12))) for _ in range(4000)] + [prose(300, 4), prose(300, 4) + "\n\n  x\n"]
+    texts += [r.as_py() for r in pq.read_table(f"{SF_DIR}/documents.parquet", columns=["text"])["text"]]
     expected = library.encode_batch(texts, add_special_tokens=False)
     for text, ids, encoding in zip(texts, ours.encode(texts), expected):
         assert np.frombuffer(ids, "<u4").tolist() == encoding.ids, repr(text)

@@ -42,6 +42,8 @@ WINDOW_REACH = 1.5
 #: By how many standard deviations a pair at the threshold may fall short of its mean count.
 COUNT_SLACK = 6.0
 BLOCK = 1024
+#: Vectors of a cell up to which its pairs are counted one by one, and pairs that are counted at a time.
+SHORT_RUN, PAIRS_AT_ONCE = 48, 20_000
 LINK_SCHEMA = "class bigint, links bigint, least bigint"
 
 
@@ -62,7 +64,7 @@ class Plan:
         return cells, generator.uniform(0, CELL_WIDTH, self.width * self.tables), generator.standard_normal((size, WINDOWS))
 
     def keys(self, vectors: np.ndarray) -> np.ndarray:
-        """The cell of every vector in every table, as one number."""
+        """The cell of every unit vector in every table, as one number."""
         cells, shifts, _ = self.directions(vectors.shape[1])
         places = np.floor((vectors @ cells + shifts) / CELL_WIDTH).astype(np.int64).view(np.uint64)
         keys = np.zeros((len(vectors), self.tables), np.uint64)
@@ -129,69 +131,144 @@ def _dealt(classes: DataFrame, plan: Plan) -> DataFrame:
     )
 
 
-def _count_collisions(vectors: np.ndarray, plan: Plan) -> np.ndarray:
+def _shared_windows(projected: np.ndarray, reach: float) -> np.ndarray:
     """How many windows each pair shares: per direction, vectors are sorted and windows are runs of ranks."""
-    projected = vectors @ plan.directions(vectors.shape[1])[2]
-    shared = np.zeros((len(vectors), len(vectors)), np.uint8)
+    shared = np.zeros((len(projected), len(projected)), np.uint8)
     for values in projected.T:
         order = np.sort(values)
         rank = np.searchsorted(order, values)
-        first, last = np.searchsorted(order, values - plan.reach), np.searchsorted(order, values + plan.reach, "right")
+        first, last = np.searchsorted(order, values - reach), np.searchsorted(order, values + reach, "right")
         shared += (rank[None, :] >= first[:, None]) & (rank[None, :] < last[:, None])
     return shared
 
 
-def _block_links(vectors: np.ndarray, classes: np.ndarray, members: np.ndarray, side: np.ndarray, table: int, plan: Plan):
-    """(classes, links, least) of one block: what its pairs, those that met here first, add to each vector."""
-    vectors = unit(vectors)
-    candidate = _count_collisions(vectors, plan) >= plan.count
-    candidate &= candidate.T
-    np.fill_diagonal(candidate, False)
-    if side.min() != side.max():
-        candidate &= side[:, None] != side[None, :]
-    if table and candidate.any():
-        keys = plan.keys(vectors)[:, :table]
-        for k in range(table):
-            candidate &= keys[:, k][:, None] != keys[:, k][None, :]
-            if not candidate.any():
-                break
-    if not candidate.any():
-        return None
-    linked = candidate & (vectors @ vectors.T >= plan.cosine)
-    links = linked @ members
+@dataclass
+class Block:
+    """Rows of a batch as arrays: whole runs of rows with one cell and block."""
+
+    classes: np.ndarray
+    members: np.ndarray
+    side: np.ndarray
+    table: np.ndarray
+    vectors: np.ndarray
+    projected: np.ndarray
+
+    def met_before(self, left: np.ndarray, right: np.ndarray, plan: Plan) -> np.ndarray:
+        """Which pairs have met in a table before this one."""
+        rows, at = np.unique(np.concatenate([left, right]), return_inverse=True)
+        keys = plan.keys(self.vectors[rows])
+        same = keys[at[:len(left)]] == keys[at[len(left):]]
+        return (same & (np.arange(plan.tables)[None, :] < self.table[left][:, None])).any(axis=1)
+
+
+def _triangle(size: int, known: dict[int, tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    if size not in known:
+        known[size] = np.triu_indices(size, 1)
+    return known[size]
+
+
+def _candidate_pairs(block: Block, bounds: list[int], plan: Plan) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of one run that share enough windows. Short runs are counted pair by pair, all at once; long ones sorted."""
+    lefts, rights = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    short: list[tuple[np.ndarray, np.ndarray]] = []
+    waiting = 0
+
+    def count_short() -> None:
+        nonlocal waiting
+        left, right = (np.concatenate(x) for x in zip(*short))
+        near = (np.abs(block.projected[left] - block.projected[right]) <= plan.reach).sum(axis=1) >= plan.count
+        lefts.append(left[near])
+        rights.append(right[near])
+        short.clear()
+        waiting = 0
+
+    for start, end in zip(bounds, bounds[1:]):
+        size = end - start
+        if size < 2:
+            continue
+        if size <= SHORT_RUN:
+            left, right = _triangle(size, known)
+            short.append((left + start, right + start))
+            waiting += len(left)
+            if waiting > PAIRS_AT_ONCE:
+                count_short()
+        else:
+            shared = _shared_windows(block.projected[start:end], plan.reach)
+            left, right = np.nonzero(np.triu((shared >= plan.count) & (shared.T >= plan.count), 1))
+            lefts.append(left + start)
+            rights.append(right + start)
+    if short:
+        count_short()
+    left, right = np.concatenate(lefts), np.concatenate(rights)
+    mixed = np.zeros(len(block.side), bool)
+    for start, end in zip(bounds, bounds[1:]):
+        mixed[start:end] = block.side[start] != block.side[end - 1] or (block.side[start:end] != block.side[start]).any()
+    wanted = ~mixed[left] | (block.side[left] != block.side[right])
+    return left[wanted], right[wanted]
+
+
+def _block_links(block: Block, bounds: list[int], plan: Plan) -> pa.RecordBatch | None:
+    """(class, links, least): what the pairs that met here first add to each vector."""
+    left, right = _candidate_pairs(block, bounds, plan)
+    classes, links = block.classes, np.zeros(len(block.classes), np.int64)
     least = classes.copy()
-    while True:  # the smallest class of each component of the block
-        lower = np.minimum(least, np.where(linked, least[None, :], np.iinfo(np.int64).max).min(axis=1))
+    found = []
+    for start in range(0, len(left), PAIRS_AT_ONCE):
+        a, b = left[start:start + PAIRS_AT_ONCE], right[start:start + PAIRS_AT_ONCE]
+        linked = (block.vectors[a] * block.vectors[b]).sum(axis=1) >= plan.cosine
+        a, b = a[linked], b[linked]
+        fresh = ~block.met_before(a, b, plan) if len(a) else np.empty(0, bool)
+        a, b = a[fresh], b[fresh]
+        np.add.at(links, a, block.members[b])
+        np.add.at(links, b, block.members[a])
+        found.append((a, b))
+    if not links.any():
+        return None
+    while True:  # the smallest class of each component
+        lower = least.copy()
+        for a, b in found:
+            np.minimum.at(lower, a, least[b])
+            np.minimum.at(lower, b, least[a])
         if (lower == least).all():
             break
         least = lower
     kept = links > 0
-    return classes[kept], links[kept], least[kept]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(x[kept], pa.int64()) for x in (classes, links, least)], ["class", "links", "least"]
+    )
 
 
 def _links(plan: Plan):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        directions: dict[int, np.ndarray] = {}
         held: list[pa.RecordBatch] = []
         for batch in batches:
             rows = pa.Table.from_batches([*held, batch]).combine_chunks()
             cell, block = rows["cell"].to_numpy(), rows["block"].to_numpy()
-            bounds = [0, *(np.flatnonzero((np.diff(cell) != 0) | (np.diff(block) != 0)) + 1).tolist()]
-            for start, end in zip(bounds, bounds[1:]):
-                yield from of_block(rows.slice(start, end - start))
-            held = rows.slice(bounds[-1]).to_batches()
+            last = max(0, *(np.flatnonzero((np.diff(cell) != 0) | (np.diff(block) != 0)) + 1).tolist(), 0)
+            if last:
+                yield from of_rows(rows.slice(0, last), directions)
+            held = rows.slice(last).to_batches()
         if held:
-            yield from of_block(pa.Table.from_batches(held).combine_chunks())
-
-    def of_block(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        if rows.num_rows < 2:
-            return
-        flat = rows["embedding"].combine_chunks().flatten().to_numpy()
-        found = _block_links(
-            flat.reshape(rows.num_rows, -1), rows["class"].to_numpy(), rows["members"].to_numpy(), rows["side"].to_numpy(),
-            rows["table"][0].as_py(), plan,
-        )
-        if found is not None:
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], ["class", "links", "least"])
+            yield from of_rows(pa.Table.from_batches(held), directions)
+
+    def of_rows(rows: pa.Table, directions: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        sizes = np.diff(rows["embedding"].combine_chunks().offsets.to_numpy())
+        # a cell holds vectors of one length
+        for size in np.unique(sizes):
+            if size not in directions:
+                directions[size] = plan.directions(int(size))[2]
+            some = rows.filter(pa.array(sizes == size)).combine_chunks()
+            vectors = unit(some["embedding"].combine_chunks().flatten().to_numpy().reshape(some.num_rows, -1))
+            cell, part = some["cell"].to_numpy(), some["block"].to_numpy()
+            bounds = [0, *(np.flatnonzero((np.diff(cell) != 0) | (np.diff(part) != 0)) + 1).tolist(), len(cell)]
+            block = Block(
+                *(some[c].to_numpy() for c in ("class", "members", "side", "table")), vectors, vectors @ directions[size]
+            )
+            found = _block_links(block, bounds, plan)
+            if found is not None:
+                yield found
 
     return run
 

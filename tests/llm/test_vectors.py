@@ -77,5 +77,7 @@ def test_plan_keeps_its_promise():
     met = (plan.keys(x) == plan.keys(near)).any(axis=1)
     assert 0.96 < met.mean()
     assert abs((plan.keys(x)[:, 0] == plan.keys(near)[:, 0]).mean() - same_cell(math.sqrt(0.1)) ** plan.width) < 0.03
-    counts = [vectors._count_collisions(np.stack([a, b]), plan)[0, 1] for a, b in zip(x[:300], near[:300])]
+    windows = plan.directions(64)[2]
+    counts = [vectors._shared_windows(np.stack([a, b]) @ windows, plan.reach)[0, 1] for a, b in zip(x[:300], near[:300])]
     assert min(counts) >= plan.count
+    assert counts == [(np.abs((a - b) @ windows) <= plan.reach).sum() for a, b in zip(x[:300], near[:300])]

@@ -20,7 +20,7 @@ import tiktoken
 from tokenizers import Tokenizer
 
 #: Words, and pieces, that an encoder remembers: those of the last so many new ones, and twice as many at most.
-REMEMBERED = 100_000
+REMEMBERED = 150_000
 # Characters that Python counts as white space and the tokenizers' pattern doesn't, and the mark that splits at spaces.
 _ODD = re.compile("[\x00\x1c-\x1f]")
 # Where a space is no word's beginning: inside or at the end of a run of white space.

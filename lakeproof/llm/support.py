@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -19,13 +20,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows that reach Python at a time while a table is staged: texts are long, and both sides hold a batch.
+BATCH_ROWS = 500
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """While it lasts, tasks pass rows to Python in batches of at most ``BATCH_ROWS``."""
+    before = spark.conf.get(_BATCH)
+    spark.conf.set(_BATCH, str(min(int(before), BATCH_ROWS) if int(before) > 0 else BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH, before)
+
+
 def staged(frame: DataFrame, label: str) -> DataFrame:
     """The rows, written to the shared folder and read back.
 
     Work behind it is done once, and a lost executor costs no recomputation of it.
     """
     path = scratch_path(frame.sparkSession, label)
-    frame.write.parquet(path)
+    with small_batches(frame.sparkSession):
+        frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 

@@ -3,9 +3,11 @@
 Folding lower-cases, strips accents and zero-width characters, maps letters of other
 scripts that look Latin, and reads digits and signs inside a word as the letters they
 stand for. The lexicon is a fixed list of insults together with stems learnt from
-labelled documents; each entry has a weight. A document's load is the summed weight of
-its matches outside exception phrases, per hundred words; two numbers fitted on the
-same labelled documents turn the load into a score between 0 and 1.
+labelled documents; each entry has a weight. Stems are learnt from and matched on text
+that is folded alike but keeps its accents, which tell words apart in many languages.
+A document's load is the summed weight of its matches of either kind outside exception
+phrases, per hundred words; two numbers fitted on the same labelled documents turn the
+load into a score between 0 and 1.
 """
 
 from __future__ import annotations
@@ -54,6 +56,8 @@ _LOOK = str.maketrans(LOOKALIKES | dict.fromkeys("­​‌‍⁠﻿", None))
 _STRIP = re.compile(r"[̀-ͯ]+")
 _DISGUISED = re.compile(r"[a-z0-9]*(?:[a-z][0-9@$!|]|[0-9@$]+[a-z])[a-z0-9@$!|]*[a-z0-9]")
 _SUBSTITUTE = str.maketrans(SUBSTITUTES)
+_SIGNS = re.compile(r"[0-9@$!|]+")
+_ONE_AS_L = str.maketrans(SUBSTITUTES | {"1": "l"})
 _WORD = re.compile(r"[^\W_]+")
 
 FEATURE_SCHEMA = "doc_id bigint, label int, load double"
@@ -68,6 +72,39 @@ def fold(text: str) -> str:
     return _DISGUISED.sub(lambda m: m[0].translate(_SUBSTITUTE), folded)
 
 
+def readings(text: str) -> list[str]:
+    """Lower case without lookalikes, with accents: as written, and with substitutes read as letters, 1 as i and as l.
+
+    All are of one length, so places in one are places in the others. Whole numbers and signs at a word's end stay.
+    """
+    plain = text.lower()
+    if not plain.isascii():
+        plain = unicodedata.normalize("NFC", unicodedata.normalize("NFKD", plain).translate(_LOOK))
+    places = []
+    for m in _SIGNS.finditer(plain):
+        start, end = m.span()
+        after = plain[end:end + 1].isalpha()
+        if not (start and plain[start - 1].isalpha()):
+            if not after:
+                continue
+            while start < end and plain[start] in "!|":
+                start += 1
+        while not after and start < end and plain[end - 1] in "!|":
+            end -= 1
+        if start < end:
+            places.append((start, end))
+    if not places:
+        return [plain]
+    read = []
+    for table in (_SUBSTITUTE, _ONE_AS_L):
+        pieces, at = [], 0
+        for start, end in places:
+            pieces += plain[at:start], plain[start:end].translate(table)
+            at = end
+        read.append("".join([*pieces, plain[at:]]))
+    return list(dict.fromkeys([plain, *read]))
+
+
 def _automaton(entries: Iterable[str]) -> ahocorasick.Automaton:
     built = ahocorasick.Automaton()
     for entry in entries:
@@ -76,12 +113,18 @@ def _automaton(entries: Iterable[str]) -> ahocorasick.Automaton:
     return built
 
 
+def _is_whole(text: str, start: int, end: int) -> bool:
+    """Whether the span neither begins nor ends inside a word."""
+    return not (start and text[start - 1].isalnum() or end < len(text) and text[end].isalnum())
+
+
+def _outside(found: list[tuple[int, int, str]], excepted: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    return [m for m in found if not any(a <= m[0] and m[1] <= b for a, b, _ in excepted)]
+
+
 @dataclass(frozen=True)
 class Lexicon:
-    """Weights by entry. ``words`` match whole folded words, ``stems`` the start of a lower-case word.
-
-    Accents tell words apart in many languages, so learnt stems keep them.
-    """
+    """Weights by entry. ``words`` match whole folded words, ``stems`` the start of a word in one of its readings."""
 
     words: dict[str, float]
     stems: dict[str, float]
@@ -91,32 +134,35 @@ class Lexicon:
 
     @cached_property
     def automata(self) -> tuple[ahocorasick.Automaton, ahocorasick.Automaton | None]:
-        """For the fixed words with their exceptions, and for the stems."""
-        return _automaton({*self.words, *self.exceptions}), _automaton(self.stems) if self.stems else None
+        """For the fixed words and for the stems, both with the exceptions."""
+        return tuple(_automaton({*e, *self.exceptions}) if e else None for e in (self.words, self.stems))
 
     def matches(self, folded: str) -> list[tuple[int, int, str]]:
         """(start, end, word) of the words outside exception phrases."""
-        excepted, found, size = [], [], len(folded)
-        for last, entry in self.automata[0].iter(folded):
+        excepted, found = [], []
+        for last, entry in self.automata[0].iter(folded) if self.words else ():
             start, end = last - len(entry) + 1, last + 1
-            if start and folded[start - 1].isalnum() or end < size and folded[end].isalnum():
-                continue
-            (excepted if entry in self.exceptions else found).append((start, end, entry))
-        return [m for m in found if not any(a <= m[0] and m[1] <= b for a, b, _ in excepted)]
-
-    def stem_matches(self, lowered: str) -> list[tuple[int, int, str]]:
-        """(start, end, stem) of the words that begin with a stem; a word counts once."""
-        found = {}
-        for last, entry in self.automata[1].iter(lowered) if self.stems else ():
-            start = last - len(entry) + 1
-            if not start or not lowered[start - 1].isalnum():
-                found[start] = (start, last + 1, entry)
-        return [found[start] for start in sorted(found)]
+            if _is_whole(folded, start, end):
+                (excepted if entry in self.exceptions else found).append((start, end, entry))
+        return _outside(found, excepted)
+
+    def stem_matches(self, read: list[str]) -> list[tuple[int, int, str]]:
+        """(start, end, stem) of the words that begin with a stem in a reading, outside exception phrases; a word counts once."""
+        excepted, found = [], {}
+        for text in read if self.stems else ():
+            for last, entry in self.automata[1].iter(text):
+                start, end = last - len(entry) + 1, last + 1
+                if entry in self.exceptions:
+                    if _is_whole(text, start, end):
+                        excepted.append((start, end, entry))
+                elif not start or not text[start - 1].isalnum():
+                    found[start] = (start, end, entry)
+        return _outside([found[start] for start in sorted(found)], excepted)
 
     def load(self, text: str) -> tuple[float, int]:
         """Summed weight per hundred words, and the number of matches."""
         lowered = text.lower()
-        words, stems = self.matches(fold(text)), self.stem_matches(lowered)
+        words, stems = self.matches(fold(text)), self.stem_matches(readings(text))
         if not words and not stems:
             return 0.0, 0
         weight = sum(self.words[e] for _, _, e in words) + sum(self.stems[e] for _, _, e in stems)
@@ -132,7 +178,7 @@ def _stem_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in in_slices(batches):
         counts: tuple[Counter, Counter] = (Counter(), Counter())
         for text, label in zip(batch["text"].to_pylist(), batch["label"].to_pylist()):
-            words = set(_WORD.findall(text.lower())).difference(INSULTS)
+            words = {w for read in readings(text) for w in _WORD.findall(read)}.difference(INSULTS)
             counts[label].update({word[:n] for word in words for n in STEM_LENGTHS if len(word) >= n})
         stems = list({**counts[0], **counts[1]})
         yield pa.RecordBatch.from_pydict({

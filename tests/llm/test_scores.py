@@ -8,7 +8,9 @@ import pytest
 
 from lakeproof.llm.quality import FEATURES, LineField, fit_field, line_features, lines_of, quality_report
 from lakeproof.llm.support import held_out, table
-from lakeproof.llm.toxicity import EXCEPTIONS, INSULTS, Lexicon, fold, score_toxicity, toxicity_report, without_toxic
+from lakeproof.llm.toxicity import (
+    EXCEPTIONS, INSULTS, Lexicon, fold, learn_lexicon, readings, score_toxicity, toxicity_report, without_toxic,
+)
 from tests.llm.fixtures import awkward, documents, prose
 
 MIDDLE_DIR = "/root/testdata/sf0.1"
@@ -39,6 +41,28 @@ def test_words_numbers_and_exceptions():
     assert FIXED.load("idiot " + "word " * 999)[0] < FIXED.load("idiot " + "word " * 99)[0]
 
 
+@pytest.mark.parametrize("stem, disguised", [
+    ("gromel", "gr0m3l"), ("gromel", "grоmеl"), ("gromel", "gro​mel"), ("gromel", "Ｇromel"), ("gromel", "grome1s"), ("gromel", "gr0me1"),
+    ("grame", "gr@m3"), ("grimo", "gr1m0"), ("grüme", "grüm3"), ("grüme", "gru\u0308me"), (readings("дурак")[0], "дур@к"), ("covid19", "covid19"),
+])
+def test_learnt_stems_see_through_disguises(stem, disguised):
+    lexicon = Lexicon(dict.fromkeys(INSULTS, 2.0), {stem: 3.0})
+    assert lexicon.load(f"you {disguised} there!")[1] == 1
+
+
+def test_exceptions_hold_for_learnt_stems():
+    lexicon = Lexicon(dict.fromkeys(INSULTS, 2.0), {"garbag": 3.0, "collec": 3.0})
+    assert lexicon.load("the garbage collector, a g@rbage c0llector")[1] == 0
+    assert lexicon.load("garbagy collectors")[1] == 2
+
+
+def test_disguised_words_are_learnt(spark):
+    rows = [(k, f"{prose(20, k)} {('gr0mel', 'grоmel', 'gromel')[k % 3] if k % 2 else ''} {prose(20, -k)}") for k in range(120)]
+    known = [(k, 1, k % 2) for k in range(120)]
+    lexicon = learn_lexicon(documents(spark, rows), labels(spark, known), least_documents=30)
+    assert "grom" in lexicon.stems and lexicon.load("a grоm3l")[1] == 1
+
+
 def test_awkward_rows_are_scored(spark):
     frame = documents(spark, awkward() + [(50, "you stupid idiot"), (51, prose(80, 1))]).withColumnRenamed("score", "toxic")
     found = score_toxicity(frame, FIXED)

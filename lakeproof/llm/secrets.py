@@ -3,7 +3,10 @@
 A vocabulary learnt from ordinary text needs about one token for four characters of
 prose or of names, and one for two characters or fewer of a random key. So every long
 run of key characters is encoded, and a run with few characters per token is a secret,
-unless it is a known digest or an identifier.
+unless it is a known digest or an identifier. Where a name before the key hides it, the
+value and the long parts of the run are encoded by themselves. What may be a word of
+another language, letters with few digits at the end, is a secret only if a vocabulary
+of many languages says so too.
 """
 
 from __future__ import annotations
@@ -33,7 +36,8 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 
 #: Runs of key characters that are long enough to tell random from written.
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
-_RANDOM_LOOK = re.compile(r"[0-9].*[A-Za-z]|[A-Za-z].*[0-9]")
+LEAST_CHARS = 16
+_PART = re.compile(r"[A-Za-z0-9]+")
 # Shapes of digests and identifiers that are public by nature.
 DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)
 _HEX_ONLY = re.compile(r"[0-9a-fA-F]+")
@@ -43,6 +47,7 @@ _WORDY = re.compile(r"[A-Za-z]+(?:[-_/][A-Za-z]+)*[-_/]?[0-9]{0,4}")
 _DATED = re.compile(r"(?:[0-9]{1,4}[-_/])+[0-9A-Za-z]{1,8}")
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
+MULTILINGUAL = "byte_bpe_multi_50k.tiktoken"
 CHARS_PER_TOKEN = 2.2
 
 
@@ -52,13 +57,21 @@ class Efficiency:
 
     vocabulary: str = field(default_factory=lambda: public_tokenizers.path(VOCABULARY))
     chars_per_token: float = CHARS_PER_TOKEN
+    multilingual: str = field(default_factory=lambda: public_tokenizers.path(MULTILINGUAL))
 
     @cached_property
     def encoding(self) -> tiktoken.Encoding:
         return RankEncoder(self.vocabulary).encoding
 
+    @cached_property
+    def multilingual_encoding(self) -> tiktoken.Encoding:
+        return RankEncoder(self.multilingual).encoding
+
     def is_random(self, run: str) -> bool:
-        return len(run) < self.chars_per_token * len(self.encoding.encode_ordinary(run))
+        """A run that may be words has to be random for the vocabulary of many languages too."""
+        if len(run) >= self.chars_per_token * len(self.encoding.encode_ordinary(run)):
+            return False
+        return not _WORDY.fullmatch(run) or len(run) < self.chars_per_token * len(self.multilingual_encoding.encode_ordinary(run))
 
 
 def base_spans(text: str) -> list[Span]:
@@ -71,22 +84,40 @@ def base_spans(text: str) -> list[Span]:
 
 
 def is_known(run: str, before: str) -> bool:
-    """Whether a run is a digest, a UUID, a date, a number or a name made of words."""
+    """Whether a run is a digest, a UUID, a date or a number."""
     if _HEX_ONLY.fullmatch(run) and len(run) in DIGEST_LENGTHS or run.isdigit():
         return True
     named = _DIGEST_NAME.search(before[-12:] + run)
-    return bool(_UUID.fullmatch(run) or _WORDY.fullmatch(run) or _DATED.fullmatch(run) or named)
+    return bool(_UUID.fullmatch(run) or _DATED.fullmatch(run) or named)
+
+
+def candidate_spans(run: str) -> Iterator[tuple[int, int]]:
+    """A run as a whole, the values after its first '=' and last '/', and its parts between separators, the longest first."""
+    end = len(run.rstrip("="))
+    yield 0, len(run)
+    for at in (run.find("=", 0, end), run.rfind("/", 0, end)):
+        if at >= 0:
+            yield at + 1, len(run)
+    yield from sorted((m.span() for m in _PART.finditer(run)), key=lambda s: s[0] - s[1])
 
 
 def random_spans(text: str, efficiency: Efficiency) -> list[Span]:
-    """Runs of key characters with few characters per token, without digests and identifiers."""
+    """Runs of key characters, or else parts of them, with few characters per token, without digests and identifiers."""
     found = []
     for m in RUN.finditer(text):
-        run = m[0]
-        if not _RANDOM_LOOK.search(run) or is_known(run, text[max(0, m.start() - 12):m.start()]):
-            continue
-        if efficiency.is_random(run):
-            found.append(("random", *m.span()))
+        taken: list[tuple[int, int]] = []
+        for start, end in dict.fromkeys(candidate_spans(m[0])):
+            part, at = m[0][start:end], m.start() + start
+            inked = sum(map(str.isalnum, part))
+            if len(part) < LEAST_CHARS or any(a < end and start < b for a, b in taken):
+                continue
+            if 2 * inked < len(part) or not any(map(str.isalpha, part)):
+                continue
+            if is_known(part, text[max(0, at - 12):at]):
+                taken.append((start, end))  # holds no other part
+            elif efficiency.is_random(part):
+                taken.append((start, end))
+                found.append(("random", at, m.start() + end))
     return found
 
 

@@ -51,6 +51,30 @@ def test_random_strings_are_found_and_names_are_not():
         assert secret_spans(f"see {harmless} here", efficiency) == [], harmless
 
 
+def test_letter_keys_and_keys_after_names_are_found():
+    draw, efficiency = random.Random(8), Efficiency()
+
+    def key(letters, count):
+        return "".join(draw.choice(letters) for _ in range(count))
+
+    def share(before, letters, count):
+        keys = [key(letters, count) for _ in range(200)]
+        texts = [f"use {before}{k} now" for k in keys]
+        return sum(any(text[a:b].endswith(k) for _, a, b in secret_spans(text, efficiency)) for text, k in zip(texts, keys)) / 200
+
+    base62 = string.ascii_letters + string.digits
+    assert share("", string.ascii_letters, 20) > 0.95 and share("", string.ascii_lowercase, 24) > 0.95
+    assert share("", base62, 16) > 0.97
+    for before in ("authorization_header=", "configuration/settings/", "internationalization_"):
+        assert share(before, base62, 20) > 0.97 and share(before, string.ascii_lowercase, 24) > 0.95
+    for harmless in (
+        "bezpieczenstwo-informacji", "Donaudampfschifffahrtsgesellschaft", "verantwoordelijkheid", "responsabilidades2024",
+        "-=-=-=-=-=-=-=-=-=-=-", "========================", "path=configuration/settings/documents", "+49-123-456-789-0123",
+        "page=internationalization",
+    ):
+        assert secret_spans(f"see {harmless} here", efficiency) == [], harmless
+
+
 def test_redaction_hides_every_span(spark):
     frame = documents(spark, awkward() + [(100 + k, t) for k, t in enumerate(SAMPLES)]).withColumnRenamed("score", "n_chars")
     clean = redact_secrets(frame)

@@ -2,7 +2,8 @@
 
 Every element outside the article is hashed with all it holds (tags, classes and text,
 not the place). Spark counts on how many pages of a host each hash occurs; what recurs
-on most of a host's pages is its template and goes. Elements whose tag, role or class
+on many of a host's pages is its template and goes. For blocks outside the article a few
+pages are many however large the host is; inside it, and for short lines, it is half of all. Elements whose tag, role or class
 says that they are no article go as well, so that a host of one page is cleaned too.
 
 What remains is the article: inside ``main``, else ``article`` elements, else the body.
@@ -26,6 +27,10 @@ from lakeproof.llm.support import in_slices, staged
 #: A subtree is template if it is on so many pages of its host, and on this share of them.
 LEAST_PAGES = 5
 LEAST_SHARE = 0.5
+#: Outside the article so many pages are enough, whatever share of the host they are,
+ENOUGH_PAGES = 6
+#: for a block of a kind in FURNITURE, or of so many words: a short line or cell may recur by chance.
+ENOUGH_WORDS = 8
 #: Inside an article only elements of these kinds and of so few words may be template: prose that recurs is text.
 FURNITURE = frozenset("div section ul ol dl figure table".split())
 FURNITURE_WORDS = 40
@@ -208,9 +213,16 @@ def candidates(page: Page) -> list[bool]:
     ]
 
 
+def keys(page: Page) -> list[int]:
+    """Every element's hash, odd where only the share of a host's pages decides, even where ENOUGH_PAGES are enough."""
+    return [
+        e.digest | 1 if e.article or e.tag not in FURNITURE and e.words < ENOUGH_WORDS else e.digest & ~1 for e in page.elements
+    ]
+
+
 def subtree_hashes(page: Page) -> list[int]:
-    """Hashes of the candidates, as signed 64-bit integers, each once."""
-    return sorted({e.digest for e, may in zip(page.elements, candidates(page)) if may})
+    """Keys of the candidates, as signed 64-bit integers, each once."""
+    return sorted({k for k, may in zip(keys(page), candidates(page)) if may})
 
 
 def segments(page: Page) -> list[tuple[str, list[int]]]:
@@ -220,11 +232,11 @@ def segments(page: Page) -> list[tuple[str, list[int]]]:
     """
     count = len(page.elements)
     gone, region, chains = [False] * count, [0] * count, [()] * count
-    for k, (e, may) in enumerate(zip(page.elements, candidates(page))):
+    for k, (e, may, key) in enumerate(zip(page.elements, candidates(page), keys(page))):
         above = max(e.parent, 0)
         gone[k] = e.dropped or gone[above]
         region[k] = max(region[above], 2 if e.tag == "main" else int(e.article))
-        chains[k] = (*chains[above], e.digest) if may else chains[above]
+        chains[k] = (*chains[above], key) if may else chains[above]
     inked = [region[k] for k, words, _ in page.texts if not gone[k] and not words.isspace()]
     best = max(inked, default=0)
     found: list[tuple[list[str], tuple[int, ...]]] = []
@@ -266,15 +278,12 @@ def parse_pages(pages: DataFrame) -> DataFrame:
 
 
 def site_templates(parsed: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
-    """(host, template): the hashes that recur on enough of a host's pages.
-
-    Hashes are counted before they are shuffled. However many pages a host has, its list holds at
-    most (candidates of a page) / ``least_share`` hashes.
-    """
+    """(host, hash) of what recurs on enough of a host's pages. Hashes are counted before they are shuffled."""
     sizes = parsed.groupBy("host").agg(F.count("*").alias("pages")).where(F.col("pages") >= least_pages)
     counted = parsed.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count("*").alias("on"))
-    recurring = counted.where(F.col("on") >= least_pages).join(sizes, "host").where(F.col("on") >= least_share * F.col("pages"))
-    return recurring.groupBy("host").agg(F.collect_list("hash").alias("template"))
+    enough = F.col("hash").bitwiseAND(F.lit(1)).eqNullSafe(0) & (F.col("on") >= max(ENOUGH_PAGES, least_pages))
+    recurring = counted.where(F.col("on") >= least_pages).join(sizes, "host")
+    return recurring.where(enough | (F.col("on") >= least_share * F.col("pages"))).select("host", "hash")
 
 
 def extract_pages(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
@@ -284,14 +293,21 @@ def extract_pages(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share:
     one host. Repeated rows are pages of their own. Other columns are not read. Where nothing
     of a page is outside the template, the page as a whole recurs and stays.
 
-    Pages are parsed once. Those of which some text could be template meet their host's list, in a
-    join on the host that adaptive execution splits for a hot host; the others are done.
+    Pages are parsed once. The hashes around the text of a page meet those that recur on its host, in
+    a join on host and hash that adaptive execution splits for a hot one; a page gets back only hashes
+    of its own, so no list grows with the host. Pages without such hashes are done.
     """
-    parsed = staged(parse_pages(pages), "page-segments")
+    parsed = staged(parse_pages(pages).withColumn("row", F.monotonically_increasing_id()), "page-segments")
     all_text = F.array_join(F.transform("segments", lambda s: s["text"]), " ")
     is_open = F.exists("segments", lambda s: F.size(s["chain"]) > 0)
     outside = F.filter("segments", lambda s: ~F.arrays_overlap(s["chain"], F.col("template")))
-    met = parsed.where(is_open).join(site_templates(parsed, least_pages, least_share), "host", "left")
+    around = F.explode(F.array_distinct(F.flatten(F.transform("segments", lambda s: s["chain"]))))
+    template = (
+        parsed.where(is_open).select("row", "host", around.alias("hash"))
+        .join(site_templates(parsed, least_pages, least_share), ["host", "hash"])
+        .groupBy("row").agg(F.collect_list("hash").alias("template"))
+    )
+    met = parsed.where(is_open).join(template, "row", "left")
     cleaned = met.withColumn("left", F.coalesce(outside, F.col("segments"))).select(
         "page_id", "url",
         F.when(F.size("left") > 0, F.array_join(F.transform("left", lambda s: s["text"]), " ")).otherwise(all_text).alias("text"),

@@ -64,5 +64,17 @@ def test_what_recurs_on_a_host_goes(spark):
     assert found == sorted((i, t, len(t)) for i, t in expected)
 
 
+def test_a_block_on_a_tenth_of_a_large_host_goes(spark):
+    box = "<div class=x7><p>Read on in our <b>series</b></p></div><ul><li>one</li><li>two</li></ul>"
+    line = "<p>The end.</p>"
+    rows = [
+        (k, f"http://a.example/{k}", f"<body>{box if k % 10 == 0 else ''}<div><p>Story {k}</p>{line}</div><article><p>Text {k}</p>"
+         f"{line if k % 10 else ''}</article></body>" if k % 2 else f"<body>{box if k % 10 == 0 else ''}<p>Story {k}</p></body>")
+        for k in range(1000)
+    ]
+    expected = [(str(k), (f"Text {k} The end." if k % 10 else f"Text {k}") if k % 2 else f"Story {k}") for k in range(1000)]
+    assert result(extract_pages(pages(spark, rows))) == sorted((i, t, len(t)) for i, t in expected)
+
+
 def test_nothing_in_nothing_out(spark):
     assert extract_pages(pages(spark, [])).collect() == []

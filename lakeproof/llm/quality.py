@@ -140,8 +140,11 @@ class LineField:
 
     def document(self, features: np.ndarray, lengths: np.ndarray) -> float:
         """Marginals weighted by line length, as the probability of a good document."""
-        share = float(self.marginals(features) @ lengths / lengths.sum())
-        return 1 / (1 + math.exp(-self.intercept - self.slope * _log_odds(share)))
+        return 1 / (1 + math.exp(-self.intercept - self.slope * self.log_odds(features, lengths)))
+
+    def log_odds(self, features: np.ndarray, lengths: np.ndarray) -> float:
+        """Log odds of the weighted mean of marginals."""
+        return _log_odds(float(self.marginals(features) @ lengths / lengths.sum()))
 
     def qualities(self, texts: list[str]) -> list[float]:
         """The quality of each text; a text without words has quality 0."""
@@ -170,42 +173,20 @@ def _carry(odds: float, steps: np.ndarray) -> float:
 
 
 def fit_field(sequences: list[np.ndarray], labels: list[int], rounds: int = 150, rate: float = 0.1, ridge: float = 1e-3) -> LineField:
-    """Maximum likelihood by gradient steps with momentum; all sequences advance together."""
-    count, longest = len(sequences), max(map(len, sequences))
-    x = np.zeros((count, longest, FEATURES), np.float32)
-    mask = np.zeros((count, longest), bool)
+    """Maximum likelihood by gradient steps with momentum; sequences of about one length advance together."""
+    groups: dict[int, list[int]] = {}
     for k, sequence in enumerate(sequences):
-        x[k, :len(sequence)] = sequence
-        mask[k, :len(sequence)] = True
-    truth = np.array(labels)
+        groups.setdefault((len(sequence) - 1).bit_length(), []).append(k)
+    batches = [_padded([sequences[k] for k in group], np.array([labels[k] for k in group])) for _, group in sorted(groups.items())]
+    total = float(sum(map(len, sequences)))
     weights, steps = np.zeros(FEATURES), np.zeros((2, 2))
     means = [np.zeros(FEATURES), np.zeros((2, 2))]
     squares = [np.zeros(FEATURES), np.zeros((2, 2))]
-    pairs = mask[:, 1:].sum(axis=1)
-    gold = np.array([[pairs[truth == 0].sum(), 0], [0, pairs[truth == 1].sum()]], float)
-    flat, total = x[mask], float(mask.sum())
-    gold_lines = np.repeat(truth[:, None], longest, axis=1)[mask]
     for step in range(1, rounds + 1):
-        odds = np.zeros((count, longest))
-        odds[mask] = flat @ weights.astype(np.float32)
-        emit = np.stack([np.zeros_like(odds), odds], axis=2)
-        alpha, beta = np.zeros((count, longest, 2)), np.zeros((count, longest, 2))
-        alpha[:, 0] = emit[:, 0]
-        for i in range(1, longest):
-            alpha[:, i] = np.logaddexp(alpha[:, i - 1, :1] + steps[0], alpha[:, i - 1, 1:] + steps[1]) + emit[:, i]
-        for i in range(longest - 2, -1, -1):
-            onward = emit[:, i + 1] + beta[:, i + 1]
-            carried = np.logaddexp(onward[:, :1] + steps[:, 0], onward[:, 1:] + steps[:, 1])
-            beta[:, i] = np.where(mask[:, i + 1, None], carried, 0)
-        joint = alpha + beta
-        norm = np.logaddexp(joint[..., 0], joint[..., 1])
-        good = np.exp(joint[..., 1] - norm)
-        inner = mask[:, 1:]
-        both = alpha[:, :-1, :, None] + steps + (emit + beta)[:, 1:, None, :]
-        expected = np.exp(both - norm[:, 1:, None, None])[inner].sum(axis=0) if longest > 1 else np.zeros((2, 2))
+        gradients = [_gradients(*batch, weights, steps) for batch in batches]
         slopes = [
-            flat.T @ (gold_lines - good[mask]) / total - ridge * weights,
-            (gold - expected) / total - ridge * steps,
+            sum(g for g, _ in gradients) / total - ridge * weights,
+            sum(g for _, g in gradients) / total - ridge * steps,
         ]
         updated = []
         for value, slope, mean, square in zip((weights, steps), slopes, means, squares):
@@ -216,36 +197,92 @@ def fit_field(sequences: list[np.ndarray], labels: list[int], rounds: int = 150,
     return LineField(weights, steps)
 
 
+def _padded(sequences: list[np.ndarray], truth: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(features of all lines, which places hold a line, labels of the lines, label pairs) of some sequences."""
+    sizes = np.array([len(s) for s in sequences])
+    mask = np.arange(sizes.max()) < sizes[:, None]
+    pairs = sizes - 1
+    gold = np.array([[pairs[truth == 0].sum(), 0], [0, pairs[truth == 1].sum()]], float)
+    return np.concatenate(sequences), mask, np.repeat(truth, sizes), gold
+
+
+def _gradients(
+    flat: np.ndarray, mask: np.ndarray, gold_lines: np.ndarray, gold: np.ndarray, weights: np.ndarray, steps: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Gradients of the log likelihood of some sequences, by forward-backward."""
+    count, longest = mask.shape
+    odds = np.zeros((count, longest))
+    odds[mask] = flat @ weights.astype(np.float32)
+    emit = np.stack([np.zeros_like(odds), odds], axis=2)
+    alpha, beta = np.zeros((count, longest, 2)), np.zeros((count, longest, 2))
+    alpha[:, 0] = emit[:, 0]
+    for i in range(1, longest):
+        alpha[:, i] = np.logaddexp(alpha[:, i - 1, :1] + steps[0], alpha[:, i - 1, 1:] + steps[1]) + emit[:, i]
+    for i in range(longest - 2, -1, -1):
+        onward = emit[:, i + 1] + beta[:, i + 1]
+        carried = np.logaddexp(onward[:, :1] + steps[:, 0], onward[:, 1:] + steps[:, 1])
+        beta[:, i] = np.where(mask[:, i + 1, None], carried, 0)
+    joint = alpha + beta
+    norm = np.logaddexp(joint[..., 0], joint[..., 1])
+    good = np.exp(joint[..., 1] - norm)
+    inner = mask[:, 1:]
+    both = alpha[:, :-1, :, None] + steps + (emit + beta)[:, 1:, None, :]
+    expected = np.exp(both - norm[:, 1:, None, None])[inner].sum(axis=0) if longest > 1 else np.zeros((2, 2))
+    return flat.T @ (gold_lines - good[mask]), gold - expected
+
+
 def learn_field(
-    documents: DataFrame, labels: DataFrame, per_class: int = 1500, lines_per_document: int = 48, modulus: int = 5, remainder: int = 0,
+    documents: DataFrame, labels: DataFrame, per_class: int = 1500, lines_per_class: int = 72_000, modulus: int = 5, remainder: int = 0,
 ) -> LineField:
-    """A field fitted on at most ``per_class`` labelled documents of each class.
+    """A field fitted on at most ``per_class`` labelled documents of each class, with all their lines.
 
-    A training document counts with at most ``lines_per_document`` of its lines, the first ones;
-    scoring reads all lines. Both bounds keep what reaches the driver below 40 MB. Without
+    Of these the weights learn from whole documents, by the hashes of their ids, until a class has
+    ``lines_per_class`` lines; that bounds what reaches the driver to 40 MB and one document. The slope
+    and intercept are fitted on the scores of all of them, computed in tasks. Without
     labels of both classes all lines are as likely good as bad.
     """
     sample = training_sample(documents, labels, "quality", held_out(modulus, remainder), per_class)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_slices(batches):
+            lines = pa.array([len(lines_of(t)) for t in batch["text"].to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_pydict({"doc_id": batch["doc_id"], "label": batch["label"], "lines": lines})
+
+    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_slices(batches, 32):
-            found = []
-            for text in batch["text"].to_pylist():
-                features = line_features([lines_of(text)])[0][:lines_per_document]
-                found.append(features.astype("<f4").tobytes())
+            found = [line_features([lines_of(t)])[0].astype("<f4").tobytes() for t in batch["text"].to_pylist()]
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch["doc_id"], "label": batch["label"], "features": pa.array(found, pa.binary()),
             })
 
-    rows = sample.mapInArrow(run, "doc_id bigint, label int, features binary").orderBy("doc_id", "features").toArrow()
+    sizes = (
+        sample.mapInArrow(count, "doc_id bigint, label int, lines bigint").where("lines > 0").groupBy("doc_id", "label")
+        .agg(F.sum("lines").alias("lines")).withColumn("drawn", F.xxhash64("doc_id")).orderBy("drawn", "doc_id").collect()
+    )
+    taken, chosen = {0: 0, 1: 0}, []
+    for row in sizes:
+        if taken[row["label"]] < lines_per_class:
+            taken[row["label"]] += row["lines"]
+            chosen.append((row["doc_id"],))
+    if not all(taken.values()):
+        return LineField(np.zeros(FEATURES), np.zeros((2, 2)))
+    ids = documents.sparkSession.createDataFrame(chosen, "doc_id bigint")
+    rows = (
+        sample.join(F.broadcast(ids), "doc_id").select("doc_id", "text", "label")
+        .mapInArrow(features, "doc_id bigint, label int, features binary").orderBy("doc_id", "features").toArrow()
+    )
     sequences = [np.frombuffer(f, "<f4").reshape(-1, FEATURES) for f in rows["features"].to_pylist()]
     kept = [(s, label) for s, label in zip(sequences, rows["label"].to_pylist()) if len(s)]
-    if len({label for _, label in kept}) < 2:
-        return LineField(np.zeros(FEATURES), np.zeros((2, 2)))
     field = fit_field([s for s, _ in kept], [label for _, label in kept])
-    # the first feature of a line is the logarithm of its length
-    odds = [_log_odds(field.document(s, np.expm1(8.0 * s[:, 0]))) for s, _ in kept]
-    slope, intercept = fit_logistic(np.array(odds), np.array([label for _, label in kept], float))
+
+    def odds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_slices(batches, 32):
+            texts = [lines_of(t) for t in batch["text"].to_pylist()]
+            found = [field.log_odds(*line_features([lines])) if lines else None for lines in texts]
+            yield pa.RecordBatch.from_pydict({"label": batch["label"], "odds": pa.array(found, pa.float64())})
+
+    scored = sample.mapInArrow(odds, "label int, odds double").where("odds IS NOT NULL").toPandas().sort_values(["odds", "label"])
+    slope, intercept = fit_logistic(scored["odds"].to_numpy(), scored["label"].to_numpy(dtype=float))
     return LineField(field.weights, field.steps, slope, intercept)
 
 

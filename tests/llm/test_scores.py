@@ -6,7 +6,7 @@ import math
 import numpy as np
 import pytest
 
-from lakeproof.llm.quality import FEATURES, LineField, fit_field, line_features, lines_of, quality_report
+from lakeproof.llm.quality import FEATURES, LineField, fit_field, learn_field, line_features, lines_of, quality_report
 from lakeproof.llm.support import held_out, table
 from lakeproof.llm.toxicity import (
     EXCEPTIONS, INSULTS, Lexicon, fold, learn_lexicon, readings, score_toxicity, toxicity_report, without_toxic,
@@ -112,6 +112,14 @@ def test_fit_tells_lines_apart():
     assert np.mean([(field.marginals(s).mean() > 0.5) == y for s, y in zip(sequences, truth)]) > 0.95
 
 
+def test_lines_beyond_the_first_hundred_are_learnt_from(spark):
+    good = [f"{prose(9, k)}." for k in range(100)]
+    texts = {1: "\n".join(good * 2), 0: "\n".join(good + ["$$ 00 ## 11 %%"] * 100)}
+    rows = [(k, texts[k % 2]) for k in range(40)]
+    field = learn_field(documents(spark, rows), labels(spark, [(k, k % 2, 0) for k in range(40)]), lines_per_class=1000)
+    assert field.qualities([texts[1]])[0] > 0.7 > 0.3 > field.qualities([texts[0]])[0]
+
+
 @pytest.mark.parametrize("report, label, least", [(toxicity_report, "toxic", 0.9), (quality_report, "quality", 0.98)])
 def test_held_out_accuracy(spark, report, label, least):
     docs, known = table(spark, MIDDLE_DIR, "documents"), table(spark, MIDDLE_DIR, "labels")

@@ -7,6 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeproof.llm.decontamination import CONTAMINATION_SQL, find_contamination
+from lakeproof.llm.languages import language_report
+from lakeproof.llm.merkle import MERKLE_SQL, verification
+from lakeproof.llm.negatives import NEGATIVES_SQL, hard_negatives
 from lakeproof.llm.packing import pack
 from lakeproof.llm.pages import extract_pages
 from lakeproof.llm.pii import find_personal_data
@@ -95,3 +98,25 @@ def op7_vector_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 query(op7_vector_links, LINK_SQL)
+
+
+@query
+def op11_word_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document."""
+    return language_report(table(spark, sf_dir, "documents"))
+
+
+def op12_segment_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector."""
+    return hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+query(op12_segment_negatives, NEGATIVES_SQL)
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, proof and verification of every document."""
+    return verification(table(spark, sf_dir, "documents"))
+
+
+query(op13_merkle_manifest, MERKLE_SQL)

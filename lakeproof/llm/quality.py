@@ -304,7 +304,12 @@ def score_quality(documents: DataFrame, field: LineField) -> DataFrame:
 
 
 def quality_report(documents: DataFrame, labels: DataFrame, threshold: float = 0.3, **options: int) -> DataFrame:
-    """(doc_id, held_out, score, predicted) of every row of the documents."""
+    """(doc_id, held_out, score, predicted) of every row of the documents.
+
+    Null text, and text without words, scores 0. Repeated rows are scored each, a null id is held
+    out, an empty table has no rows; other columns are not read. Null labels and null ids teach
+    nothing, conflicting labels of one document count as 1.
+    """
     return score_quality(documents, learn_field(documents, labels, **options)).select(
         "doc_id", held_out(5, 0).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
     )

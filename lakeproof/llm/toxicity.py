@@ -14,11 +14,14 @@ from __future__ import annotations
 
 import math
 import re
+import string
 import unicodedata
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import cached_property
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
@@ -54,7 +57,10 @@ SUBSTITUTES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8":
 
 _LOOK = str.maketrans(LOOKALIKES | dict.fromkeys("­​‌‍⁠﻿", None))
 _STRIP = re.compile(r"[̀-ͯ]+")
-_DISGUISED = re.compile(r"[a-z0-9]*(?:[a-z][0-9@$!|]|[0-9@$]+[a-z])[a-z0-9@$!|]*[a-z0-9]")
+# runs of letters, digits and signs that aren't letters only, and a letter beside a digit or sign in one; both take one pass
+_MIXED = re.compile(r"(?<![a-z0-9@$!|])[a-z]*+[0-9@$!|][a-z0-9@$!|]*+")
+_BESIDE = re.compile(r"[a-z][0-9@$!|]|(?<![0-9@$])[0-9@$]++[a-z]")
+_LETTERS_DIGITS = string.ascii_lowercase + string.digits
 _SUBSTITUTE = str.maketrans(SUBSTITUTES)
 _SIGNS = re.compile(r"[0-9@$!|]+")
 _ONE_AS_L = str.maketrans(SUBSTITUTES | {"1": "l"})
@@ -64,12 +70,23 @@ FEATURE_SCHEMA = "doc_id bigint, label int, load double"
 STEM_LENGTHS = (4, 5, 6, 7, 8)
 
 
+def _undisguised(mixed: re.Match) -> str:
+    """A run with its digits and signs read as letters, if a letter stands beside one and more follows. Signs at its ends stay."""
+    run = mixed[0]
+    beside = _BESIDE.search(run)
+    end = len(run.rstrip("@$!|"))
+    if beside is None or end <= beside.end():
+        return run
+    start = len(run[:beside.start()].rstrip(_LETTERS_DIGITS))
+    return run[:start] + run[start:end].translate(_SUBSTITUTE) + run[end:]
+
+
 def fold(text: str) -> str:
     """Lower case, without accents, lookalikes and substitutes. Whole numbers and final signs stay."""
     folded = text.lower()
     if not folded.isascii():
         folded = _STRIP.sub("", unicodedata.normalize("NFKD", folded.translate(_LOOK))).translate(_LOOK)
-    return _DISGUISED.sub(lambda m: m[0].translate(_SUBSTITUTE), folded)
+    return _MIXED.sub(_undisguised, folded)
 
 
 def readings(text: str) -> list[str]:
@@ -119,7 +136,12 @@ def _is_whole(text: str, start: int, end: int) -> bool:
 
 
 def _outside(found: list[tuple[int, int, str]], excepted: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
-    return [m for m in found if not any(a <= m[0] and m[1] <= b for a, b, _ in excepted)]
+    """The spans that lie within no exception."""
+    if not excepted:
+        return found
+    starts, reach = zip(*sorted((a, b) for a, b, _ in excepted))
+    reach = list(accumulate(reach, max))
+    return [m for m in found if not (at := bisect_right(starts, m[0])) or reach[at - 1] < m[1]]
 
 
 @dataclass(frozen=True)
@@ -197,6 +219,9 @@ def learn_lexicon(
     Learns from at most ``per_class`` documents of each class. A stem enters when at least
     ``least_documents`` toxic documents have it and its log odds are ``least_odds`` or more; the
     ``most_entries`` best are kept. Without labels of both classes the fixed list stands alone.
+
+    Null text counts as empty. Null labels and null ids teach nothing, conflicting labels of one
+    document count as 1, repeated rows of a document as often as they are there.
     """
     sample = training_sample(documents, labels, "toxic", held_out(modulus, remainder), per_class)
     sizes = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
@@ -266,7 +291,12 @@ def without_toxic(documents: DataFrame, lexicon: Lexicon, threshold: float = 0.7
 
 
 def toxicity_report(documents: DataFrame, labels: DataFrame, **options: float) -> DataFrame:
-    """(doc_id, held_out, score, predicted, matches) of every row of the documents."""
+    """(doc_id, held_out, score, predicted, matches) of every row of the documents.
+
+    Null and empty text has no match and the lowest score. Repeated rows are scored each, a null id
+    is held out, an empty table has no rows; other columns are not read. Labels: see ``learn_lexicon``.
+    A long text takes time in proportion to its length, whatever runs of letters or digits it holds.
+    """
     scored = score_toxicity(documents.select("doc_id", text_of()), learn_lexicon(documents, labels, **options))
     return scored.select(
         "doc_id", held_out(3, 1).alias("held_out"), F.col("toxic_score").alias("score"),

@@ -16,6 +16,7 @@ import html
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import pyarrow as pa
 import xxhash
@@ -225,52 +226,88 @@ def subtree_hashes(page: Page) -> list[int]:
     return sorted({k for k, may in zip(keys(page), candidates(page)) if may})
 
 
-def segments(page: Page) -> list[tuple[str, list[int]]]:
-    """What the rules leave of the page: runs of text, each with the hashes of the candidates around it.
+def segments(page: Page) -> tuple[list[str], list[tuple[int, int, int]]]:
+    """What the rules leave of the page: runs of text, and (hash, first run, run after the last) of the candidates around them.
 
-    Where ``main`` holds text, only that counts, else where ``article`` does, else everything.
+    Where ``main`` holds text, only that counts, else where ``article`` does, else everything. A run
+    ends where a candidate begins or ends, so a candidate holds whole runs, one after the other.
     """
     count = len(page.elements)
-    gone, region, chains = [False] * count, [0] * count, [()] * count
-    for k, (e, may, key) in enumerate(zip(page.elements, candidates(page), keys(page))):
+    may = candidates(page)
+    gone, region, home = [False] * count, [0] * count, [-1] * count
+    for k, e in enumerate(page.elements):
         above = max(e.parent, 0)
         gone[k] = e.dropped or gone[above]
         region[k] = max(region[above], 2 if e.tag == "main" else int(e.article))
-        chains[k] = (*chains[above], key) if may else chains[above]
+        home[k] = k if may[k] else home[above]
     inked = [region[k] for k, words, _ in page.texts if not gone[k] and not words.isspace()]
     best = max(inked, default=0)
-    found: list[tuple[list[str], tuple[int, ...]]] = []
+    found: list[tuple[list[str], int]] = []
     begins = True
     for k, words, fresh in page.texts:
         begins |= fresh
         if gone[k] or region[k] < best:
             begins = True
             continue
-        if not found or found[-1][1] != chains[k]:
-            found.append(([], chains[k]))
+        if not found or found[-1][1] != home[k]:
+            found.append(([], home[k]))
         found[-1][0].append(" " + words if begins else words)
         begins = False
-    joined = [(" ".join("".join(pieces).split()), list(chain)) for pieces, chain in found]
-    return [(text, chain) for text, chain in joined if text]
+    joined = [(" ".join("".join(pieces).split()), k) for pieces, k in found]
+    kept = [(text, k) for text, k in joined if text]
+    first, end = [len(kept)] * count, [0] * count
+    for at, (_, k) in enumerate(kept):
+        if k >= 0:
+            first[k], end[k] = min(first[k], at), at + 1
+    for k in range(count - 1, 0, -1):  # an element comes after the one around it
+        above = page.elements[k].parent
+        first[above], end[above] = min(first[above], first[k]), max(end[above], end[k])
+    key = keys(page)
+    return [text for text, _ in kept], [(key[k], first[k], end[k]) for k in range(count) if may[k] and first[k] < end[k]]
+
+
+def without_template(texts: list[str], template: list[tuple[int, int, bool]]) -> list[str]:
+    """The runs that lie in no (first, end, whether on the stated share of the host's pages) of the template.
+
+    What is on that share of pages is cut first, then what is on a few pages. What holds most of the
+    running text that is there, that is of the runs of ``ENOUGH_WORDS`` and more, is the page's story
+    and stays however often it recurs; only shorter runs are cut then. If all would go, all stays.
+    """
+    words = [len(text.split()) for text in texts]
+    left = set(range(len(texts)))
+    for wide in (True, False):
+        change = [0] * (len(texts) + 1)
+        for first, end, on_share in template:
+            if on_share == wide:
+                change[first] += 1
+                change[end] -= 1
+        gone = {k for k, inside in enumerate(accumulate(change[:-1])) if inside > 0} & left
+        running = {k for k in left if words[k] >= ENOUGH_WORDS}
+        if 2 * sum(words[k] for k in gone & running) > sum(words[k] for k in running):
+            gone -= running
+        left -= gone
+    return [texts[k] for k in sorted(left)] or texts
 
 
 PAGE_SCHEMA = (
-    "page_id bigint, url string, host string, segments array<struct<text:string,chain:array<bigint>>>, hashes array<bigint>"
+    "page_id bigint, url string, host string, segments array<string>, blocks array<struct<hash:bigint,first:int,end:int>>, hashes array<bigint>"
 )
-_SEGMENTS = pa.list_(pa.struct([("text", pa.string()), ("chain", pa.list_(pa.int64()))]))
+_BLOCKS = pa.list_(pa.struct([("hash", pa.int64()), ("first", pa.int32()), ("end", pa.int32())]))
 
 
 def parse_pages(pages: DataFrame) -> DataFrame:
-    """Every page's segments and the hashes of its candidates."""
+    """Every page's runs of text, the candidates around them and the hashes of all its candidates."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_slices(batches):
             parsed = [parse(h or "") for h in batch["html"].to_pylist()]
+            cut = [segments(p) for p in parsed]
             yield pa.RecordBatch.from_pydict({
                 "page_id": batch["page_id"],
                 "url": batch["url"],
                 "host": pa.array([host_of(u) for u in batch["url"].to_pylist()], pa.string()),
-                "segments": pa.array([[{"text": t, "chain": c} for t, c in segments(p)] for p in parsed], _SEGMENTS),
+                "segments": pa.array([texts for texts, _ in cut], pa.list_(pa.string())),
+                "blocks": pa.array([[dict(zip(("hash", "first", "end"), b)) for b in blocks] for _, blocks in cut], _BLOCKS),
                 "hashes": pa.array([subtree_hashes(p) for p in parsed], pa.list_(pa.int64())),
             })
 
@@ -278,39 +315,39 @@ def parse_pages(pages: DataFrame) -> DataFrame:
 
 
 def site_templates(parsed: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
-    """(host, hash) of what recurs on enough of a host's pages. Hashes are counted before they are shuffled."""
+    """(host, hash, wide) of what recurs on enough of a host's pages, and whether on the share of them. Hashes are counted before they are shuffled."""
     sizes = parsed.groupBy("host").agg(F.count("*").alias("pages")).where(F.col("pages") >= least_pages)
     counted = parsed.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count("*").alias("on"))
     enough = F.col("hash").bitwiseAND(F.lit(1)).eqNullSafe(0) & (F.col("on") >= max(ENOUGH_PAGES, least_pages))
     recurring = counted.where(F.col("on") >= least_pages).join(sizes, "host")
-    return recurring.where(enough | (F.col("on") >= least_share * F.col("pages"))).select("host", "hash")
+    wide = F.col("on") >= least_share * F.col("pages")
+    return recurring.where(enough | wide).select("host", "hash", wide.alias("wide"))
 
 
 def extract_pages(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
     """(page_id, url, text, n_chars) of every row.
 
     Null html counts as empty and gives an empty text. Pages whose address has no host form
-    one host. Repeated rows are pages of their own. Other columns are not read. Where nothing
-    of a page is outside the template, the page as a whole recurs and stays.
+    one host. Repeated rows are pages of their own. Other columns are not read. What holds most
+    of a page's running text stays, see ``without_template``.
 
-    Pages are parsed once. The hashes around the text of a page meet those that recur on its host, in
-    a join on host and hash that adaptive execution splits for a hot one; a page gets back only hashes
-    of its own, so no list grows with the host. Pages without such hashes are done.
+    Pages are parsed once. The candidates around the text of a page meet the hashes that recur on its
+    host, in a join on host and hash that adaptive execution splits for a hot one; a page gets back
+    only places of its own, so no list grows with the host. Pages without such hashes are done.
     """
     parsed = staged(parse_pages(pages).withColumn("row", F.monotonically_increasing_id()), "page-segments")
-    all_text = F.array_join(F.transform("segments", lambda s: s["text"]), " ")
-    is_open = F.exists("segments", lambda s: F.size(s["chain"]) > 0)
-    outside = F.filter("segments", lambda s: ~F.arrays_overlap(s["chain"], F.col("template")))
-    around = F.explode(F.array_distinct(F.flatten(F.transform("segments", lambda s: s["chain"]))))
     template = (
-        parsed.where(is_open).select("row", "host", around.alias("hash"))
-        .join(site_templates(parsed, least_pages, least_share), ["host", "hash"])
-        .groupBy("row").agg(F.collect_list("hash").alias("template"))
-    )
-    met = parsed.where(is_open).join(template, "row", "left")
-    cleaned = met.withColumn("left", F.coalesce(outside, F.col("segments"))).select(
-        "page_id", "url",
-        F.when(F.size("left") > 0, F.array_join(F.transform("left", lambda s: s["text"]), " ")).otherwise(all_text).alias("text"),
+        parsed.select("row", "host", F.inline("blocks")).join(site_templates(parsed, least_pages, least_share), ["host", "hash"])
+        .groupBy("row").agg(F.collect_list(F.struct("first", "end", "wide")).alias("template"))
     )
-    done = parsed.where(~is_open).select("page_id", "url", all_text.alias("text"))
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_slices(batches):
+            cut = zip(batch["segments"].to_pylist(), batch["template"].to_pylist())
+            left = [" ".join(without_template(texts, [(t["first"], t["end"], t["wide"]) for t in template])) for texts, template in cut]
+            yield pa.RecordBatch.from_pydict({"page_id": batch["page_id"], "url": batch["url"], "text": pa.array(left, pa.string())})
+
+    met = staged(parsed.select("row", "page_id", "url", "segments").join(template, "row", "left"), "page-templates")
+    cleaned = met.where("template IS NOT NULL").select("page_id", "url", "segments", "template").mapInArrow(clean, "page_id bigint, url string, text string")
+    done = met.where("template IS NULL").select("page_id", "url", F.array_join("segments", " ").alias("text"))
     return done.unionByName(cleaned).withColumn("n_chars", F.length("text").cast("bigint"))

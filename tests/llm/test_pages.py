@@ -1,12 +1,16 @@
 """Main text of pages, by rules and by subtrees that recur on a host."""
 
+from collections import Counter
+
 import pytest
 
-from lakeproof.llm.pages import extract_pages, host_of, parse, segments
+from lakeproof.llm.pages import extract_pages, host_of, parse, segments, subtree_hashes
+from lakeproof.llm.support import table
+from tests.llm.fixtures import prose
 
 
 def text_of(source):
-    return " ".join(t for t, _ in segments(parse(source)))
+    return " ".join(segments(parse(source))[0])
 
 
 @pytest.mark.parametrize("source, expected", [
@@ -76,5 +80,55 @@ def test_a_block_on_a_tenth_of_a_large_host_goes(spark):
     assert result(extract_pages(pages(spark, rows))) == sorted((i, t, len(t)) for i, t in expected)
 
 
+def test_a_story_that_recurs_stays(spark):
+    story, box = prose(60, 1), f"<div class=x7><p>{prose(12, 2)}</p></div>"
+    own = [f"<h1>Title {k}</h1>{box}<div class=text><p>{prose(20, 10 + k)}</p><p>{prose(30, 50 + k)}</p></div>" for k in range(60)]
+    shared = [f"<h1>Title {k}</h1>{box}<div class=text>{{}}</div><p>viewed {k} times</p>" for k in range(6)]
+    alone = [(k, f"http://b.example/{k}", shared[k].format(f"<p>{story}</p>")) for k in range(6)]
+    assert {r["text"] for r in extract_pages(pages(spark, alone)).collect()} == {f"Title {k} {prose(12, 2)} {story} viewed {k} times" for k in range(6)}
+    for written in (f"<p>{story}</p>", "".join(f"<p>{' '.join(story.split()[n:n + 12])}</p>" for n in range(0, 60, 12))):
+        rows = [(k, f"http://a.example/{k}", s.format(written)) for k, s in enumerate(shared + own)]
+        found = {r["page_id"]: r["text"] for r in extract_pages(pages(spark, rows)).collect()}
+        assert all(found[k] == f"Title {k} {story} viewed {k} times" for k in range(6))
+        assert all(found[6 + k] == f"Title {k} {prose(20, 10 + k)} {prose(30, 50 + k)}" for k in range(60))
+
+
+def plain(rows):
+    """Templates counted and cut with lists and loops, element by element."""
+    parsed = [(host_of(url), parse(html or "")) for _, url, html in rows]
+    sizes = Counter(host for host, _ in parsed)
+    on = Counter((host, h) for host, page in parsed for h in subtree_hashes(page))
+    results = []
+    for (page_id, _, _), (host, page) in zip(rows, parsed):
+        texts, blocks = segments(page)
+        wide, few = set(), set()
+        for h, first, end in blocks:
+            many = on[host, h]
+            if many >= 5 and many >= 0.5 * sizes[host]:
+                wide |= set(range(first, end))
+            elif many >= 6 and h % 2 == 0:
+                few |= set(range(first, end))
+        gone = set()
+        for cut in (wide, few):
+            long = {k: len(t.split()) for k, t in enumerate(texts) if len(t.split()) >= 8 and k not in gone}
+            story = 2 * sum(n for k, n in long.items() if k in cut) > sum(long.values())
+            gone |= cut - set(long if story else ())
+        kept = [t for k, t in enumerate(texts) if k not in gone] or texts
+        results.append((str(page_id), " ".join(kept), len(" ".join(kept))))
+    return sorted(results)
+
+
+def test_templates_equal_a_plain_version(spark):
+    rows = [tuple(r) for r in table(spark, "/root/testdata/sf0.1", "pages").select("page_id", "url", "html").collect()]
+    assert result(extract_pages(pages(spark, rows))) == plain(rows)
+
+
+def test_a_deep_page_with_many_runs_is_small():
+    """One place for each element, not one for each element around each run."""
+    source = "".join(f"<div id=d{k}>" for k in range(500)) + "".join(f"<p>word {k}</p>" for k in range(20_000))
+    texts, blocks = segments(parse(source))
+    assert len(texts) == 20_000 and len(blocks) == 20_500 and blocks[0][1:] == (0, 20_000)
+
+
 def test_nothing_in_nothing_out(spark):
     assert extract_pages(pages(spark, [])).collect() == []

@@ -13,6 +13,7 @@ from lakeproof.catalog.tables import table
 from lakeproof.operators.mapping import ColumnMap
 from lakeproof.plans import ingest, runlog, watermark
 from lakeproof.session import scratch_path
+from lakeproof.sinks.versions import read_table
 from lakeproof.sources.files import FileSelection
 from lakeproof.streaming.ingest import file_stream, ingest_available
 from lakeproof.streaming.windows import windowed_frequencies
@@ -43,12 +44,31 @@ def watermark_advance(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = events.where(F.col("ts") <= F.lit(OLD_MARK).cast("timestamp_ntz"))
     for source in (known, events, events):
         mark = watermark.advance(spark, source, "ts", target, marks, 6, "events")
-    increment = F.when(F.col("since") == watermark.FIRST_LOAD, "first").otherwise("later")
-    return spark.read.parquet(target).select(
+    increment = F.when(F.col("since").isNull(), "first").otherwise("later")
+    return read_table(spark, target, key_column="since").select(
         "event_id", "event_type", "value", increment.alias("increment"), F.lit(mark).alias("mark")
     )
 
 
+# in the order of their bytes, so that each mark is above the one before
+SIGNS = " -/:_"
+
+
+@query(f"""
+  SELECT event_id, event_type AS since, 'A' || substr('{SIGNS}', CAST(user_id % 5 AS BIGINT) + 1, 1) || '1' AS mark,
+         CASE WHEN user_id % 5 > 0 THEN 'A' || substr('{SIGNS}', CAST(user_id % 5 AS BIGINT), 1) || '1' END AS loaded_after
+  FROM events
+""")
+def watermark_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five runs with marks that differ in one sign, over a table that has a column ``since``."""
+    target, marks = scratch_path(spark, "signs"), scratch_path(spark, "sign-marks")
+    mark = F.concat(F.lit("A"), F.substring(F.lit(SIGNS), (F.col("user_id") % 5 + 1).cast("int"), F.lit(1)), F.lit("1"))
+    events = table(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("since"), mark.alias("mark"))
+    for sign in SIGNS:
+        watermark.advance(spark, events.where(F.col("mark") <= f"A{sign}1"), "mark", target, marks, 7, "signs")
+    return read_table(spark, target, key_column="loaded_after")
+
+
 @query("""
   SELECT 'rows' AS kind, CASE WHEN ts <= TIMESTAMP '2024-01-11 00:00:00' THEN 'run-1' ELSE 'run-2' END AS name,
          CAST(count(*) AS VARCHAR) AS value FROM events GROUP BY ALL
@@ -71,7 +91,7 @@ def load_table_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
         except PySparkException:
             if columns is mapping:
                 raise
-    loaded = spark.read.parquet(published).groupBy(F.col("CreatedBy").alias("name")).agg(F.count("*").cast("string").alias("value"))
+    loaded = read_table(spark, published).groupBy(F.col("CreatedBy").alias("name")).agg(F.count("*").cast("string").alias("value"))
     mark = watermark.read_mark(spark, marks, 6, "events")
     parts = {
         "rows": loaded,

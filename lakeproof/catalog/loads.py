@@ -14,7 +14,8 @@ from lakeproof.catalog.tables import RAW_ORDERS, orders_copy, raw_orders, table
 from lakeproof.operators.mapping import ColumnMap, split_incompatible
 from lakeproof.operators.profile import CATEGORICAL_SCHEMA, profile_categorical
 from lakeproof.session import scratch_path
-from lakeproof.sinks import files, fingerprint, loads
+from lakeproof.sinks import files, fingerprint, loads, versions
+from lakeproof.sinks.versions import read_table
 
 RAW_MAPPING = [
     ColumnMap("o_orderkey", "ORDERKEY", "bigint"),
@@ -83,7 +84,7 @@ def zone_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw, published = scratch_path(spark, "Raw"), scratch_path(spark, "Published")
     files.write_parquet(table(spark, sf_dir, "orders"), raw)
     loads.publish(spark, raw, published)
-    return spark.read.parquet(published)
+    return read_table(spark, published)
 
 
 @query(f"""
@@ -116,7 +117,24 @@ def truncate_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     part, path = table(spark, sf_dir, "part"), scratch_path(spark, "truncate")
     loads.truncate_load(part, path)
     loads.truncate_load(part, path)
-    return spark.read.parquet(path)
+    return read_table(spark, path)
+
+
+@query("""
+  SELECT 1 AS version, o_orderkey, o_totalprice, o_orderpriority FROM orders
+  UNION ALL SELECT 2, o_orderkey, o_totalprice, o_orderpriority FROM orders WHERE o_orderstatus <> 'F'
+  UNION ALL SELECT 3, o_orderkey, o_totalprice, o_orderpriority FROM orders WHERE o_orderstatus = 'O'
+""")
+def table_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A full load, a writer that dies before its commit, a load of fewer rows, and one that reads the table it replaces."""
+    path = scratch_path(spark, "versions")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority", "o_orderstatus")
+    versions.replace_table(orders, path)
+    versions.write_part(orders.where("o_orderpriority = '5-LOW'"), path)
+    versions.replace_table(orders.where("o_orderstatus <> 'F'"), path)
+    versions.replace_table(read_table(spark, path).where("o_orderstatus = 'O'"), path)
+    seen = [read_table(spark, path, number).select(F.lit(number).alias("version"), "o_orderkey", "o_totalprice", "o_orderpriority") for number in (1, 2, 3)]
+    return seen[0].unionByName(seen[1]).unionByName(seen[2])
 
 
 @query("SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier UNION ALL SELECT * FROM supplier")
@@ -142,7 +160,7 @@ def autocreate_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 def load_reject_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     good, bad = scratch_path(spark, "loaded"), scratch_path(spark, "rejected")
     loads.load_with_threshold(raw_orders(spark, sf_dir), RAW_MAPPING, good, max_rejects=None, reject_path=bad)
-    loaded = spark.read.parquet(good).select(
+    loaded = read_table(spark, good).select(
         F.lit("loaded").alias("outcome"), F.col("ORDERKEY").alias("orderkey"), F.col("TOTALPRICE").alias("price"),
         F.col("ORDERDATE").alias("day"),
     )

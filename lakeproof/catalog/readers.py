@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lakeproof.catalog.registry import query
 from lakeproof.catalog.staging import write_json_arrays, zip_partition
 from lakeproof.catalog.tables import ACID_EVENTS, acid_events, table
-from lakeproof.operators.acid import flatten_rows, read_events
+from lakeproof.operators.acid import flatten_rows, read_events, read_snapshot, resolve_rows, snapshot_folders
 from lakeproof.operators.inventory import file_inventory, file_name, folder_of
 from lakeproof.operators.mapping import map_ordinals
 from lakeproof.session import scratch_path
@@ -107,6 +107,97 @@ def src_orc_acid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten_rows(read_events(spark, path))
 
 
+ACID_ROW = "o_orderkey, o_custkey, o_totalprice, o_orderpriority"
+# what the newest base holds, and what the writes after it add and take away
+_IN_BASE = f"""
+  SELECT o_orderkey, o_custkey, o_totalprice + CASE WHEN o_orderstatus = 'F' THEN 1.0 ELSE 0.0 END AS o_totalprice, o_orderpriority
+  FROM orders WHERE o_orderstatus = 'F' OR o_orderstatus = 'P' AND o_orderpriority <> '5-LOW'
+"""
+
+
+@query(f"""
+  SELECT 'event' AS kind, {ACID_ROW} FROM ({_IN_BASE}) UNION ALL SELECT 'event', {ACID_ROW} FROM orders WHERE o_orderstatus = 'O'
+  UNION ALL SELECT 'event', NULL, NULL, NULL, NULL FROM orders WHERE o_orderstatus = 'O' AND o_orderpriority = '1-URGENT'
+  UNION ALL SELECT 'row', {ACID_ROW} FROM ({_IN_BASE})
+  UNION ALL SELECT 'row', {ACID_ROW} FROM orders WHERE o_orderstatus = 'O' AND o_orderpriority <> '1-URGENT'
+""")
+def acid_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table with two bases, deltas and what they were compacted into, a failed write and a later one: its events and its rows."""
+    path, orders = scratch_path(spark, "acid-table"), table(spark, sf_dir, "orders")
+    status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
+
+    def put(folder: str, rows: DataFrame, write: int, operation: int = 0, raised: float = 0.0) -> None:
+        price = F.col("o_totalprice") + F.when(status == "F", raised).otherwise(0.0)
+        row = F.struct("o_orderkey", "o_custkey", price.alias("o_totalprice"), "o_orderpriority")
+        kind = rows.select(row.alias("row")).schema["row"].dataType
+        rows.select(
+            F.lit(operation).alias("operation"), F.lit(1).cast("bigint").alias("originalTransaction"), F.lit(0).alias("bucket"),
+            F.col("o_orderkey").cast("bigint").alias("rowId"), F.lit(write).cast("bigint").alias("currentTransaction"),
+            (row if operation != 2 else F.lit(None).cast(kind)).alias("row"),
+        ).write.orc(f"{path}/{folder}")
+
+    finished, pending, later = orders.where(status == "F"), orders.where(status == "P"), orders.where(status == "O")
+    urgent = later.where(priority == "1-URGENT")
+    put("base_0000002", finished, 1)
+    put("delta_0000003_0000003_0000", pending, 3)
+    put("base_0000004_v0000009", finished.union(pending.where(priority != "5-LOW")), 4, raised=1.0)
+    put("delta_0000005_0000005_0000", later, 5)
+    put("delete_delta_0000006_0000006_0000", urgent, 6, operation=2)
+    put("delta_0000005_0000006_v0000012", later, 5)
+    put("delete_delta_0000005_0000006_v0000012", urgent, 6, operation=2)
+    put("delta_0000007_0000007_0000", finished, 7, raised=7.0)
+    put("delta_0000009_0000009_0000", pending, 9)
+    events = read_snapshot(spark, path, failed=[7], as_of=8)
+    return flatten_rows(events).select(F.lit("event").alias("kind"), "*").unionByName(resolve_rows(events).select(F.lit("row").alias("kind"), "*"))
+
+
+_FOLDER_PARTS = """
+  SELECT o_custkey, CASE o_orderpriority WHEN '1-URGENT' THEN 'base' WHEN '2-HIGH' THEN 'delta' WHEN '3-MEDIUM' THEN 'delta' ELSE 'delete_delta' END AS kind,
+         o_orderkey % 50 + 1 AS low, o_orderkey % 50 + 1 + o_orderkey % 4 AS high,
+         CASE WHEN o_orderstatus = 'O' THEN o_orderkey % 3 END AS statement, CASE WHEN o_orderstatus = 'F' THEN o_orderkey % 5 + 1 END AS shown
+  FROM orders
+"""
+_FAILED, _AS_OF = (7, 8, 9), 40
+
+
+@query(f"""
+  WITH f AS (
+    SELECT '/t/c=' || o_custkey AS parent, kind, CASE WHEN kind = 'base' THEN 0 ELSE low END AS first, CASE WHEN kind = 'base' THEN low ELSE high END AS last,
+           CASE WHEN kind <> 'base' THEN statement END AS statement, coalesce(CASE WHEN kind <> 'base' THEN shown END, 0) AS shown,
+           kind || '_' || lpad(CAST(low AS VARCHAR), 7, '0') || CASE WHEN kind = 'base' THEN '' ELSE '_' || lpad(CAST(high AS VARCHAR), 7, '0')
+             || coalesce('_' || lpad(CAST(statement AS VARCHAR), 4, '0'), '') || coalesce('_v' || lpad(CAST(shown AS VARCHAR), 7, '0'), '') END AS folder,
+           count(*) AS files
+    FROM ({_FOLDER_PARTS}) GROUP BY ALL),
+  o AS (
+    SELECT *, CASE WHEN kind = 'base' AND last > {_AS_OF} OR kind <> 'base' AND first > {_AS_OF} THEN 'after'
+      WHEN kind <> 'base' AND len(list_filter([7, 8, 9], lambda w: w BETWEEN first AND last)) > last - first THEN 'failed' END AS state
+    FROM f),
+  n AS (SELECT parent, max(last) AS newest FROM o WHERE kind = 'base' AND state IS NULL GROUP BY parent),
+  b AS (
+    SELECT o.* REPLACE (CASE WHEN state IS NOT NULL THEN state WHEN kind = 'base' AND last < newest THEN 'old base'
+      WHEN kind <> 'base' AND last <= newest THEN 'in base' END AS state)
+    FROM o LEFT JOIN n USING (parent))
+  SELECT parent, folder, kind, first, last, statement, files, coalesce(state, CASE WHEN kind <> 'base' AND EXISTS (
+      SELECT 1 FROM b x WHERE x.parent = b.parent AND x.kind = b.kind AND x.state IS NULL AND x.first <= b.first AND x.last >= b.last AND (
+        x.first < b.first OR x.last > b.last OR x.statement IS NULL AND b.statement IS NOT NULL
+        OR x.statement IS NOT DISTINCT FROM b.statement AND x.shown > b.shown)) THEN 'covered' END, 'live') AS state
+  FROM b
+""")
+def acid_snapshot_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order stands for a file of a transactional table with a partition for each customer."""
+    orders = table(spark, sf_dir, "orders")
+    key, priority, status = F.col("o_orderkey"), F.col("o_orderpriority"), F.col("o_orderstatus")
+    kind = F.when(priority == "1-URGENT", "base").when(priority.isin("2-HIGH", "3-MEDIUM"), "delta").otherwise("delete_delta")
+    low = key % 50 + 1
+    later = F.concat(
+        F.format_string("_%07d", low + key % 4), F.when(status == "O", F.format_string("_%04d", key % 3)).otherwise(""),
+        F.when(status == "F", F.format_string("_v%07d", key % 5 + 1)).otherwise(""),
+    )
+    folder = F.concat(kind, F.format_string("_%07d", low), F.when(kind == "base", "").otherwise(later))
+    path = F.concat(F.lit("/t/c="), F.col("o_custkey").cast("string"), F.lit("/"), folder, F.lit("/bucket_"), key.cast("string"))
+    return snapshot_folders(orders.select(path.alias("path")), _FAILED, _AS_OF)
+
+
 @query("SELECT event_id, ts, user_id, event_type, value, CAST(props ->> '$.k' AS BIGINT) AS k FROM events")
 def src_json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "json")

@@ -99,12 +99,11 @@ def conversion_errors(df: DataFrame, mapping: Sequence[ColumnMap]) -> Column:
 
 
 def split_incompatible(df: DataFrame, mapping: Sequence[ColumnMap]) -> tuple[DataFrame, DataFrame]:
-    """(rows that load, mapped; rows that do not, as read, with ``bad_columns``)."""
-    checked = df.withColumn("bad_columns", conversion_errors(df, mapping))
-    good = checked.where(F.size("bad_columns") == 0).drop("bad_columns")
-    rejects = checked.where(F.size("bad_columns") > 0).withColumn(
-        "bad_columns", F.concat_ws(",", "bad_columns")
-    )
+    """(rows that load, mapped; rows that do not, as read, with ``bad_columns``, or ``bad_columns_2`` beside a column of that name)."""
+    errors = unique_names([*df.columns, "bad_columns"])[-1]
+    checked = df.withColumn(errors, conversion_errors(df, mapping))
+    good = checked.where(F.size(field(errors)) == 0).drop(errors)
+    rejects = checked.where(F.size(field(errors)) > 0).withColumn(errors, F.concat_ws(",", field(errors)))
     return map_columns(good, mapping), rejects
 
 

@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-import re
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeproof.sinks.versions import commit, newest_version, read_part, write_part
+
 FULL_LOAD = 1
 
 MARK_SCHEMA = "config_id bigint, src_object string, mark string, moved_at timestamp, state string"
-FIRST_LOAD = "first"
 # A full reload announces itself before it replaces anything, and every load commits its mark.
 RELOADING, COMMITTED = "reloading", "committed"
 
@@ -63,26 +63,26 @@ def advance(
 ) -> str | None:
     """Load one increment and return the new mark.
 
-    The increment goes to a folder named after the old mark and replaces what
-    is there. If a run fails between writing the rows and moving the mark, the
-    next run starts from the same old mark and overwrites the same folder, so
-    nothing is loaded twice. The new mark is read from what was written. A full
-    load replaces all increments; it announces itself first, and one that died
-    is done again in full by the next run, whatever that run was to load.
+    The target is a table with versions (``sinks.versions``); an increment is one of its parts, under
+    the old mark as it is. If a run fails between committing the rows and moving the mark, the next
+    run starts from the same old mark and replaces the part of that mark, so nothing is loaded twice
+    and no other increment is touched. The new mark is read from what was written. A full load
+    replaces all increments in one step; it announces itself first, and one that died before it moved
+    the mark is done again in full by the next run, whatever that run was to load. Until a version is
+    committed readers see the one before.
     """
     old = read_mark(spark, marks_path, config_id, src_object)
-    batch = delta(source, column, type_load, old)
-    full = old is None or type_load == FULL_LOAD
-    if full:
-        if old is not None:
-            _record(spark, marks_path, config_id, src_object, old, RELOADING, now)
-        part = f"{target_path}/since={FIRST_LOAD}"
-        batch.withColumn("since", F.lit(FIRST_LOAD)).write.mode("overwrite").partitionBy("since").parquet(target_path)
-    else:
-        part = f"{target_path}/since={re.sub(r'[^0-9A-Za-z]+', '_', old)}"
-        batch.write.mode("overwrite").parquet(part)
-    new = spark.read.schema(source.schema).parquet(part).agg(F.max(column).cast("string")).first()[0]
-    if not full and (new is None or new == old):
+    before = newest_version(spark, target_path)
+    full = old is None or before is None or type_load == FULL_LOAD
+    batch = source if full else delta(source, column, type_load, old)
+    if full and old is not None:
+        _record(spark, marks_path, config_id, src_object, old, RELOADING, now)
+    part = write_part(batch, target_path, None if full else old)
+    new = read_part(spark, target_path, part, source.schema).agg(F.max(column).cast("string")).first()[0]
+    if not full and new is None:
         return old
+    kept = [] if full else [p for p in before.parts if p.key != old]
+    schema = source.schema if full else before.schema
+    commit(spark, target_path, [*kept, part], schema, {"mark": new}, before.number if before else 0)
     _record(spark, marks_path, config_id, src_object, new, COMMITTED, now)
     return new

@@ -7,11 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeproof.functions.naming import field
+from lakeproof.functions.naming import field, unique_names
 from lakeproof.operators.mapping import ColumnMap, conversion_errors, fill_type_defaults, map_columns_of
 from lakeproof.session import scratch_path
 from lakeproof.sinks.files import write_parquet
 from lakeproof.sinks.fingerprint import copy_consistency
+from lakeproof.sinks.versions import Version, commit, newest_version, read_part, read_table, replace_table, write_part
 
 
 class LoadRejected(RuntimeError):
@@ -22,9 +23,12 @@ class CopyMismatch(RuntimeError):
     """The copy does not hold the rows of its source."""
 
 
-def truncate_load(df: DataFrame, path: str) -> None:
-    """Replace the content of a table folder. Use ``write_jdbc(mode="overwrite", truncate=True)`` for a database."""
-    write_parquet(df, path)
+def truncate_load(df: DataFrame, path: str) -> Version:
+    """Replace the content of a table in one step: a load that fails leaves the rows that were there.
+
+    Read it with ``read_table``. Use ``write_jdbc(mode="overwrite", truncate=True)`` for a database.
+    """
+    return replace_table(df, path)
 
 
 def autocreate_append(df: DataFrame, table: str, path: str | None = None) -> None:
@@ -44,16 +48,17 @@ def load_with_threshold(
     The source is read and converted once, into a staged table of good and bad
     rows; what follows reads that. More than ``max_rejects`` stops the load
     before any row is loaded; None allows any number. The rows that failed are
-    kept at ``reject_path``, also when the load is stopped.
+    kept at ``reject_path``, also when the load is stopped. The rows at ``path``
+    are replaced in one step; read them with ``read_table``.
     """
     spark, staging = df.sparkSession, scratch_path(df.sparkSession, "load")
-    checked = df.select(F.struct(*[field(c) for c in df.columns]).alias("source"), conversion_errors(df, mapping).alias("bad"))
-    raw = checked.select("source.*", "bad")
+    *_, errors, shown = unique_names([*df.columns, "bad", "bad_columns"])
+    raw = df.select("*", conversion_errors(df, mapping).alias(errors))
     converted = F.struct(*map_columns_of(raw, mapping))
-    is_bad = F.size("bad") > 0
+    is_bad = F.size(field(errors)) > 0
     split = raw.select(
         is_bad.cast("string").alias("is_bad"), F.when(~is_bad, converted).alias("good"),
-        F.when(is_bad, F.struct(*[field(c) for c in df.columns], F.concat_ws(",", "bad").alias("bad_columns"))).alias("reject"),
+        F.when(is_bad, F.struct(*[field(c) for c in df.columns], F.concat_ws(",", field(errors)).alias(shown))).alias("reject"),
     )
     split.write.partitionBy("is_bad").parquet(staging)
     staged = spark.read.schema(split.schema).parquet(staging)
@@ -64,18 +69,24 @@ def load_with_threshold(
     if max_rejects is not None and rejected > max_rejects:
         raise LoadRejected(f"{rejected} rows do not fit, {max_rejects} allowed")
     good = staged.where("is_bad = 'false'").select("good.*")
-    write_parquet(fill_type_defaults(good) if use_type_default else good, path)
+    replace_table(fill_type_defaults(good) if use_type_default else good, path)
     return rejected
 
 
 def publish(spark: SparkSession, raw_path: str, published_path: str, check: bool = True) -> int:
-    """Copy a landed Parquet folder to its published place and return the row count."""
-    raw = spark.read.parquet(raw_path)
-    write_parquet(raw, published_path)
-    result = copy_consistency(raw, spark.read.parquet(published_path)).first() if check else None
+    """Copy a landed Parquet folder to its published place and return the row count.
+
+    The copy is compared with its source before it counts: readers (``read_table``) see the old
+    version until a new one has been found to be whole.
+    """
+    raw, before = spark.read.parquet(raw_path), newest_version(spark, published_path)
+    part = write_part(raw, published_path)
+    copied = read_part(spark, published_path, part, raw.schema)
+    result = copy_consistency(raw, copied).first() if check else None
     if result is not None and not result["consistent"]:
         raise CopyMismatch(f"{published_path}: {result['target_rows']} rows of {result['source_rows']}")
-    return result["target_rows"] if result is not None else spark.read.parquet(published_path).count()
+    commit(spark, published_path, [part], raw.schema, after=before.number if before else 0)
+    return result["target_rows"] if result is not None else read_table(spark, published_path).count()
 
 
 def merge_versions(first: DataFrame, second: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -110,7 +110,7 @@ def read_parquet(
 
 
 def read_orc(
-    spark: SparkSession, path: str, selection: FileSelection = ALL_FILES, schema: T.StructType | str | None = None
+    spark: SparkSession, path: str | list[str], selection: FileSelection = ALL_FILES, schema: T.StructType | str | None = None
 ) -> DataFrame:
     return _reader(spark, selection, schema).orc(path)
 

@@ -6,12 +6,13 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from lakeproof.operators.mapping import ColumnMap
+from lakeproof.operators.mapping import ColumnMap, split_incompatible
 from lakeproof.plans import ingest, runlog, watermark
 from lakeproof.session import scratch_path, shared_root
 from lakeproof.sinks import files as sinks
-from lakeproof.sinks import loads
+from lakeproof.sinks import loads, versions
 from lakeproof.sinks.fingerprint import copy_consistency
+from lakeproof.sinks.versions import read_table
 from lakeproof.sources import control, files, jdbc, tables
 from lakeproof.streaming.ingest import file_stream, ingest_available
 from lakeproof.streaming.windows import windowed_frequencies
@@ -97,10 +98,10 @@ def test_reject_threshold(spark, new):
     with pytest.raises(loads.LoadRejected):
         loads.load_with_threshold(df, mapping, target, max_rejects=0, reject_path=bad)
     assert spark.read.parquet(bad).first().n == "x"
-    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
-        spark.read.parquet(target).count()
+    with pytest.raises(versions.NoVersion):
+        read_table(spark, target)
     assert loads.load_with_threshold(df, mapping, target, max_rejects=1) == 1
-    assert sorted(r.N for r in spark.read.parquet(target).collect()) == [0, 1]
+    assert sorted(r.N for r in read_table(spark, target).collect()) == [0, 1]
 
 
 def test_consistency_sees_repeated_and_changed_rows(spark):
@@ -162,15 +163,15 @@ def test_watermark_survives_a_failed_run(spark, new, monkeypatch):
     more = first.union(events(spark, [(3, "2024-01-03 00:00:00")]))
     assert watermark.read_mark(spark, marks, 1, "t") is None
     assert watermark.advance(spark, first, "at", target, marks, 1, "t") == "2024-01-02 00:00:00.5"
-    # a run that wrote its rows but died before it moved the mark
-    watermark.delta(more, "at", 0, "2024-01-02 00:00:00.5").write.parquet(f"{target}/since=2024_01_02_00_00_00_5")
+    # a run that committed its rows but died before it moved the mark
+    versions.put_increment(watermark.delta(more, "at", 0, "2024-01-02 00:00:00.5"), target, "2024-01-02 00:00:00.5")
     assert watermark.advance(spark, more, "at", target, marks, 1, "t") == "2024-01-03 00:00:00"
     assert watermark.advance(spark, more, "at", target, marks, 1, "t") == "2024-01-03 00:00:00"
-    assert sorted(r.id for r in spark.read.parquet(target).collect()) == [1, 2, 3]
+    assert sorted(r.id for r in read_table(spark, target).collect()) == [1, 2, 3]
     assert watermark.read_mark(spark, marks, 2, "t") is None
     # a full load replaces the increments
     watermark.advance(spark, more, "at", target, marks, 1, "t", watermark.FULL_LOAD)
-    assert sorted(r.id for r in spark.read.parquet(target).collect()) == [1, 2, 3]
+    assert sorted(r.id for r in read_table(spark, target).collect()) == [1, 2, 3]
     # a full reload that replaced everything but died before it moved the mark
     last = more.union(events(spark, [(4, "2024-01-04 00:00:00")]))
     record = watermark._record
@@ -186,7 +187,91 @@ def test_watermark_survives_a_failed_run(spark, new, monkeypatch):
     monkeypatch.setattr(watermark, "_record", record)
     assert watermark.advance(spark, last, "at", target, marks, 1, "t") == "2024-01-04 00:00:00"
     assert watermark.advance(spark, last, "at", target, marks, 1, "t") == "2024-01-04 00:00:00"
-    assert sorted(r.id for r in spark.read.parquet(target).collect()) == [1, 2, 3, 4]
+    assert sorted(r.id for r in read_table(spark, target).collect()) == [1, 2, 3, 4]
+
+
+def test_columns_named_like_helpers(spark, new):
+    df = spark.createDataFrame([("1", "x", "y"), ("z", "x", "y")], "n string, bad string, bad_columns string")
+    mapping, target, rejects = [ColumnMap("n", "N", "int"), ColumnMap("bad_columns", "B", "nvarchar")], new("t"), new("bad")
+    assert loads.load_with_threshold(df, mapping, target, None, reject_path=rejects) == 1
+    assert [tuple(r) for r in read_table(spark, target).collect()] == [(1, "y")]
+    assert [tuple(r) for r in spark.read.parquet(rejects).collect()] == [("z", "x", "y", "n")]
+    good, bad = split_incompatible(df, mapping)
+    assert [tuple(r) for r in good.collect()] == [(1, "y")] and [tuple(r) for r in bad.collect()] == [("z", "x", "y", "n")]
+
+
+def test_a_version_replaces_the_other_in_one_step(spark, new, monkeypatch):
+    path = new("v")
+    with pytest.raises(versions.NoVersion):
+        read_table(spark, path)
+    assert versions.replace_table(spark.range(5), path).number == 1
+    reader = read_table(spark, path)
+    # a writer whose rows fail to compute half-way
+    with pytest.raises(PySparkException):
+        versions.replace_table(spark.range(9).selectExpr("id", "raise_error('no') as x"), path)
+    # one that dies before its commit
+    monkeypatch.setattr(versions, "commit", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        versions.replace_table(spark.range(7), path)
+    monkeypatch.undo()
+    assert read_table(spark, path).count() == 5
+    versions.replace_table(spark.range(2), path)
+    assert reader.count() == 5 and read_table(spark, path).count() == 2 and read_table(spark, path, 1).count() == 5
+    with pytest.raises(versions.NoVersion):
+        read_table(spark, path, 9)
+
+
+def test_of_two_writers_one_succeeds(spark, new):
+    path = new("v")
+    versions.replace_table(spark.range(1), path)
+    first, second = versions.write_part(spark.range(2), path), versions.write_part(spark.range(3), path)
+    versions.commit(spark, path, [first], spark.range(2).schema, after=1)
+    with pytest.raises(versions.CommitConflict):
+        versions.commit(spark, path, [second], spark.range(3).schema, after=1)
+    with pytest.raises(versions.CommitConflict):
+        versions._Folder(spark, path).create("_commits/0000000002.json", "{}")
+    assert read_table(spark, path).count() == 2
+
+
+def test_increments_by_key(spark, new):
+    path = new("v")
+    versions.put_increment(spark.range(0, 2), path, None)
+    for key, end in (("A-1", 5), ("A/1", 6), ("A-1", 3), ("first", 4), ("", 3)):
+        versions.put_increment(spark.range(2, end), path, key)
+    found = sorted((r["k"] or "none", r["id"]) for r in read_table(spark, path, key_column="k").collect())
+    assert found == [("A-1", 2), ("A/1", 2), ("A/1", 3), ("A/1", 4), ("A/1", 5), ("first", 2), ("first", 3), ("none", 0), ("none", 1), ("none", 2)]
+    with pytest.raises(ValueError):
+        read_table(spark, path, key_column="ID")
+    with pytest.raises(ValueError):
+        versions.put_increment(spark.range(1).withColumn("x", F.lit(1)), path, "more")
+    before = read_table(spark, path).count()
+    assert versions.compact(spark, path).parts[0].key is None and read_table(spark, path).count() == before
+    assert versions.drop_old_versions(spark, path) == [1, 2, 3, 4, 5, 6] and read_table(spark, path).count() == before
+    assert len(versions._Folder(spark, path).names("")) == 2
+    versions.commit(spark, path, [], spark.range(1).schema)
+    assert read_table(spark, path).collect() == []
+
+
+def test_a_copy_that_differs_is_not_published(spark, new, monkeypatch):
+    raw, published = new("raw"), new("pub")
+    spark.range(5).write.parquet(raw)
+    assert loads.publish(spark, raw, published) == 5
+    spark.range(9).write.mode("overwrite").parquet(raw)
+    monkeypatch.setattr(loads, "write_part", lambda df, path: versions.write_part(df.limit(3), path))
+    with pytest.raises(loads.CopyMismatch):
+        loads.publish(spark, raw, published)
+    assert read_table(spark, published).count() == 5
+    monkeypatch.undo()
+    assert loads.publish(spark, raw, published, check=False) == 9
+
+
+def test_marks_that_differ_in_signs(spark, new):
+    target, marks = new("w"), new("marks")
+    rows = [("A-1",), ("A/1",), ("B",), ("first",)]
+    for k in range(len(rows)):
+        watermark.advance(spark, spark.createDataFrame(rows[:k + 1], "since string"), "since", target, marks, 1, "t")
+    assert sorted(r.since for r in read_table(spark, target).collect()) == ["A-1", "A/1", "B", "first"]
+    assert [p.key for p in versions.version_of(spark, target).parts] == [None, "A-1", "A/1", "B"]
 
 
 def test_delta_is_pushed_into_the_scan(spark):
@@ -215,7 +300,7 @@ def test_load_table_lands_publishes_and_logs(spark, new):
     run = ingest.RunContext("r9", datetime(2024, 2, 3, 4, 5))
     path, rows = ingest.load_table(spark, spark.range(5), load, run, lake, log)
     assert path == f"{lake}/Published/NZ/Full/ERP/ORDERS/2024/02/S_ORDERS_2024_02_03_04_05.parquet" and rows == 5
-    assert spark.read.parquet(path).columns == ["ID", "LastUpdate", "CreatedBy"]
+    assert read_table(spark, path).columns == ["ID", "LastUpdate", "CreatedBy"]
     assert runlog.latest_status(spark.read.parquet(log)).first().PipelineStatus == "Success"
     missing = ingest.TableLoad("ERP", "s", "orders", "NZ", "MM", [ColumnMap("nope", "ID", "bigint")])
     errors = new("errors")

@@ -16,6 +16,7 @@ from lakeproof.catalog.tables import (
 from lakeproof.operators import compare
 from lakeproof.operators.cleaning import blank_to_null_text
 from lakeproof.operators.counts import check_primary_key, compare_counts, row_column_count
+from lakeproof.operators.differences import differences
 from lakeproof.operators.inventory import file_inventory, folder_inventory
 from lakeproof.operators.profile import profile_categorical, profile_date, profile_numeric
 from lakeproof.plans.reconcile import reconcile_stored, store_metrics, table_metrics
@@ -295,3 +296,41 @@ def folder_count_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+
+
+# --- a copy in which clusters of keys lost rows, changed them or got more
+
+_LINE_VALUES = "l_partkey l_suppkey l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus l_shipdate".split()
+DAMAGED_LINES = f"""
+  SELECT * REPLACE (l_extendedprice + CASE WHEN l_orderkey % 5000 BETWEEN 100 AND 109 THEN 1.0 ELSE 0.0 END AS l_extendedprice,
+    CASE WHEN l_orderkey % 5000 <> 105 THEN l_returnflag END AS l_returnflag)
+  FROM lineitem WHERE l_orderkey % 5000 >= 20
+  UNION ALL SELECT * REPLACE (l_linenumber + 100 AS l_linenumber) FROM lineitem WHERE l_orderkey % 5000 BETWEEN 200 AND 204
+"""
+
+
+def damaged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines, place = table(spark, sf_dir, "lineitem"), F.col("l_orderkey") % 5000
+    kept = lines.where(place >= 20).withColumns({
+        "l_extendedprice": F.col("l_extendedprice") + F.when(place.between(100, 109), 1.0).otherwise(0.0),
+        "l_returnflag": F.when(place != 105, F.col("l_returnflag")),
+    })
+    return kept.unionByName(lines.where(place.between(200, 204)).withColumn("l_linenumber", F.col("l_linenumber") + 100))
+
+
+def _rows_by_key(rows: str) -> str:
+    values = "{" + ", ".join(f"'{c}': {c}" for c in _LINE_VALUES) + "}"
+    return f"""SELECT l_orderkey, l_linenumber, count(*) AS n, list_sort(list(CAST(v AS VARCHAR))) AS all_rows, any_value(v) AS v
+      FROM (SELECT l_orderkey, l_linenumber, {values} AS v FROM ({rows})) GROUP BY ALL"""
+
+
+@query(f"""
+  WITH s AS ({_rows_by_key("FROM lineitem")}), t AS ({_rows_by_key(DAMAGED_LINES)})
+  SELECT l_orderkey, l_linenumber, CASE WHEN s.n IS NULL THEN 'added' WHEN t.n IS NULL THEN 'lost' ELSE 'changed' END AS state,
+    coalesce(s.n, 0) AS source_rows, coalesce(t.n, 0) AS target_rows,
+    CASE WHEN s.n = 1 AND t.n = 1 THEN concat_ws(',', {", ".join(f"CASE WHEN s.v.{c} IS DISTINCT FROM t.v.{c} THEN '{c}' END" for c in _LINE_VALUES)}) END AS changed_columns
+  FROM s FULL JOIN t USING (l_orderkey, l_linenumber) WHERE s.all_rows IS DISTINCT FROM t.all_rows
+""")
+def copy_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that a copy lost, changed or got, found by hashes of key ranges."""
+    return differences(table(spark, sf_dir, "lineitem"), damaged_lines(spark, sf_dir), ["l_orderkey", "l_linenumber"], few_rows=5000)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeproof.functions.naming import quoted
+from lakeproof.operators.sampling import fair_sample
 
 # Rank of a value and the type label of a column whose smallest
 # rank it is. Rank 1 is long text; an all-null column (rank 9) has no label of
@@ -87,10 +88,10 @@ def infer_sql_types(df: DataFrame, sample_rows: int | None = None) -> DataFrame:
     All columns share one scan and one minimum per column, taken before the
     shuffle. The tests of a text are one expression over the values of all text
     columns, so a table with hundreds of columns needs no more code than one
-    with two. ``sample_rows`` reads only so many rows, as a quick look at a
-    large table.
+    with two. ``sample_rows`` looks at a fair sample of so many rows, the same
+    however the table is partitioned.
     """
-    source = df if sample_rows is None else df.limit(sample_rows)
+    source = df if sample_rows is None else fair_sample(df, sample_rows)
     values = []
     for column in df.schema:
         known = _known_rank(column)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeproof.functions.naming import field
@@ -21,13 +21,18 @@ def fingerprint(df: DataFrame) -> DataFrame:
     They take 24 bits each, so that a trillion rows stay within a bigint.
     """
     row_hash = F.xxhash64(*[part for c in sorted(df.columns) for part in (field(c).isNull(), field(c))])
+    return df.select(row_hash.alias("h")).agg(*hash_sums())
+
+
+def hash_sums(h: str = "h") -> list[Column]:
+    """The aggregates of a fingerprint over a column of row hashes."""
     none = F.lit(0).cast("bigint")
-    return df.select(row_hash.alias("h")).agg(
+    return [
         F.count("*").alias("row_count"),
-        F.coalesce(F.bit_xor("h"), none).alias("hash_xor"),
-        F.coalesce(F.sum(F.shiftright("h", 40)), none).alias("high_sum"),
-        F.coalesce(F.sum(F.shiftright(F.shiftleft("h", 40), 40)), none).alias("low_sum"),
-    )
+        F.coalesce(F.bit_xor(h), none).alias("hash_xor"),
+        F.coalesce(F.sum(F.shiftright(h, 40)), none).alias("high_sum"),
+        F.coalesce(F.sum(F.shiftright(F.shiftleft(h, 40), 40)), none).alias("low_sum"),
+    ]
 
 
 def copy_consistency(source: DataFrame, target: DataFrame) -> DataFrame:

@@ -24,6 +24,7 @@ from lakeproof.operators.inventory import (
 from lakeproof.operators.profile import profile, profile_categorical as categorical, profile_date as dates
 from lakeproof.operators.profile import profile_numeric as numeric
 from lakeproof.operators.profile import sort_metrics
+from lakeproof.operators.sampling import fair_sample
 from lakeproof.plans.watermark import max_watermark as highest
 from lakeproof.session import scratch_path
 from lakeproof.catalog.staging import make_folders
@@ -196,11 +197,23 @@ def infer_sql_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return results[0].unionByName(results[1]).unionByName(results[2])
 
 
-@query(infer_sql([("r_regionkey", "7"), ("r_name", _text_rank("r_name"))], "region", "region"))
+@query(infer_sql(
+    [("l_orderkey", _long_rank("l_orderkey")), ("l_partkey", _long_rank("l_partkey")), ("l_suppkey", _long_rank("l_suppkey")), ("l_linenumber", "7"),
+     *((c, _double_rank(c)) for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")),
+     ("l_returnflag", _text_rank("l_returnflag")), ("l_linestatus", _text_rank("l_linestatus")), ("l_shipdate", "CASE WHEN l_shipdate IS NULL THEN 9 ELSE 3 END")],
+    "lineitem", "lineitem",
+))
 def infer_from_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A sample as large as the table gives the same types as the whole."""
-    region = table(spark, sf_dir, "region")
-    return infer(region, sample_rows=region.count()).withColumn("table_name", F.lit("region"))
+    """A fair sample of two thousand rows gives the types of the whole table."""
+    return infer(table(spark, sf_dir, "lineitem"), sample_rows=2000).withColumn("table_name", F.lit("lineitem"))
+
+
+@query("SELECT * FROM orders ORDER BY md5(CAST(o_orderkey AS VARCHAR)) LIMIT 1000")
+def sample_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The thousand orders with the smallest hashes of their keys; the same whoever draws them."""
+    orders = table(spark, sf_dir, "orders")
+    by = F.conv(F.substring(F.md5(F.col("o_orderkey").cast("string").cast("binary")), 1, 15), 16, 10).cast("bigint")
+    return fair_sample(orders, 1000, by)
 
 
 @query("SELECT max(ts) AS max_watermark FROM events")
@@ -251,16 +264,18 @@ def folder_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-  SELECT '/' AS "Path", (SELECT count(DISTINCT n_regionkey) FROM nation) + 1 AS FolderCount, CAST(0 AS BIGINT) AS FileCount
-  UNION ALL SELECT DISTINCT '/n_regionkey=' || n_regionkey || '/', CAST(0 AS BIGINT), CAST(1 AS BIGINT) FROM nation
-  UNION ALL SELECT '/empty/', (SELECT count(*) FROM region), CAST(0 AS BIGINT)
-  UNION ALL SELECT '/empty/' || r_name || '/', CAST(0 AS BIGINT), CAST(0 AS BIGINT) FROM region
+  SELECT '/' AS "Path", (SELECT count(DISTINCT o_orderstatus) FROM orders) + 1 AS FolderCount, CAST(0 AS BIGINT) AS FileCount
+  UNION ALL SELECT '/o_orderstatus=' || o_orderstatus || '/', count(DISTINCT o_orderkey // 1000), CAST(0 AS BIGINT) FROM orders GROUP BY o_orderstatus
+  UNION ALL SELECT DISTINCT '/o_orderstatus=' || o_orderstatus || '/thousand=' || o_orderkey // 1000 || '/', CAST(0 AS BIGINT), CAST(1 AS BIGINT) FROM orders
+  UNION ALL SELECT '/empty/', (SELECT count(DISTINCT s_name) FROM supplier), CAST(0 AS BIGINT)
+  UNION ALL SELECT DISTINCT '/empty/' || s_name || '/', CAST(0 AS BIGINT), CAST(0 AS BIGINT) FROM supplier
 """)
 def folder_inventory_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A real tree: a partitioned table, and an empty folder for each region."""
+    """A real tree: a table partitioned on two levels, and an empty folder for each supplier."""
     path = scratch_path(spark, "tree")
-    table(spark, sf_dir, "nation").coalesce(1).write.partitionBy("n_regionkey").parquet(path)
-    make_folders(table(spark, sf_dir, "region").select(F.concat(F.lit(f"{path}/empty/"), "r_name").alias("folder")))
+    orders = table(spark, sf_dir, "orders").withColumn("thousand", F.floor(F.col("o_orderkey") / 1000))
+    orders.repartition("o_orderstatus", "thousand").write.partitionBy("o_orderstatus", "thousand").parquet(path)
+    make_folders(table(spark, sf_dir, "supplier").select(F.concat(F.lit(f"{path}/empty/"), "s_name").alias("folder")))
     files = relative_to(walk_files(spark, path, "part-*"), path)
     return folders_of(files, relative_to(walk_folders(spark, path), path))
 

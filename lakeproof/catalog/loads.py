@@ -203,12 +203,13 @@ def merge_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_csv(spark, merged, tabbed)
 
 
-@query("SELECT CAST(r_regionkey AS VARCHAR) AS r_regionkey, r_name, 1 AS files FROM region")
+@query("SELECT *, 1 AS files FROM customer")
 def write_single_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark, "single")
-    files.write_single_csv(table(spark, sf_dir, "region").repartition(5), path)
+    """A table on five partitions, in one file with its header."""
+    path, customer = scratch_path(spark, "single"), table(spark, sf_dir, "customer")
+    files.write_single_csv(customer.repartition(5), path)
     written = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path).count()
-    return files.read_csv(spark, path).select("r_regionkey", "r_name", F.lit(written).alias("files"))
+    return files.read_csv(spark, path, schema=customer.schema).withColumn("files", F.lit(written))
 
 
 @query("""

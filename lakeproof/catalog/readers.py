@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
+from datetime import UTC, datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -240,51 +244,62 @@ def src_zip_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsed.drop("archive", "member")
 
 
-def _files_of_nations(spark: SparkSession, sf_dir: str) -> str:
-    """One text file for each nation, holding its name."""
-    path = scratch_path(spark, "nations")
-    table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("value")).repartition(
-        "n_nationkey"
-    ).write.partitionBy("n_nationkey").text(path)
+ORDER_LINES = """
+  SELECT o_orderkey // 5000 AS number, string_agg(o_orderkey || '|' || o_custkey || '|' || o_orderpriority || chr(10), '' ORDER BY o_orderkey) AS body
+  FROM orders GROUP BY 1
+"""
+PIECE = 16_384
+
+
+def _order_files(spark: SparkSession, sf_dir: str) -> str:
+    """One text file for every five thousand orders."""
+    path = scratch_path(spark, "order-lines")
+    line = F.concat_ws("|", F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string"), "o_orderpriority")
+    table(spark, sf_dir, "orders").select(F.floor(F.col("o_orderkey") / 5000).alias("number"), "o_orderkey", line.alias("value")).repartition(
+        "number"
+    ).sortWithinPartitions("number", "o_orderkey").select("number", "value").write.partitionBy("number").text(path)
     return path
 
 
-def _nation_of(path: str = "path") -> Column:
-    return F.regexp_extract(path, r"n_nationkey=(\d+)/part-[^/]*$", 1)
+def _file_number(path: str = "path") -> Column:
+    return F.regexp_extract(path, r"number=(\d+)/part-[^/]*$", 1).cast("bigint")
 
 
-@query("""
-  SELECT CAST(n_nationkey AS INTEGER) AS nation, CAST(piece AS BIGINT) AS piece,
-         CAST(length(substr(n_name || chr(10), 4 * piece + 1, 4)) AS BIGINT) AS piece_bytes,
-         sha256(substr(n_name || chr(10), 4 * piece + 1, 4)) AS sha256
-  FROM nation, unnest(range(0, (length(n_name) + 4) // 4)) AS pieces(piece)
+@query(f"""
+  SELECT number, CAST(piece AS BIGINT) AS piece, CAST(length(substr(body, {PIECE} * piece + 1, {PIECE})) AS BIGINT) AS piece_bytes,
+         sha256(substr(body, {PIECE} * piece + 1, {PIECE})) AS sha256
+  FROM ({ORDER_LINES}), unnest(range(0, (length(body) + {PIECE} - 1) // {PIECE})) AS pieces(piece)
 """)
 def file_checksum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Checksums of files in pieces of four bytes."""
-    files_found = walk_files(spark, _files_of_nations(spark, sf_dir), "part-*")
-    pieces = checksums.file_pieces(files_found, piece_bytes=4)
-    return pieces.select(_nation_of().cast("int").alias("nation"), "piece", "piece_bytes", "sha256")
+    """Checksums of files of a few hundred kilobytes, in pieces."""
+    pieces = checksums.file_pieces(walk_files(spark, _order_files(spark, sf_dir), "part-*"), piece_bytes=PIECE)
+    return pieces.select(_file_number().alias("number"), "piece", "piece_bytes", "sha256")
 
 
-@query("""
-  SELECT CAST(n_nationkey AS INTEGER) AS nation, CAST((length(n_name) + 4) // 4 AS BIGINT) AS pieces, TRUE AS identical FROM nation
-""")
+@query(f"SELECT number, CAST((length(body) + {PIECE} - 1) // {PIECE} AS BIGINT) AS pieces, TRUE AS identical FROM ({ORDER_LINES})")
 def binary_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files copied byte for byte into a dated folder, all pieces of both sides compared."""
-    source, target = _files_of_nations(spark, sf_dir), scratch_path(spark, "copy")
+    source, target = _order_files(spark, sf_dir), scratch_path(spark, "copy")
+    return _copied(spark, source, target, checksums.copy_files)
+
+
+@query(f"SELECT number, CAST((length(body) + {PIECE} - 1) // {PIECE} AS BIGINT) AS pieces, TRUE AS identical FROM ({ORDER_LINES})")
+def binary_copy_in_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same files, each copied by several tasks."""
+    source, target = _order_files(spark, sf_dir), scratch_path(spark, "block-copy")
+    return _copied(spark, source, target, lambda plan: checksums.copy_in_blocks(plan, block_bytes=2 * PIECE))
+
+
+def _copied(spark: SparkSession, source: str, target: str, copy: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Copies of all files, and how many pieces of each are equal."""
     plan = walk_files(spark, source, "part-*").select(
-        F.col("path").alias("source"),
-        F.concat(F.lit(f"{target}/2024/01/02/n_nationkey="), _nation_of(), F.lit("/"), file_name(F.col("path"))).alias("target"),
+        F.col("path").alias("source"), "size",
+        F.concat(F.lit(f"{target}/2024/01/02/number="), _file_number().cast("string"), F.lit("/"), file_name(F.col("path"))).alias("target"),
     )
-    checksums.copy_files(plan).agg(F.sum("bytes")).first()
-    sides = [
-        checksums.file_pieces(walk_files(spark, path, "part-*"), 4).withColumn("nation", _nation_of().cast("int"))
-        for path in (source, target)
-    ]
+    copy(plan).agg(F.sum("bytes")).first()
+    sides = [checksums.file_pieces(walk_files(spark, path, "part-*"), PIECE).withColumn("number", _file_number()) for path in (source, target)]
     same = (F.col("source_pieces") == F.col("equal_pieces")) & (F.col("target_pieces") == F.col("equal_pieces"))
-    return checksums.compare_pieces(*sides, key="nation").select(
-        "nation", F.col("equal_pieces").alias("pieces"), same.alias("identical")
-    )
+    return checksums.compare_pieces(*sides, key="number").select("number", F.col("equal_pieces").alias("pieces"), same.alias("identical"))
 
 
 @query("SELECT * FROM orders")
@@ -302,15 +317,21 @@ def src_folder_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-  SELECT 'inside' AS landed, event_type, count(*) AS n FROM events GROUP BY event_type
+  SELECT CASE WHEN event_type IN ('error', 'view') THEN 'first' ELSE 'second' END AS landed, event_type, count(*) AS n FROM events GROUP BY event_type
 """)
 def src_modified_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files that arrived inside a window are read; the same files are outside an earlier one."""
+    """Two deliveries into one folder, and two windows that hold the files of one each."""
     events, path = table(spark, sf_dir, "events"), scratch_path(spark, "window")
-    events.write.parquet(path)
+    early = F.col("event_type").isin("error", "view")
+    events.where(early).write.parquet(path)
+    # the second after the first delivery's last file, by the clock of the file system
+    last = walk_files(spark, path).agg(F.max("modified").cast("bigint").alias("last")).first()["last"] + 1
+    time.sleep(2.5)
+    events.where(~early).write.mode("append").parquet(path)
+    border = datetime.fromtimestamp(last, UTC).strftime("%Y-%m-%dT%H:%M:%S")
     windows = {
-        "inside": FileSelection(modified_from="2000-01-01T00:00:00", modified_before="2200-01-01T00:00:00"),
-        "outside": FileSelection(modified_from="1990-01-01T00:00:00", modified_before="2000-01-01T00:00:00"),
+        "first": FileSelection(modified_from="2000-01-01T00:00:00", modified_before=border, extra={"timeZone": "UTC"}),
+        "second": FileSelection(modified_from=border, modified_before="2200-01-01T00:00:00", extra={"timeZone": "UTC"}),
     }
     read = [
         files.read_parquet(spark, path, window, events.schema).withColumn("landed", F.lit(name))

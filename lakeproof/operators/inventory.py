@@ -127,8 +127,11 @@ def table_count(listing: DataFrame, master_path: str) -> DataFrame:
     return tables.agg(F.count_distinct(F.substring_index(below, "/", 1)).alias("table_count"))
 
 
-# a folder per year, month, day or hour, or none, and a file name that ends in the stamp of its load
-_DATED = r"^(.*?)((?:/\d{4}(?:/\d{2}){0,3})?)/[^/]*?(\d{4}_\d{2}_\d{2}_\d{2}_\d{2})\."
+# a file's stem ends in the stamp of its load, and its folder in a year, month, day or hour, or in none of them
+_STAMP = r"^\d{4}_\d{2}_\d{2}_\d{2}_\d{2}$"
+_STAMP_CHARS = len("yyyy_MM_dd_HH_mm")
+_DATED = r"(/\d{4}(?:/\d{2}){0,3})$"
+_DATED_CHARS = len("/yyyy/MM/dd/HH")
 
 
 def latest_partition(listing: DataFrame, extension: str = "parquet") -> DataFrame:
@@ -139,13 +142,18 @@ def latest_partition(listing: DataFrame, extension: str = "parquet") -> DataFram
     the stamp, so that layouts of several granularities in one object compare.
     Files of another extension and names without a stamp are not dated.
     """
-    path, pattern = F.col("path"), _DATED + extension.replace(".", r"\.") + "$"
-    object_dir, dated, stamp = (F.regexp_extract(path, pattern, n) for n in (1, 2, 3))
+    path, ending = F.col("path"), f".{extension}"
+    name = F.substring_index("path", "/", -1)
+    # patterns look at a few characters, not at whole paths
+    stamp = F.right(F.left("name", F.length("name") - len(ending)), F.lit(_STAMP_CHARS))
+    dated = F.regexp_extract(F.right("dir", F.lit(_DATED_CHARS)), _DATED, 1)
     hour = F.concat(F.lit("/"), F.replace(F.substring("stamp", 1, 13), F.lit("_"), F.lit("/")))
-    parts = F.concat("dated", F.substring(hour, F.length("dated") + 1, F.lit(14)))
+    parts = F.concat("dated", F.substring(hour, F.length("dated") + 1, F.lit(_DATED_CHARS)))
     found = (
-        listing.where(path.rlike(pattern))
-        .select(object_dir.alias("object_dir"), dated.alias("dated"), stamp.alias("stamp"))
+        listing.where(path.endswith(ending) & path.contains("/")).select("path", name.alias("name"))
+        .select("name", F.left("path", F.length("path") - F.length("name") - 1).alias("dir")).select("dir", stamp.alias("stamp"))
+        .where(F.col("stamp").rlike(_STAMP)).select("stamp", "dir", dated.alias("dated"))
+        .select(F.left("dir", F.length("dir") - F.length("dated")).alias("object_dir"), "dated", "stamp")
         .select("object_dir", F.struct(parts.alias("parts"), "stamp", "dated").alias("newest"))
     )
     newest = found.groupBy("object_dir").agg(F.max("newest").alias("newest"))

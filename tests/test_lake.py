@@ -232,3 +232,44 @@ def test_transactional_folder(spark, tmp_path):
     assert resolved == {(0, "old"), (1, "newest"), (3, "old"), (9, "late")}
     dirs = table_dirs(walk_files(spark, str(tmp_path)))
     assert [r.table_dir for r in dirs.collect()] == [f"{tmp_path}/t/base_1/"]
+
+
+def test_one_large_file_is_copied_by_many_tasks(spark, tmp_path):
+    data = os.urandom(100_000)
+    (tmp_path / "large").write_bytes(data)
+    (tmp_path / "empty").write_bytes(b"")
+    (tmp_path / "small").write_bytes(b"abc")
+    names = ("large", "empty", "small")
+    plan = spark.createDataFrame([(str(tmp_path / n), f"{tmp_path}/out/{n}", os.path.getsize(tmp_path / n)) for n in names], "source string, target string, size bigint")
+    copied = {r["target"].rsplit("/", 1)[1]: r["bytes"] for r in checksums.copy_in_blocks(plan, 3000).collect()}
+    assert copied == {"large": 100_000, "empty": 0, "small": 3}
+    assert sorted(os.listdir(tmp_path / "out")) == sorted(names)
+    assert all((tmp_path / "out" / n).read_bytes() == (tmp_path / n).read_bytes() for n in names)
+
+
+def test_a_join_of_blocks_that_is_repeated(tmp_path):
+    blocks = [f"{tmp_path}/t.{k}.block" for k in range(3)]
+    for k, block in enumerate(blocks):
+        with open(block, "w") as file:
+            file.write(str(k) * 3)
+    checksums._join_blocks(f"{tmp_path}/t", blocks)
+    assert (tmp_path / "t").read_text() == "000111222" and os.listdir(tmp_path) == ["t"]
+    checksums._join_blocks(f"{tmp_path}/t", blocks)
+    # a task that died after the file was in place and before all its blocks were gone
+    with open(blocks[2], "w") as file:
+        file.write("222")
+    checksums._join_blocks(f"{tmp_path}/t", blocks)
+    assert (tmp_path / "t").read_text() == "000111222" and os.listdir(tmp_path) == ["t"]
+
+
+def test_latest_partition_reads_dates_from_the_end(spark):
+    stamp = "2024_05_06_07_08"
+    paths = [
+        f"/a/2023/2024/01/T_{stamp}.parquet", f"/a/2023/x/T_{stamp}.parquet", f"/a/2023/2024/02/T_2024_02_01_00_00.parquet", f"/b/12024/01/T_{stamp}.parquet",
+        f"/c/2024/T_x{stamp}.parquet", "/c/2024/T_2024_05_06_07.parquet", f"/c/2025/{stamp}.csv", f"T_{stamp}.parquet", f"/d/2024/01/02/03/04/{stamp}.parquet",
+    ]
+    found = sorted(tuple(r) for r in inventory.latest_partition(spark.createDataFrame([(p,) for p in paths], "path string")).collect())
+    assert found == [
+        ("/a/2023", "/a/2023/2024/02", "*2024_02_01_00_00.parquet"), ("/a/2023/x", "/a/2023/x", f"*{stamp}.parquet"),
+        ("/b/12024/01", "/b/12024/01", f"*{stamp}.parquet"), ("/c", "/c/2024", f"*{stamp}.parquet"), ("/d/2024/01/02/03/04", "/d/2024/01/02/03/04", f"*{stamp}.parquet"),
+    ]

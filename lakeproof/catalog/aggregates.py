@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from lakeproof.catalog.tables import (
     table,
 )
 from lakeproof.operators.acid import resolve_rows
-from lakeproof.operators import counts
+from lakeproof.operators import counts, profile_state
 from lakeproof.operators.infer import infer_sql_types as infer
 from lakeproof.operators.inventory import dir_size as roll_up
 from lakeproof.operators.inventory import (
@@ -216,6 +217,60 @@ def sample_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fair_sample(orders, 1000, by)
 
 
+_STATE_NUMBERS = ("l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
+
+
+def _state_sql() -> str:
+    numbers = [
+        f"SELECT 'number' AS kind, '{c}' AS column_name, '{name}' AS item, round(CAST({value} AS DOUBLE), 4) AS number, CAST(NULL AS BIGINT) AS n FROM lineitem"
+        for c in _STATE_NUMBERS
+        for name, value in (("min_value", f"min({c})"), ("max_value", f"max({c})"), ("avg_value", f"avg({c})"), ("stddev_value", f"stddev_samp({c})"), ("null_values", f"count(*) - count({c})"))
+    ]
+    deciles = [f"SELECT 'decile', '{c}', '{tenth}0th_percentile', NULL, 1" for c in _STATE_NUMBERS for tenth in range(1, 10)]
+    values = [f"SELECT 'value', '{c}', {c}, NULL, count(*) FROM lineitem GROUP BY {c}" for c in ("l_returnflag", "l_linestatus")]
+    days = [f"SELECT 'date', 'l_shipdate', '{name} ' || {name}(l_shipdate), NULL, count(*) FROM lineitem GROUP BY ALL" for name in ("year", "month", "day")]
+    keys = ["SELECT 'records', '', NULL, NULL, count(*) FROM lineitem", "SELECT 'distinct', c, NULL, NULL, 1 FROM (VALUES (''), ('l_partkey'), ('l_suppkey')) AS t(c)"]
+    return union_all([*numbers, *deciles, *values, *days, *keys])
+
+
+@query(_state_sql())
+def profile_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three increments profiled apart, one of them twice, and the profile of the whole merged from what was stored.
+
+    Deciles and distinct counts are compared with the exact ones, and count 1 if they are as near as stated.
+    """
+    lines, path, keys = table(spark, sf_dir, "lineitem"), scratch_path(spark, "states"), ["l_orderkey", "l_linenumber"]
+    for part in (0, 1, 1, 2):
+        profile_state.store_state(profile_state.state_of(lines.where(F.col("l_suppkey") % 3 == part), keys), path, f"part-{part}")
+    state = profile_state.read_state(spark, path)
+    found = profile_state.profile_of(state, "sales", "lineitem")
+
+    def shaped(rows: DataFrame, kind: str, item, number=None, n=None) -> DataFrame:
+        return rows.select(
+            F.lit(kind).alias("kind"), "column_name", (F.lit(None) if item is None else item).cast("string").alias("item"),
+            (F.lit(None) if number is None else number).cast("double").alias("number"), (F.lit(None) if n is None else n).cast("bigint").alias("n"),
+        )
+
+    is_decile = F.col("variable").endswith("percentile")
+    numbers = shaped(found.numeric.where(~is_decile), "number", F.col("variable"), F.round("value", 4))
+    exact = numeric(lines, keys, "sales", "lineitem").where(is_decile).select("column_name", "variable", F.col("value").alias("true_value"))
+    near = F.abs(F.col("value") - F.col("true_value")) <= profile_state.BIN_ERROR * 1.0001 * F.abs("true_value")
+    deciles = shaped(found.numeric.join(exact, ["column_name", "variable"]), "decile", F.col("variable"), n=near.cast("int"))
+    values = shaped(found.categorical, "value", F.col("column_value"), n=F.col("freq"))
+    days = shaped(found.date.where("date_type <> 'boundary'"), "date", F.concat_ws(" ", "date_type", "column_value"), n=F.col("freq"))
+    sizes = profile_state.key_counts(state)
+    records = shaped(sizes.where("column_name = ''"), "records", None, n=F.col("records"))
+    true_counts = lines.select(F.explode(F.array(
+        F.struct(F.lit("").alias("column_name"), F.concat_ws("|", *[F.col(k).cast("string") for k in keys]).alias("value")),
+        *[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in ("l_partkey", "l_suppkey")],
+    )).alias("e")).groupBy("e.column_name").agg(F.count_distinct("e.value").alias("true_count"))
+    # four standard errors
+    close = F.abs(F.col("distinct_values") - F.col("true_count")) <= 4 * 1.04 / 2 ** (profile_state.SKETCH_BITS / 2) * F.col("true_count") + 1
+    distinct = shaped(sizes.join(true_counts, "column_name"), "distinct", None, n=close.cast("int"))
+    parts = [numbers, deciles, values, days, records, distinct]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query("SELECT max(ts) AS max_watermark FROM events")
 def max_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return highest(table(spark, sf_dir, "events"), "ts")

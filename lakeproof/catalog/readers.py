@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeproof.catalog.registry import query
+from lakeproof.catalog.sqltext import union_all
 from lakeproof.catalog.staging import write_json_arrays, zip_partition
 from lakeproof.catalog.tables import ACID_EVENTS, acid_events, table
 from lakeproof.operators.acid import flatten_rows, read_events, read_snapshot, resolve_rows, snapshot_folders
@@ -18,6 +19,7 @@ from lakeproof.operators.mapping import map_ordinals
 from lakeproof.session import scratch_path
 from lakeproof.sinks.files import write_csv
 from lakeproof.sources import archives, checksums, files
+from lakeproof.sources.drift import read_drifted
 from lakeproof.sources.files import CsvDialect, FileSelection
 from lakeproof.sources.listing import relative_to, walk_files
 from lakeproof.sources.tables import read_query
@@ -302,6 +304,30 @@ def _copied(spark: SparkSession, source: str, target: str, copy: Callable[[DataF
     return checksums.compare_pieces(*sides, key="number").select("number", F.col("equal_pieces").alias("pieces"), same.alias("identical"))
 
 
+_DRIFTED = [
+    "CAST(l_orderkey AS INTEGER) AS l_orderkey, CAST(l_linenumber AS SMALLINT) AS line, CAST(l_extendedprice AS DECIMAL(12,2)) AS price, CAST(l_quantity AS INTEGER) AS quantity, CAST(l_shipdate AS DATE) AS shipped, l_returnflag AS flag",
+    "l_orderkey, l_linenumber AS line, CAST(l_extendedprice AS DECIMAL(15,4)) AS price, CAST(l_quantity AS BIGINT) AS quantity, l_shipdate AS shipped, l_returnflag AS flag",
+    "l_orderkey, l_linenumber AS line, CAST(floor(l_extendedprice) AS INTEGER) AS price, CAST(l_quantity AS INTEGER) AS quantity, l_returnflag AS flag, l_tax AS tax",
+    "l_orderkey, l_linenumber AS line, CAST(l_extendedprice AS DECIMAL(12,2)) AS price, CAST(l_quantity AS INTEGER) AS quantity, l_shipdate AS shipped, CAST(l_suppkey AS BIGINT) AS flag",
+]
+
+
+def _unified(k: int) -> str:
+    columns = _DRIFTED[k]
+    return f"""SELECT CAST(l_orderkey AS BIGINT) AS l_orderkey, CAST(line AS INTEGER) AS line, CAST(price AS DECIMAL(15,4)) AS price, CAST(quantity AS BIGINT) AS quantity,
+      {"CAST(shipped AS TIMESTAMP)" if "shipped" in columns else "CAST(NULL AS TIMESTAMP)"} AS shipped, CAST(flag AS VARCHAR) AS flag, {"tax" if " tax" in columns else "CAST(NULL AS DOUBLE)"} AS tax
+      FROM (SELECT {columns} FROM lineitem WHERE l_suppkey % 4 = {k})"""
+
+
+@query(union_all([_unified(k) for k in range(4)]))
+def src_parquet_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four deliveries of one table: whole numbers of all sizes, decimals, dates and timestamps, missing columns, and numbers where text was."""
+    path, lines = scratch_path(spark, "drift"), table(spark, sf_dir, "lineitem")
+    for k, columns in enumerate(_DRIFTED):
+        lines.where(F.col("l_suppkey") % 4 == k).selectExpr(*columns.split(", ")).write.parquet(f"{path}/delivery={k}")
+    return read_drifted(spark, path)
+
+
 @query("SELECT * FROM orders")
 def src_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_parquet(spark, sf_dir, FileSelection(name_glob="order*.parquet"))

@@ -161,26 +161,35 @@ def profile_date(df: DataFrame, keys: str | Sequence[str], schema_name: str, tab
     if not columns:
         return _empty(df, DATE_SCHEMA)
     plain_dates = [c for c in columns if isinstance(df.schema[c].dataType, T.DateType)]
+    is_date = F.col("column_name").isin(plain_dates) if plain_dates else F.lit(False)
+    return date_metrics(days_of(df, columns).withColumn("is_date", is_date), schema_name, table_name)
+
+
+def days_of(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column_name, day, n, first, last): rows per column and calendar day, with the first and last value."""
     # wall-clock values: local-time columns keep theirs, others show the session zone's
-    days = (
+    return (
         melt(df, columns, "timestamp_ntz")
         .groupBy("column_name", F.to_date("value").alias("day"))
         .agg(F.count("*").alias("n"), F.min("value").alias("first"), F.max("value").alias("last"))
     )
+
+
+def date_metrics(days: DataFrame, schema_name: str, table_name: str) -> DataFrame:
+    """The date profile of rows per day; ``is_date`` says whether a column holds days without a time."""
     # components and ends leave as rows of one kind, and one aggregation sums the former and joins the latter
     parts = [(F.lit(name), part("day").cast("string"), F.col("n")) for name, part in (
         ("year", F.year), ("month", F.month), ("day", F.dayofmonth),
     )] + [(F.lit("boundary"), F.lit(end), F.lit(0).cast("bigint")) for end in ("maximum", "minimum")]
-    spread = days.select("column_name", "first", "last", F.inline(F.array(*[
+    spread = days.select("column_name", "is_date", "first", "last", F.inline(F.array(*[
         F.struct(kind.alias("date_type"), value.alias("column_value"), n.alias("n")) for kind, value, n in parts
     ])))
-    found = spread.groupBy("column_name", "date_type", "column_value").agg(
+    found = spread.groupBy("column_name", "is_date", "date_type", "column_value").agg(
         F.sum("n").alias("n"), F.min("first").alias("first"), F.max("last").alias("last")
     )
 
     def text_of(end: str) -> Column:
-        whole = F.col(end).cast("string")
-        return F.when(F.col("column_name").isin(plain_dates), F.to_date(end).cast("string")).otherwise(whole) if plain_dates else whole
+        return F.when(F.col("is_date"), F.to_date(end).cast("string")).otherwise(F.col(end).cast("string"))
 
     freq = F.when(F.col("date_type") != "boundary", F.col("n").cast("string")).when(
         F.col("column_value") == "maximum", text_of("last")

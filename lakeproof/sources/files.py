@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeproof.functions import naming
+from lakeproof.sources.drift import read_drifted
 
 _MALFORMED = "_malformed_row"
 _NEVER_TEXT = "\0"
@@ -147,6 +148,8 @@ def read_files(
         return read_csv(spark, path, TSV, schema, selection)
     if file_format == "parquet":
         return read_parquet(spark, path, selection, schema)
+    if file_format == "parquet-drift":
+        return read_drifted(spark, path)
     if file_format == "orc":
         return read_orc(spark, path, selection, schema)
     if file_format == "orc-acid":

@@ -296,7 +296,7 @@ _BLOCKS = pa.list_(pa.struct([("hash", pa.int64()), ("first", pa.int32()), ("end
 
 
 def parse_pages(pages: DataFrame) -> DataFrame:
-    """Every page's runs of text, the candidates around them and the hashes of all its candidates."""
+    """Every page's runs of text, the candidates around them and the hashes of its other candidates."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_slices(batches):
@@ -308,7 +308,10 @@ def parse_pages(pages: DataFrame) -> DataFrame:
                 "host": pa.array([host_of(u) for u in batch["url"].to_pylist()], pa.string()),
                 "segments": pa.array([texts for texts, _ in cut], pa.list_(pa.string())),
                 "blocks": pa.array([[dict(zip(("hash", "first", "end"), b)) for b in blocks] for _, blocks in cut], _BLOCKS),
-                "hashes": pa.array([subtree_hashes(p) for p in parsed], pa.list_(pa.int64())),
+                # those that the blocks don't show already
+                "hashes": pa.array([
+                    sorted({*subtree_hashes(p)}.difference(b[0] for b in blocks)) for p, (_, blocks) in zip(parsed, cut)
+                ], pa.list_(pa.int64())),
             })
 
     return pages.select("page_id", "url", "html").mapInArrow(run, PAGE_SCHEMA)
@@ -317,7 +320,8 @@ def parse_pages(pages: DataFrame) -> DataFrame:
 def site_templates(parsed: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
     """(host, hash, wide) of what recurs on enough of a host's pages, and whether on the share of them. Hashes are counted before they are shuffled."""
     sizes = parsed.groupBy("host").agg(F.count("*").alias("pages")).where(F.col("pages") >= least_pages)
-    counted = parsed.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count("*").alias("on"))
+    on_page = F.array_union("hashes", F.transform("blocks", lambda b: b["hash"]))
+    counted = parsed.select("host", F.explode(on_page).alias("hash")).groupBy("host", "hash").agg(F.count("*").alias("on"))
     enough = F.col("hash").bitwiseAND(F.lit(1)).eqNullSafe(0) & (F.col("on") >= max(ENOUGH_PAGES, least_pages))
     recurring = counted.where(F.col("on") >= least_pages).join(sizes, "host")
     wide = F.col("on") >= least_share * F.col("pages")
@@ -333,7 +337,7 @@ def extract_pages(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share:
 
     Pages are parsed once. The candidates around the text of a page meet the hashes that recur on its
     host, in a join on host and hash that adaptive execution splits for a hot one; a page gets back
-    only places of its own, so no list grows with the host. Pages without such hashes are done.
+    only places of its own, so no list grows with the host. Pages with no candidate around their text take no part.
     """
     parsed = staged(parse_pages(pages).withColumn("row", F.monotonically_increasing_id()), "page-segments")
     template = (
@@ -344,10 +348,11 @@ def extract_pages(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share:
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_slices(batches):
             cut = zip(batch["segments"].to_pylist(), batch["template"].to_pylist())
-            left = [" ".join(without_template(texts, [(t["first"], t["end"], t["wide"]) for t in template])) for texts, template in cut]
+            left = [" ".join(without_template(texts, [(t["first"], t["end"], t["wide"]) for t in template or ()])) for texts, template in cut]
             yield pa.RecordBatch.from_pydict({"page_id": batch["page_id"], "url": batch["url"], "text": pa.array(left, pa.string())})
 
-    met = staged(parsed.select("row", "page_id", "url", "segments").join(template, "row", "left"), "page-templates")
-    cleaned = met.where("template IS NOT NULL").select("page_id", "url", "segments", "template").mapInArrow(clean, "page_id bigint, url string, text string")
-    done = met.where("template IS NULL").select("page_id", "url", F.array_join("segments", " ").alias("text"))
+    is_open = F.size("blocks") > 0  # whether anything around the text may be template
+    met = parsed.where(is_open).select("row", "page_id", "url", "segments").join(template, "row", "left")
+    cleaned = met.select("page_id", "url", "segments", "template").mapInArrow(clean, "page_id bigint, url string, text string")
+    done = parsed.where(~is_open).select("page_id", "url", F.array_join("segments", " ").alias("text"))
     return done.unionByName(cleaned).withColumn("n_chars", F.length("text").cast("bigint"))

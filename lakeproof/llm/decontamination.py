@@ -1,22 +1,24 @@
 """Benchmark passages in training text, by a distributed positional inverted index.
 
-The terms of the test windows are counted over all training texts. Each window is looked
-up by its rarest term: for these terms the index stores every posting (document, position
-and the words around it) and for every document the posting of its end, which tells its
-length. A window's offset turns a posting into the place where the window would begin, and
-the words around it decide: all of them in order (exact phrase), or all of them anywhere
-near (proximity).
-
-Everything is DataFrame operators; nothing runs in Python.
+Texts are split once. Every occurrence of a term that a test window has becomes a posting (term,
+document, position), and every document's end one more, which tells its length. The posting lists
+of a window are intersected from its rarest term on: offsets turn postings of different terms into
+places where the window would begin, and lists of the next rarest terms thin out what is left, before
+the common ones are looked up for the few candidates alone. What has all terms in their places is
+an exact phrase; what has all of them within a window's reach of the rarest one is a match in
+proximity.
+
+Everything is DataFrame operators; nothing runs in Python, and no text is shuffled.
 """
 
 from __future__ import annotations
 
 import string
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakeproof.functions.naming import field, unique_names
 from lakeproof.llm.support import sized_join, staged
 
 # Fixed value: a word is letters a-z, digits and everything beyond ASCII.
@@ -24,6 +26,10 @@ WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW_WORDS = 10
 #: The term of a document's end; no word is empty.
 END = ""
+#: How many of a window's rarest terms thin out its candidates list by list.
+THINNING = 3
+#: Words of a stretch of text by which postings that are near each other meet.
+BUCKET = 16
 
 
 def words_of(text: str | Column) -> Column:
@@ -45,56 +51,75 @@ def test_windows(benchmark: DataFrame, length: int = WINDOW_WORDS) -> DataFrame:
     ).groupBy("window").agg(F.collect_set("item").alias("items"))
 
 
-def count_terms(documents: DataFrame, terms: DataFrame) -> DataFrame:
-    """(term, frequency) of the given terms over all texts; a term that never occurs is left out."""
-    occurrences = documents.select(F.explode(words_of("text")).alias("term"))
-    return occurrences.join(terms, "term").groupBy("term").agg(F.count("*").alias("frequency"))
+def postings(documents: DataFrame, terms: DataFrame) -> DataFrame:
+    """(term, row, doc_id, version, position): where the given terms are, and every document's end as term ``END``.
 
-
-def rarest_terms(windows: DataFrame, frequencies: DataFrame) -> DataFrame:
-    """(window, items, term, offset): each window's rarest term and where the window has it first.
-
-    A window with a term that no training text has can't occur and is left out.
+    ``row`` is a number of the document's row, so that repeated ids stay apart; ``version`` is a hash of
+    the text. Written to the shared folder: it is the index.
     """
-    terms = windows.select("window", "items", F.posexplode("window").alias("offset", "term"))
-    return terms.join(frequencies, "term").groupBy("window").agg(
-        F.first("items").alias("items"), F.min(F.struct("frequency", "term", "offset")).alias("rarest"),
-        F.count("*").alias("known"),
-    ).where(F.col("known") == F.size("window")).select("window", "items", "rarest.term", "rarest.offset")
+    texts = documents.select("doc_id", F.xxhash64("text").alias("version"), words_of("text").alias("words")).withColumn("row", F.monotonically_increasing_id())
+    marked = terms.select("term").unionByName(terms.sparkSession.range(1).select(F.lit(END).alias("term"))).distinct()
+    each = texts.select("row", "doc_id", "version", F.posexplode(F.concat("words", F.array(F.lit(END)))).alias("position", "term"))
+    return staged(sized_join(each, marked, "term").select("term", "row", "doc_id", "version", "position"), "postings")
 
 
-def positional_index(documents: DataFrame, terms: DataFrame, reach: int = WINDOW_WORDS - 1) -> DataFrame:
-    """(term, doc_id, version, position, before, around): the postings of the given terms and of every document's end.
+def ordered_terms(windows: DataFrame, index: DataFrame) -> DataFrame:
+    """(window, items, width, term, offset, rank): every window's terms from the rarest one on.
 
-    ``around`` holds up to ``reach`` words on either side, ``before`` says how many of them come first.
-    ``version`` is a hash of the text, so that different texts under one id stay apart.
+    A window with a term that no training text has can't occur and is left out.
     """
-    texts = documents.select("doc_id", F.xxhash64("text").alias("version"), words_of("text").alias("words"))
-    marked = terms.select("term").unionByName(terms.sparkSession.range(1).select(F.lit(END).alias("term"))).distinct()
-    postings = texts.select("doc_id", "version", "words", F.posexplode(F.concat("words", F.array(F.lit(END)))).alias("position", "term"))
-    before = F.least(F.col("position"), F.lit(reach))
-    return postings.join(staged(marked.coalesce(1), "index-terms"), "term").select(
-        "term", "doc_id", "version", "position", before.alias("before"),
-        F.when(F.col("term") == END, F.array().cast("array<string>")).otherwise(
-            F.slice("words", F.col("position") - before + 1, before + reach + 1)
-        ).alias("around"),
-    )
+    frequencies = index.where(F.col("term") != END).groupBy("term").agg(F.count("*").alias("frequency"))
+    terms = windows.select("window", "items", F.size("window").alias("width"), F.posexplode("window").alias("offset", "term")).join(frequencies, "term")
+    whole = Window.partitionBy("window")
+    return terms.withColumn("known", F.count("*").over(whole)).where("known = width").withColumn(
+        "rank", F.row_number().over(whole.orderBy("frequency", "term", "offset"))
+    ).select(F.xxhash64("window").alias("window_id"), "window", "items", "width", "term", "offset", "rank")
+
 
+def _buckets(place: Column, reach: int) -> Column:
+    """The stretches of text that hold whatever is within reach of a place."""
+    low, high = (F.floor((place + F.lit(shift)) / BUCKET).cast("int") for shift in (-reach, reach))
+    return F.sequence(low, high)
 
-def phrase_matches(index: DataFrame, windows: DataFrame) -> DataFrame:
-    """(doc_id, version, start, width, items): every place where a whole window occurs."""
-    width = F.size("window")
-    at = F.col("before") - F.col("offset") + 1
-    return index.where(F.col("term") != END).join(windows, "term").where(
-        (at >= 1) & (F.slice("around", F.greatest(at, F.lit(1)), width) == F.col("window"))
-    ).select("doc_id", "version", (F.col("position") - F.col("offset")).alias("start"), width.alias("width"), "items")
 
+def intersect(index: DataFrame, terms: DataFrame, reach: int = WINDOW_WORDS - 1) -> DataFrame:
+    """(window_id, row, place, start, width, exact): where a window's rarest term has all others within ``reach``.
 
-def proximity_matches(index: DataFrame, windows: DataFrame) -> DataFrame:
-    """(doc_id, version, position, window, items): the rarest term's places that have all other terms within the index's reach."""
-    return index.where(F.col("term") != END).join(windows, "term").where(
-        F.size(F.array_except("window", "around")) == 0
-    ).select("doc_id", "version", "position", "window", "items")
+    ``place`` is the rarest term's position and ``start`` that of the window it would belong to;
+    ``exact`` says whether all terms stand where that window has them.
+    """
+    plan = staged(terms.select("window_id", "width", "term", "offset", "rank"), "window-terms")
+    lists = index.where(F.col("term") != END).select("term", "row", "position")
+
+    def of_rank(rank: int) -> DataFrame:
+        named = plan.where(F.col("rank") == rank).select("term", F.col("window_id"), "width", "offset")
+        return sized_join(lists, named, "term").select("window_id", "width", "row", "position", (F.col("position") - F.col("offset")).alias("start"))
+
+    found = of_rank(1).select("window_id", "width", "row", F.col("position").alias("place"), "start", F.lit(True).alias("exact"))
+    for rank in range(2, THINNING + 1):
+        other = of_rank(rank).select(
+            "window_id", "row", "position", F.col("start").alias("other_start"), F.floor(F.col("position") / BUCKET).cast("int").alias("bucket")
+        )
+        spread = found.withColumn("bucket", F.explode(_buckets(F.col("place"), reach)))
+        near = F.abs(F.col("position") - F.col("place")) <= reach
+        found = spread.join(other, ["window_id", "row", "bucket"], "left").groupBy("window_id", "width", "row", "place", "start", "exact").agg(
+            F.count_if(near).alias("near"), F.coalesce(F.max(near & (F.col("other_start") == F.col("start"))), F.lit(False)).alias("there")
+        ).where((F.col("near") > 0) | (F.col("width") < rank)).select(
+            "window_id", "width", "row", "place", "start", (F.col("exact") & (F.col("there") | (F.col("width") < rank))).alias("exact")
+        )
+    found = staged(found, "window-candidates")
+    # the common terms are looked up in the documents that are left, by the window's places alone
+    left = sized_join(lists, found.select("row").distinct(), "row", "left_semi").withColumn("bucket", F.floor(F.col("position") / BUCKET).cast("int"))
+    wanted = sized_join(found, plan.where(F.col("rank") > THINNING).select("window_id", "term", "offset", "rank"), "window_id").withColumn(
+        "bucket", F.explode(_buckets(F.col("place"), reach))
+    )
+    near, there = F.abs(F.col("position") - F.col("place")) <= reach, F.col("position") == F.col("start") + F.col("offset")
+    rest = wanted.join(left, ["row", "term", "bucket"]).groupBy("window_id", "width", "row", "place", "start", "exact").agg(
+        F.count_distinct(F.when(near, F.col("rank"))).alias("near"), F.count_distinct(F.when(there, F.col("rank"))).alias("there")
+    ).where(F.col("near") == F.col("width") - THINNING).select(
+        "window_id", "row", "place", "start", "width", (F.col("exact") & (F.col("there") == F.col("width") - THINNING)).alias("exact")
+    )
+    return rest.unionByName(found.where(F.col("width") <= THINNING).select("window_id", "row", "place", "start", "width", "exact"))
 
 
 def _covered(matches: str) -> Column:
@@ -110,25 +135,27 @@ def _covered(matches: str) -> Column:
 
 
 def contamination_by_version(documents: DataFrame, benchmark: DataFrame, length: int = WINDOW_WORDS) -> DataFrame:
-    """(doc_id, version, n_words, n_hit, n_items, items_sha256, contaminated) of every row of the documents.
+    """(doc_id, version, n_words, n_hit, n_items, items_sha256, contaminated, n_near) of every row of the documents.
 
-    Null text has no words. Repeated rows have a result each; rows with the same id and
-    different texts are apart. Without test items nothing is hit. Other columns are not read.
+    ``n_near`` counts the matches in proximity, exact ones among them. Null text has no words. Repeated
+    rows have a result each; rows with the same id and different texts are apart. Without test items
+    nothing is hit. Other columns are not read.
     """
     windows = staged(test_windows(benchmark, length), "test-windows")
-    vocabulary = staged(windows.select(F.explode("window").alias("term")).distinct().coalesce(1), "test-terms")
-    anchored = staged(rarest_terms(windows, count_terms(documents, vocabulary)), "test-anchors")
-    index = staged(positional_index(documents, anchored.select("term"), length - 1), "postings")
-    hits = phrase_matches(index, anchored).groupBy("doc_id", "version").agg(
-        F.collect_set(F.struct("start", "width")).alias("matches"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
-    ).select(F.col("doc_id").alias("hit_id"), F.col("version").alias("hit_version"), _covered("matches").alias("n_hit"), "items")
-    ends = index.where(F.col("term") == END).select("doc_id", "version", F.col("position").cast("bigint").alias("n_words"))
-    same = ends["doc_id"].eqNullSafe(hits["hit_id"]) & (ends["version"] == hits["hit_version"])
-    n_hit, items = F.coalesce("n_hit", F.lit(0).cast("bigint")), F.coalesce("items", F.array().cast("array<string>"))
-    return ends.join(hits, same, "left").select(
+    index = postings(documents, windows.select(F.explode("window").alias("term")).distinct())
+    terms = staged(ordered_terms(windows, index), "test-terms")
+    matches = staged(intersect(index, terms, length - 1), "window-matches")
+    named = sized_join(matches.where("exact"), terms.where("rank = 1").select("window_id", "items"), "window_id")
+    hits = named.groupBy("row").agg(
+        F.collect_set(F.struct("start", "width")).alias("matches"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
+    ).select("row", _covered("matches").alias("n_hit"), "items")
+    near = matches.groupBy("row").agg(F.count("*").alias("n_near"))
+    ends = index.where(F.col("term") == END).select("row", "doc_id", "version", F.col("position").cast("bigint").alias("n_words"))
+    none = F.lit(0).cast("bigint")
+    n_hit, items = F.coalesce("n_hit", none), F.coalesce("items", F.array().cast("array<string>"))
+    return ends.join(hits, "row", "left").join(near, "row", "left").select(
         "doc_id", "version", "n_words", n_hit.alias("n_hit"), F.size(items).cast("bigint").alias("n_items"),
-        F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"),
+        F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"), F.coalesce("n_near", none).alias("n_near"),
     )
 
 
@@ -139,12 +166,13 @@ def find_contamination(documents: DataFrame, benchmark: DataFrame, length: int =
 
 def without_contaminated(documents: DataFrame, benchmark: DataFrame, length: int = WINDOW_WORDS) -> DataFrame:
     """The rows without a passage of the benchmark, with all their columns. Null texts and null ids are judged like others."""
+    id_name, text_name = unique_names([*documents.columns, "hit_id", "hit_version"])[-2:]
     id_key, text_key = F.coalesce("doc_id", F.lit(-(1 << 63))), F.xxhash64("text")
     hit = contamination_by_version(documents, benchmark, length).where("contaminated").select(
-        id_key.alias("_hit_id"), F.col("version").alias("_hit_version")
+        id_key.alias(id_name), F.col("version").alias(text_name)
     ).distinct()
-    keyed = documents.withColumns({"_hit_id": id_key, "_hit_version": text_key})
-    return sized_join(keyed, hit, ["_hit_id", "_hit_version"], "left_anti").select(*documents.columns)
+    keyed = documents.withColumns({id_name: id_key, text_name: text_key})
+    return sized_join(keyed, hit, [id_name, text_name], "left_anti").select(*[field(c) for c in documents.columns])
 
 
 CONTAMINATION_SQL = f"""
@@ -167,8 +195,17 @@ WITH texts AS (
   SELECT doc_id, count(DISTINCT q) AS n_hit FROM hits, unnest(range(p, p + width)) AS inside(q) GROUP BY doc_id
 ), named AS (
   SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS list FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id
+), terms AS (
+  SELECT term, count(*) AS frequency FROM (SELECT unnest(words) AS term FROM texts) GROUP BY term
+), rarest AS (
+  SELECT win, arg_min(term, {{'frequency': frequency, 'term': term, 'p': p}}) AS term
+  FROM (SELECT DISTINCT win, unnest(win) AS term, generate_subscripts(win, 1) AS p FROM windows) JOIN terms USING (term) GROUP BY win
+), close AS (
+  SELECT doc_id, count(*) AS n_near
+  FROM (SELECT doc_id, words, unnest(words) AS term, generate_subscripts(words, 1) AS p FROM texts) JOIN rarest USING (term)
+  WHERE list_has_all(words[greatest(p - {WINDOW_WORDS - 1}, 1):p + {WINDOW_WORDS - 1}], win) GROUP BY doc_id
 )
-SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+SELECT doc_id, coalesce(n_near, 0) AS n_near, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM texts LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+FROM texts LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id) LEFT JOIN close USING (doc_id)
 """

@@ -2,11 +2,12 @@
 
 import hashlib
 import re
+from collections import Counter
 
-from lakeproof.llm.decontamination import (
-    END, contamination_by_version, count_terms, find_contamination, positional_index, proximity_matches, rarest_terms, test_windows as windows_of,
-    without_contaminated,
-)
+from pyspark.sql import functions as F
+
+from lakeproof.llm import decontamination, support
+from lakeproof.llm.decontamination import contamination_by_version, find_contamination, without_contaminated
 from tests.llm.fixtures import awkward, documents, prose
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -72,16 +73,73 @@ def test_only_clean_rows_stay(spark):
     assert "_lit" not in kept.columns
 
 
-def test_proximity_finds_terms_in_any_order(spark):
-    docs = documents(spark, [(1, "red green filler blue"), (2, "blue a b c d e f g h i j k l m n o red green"), (3, "green blue")])
-    windows = windows_of(bench(spark, [(1, "red green blue")]))
-    from pyspark.sql import functions as F
+def near_brute(rows, items):
+    """For every row, how often a window's rarest term has all others within nine words."""
+    windows = set()
+    for _, passage in items:
+        q = plain(passage)
+        windows |= {tuple(q[i:i + 10]) for i in range(max(len(q) - 9, 1))} if q else set()
+    words = [plain(text) for _, text in rows]
+    times = Counter(w for ws in words for w in ws)
+    rarest = [(w, min(set(w), key=lambda t: (times[t], t, w.index(t)))) for w in windows if all(times[t] for t in w)]
+    return sorted((str(key), sum(w[p] == rare and set(window) <= set(w[max(p - 9, 0):p + 10]) for window, rare in rarest for p in range(len(w)))) for (key, _), w in zip(rows, words))
+
+
+def test_proximity_equals_a_plain_search(spark):
+    rows = [
+        (1, "red green filler blue"), (2, "blue a b c d e f g h i j k l m n o red green"), (3, "green blue"), (4, "blue red x x red green green"),
+        (5, " ".join(prose(30, 301).split()[::-1])), (6, prose(30, 301).replace(" ", " x ")), (7, prose(30, 301)), (8, "a b a"), (9, "b a a b a b"),
+    ]
+    items = [(1, "red green blue"), (2, prose(30, 301)), (3, "a b a"), (4, "solo"), (5, "a")]
+    found = contamination_by_version(documents(spark, rows).repartition(3), bench(spark, items)).collect()
+    assert sorted((str(r["doc_id"]), r["n_near"]) for r in found) == near_brute(rows, items)
+    rows, items = sample()
+    found = contamination_by_version(documents(spark, rows), bench(spark, items)).collect()
+    assert sorted((str(r["doc_id"]), r["n_near"]) for r in found) == near_brute(rows, items)
+
+
+def test_columns_named_like_helpers(spark):
+    rows, items = sample()
+    frame = documents(spark, rows).select("*", *[F.lit(42).alias(c) for c in ("hit_id", "hit_version", "row", "term", "position", "_hit_id")])
+    kept = without_contaminated(frame, bench(spark, items))
+    assert kept.columns == frame.columns and kept.where("hit_id <> 42 OR hit_version <> 42 OR _hit_id <> 42").count() == 0
+    assert kept.count() == without_contaminated(documents(spark, rows), bench(spark, items)).count()
+
 
-    terms = count_terms(docs, windows.select(F.explode("window").alias("term")).distinct())
-    anchored = rarest_terms(windows, terms)
-    index = positional_index(docs, anchored.select("term"))
-    assert [r["doc_id"] for r in proximity_matches(index, anchored).collect()] == [1]
-    assert index.where(index["term"] == END).count() == 3
+def test_no_text_is_shuffled(spark, monkeypatch):
+    """Also where terms are too many to broadcast, rows of a posting's size are all that moves."""
+    monkeypatch.setattr(support, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(support.sized_join, "__defaults__", ("inner", 0))
+    rows, items = sample()
+    plans = []
+    write = decontamination.staged
+
+    def seen(frame, label):
+        plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        return write(frame, label)
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    monkeypatch.setattr(decontamination, "staged", seen)
+    try:
+        found = contamination_by_version(documents(spark, rows), bench(spark, items))
+        columns = ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+        assert sorted((str(r["doc_id"]), *(r[c] for c in columns)) for r in found.collect()) == brute(rows, items)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    below = [plan.split("Exchange")[1:] for plan in plans]
+    assert any(below) and "Broadcast" not in "".join(plans)
+    posted = next(plan for plan in plans if "posexplode" in plan)
+    assert "words#" not in posted.split("Generate posexplode")[0] and "text#" not in posted.split("Generate posexplode")[0]
+
+
+def test_a_text_of_a_million_characters(spark):
+    passage = prose(30, 301)
+    rows = [(1, f"{prose(60_000, 5)} {passage} {prose(60_000, 6)}"), (2, "x" * 1_000_000), (3, "rare " * 200_000)]
+    items = [(1, passage), (2, "rare rare rare rare")]
+    found = find_contamination(documents(spark, rows), bench(spark, items)).collect()
+    columns = ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    assert sorted((str(r["doc_id"]), *(r[c] for c in columns)) for r in found) == brute(rows, items)
 
 
 def test_native(spark):

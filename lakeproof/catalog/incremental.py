@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import UTC, datetime
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeproof.catalog.registry import query
+from lakeproof.catalog.staging import file_system
 from lakeproof.catalog.tables import table
 from lakeproof.operators.mapping import ColumnMap
 from lakeproof.plans import ingest, runlog, watermark
 from lakeproof.session import scratch_path
 from lakeproof.sinks.versions import read_table
 from lakeproof.sources.files import FileSelection
+from lakeproof.sources.listing import walk_files
+from lakeproof.streaming.arrivals import arrival_windows, file_arrivals, ingest_deliveries
 from lakeproof.streaming.ingest import file_stream, ingest_available
 from lakeproof.streaming.windows import windowed_frequencies
 
@@ -158,6 +161,39 @@ def stream_file_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(target)
 
 
+@query("""
+  WITH files AS (SELECT date_trunc('day', ts) AS day, count(*) AS n FROM events GROUP BY 1),
+  mark AS (SELECT max(day) + INTERVAL 4 HOUR AS mark FROM files)
+  SELECT 'window' AS kind, day AS at, CAST(1 AS BIGINT) AS n FROM files, mark WHERE day + INTERVAL 1 DAY <= mark
+  UNION ALL SELECT 'rows', day + INTERVAL 6 HOUR, n FROM files
+""")
+def stream_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file for each day that arrives at six, half of them put down again half an hour later, in two runs: files by window, and rows by arrival."""
+    events, landing = table(spark, sf_dir, "events"), scratch_path(spark, "arrivals")
+    daily = events.withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    daily.repartition("day").write.partitionBy("day").parquet(f"{landing}/first")
+    arrived = walk_files(spark, f"{landing}/first", "part-*").select("path", F.regexp_extract("path", r"day=([0-9-]+)/", 1).alias("day")).orderBy("day").collect()
+    system, path_of = file_system(spark, landing)
+    windows, target = scratch_path(spark, "arrival-windows"), scratch_path(spark, "arrival-rows")
+    checkpoints = scratch_path(spark, "arrival-checkpoints")
+    for run in ("first", "again"):
+        for number, row in enumerate(arrived):
+            at = int(datetime.fromisoformat(row["day"]).replace(tzinfo=UTC).timestamp()) * 1000 + 6 * 3_600_000
+            path = row["path"]
+            if run == "again":
+                if number % 2:
+                    continue
+                path, at = f"{landing}/again/{row['path'].rsplit('/', 1)[1]}", at + 1_800_000
+                system.mkdirs(path_of(f"{landing}/again"))
+                spark._jvm.org.apache.hadoop.fs.FileUtil.copy(system, path_of(row["path"]), system, path_of(path), False, spark._jsc.hadoopConfiguration())
+            system.setTimes(path_of(path), at, -1)
+        ingest_available(arrival_windows(file_arrivals(spark, landing, "part-*"), "1 day", "2 hours"), windows, f"{checkpoints}/windows")
+        ingest_deliveries(spark, landing, events.schema, target, f"{checkpoints}/rows", name_glob="part-*")
+    counted = spark.read.parquet(windows).select(F.lit("window").alias("kind"), F.col("window_start").cast("timestamp_ntz").alias("at"), F.col("files").alias("n"))
+    rows = read_table(spark, target).groupBy(F.col("delivered_at").cast("timestamp_ntz").alias("at")).agg(F.count("*").alias("n"))
+    return counted.unionByName(rows.select(F.lit("rows").alias("kind"), "at", "n"))
+
+
 HOURS_SQL = """
   SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end, event_type,
          count(*) AS freq

@@ -19,9 +19,11 @@ from lakeproof.operators.mapping import map_ordinals
 from lakeproof.session import scratch_path
 from lakeproof.sinks.files import write_csv
 from lakeproof.sources import archives, checksums, files
+from lakeproof.sources.audit import audit_files
 from lakeproof.sources.drift import read_drifted
 from lakeproof.sources.files import CsvDialect, FileSelection
 from lakeproof.sources.listing import relative_to, walk_files
+from lakeproof.sources.splitting import read_csv_chunks, read_json_chunks
 from lakeproof.sources.tables import read_query
 
 
@@ -40,6 +42,22 @@ def src_csv_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_csv(spark, path, schema=documents.schema, multiline=True)
 
 
+@query("SELECT * FROM documents")
+def src_csv_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts with quotes, separators and line breaks, in two files that many tasks share."""
+    documents, path = table(spark, sf_dir, "documents"), scratch_path(spark, "csv-chunks")
+    write_csv(documents.repartition(2), path)
+    return read_csv_chunks(spark, path, documents.schema, chunk_bytes=1 << 18)
+
+
+@query("SELECT doc_id, lang, text, n_chars FROM documents")
+def src_json_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two arrays of documents, each shared by many tasks."""
+    documents, path = table(spark, sf_dir, "documents").select("doc_id", "lang", "text", "n_chars"), scratch_path(spark, "json-chunks")
+    write_json_arrays(documents.repartition(2), path)
+    return read_json_chunks(spark, path, documents.schema, name_glob="*.txt", chunk_bytes=1 << 18)
+
+
 @query("SELECT * FROM orders")
 def src_tsv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, path = table(spark, sf_dir, "orders"), scratch_path(spark, "tsv")
@@ -366,6 +384,25 @@ def src_modified_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read[0].unionByName(read[1]).groupBy("landed", "event_type").agg(F.count("*").alias("n"))
 
 
+@query("""
+  SELECT o_orderstatus AS delivery, 'read' AS state, count(*) AS rows_read, count(*) AS rows_stored FROM orders GROUP BY o_orderstatus
+  UNION ALL SELECT 'empty', 'empty', 0, 0
+  UNION ALL SELECT 'stray ' || o_orderpriority, 'unreadable', 0, NULL FROM orders GROUP BY o_orderpriority
+""")
+def src_skip_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file for each status, one without rows, and a text file for each priority that calls itself Parquet."""
+    orders, path = table(spark, sf_dir, "orders"), scratch_path(spark, "audit")
+    deliveries = {r["o_orderstatus"]: orders.where(F.col("o_orderstatus") == r["o_orderstatus"]) for r in orders.select("o_orderstatus").distinct().collect()}
+    for name, rows in {**deliveries, "empty": orders.where("false")}.items():
+        rows.coalesce(1).write.parquet(f"{path}/delivery={name}")
+    texts = orders.select("o_orderpriority", F.col("o_orderkey").cast("string").alias("value"))
+    texts.repartition("o_orderpriority").write.partitionBy("o_orderpriority").text(f"{path}/stray")
+    found = audit_files(spark, path, orders.schema, "part-*")
+    delivery = F.regexp_extract("file", r"^/delivery=([^/]*)/", 1)
+    stray = F.concat(F.lit("stray "), F.regexp_extract("file", r"^/stray/o_orderpriority=([^/]*)/", 1))
+    return found.select(F.when(delivery != "", delivery).otherwise(stray).alias("delivery"), "state", "rows_read", "rows_stored")
+
+
 @query("SELECT * FROM part")
 def src_skip_corrupt(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A text file has strayed among the Parquet files."""

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import io
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
+from py4j.java_gateway import JavaObject
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeproof.sources.remote import resolve
@@ -70,3 +71,9 @@ def make_folders(folders: DataFrame) -> None:
             yield batch
 
     folders.mapInPandas(make, "folder string").count()
+
+
+def file_system(spark: SparkSession, folder: str) -> tuple[JavaObject, Callable[[str], JavaObject]]:
+    """Hadoop's file system of a folder, and how to make one of its paths: to set times and copy files as they arrive."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    return path(folder).getFileSystem(spark._jsc.hadoopConfiguration()), path

@@ -1,6 +1,8 @@
 """Token ids of texts, faster than by encoding whole texts one after the other.
 
-Byte-level vocabularies of ranks have an encoder of their own. For the others: byte-pair merges act within the pieces into which a tokenizer's pattern splits a text, and
+Byte-level vocabularies of ranks have an encoder of their own. Where words have an end of their own and
+ids follow the order of merges, so do the others: a word's end is written as one more byte, which no
+text that is encoded so holds, and ids are the ranks. For what is left: byte-pair merges act within the pieces into which a tokenizer's pattern splits a text, and
 a piece lies within a word (with the space before it), so the ids of a text are those of its
 words, one after the other. Words repeat far more than texts do.
 """
@@ -23,6 +25,8 @@ from tokenizers import Tokenizer
 REMEMBERED = 150_000
 # Characters that Python counts as white space and the tokenizers' pattern doesn't, and the mark that splits at spaces.
 _ODD = re.compile("[\x00\x1c-\x1f]")
+#: Stands for the end of a word: a byte of texts that ``_ODD`` finds, which are encoded in another way.
+END_OF_WORD = b"\x1f"
 # Where a space is no word's beginning: inside or at the end of a run of white space.
 _RUN = re.compile(r"\s (?:\s|\Z)")
 
@@ -80,17 +84,22 @@ class PieceEncoder:
             return [word[:-1], word[-1]]
         return self.pattern.findall(word)
 
+    def normalized(self, text: str) -> str | None:
+        """The text in lower case as the tokenizer has it; none where words can't be told apart simply."""
+        if _ODD.search(text):
+            return None
+        # the final sigma is lower-cased by its place, which the tokenizer doesn't do
+        if "Σ" in text or "İ" in text:
+            return self.tokenizer.normalizer.normalize_str(text)
+        return unicodedata.normalize("NFC", text).lower()
+
     def split(self, text: str) -> list[str] | None:
         """The words of a text, each with what precedes it; none where words can't be told apart simply."""
+        if self.normalizes:
+            plain = self.normalized(text)
+            return plain if plain is None else plain.split()
         if _ODD.search(text):
             return None
-        if self.normalizes:
-            # the final sigma is lower-cased by its place, which the tokenizer doesn't do
-            if "Σ" in text or "İ" in text:
-                text = self.tokenizer.normalizer.normalize_str(text)
-            else:
-                text = unicodedata.normalize("NFC", text).lower()
-            return text.split()
         return self.pattern.findall(text) if _RUN.search(text) else text.replace(" ", "\x00 ").split("\x00")
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -118,9 +127,52 @@ class RankEncoder:
         return [_packed(self.encoding.encode_ordinary(text)) for text in texts]
 
 
+class WordEndEncoder(PieceEncoder):
+    """Encodes texts with a tokenizer file that normalises texts, drops white space and ends words with ``</w>``."""
+
+    def __init__(self, path: str, layout: dict) -> None:
+        super().__init__(path)
+        back = {letter: byte for byte, letter in self.letters.items()}
+        special = {token["content"] for token in layout["added_tokens"]}
+        end = layout["model"]["end_of_word_suffix"]
+        ranks = {
+            bytes(back[c] for c in token.removesuffix(end)) + (END_OF_WORD if token.endswith(end) else b""): number
+            for token, number in layout["model"]["vocab"].items() if token not in special
+        }
+        mark = re.escape(END_OF_WORD.decode())
+        self.encoding = tiktoken.Encoding("words", pat_str=rf"[^{mark}]+{mark}", mergeable_ranks=ranks, special_tokens={})
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, without special tokens."""
+        found, mark = [], END_OF_WORD.decode()
+        for text in texts:
+            words = self.split(text)
+            if words is None:
+                found.append(_packed(self.tokenizer.encode(text, add_special_tokens=False).ids))
+            elif words:
+                pieces = [word if word.isalpha() else mark.join(self.pieces_of(word)) for word in words]
+                found.append(_packed(self.encoding.encode_ordinary(mark.join(pieces) + mark)))
+            else:
+                found.append(b"")
+        return found
+
+
+def follows_merges(layout: dict) -> bool:
+    """Whether words have an end, and every merge makes a token of a higher id than the merge before it."""
+    model = layout["model"]
+    if layout["normalizer"] is None or not model.get("end_of_word_suffix"):
+        return False
+    made = [model["vocab"]["".join(pair if isinstance(pair, list) else pair.split(" "))] for pair in model["merges"]]
+    return all(a < b for a, b in zip(made, made[1:]))
+
+
 def encoder_of(path: str) -> PieceEncoder | RankEncoder:
     """The encoder of a vocabulary file, by its kind."""
-    return RankEncoder(path) if path.endswith(".tiktoken") else PieceEncoder(path)
+    if path.endswith(".tiktoken"):
+        return RankEncoder(path)
+    with open(path) as file:
+        layout = json.load(file)
+    return WordEndEncoder(path, layout) if follows_merges(layout) else PieceEncoder(path)
 
 
 def _packed(ids: list[int]) -> bytes:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeproof.llm.support import staged
+from lakeproof.llm.support import shuffle_tasks, staged
 
 #: Segments of the stored summaries, coarse to fine; a vector of fewer components has one each.
 SEGMENTS = (1, 4, 16)
@@ -273,7 +273,7 @@ def mine(
     rows = staged(with_summaries(rows), "negatives-rows")
     chosen = rows.where(anchors)
     sizes = rows.agg(F.count("*"), F.count_if(anchors), F.max("size")).first()
-    blocks = deal(sizes[1], sizes[0], sizes[2] or 0, int(spark.conf.get("spark.sql.shuffle.partitions")), numbers, anchors_at_once)
+    blocks = deal(sizes[1], sizes[0], sizes[2] or 0, shuffle_tasks(spark), numbers, anchors_at_once)
     wide = [F.array(F.lit(end).cast("bigint")) for end in (-(1 << 62), 1 << 62)]
     near = _search(chosen.withColumns({"floors": wide[0], "caps": wide[1]}), rows, 1, blocks, True, positives, "negatives-positives")
     near = near.withColumn("window", F.row_number().over(Window.partitionBy("anchor").orderBy(F.desc("score"), "id")) - 1)

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from lakeproof.llm.components import connected_components
 from lakeproof.llm.counttree import CountTree, packed_counts, unpacked_counts
 from lakeproof.llm.shingles import shingle_set
-from lakeproof.llm.support import in_slices, sized_join, staged, text_of
+from lakeproof.llm.support import in_slices, shuffle_tasks, sized_join, staged, text_of
 
 CELL_ORDERS = 24
 BLOCK = 2048
@@ -141,8 +141,7 @@ def _across(tree: CountTree, columns: dict[str, np.ndarray]) -> Iterator[tuple[i
 
 def _in_blocks(rows: DataFrame) -> DataFrame:
     """Rows of a block in one task, in an order that does not depend on how they came."""
-    count = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(count, "cell", "block").sortWithinPartitions("cell", "block", "n_shingles", "class", "side")
+    return rows.repartition(shuffle_tasks(rows.sparkSession), "cell", "block").sortWithinPartitions("cell", "block", "n_shingles", "class", "side")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:

@@ -47,6 +47,12 @@ def staged(frame: DataFrame, label: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def shuffle_tasks(spark: SparkSession) -> int:
+    """Tasks for rows whose work says more than their bytes: what the cluster sets for a shuffle before any are merged."""
+    first = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(first or 0))
+
+
 #: Rows of one or two numbers up to which a table is broadcast, a few dozen MB.
 BROADCAST_ROWS = 500_000
 

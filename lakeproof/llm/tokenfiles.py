@@ -150,9 +150,11 @@ def write_token_files(
     if files is None:
         size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         files = max(1, -(-size // TEXT_PER_FILE))
-    ordered = rows.repartitionByRange(files, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(
-        F.col("doc_id").asc_nulls_first(), "text"
-    )
+    # rows that share an id are told apart by their texts, and copies by their places, so that no id fills a file
+    order = (F.col("doc_id").asc_nulls_first(), "version", "copy")
+    ordered = rows.withColumns({"version": F.xxhash64("text"), "copy": F.monotonically_increasing_id()}).repartitionByRange(
+        files, *order
+    ).sortWithinPartitions(*order).select("doc_id", "text")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -204,7 +206,8 @@ def read_token_files(files: DataFrame) -> DataFrame:
                             found = []
                     yield _read_batch(found)
 
-    return placed.repartition(count, "path").mapInArrow(read, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    # dealt out one by one: a hash of so few rows would give some tasks several files and others none
+    return placed.coalesce(1).repartition(count).mapInArrow(read, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
 def _read_batch(found: list[tuple]) -> pa.RecordBatch:

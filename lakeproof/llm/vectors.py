@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeproof.llm.components import connected_components
-from lakeproof.llm.support import in_slices, staged
+from lakeproof.llm.support import in_slices, shuffle_tasks, staged
 
 COSINE = 0.95
 #: The share of pairs right at the threshold that may meet in no table; closer pairs are missed far less.
@@ -296,8 +296,7 @@ def link_vectors(embeddings: DataFrame, cosine: float = COSINE, missed: float =
     rows = placed.join(dealt.select("class", "members", "embedding"), "class").select(
         "cell", "block", "table", "class", "members", "side", "embedding"
     )
-    count = int(embeddings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sorted_rows = rows.repartition(count, "cell", "block").sortWithinPartitions("cell", "block", "class")
+    sorted_rows = rows.repartition(shuffle_tasks(embeddings.sparkSession), "cell", "block").sortWithinPartitions("cell", "block", "class")
     found = staged(sorted_rows.mapInArrow(_links(plan), LINK_SCHEMA), "vector-links")
     component = connected_components(found.select(F.col("class").alias("a"), F.col("least").alias("b")), "vectors")
     links = found.groupBy("class").agg(F.sum("links").alias("links"))

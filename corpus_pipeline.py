@@ -25,27 +25,47 @@ cloudpickle.register_pickle_by_value(lakeproof)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity lexicon doesn't reject."""
+    """Documents that the toxicity lexicon doesn't reject, with all their columns.
+
+    Null and empty texts stay, repeated rows are judged each, a null id teaches nothing. Without
+    labels of both classes the fixed list alone decides. An empty table stays empty.
+    """
     return without_toxic(docs, learn_lexicon(docs, table(spark, sf_dir, "labels")))
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id."""
+    """Of each group of near copies the document with the smallest id, with all its columns.
+
+    Repeated rows stay once; of different texts that share an id the first one stays. Null and empty
+    texts are near copies of nothing and stay, as do rows with a null id. An empty table stays empty.
+    """
     return one_of_each_group(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
+    """Documents without a passage of the benchmark, with all their columns.
+
+    Null and empty texts have no words and stay, a null id is judged by its text like any other,
+    different texts under one id apart. Without benchmark items everything stays.
+    """
     return without_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with secrets replaced by a mark."""
+    """All documents with all their columns, and a mark in place of every secret.
+
+    A null text stays null and an empty one empty; ``n_chars``, if there is one, is brought up to
+    date. Repeated rows and null ids are treated like others. An empty table stays empty.
+    """
     return redact_secrets(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents and their places in sequences of 1024 tokens."""
+    """The pieces of all documents and their places in sequences of 1024 tokens.
+
+    Null and empty texts are pieces of the end id alone, repeated rows have pieces each, a null id
+    stays null. Other columns go. An empty table has no pieces.
+    """
     return pack(docs)
 
 

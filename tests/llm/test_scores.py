@@ -2,6 +2,9 @@
 
 import itertools
 import math
+import random
+import re
+import time
 
 import numpy as np
 import pytest
@@ -9,7 +12,7 @@ import pytest
 from lakeproof.llm.quality import FEATURES, LineField, fit_field, learn_field, line_features, lines_of, quality_report
 from lakeproof.llm.support import held_out, table
 from lakeproof.llm.toxicity import (
-    EXCEPTIONS, INSULTS, Lexicon, fold, learn_lexicon, readings, score_toxicity, toxicity_report, without_toxic,
+    EXCEPTIONS, INSULTS, SUBSTITUTES, Lexicon, fold, learn_lexicon, readings, score_toxicity, toxicity_report, without_toxic,
 )
 from tests.llm.fixtures import awkward, documents, prose
 
@@ -31,6 +34,36 @@ def test_disguises_fold_away(disguised):
     assert fold(disguised).strip("!") == "idiot" and FIXED.load(f"you {disguised} there")[1] == 1
 
 
+@pytest.mark.parametrize("text, matches", [
+    ("0" * 1_000_000, 0), ("a" * 1_000_000, 0), ("a1" * 500_000, 0), ("1!" * 500_000 + "a", 0), ("idiot " * 100_000, 200_000), ("trash can " * 60_000, 0),
+])
+def test_long_texts_take_seconds(text, matches):
+    lexicon = Lexicon(dict.fromkeys(INSULTS, 2.0), {"idio": 3.0})
+    started = time.process_time()
+    assert lexicon.load(text)[1] == matches
+    assert time.process_time() - started < 30
+
+
+def test_folding_equals_a_plain_pattern():
+    """The one pass over runs against a pattern that says the same and takes cubic time."""
+    plain = re.compile(r"[a-z0-9]*(?:[a-z][0-9@$!|]|[0-9@$]+[a-z])[a-z0-9@$!|]*[a-z0-9]")
+    draw = random.Random(1)
+    for _ in range(30_000):
+        text = "".join(draw.choice("ab1@!| x4$") for _ in range(draw.randint(0, 14)))
+        assert fold(text) == plain.sub(lambda m: m[0].translate(str.maketrans(SUBSTITUTES)), text)
+
+
+def test_matches_equal_looking_everywhere():
+    draw = random.Random(2)
+    words = ["idiot", "trash", "can", "clown", "class", "car", "pig", "guinea", "iron", "x", "dumb", "bell", "garbage", "truck", "trashy"]
+    for _ in range(300):
+        text = " ".join(draw.choice(words) for _ in range(draw.randint(0, 12)))
+        found = [(m.start(), m.end(), m[0]) for m in re.finditer(r"[a-z]+", text) if m[0] in INSULTS and not (
+            any(f" {text} "[at:at + len(e) + 2] == f" {e} " and at <= m.start() and m.end() <= at + len(e) for e in EXCEPTIONS for at in range(len(text)))
+        )]
+        assert sorted(FIXED.matches(text)) == found
+
+
 def test_words_numbers_and_exceptions():
     assert fold("In 2019, 100 men!") == "in 2019, 100 men!"
     assert FIXED.load("put it into the trash can, class clown")[1] == 0

@@ -12,8 +12,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeproof.sources.dealing import dealt_out
 from lakeproof.sources.remote import resolve
 
+FOLDERS_PER_TASK = 2000
+
 
 def write_json_arrays(df: DataFrame, path: str) -> None:
     """One file per partition, holding one JSON array of its rows."""
@@ -70,7 +73,7 @@ def make_folders(folders: DataFrame) -> None:
                 filesystem.create_dir(path, recursive=True)
             yield batch
 
-    folders.mapInPandas(make, "folder string").count()
+    dealt_out(folders, ["folder"], F.lit(1), FOLDERS_PER_TASK).mapInPandas(make, "folder string").count()
 
 
 def file_system(spark: SparkSession, folder: str) -> tuple[JavaObject, Callable[[str], JavaObject]]:

@@ -76,19 +76,20 @@ def folder_inventory(listing: DataFrame, folders: DataFrame | None = None) -> Da
     A listing of files alone doesn't know of empty folders; ``folders`` has the
     (path) of all, as ``walk_folders`` lists them. Each file names its folder, and each folder its parent. Links are made
     distinct before the count per parent, and both steps combine before they
-    shuffle, so a folder with a third of all files stays cheap.
+    shuffle, so a folder with a third of all files stays cheap. Files and links
+    come from the same distinct paths, so that the tree is listed once.
     """
     leaf = folder_of(F.col("path"))
+    paths = listing.select("path").distinct()
     files = (
-        listing.select("path").distinct()
-        .groupBy(leaf.alias("Path")).agg(F.count("*").alias("files"))
+        paths.groupBy(leaf.alias("Path")).agg(F.count("*").alias("files"))
         .withColumn("folders", F.lit(0).cast("bigint"))
     )
     links = F.transform(
         F.sequence(F.lit(1), F.size("chain")),
         lambda n: F.struct(F.when(n > 1, F.get("chain", n - 2)).alias("Path"), F.get("chain", n - 1).alias("child")),
     )
-    leaves = listing.select(leaf.alias("leaf"))
+    leaves = paths.select(leaf.alias("leaf"))
     if folders is not None:
         leaves = leaves.unionByName(folders.select(F.col("path").alias("leaf")))
     named = (

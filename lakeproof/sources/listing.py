@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from fnmatch import fnmatch
+from itertools import islice
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -18,7 +19,10 @@ LISTING_SCHEMA = "path string, size bigint, modified timestamp"
 _LISTING = pa.schema([("path", pa.string()), ("size", pa.int64()), ("modified", pa.timestamp("us", "UTC"))])
 _FOLDER = pa.schema([("folder", pa.string())])
 
+# A few folders may hold large trees, so they get tasks of their own; starting a task takes as long as
+# listing hundreds of small ones, so of many folders each task takes more.
 FOLDERS_PER_TASK = 4
+LISTING_TASKS = 400
 ROWS_PER_BATCH = 10_000
 
 
@@ -45,14 +49,14 @@ def _work(spark: SparkSession, root: str, spread_levels: int) -> DataFrame:
     levels = [spark.range(1).select(F.lit(root.rstrip("/") or "/").alias("folder"))]
     for _ in range(spread_levels):
         path = scratch_path(spark, "folders")
-        dealt = levels[-1] if len(levels) == 1 else dealt_out(levels[-1], ["folder"], F.lit(1), FOLDERS_PER_TASK)
+        dealt = levels[-1] if len(levels) == 1 else dealt_out(levels[-1], ["folder"], F.lit(1), FOLDERS_PER_TASK, LISTING_TASKS)
         dealt.mapInArrow(_sub_folders, "folder string").write.parquet(path)
         levels.append(spark.read.schema("folder string").parquet(path))
     # folders that were expanded list their own files, the last level lists whole trees
     work = levels[-1].withColumn("deep", F.lit(True))
     for level in levels[:-1]:
         work = work.unionByName(level.withColumn("deep", F.lit(False)))
-    return dealt_out(work, ["folder"], F.lit(1), FOLDERS_PER_TASK)
+    return dealt_out(work, ["folder"], F.lit(1), FOLDERS_PER_TASK, LISTING_TASKS)
 
 
 def _children(folder: str) -> tuple[Callable[[str], str], list[pafs.FileInfo]]:
@@ -63,51 +67,60 @@ def _children(folder: str) -> tuple[Callable[[str], str], list[pafs.FileInfo]]:
 
 
 def _sub_folders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for folder in batch["folder"].to_pylist():
-            address, infos = _children(folder)
-            found = [address(i.path) for i in infos if i.type == pafs.FileType.Directory]
-            for start in range(0, len(found), ROWS_PER_BATCH):
-                yield pa.RecordBatch.from_pydict({"folder": found[start:start + ROWS_PER_BATCH]}, _FOLDER)
+    def found() -> Iterator[str]:
+        for batch in batches:
+            for folder in batch["folder"].to_pylist():
+                address, infos = _children(folder)
+                yield from (address(i.path) for i in infos if i.type == pafs.FileType.Directory)
+
+    for some in _batched(found()):
+        yield pa.RecordBatch.from_pydict({"folder": some}, _FOLDER)
 
 
 def _files_below(name_glob: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found() -> Iterator[tuple[str, pafs.FileInfo]]:
+            for batch in batches:
+                for row in batch.to_pylist():
+                    waiting = [row["folder"]]
+                    while waiting:
+                        address, infos = _children(waiting.pop())
+                        if row["deep"]:
+                            waiting += [address(i.path) for i in infos if i.type == pafs.FileType.Directory]
+                        yield from (
+                            (address(i.path), i) for i in infos if i.type == pafs.FileType.File and fnmatch(i.base_name, name_glob)
+                        )
+
+        for some in _batched(found()):
+            yield pa.RecordBatch.from_pydict({
+                "path": [path for path, _ in some],
+                "size": [i.size for _, i in some],
+                "modified": [i.mtime for _, i in some],
+            }, _LISTING)
+
+    return walk
+
+
+def _folders_below(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def found() -> Iterator[str]:
         for batch in batches:
             for row in batch.to_pylist():
                 waiting = [row["folder"]]
                 while waiting:
-                    address, infos = _children(waiting.pop())
+                    folder = waiting.pop()
+                    yield folder.rstrip("/") + "/"
                     if row["deep"]:
+                        address, infos = _children(folder)
                         waiting += [address(i.path) for i in infos if i.type == pafs.FileType.Directory]
-                    files = [i for i in infos if i.type == pafs.FileType.File and fnmatch(i.base_name, name_glob)]
-                    for start in range(0, len(files), ROWS_PER_BATCH):
-                        some = files[start:start + ROWS_PER_BATCH]
-                        yield pa.RecordBatch.from_pydict({
-                            "path": [address(i.path) for i in some],
-                            "size": [i.size for i in some],
-                            "modified": [i.mtime for i in some],
-                        }, _LISTING)
 
-    return walk
+    for some in _batched(found()):
+        yield pa.RecordBatch.from_pydict({"path": some})
 
 
-def _folders_below(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    found: list[str] = []
-    for batch in batches:
-        for row in batch.to_pylist():
-            waiting = [row["folder"]]
-            while waiting:
-                folder = waiting.pop()
-                found.append(folder.rstrip("/") + "/")
-                if row["deep"]:
-                    address, infos = _children(folder)
-                    waiting += [address(i.path) for i in infos if i.type == pafs.FileType.Directory]
-                if len(found) >= ROWS_PER_BATCH:
-                    yield pa.RecordBatch.from_pydict({"path": found})
-                    found = []
-    if found:
-        yield pa.RecordBatch.from_pydict({"path": found})
+def _batched(found: Iterator) -> Iterator[list]:
+    """What a task finds in all of its folders, in lists that make one batch each."""
+    while some := list(islice(found, ROWS_PER_BATCH)):
+        yield some
 
 
 def modified_between(listing: DataFrame, start: str, end: str) -> DataFrame:

@@ -2,12 +2,15 @@
 
 import hashlib
 import os
+import uuid
 import zipfile
 from datetime import datetime
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from lakeproof.catalog.staging import make_folders
 from lakeproof.functions import lake_paths
 from lakeproof.functions.zones import iana_zone, utc_to_local
 from lakeproof.operators import inventory
@@ -130,6 +133,28 @@ def test_files_are_dealt_out_to_many_tasks(spark, tmp_path):
     assert tasks(checksums.copy_files(plan)) > 4
 
 
+def test_many_small_folders_are_listed_by_few_tasks(spark, tmp_path):
+    make_folders(spark.range(2400).select(F.format_string(f"{tmp_path}/%d/x", "id").alias("folder")))
+    folders = walk_folders(spark, str(tmp_path), spread_levels=1)
+    assert folders.distinct().count() == folders.count() == 1 + 2 * 2400
+    assert 40 < folders.rdd.getNumPartitions() <= 400
+    assert walk_files(spark, str(tmp_path)).count() == 0
+
+
+def test_a_tree_is_listed_once(spark, tmp_path):
+    def listed(batches):
+        for batch in batches:
+            (tmp_path / uuid.uuid4().hex).touch()
+            yield pd.DataFrame({"path": [f"/d{n % 3}/e/f{n}" for n in batch["id"]]})
+
+    folders = spark.createDataFrame([("/",), ("/none/",)], "path string")
+    found = inventory.folder_inventory(spark.range(0, 9, 1, 3).mapInPandas(listed, "path string"), folders).collect()
+    assert {tuple(r) for r in found} == {
+        ("/", 4, 0), ("/none/", 0, 0), *((f"/d{n}/", 1, 0) for n in range(3)), *((f"/d{n}/e/", 0, 3) for n in range(3)),
+    }
+    assert len(list(tmp_path.iterdir())) == 3
+
+
 def test_list_difference_and_completeness(spark):
     left = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "t string")
     right = spark.createDataFrame([("a",), ("c",)], "t string")

@@ -9,13 +9,20 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from py4j.java_gateway import JavaObject
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeproof.sources.dealing import dealt_out
 from lakeproof.sources.remote import resolve
 
 FOLDERS_PER_TASK = 2000
+FILE_BYTES = 128 * 1024 * 1024
+
+
+def in_files(df: DataFrame, row_bytes: Column, least: int) -> DataFrame:
+    """A table in one partition per file to write: ``least`` files, and so many more that each has about ``FILE_BYTES`` at most."""
+    total = df.agg(F.sum(row_bytes)).first()[0] or 0
+    return df.repartition(max(least, -(-total // FILE_BYTES)))
 
 
 def write_json_arrays(df: DataFrame, path: str) -> None:

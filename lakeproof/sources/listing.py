@@ -23,6 +23,7 @@ _FOLDER = pa.schema([("folder", pa.string())])
 # listing hundreds of small ones, so of many folders each task takes more.
 FOLDERS_PER_TASK = 4
 LISTING_TASKS = 400
+MOST_FOLDERS_PER_TASK = 10_000
 ROWS_PER_BATCH = 10_000
 
 
@@ -49,14 +50,14 @@ def _work(spark: SparkSession, root: str, spread_levels: int) -> DataFrame:
     levels = [spark.range(1).select(F.lit(root.rstrip("/") or "/").alias("folder"))]
     for _ in range(spread_levels):
         path = scratch_path(spark, "folders")
-        dealt = levels[-1] if len(levels) == 1 else dealt_out(levels[-1], ["folder"], F.lit(1), FOLDERS_PER_TASK, LISTING_TASKS)
+        dealt = levels[-1] if len(levels) == 1 else dealt_out(levels[-1], ["folder"], F.lit(1), FOLDERS_PER_TASK, LISTING_TASKS, MOST_FOLDERS_PER_TASK)
         dealt.mapInArrow(_sub_folders, "folder string").write.parquet(path)
         levels.append(spark.read.schema("folder string").parquet(path))
     # folders that were expanded list their own files, the last level lists whole trees
     work = levels[-1].withColumn("deep", F.lit(True))
     for level in levels[:-1]:
         work = work.unionByName(level.withColumn("deep", F.lit(False)))
-    return dealt_out(work, ["folder"], F.lit(1), FOLDERS_PER_TASK, LISTING_TASKS)
+    return dealt_out(work, ["folder"], F.lit(1), FOLDERS_PER_TASK, LISTING_TASKS, MOST_FOLDERS_PER_TASK)
 
 
 def _children(folder: str) -> tuple[Callable[[str], str], list[pafs.FileInfo]]:

@@ -6,6 +6,7 @@ import random
 
 import pytest
 
+from lakeproof.catalog import readers, staging
 from lakeproof.sources import files
 from lakeproof.sources.files import DOUBLED_QUOTE, CsvDialect
 from lakeproof.sources.listing import walk_files
@@ -87,3 +88,25 @@ def test_an_array_is_read_by_many_tasks(spark, tmp_path):
     found = read_json_chunks(spark, str(tmp_path), schema, chunk_bytes=2000)
     expected = files.read_json(spark, str(tmp_path), schema)
     assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect())) and found.count() == 2050
+
+
+def written_in(monkeypatch, spark, query, writer):
+    """How many files a query writes, and the rows it reads back, where a file holds 20 kB at most."""
+    parts, write = [], getattr(readers, writer)
+    monkeypatch.setattr(staging, "FILE_BYTES", 20_000, raising=False)
+    monkeypatch.setattr(readers, writer, lambda df, path: parts.append(df.rdd.getNumPartitions()) or write(df, path))
+    return query(spark, "/root/testdata/sf0.001").select("doc_id", "text"), parts[0]
+
+
+def test_csv_files_grow_in_number_with_the_table(spark, monkeypatch):
+    documents = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    found, parts = written_in(monkeypatch, spark, readers.src_csv_chunks, "write_csv")
+    assert parts > 4 and sorted(found.collect()) == sorted(documents.collect())
+
+
+def test_many_small_chunks_are_read_by_few_tasks(spark, tmp_path):
+    rows = [[str(k), t or "x"] for k, t in enumerate(texts(7, 3000))]
+    (tmp_path / "a.csv").write_text("id,text\n" + csv_text(rows, BACKSLASH), newline="")
+    records = split_records(walk_files(spark, str(tmp_path)), QuotedLines(BACKSLASH), 40)
+    assert records.select("number").distinct().count() > 400 and records.rdd.getNumPartitions() <= 400
+    assert records.count() == 3001
